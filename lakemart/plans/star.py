@@ -195,15 +195,29 @@ def songplays_two_key(staging_events: DataFrame, staging_songs: DataFrame,
 
 def songplays_title(log: DataFrame, songs: DataFrame, artists: DataFrame, page: str = LISTEN_PAGE) -> DataFrame:
     """Listen rows joined to songs on title only (fan-out kept) and on to artists; full-row
-    distinct; year and month of the start time for partitioning."""
+    distinct; year and month of the start time for partitioning.
+
+    Same result as ``distinct(listens ⋈ songs ⋈ artists)``, planned so the fan-out is never
+    shuffled: listens and songs are deduplicated *before* the join (the join of two distinct
+    inputs is distinct), the artists join becomes a semi-join (multiplicity is removed by the
+    distinct anyway), and only songs whose (song_id, artist_id) carries several titles, the one
+    case where two join rows can collide, go through a final distinct.
+    """
     listens = filter_eq(log, "page", page)
-    j = (listens.join(songs.select("song_id", "title", "artist_id"), listens["song"] == F.col("title"))
-         .join(artists.select("artist_id"), "artist_id"))
     inst = epoch_ms_whole_seconds(F.col("ts").cast("long"))
-    out = j.select(F.col("ts").alias("start_time"), F.col("userId").alias("user_id"), "level", "song_id",
-                   "artist_id", F.col("sessionId").alias("session_id"), "location",
-                   F.col("userAgent").alias("user_agent"), F.year(inst).alias("year"), F.month(inst).alias("month"))
-    return out.dropDuplicates()
+    lcols = [F.col("ts").alias("start_time"), F.col("userId").alias("user_id"), "level",
+             F.col("sessionId").alias("session_id"), "location", F.col("userAgent").alias("user_agent"),
+             F.year(inst).alias("year"), F.month(inst).alias("month"), F.col("song").alias("_title")]
+    l_distinct = listens.select(*lcols).dropDuplicates()
+    s = (songs.select("song_id", F.col("title").alias("_title"), "artist_id").dropDuplicates()
+         .join(artists.select("artist_id"), "artist_id", "left_semi"))
+    titles = s.groupBy("song_id", "artist_id").agg(F.count(F.lit(1)).alias("_n_titles"))
+    s = s.join(titles, ["song_id", "artist_id"])
+    out_cols = ["start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent",
+                "year", "month"]
+    single = l_distinct.join(s.where(F.col("_n_titles") == 1), "_title").select(*out_cols)
+    multi = l_distinct.join(s.where(F.col("_n_titles") > 1), "_title").select(*out_cols).dropDuplicates()
+    return single.unionByName(multi)
 
 
 # ---------------------------------------------------------------- whole star schema
