@@ -59,9 +59,16 @@ def read_json_glob(spark: SparkSession, pattern: str | Sequence[str], schema: T.
 
 
 def load_staging(spark: SparkSession, path: str, staging_schema: T.StructType, glob: str = "*.json") -> DataFrame:
-    """Bulk load to a typed staging table: keys mapped by name, undeclared keys dropped,
-    missing keys NULL. Keys are matched in the source's own case."""
-    return read_json_tree(spark, path, staging_schema, glob).select(*staging_schema.fieldNames())
+    """Bulk load to a typed staging table: keys mapped by name in the source's own case,
+    undeclared keys dropped, missing keys NULL. Values are read as text and converted to the
+    declared types; empty text is NULL, any other unconvertible value fails (ANSI cast)."""
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in staging_schema.fields])
+    raw = read_json_tree(spark, path, as_text, glob)
+    return raw.select(*[
+        (F.col(f.name) if isinstance(f.dataType, T.StringType)
+         else F.when(F.trim(F.col(f.name)) == F.lit(""), F.lit(None)).otherwise(F.col(f.name)).cast(f.dataType)
+         ).alias(f.name)
+        for f in staging_schema.fields])
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None) -> DataFrame:
