@@ -99,24 +99,28 @@ def first_attrs_last_status(df: DataFrame, key, first_cols, last_cols, order_by:
     return out.select(*cols_out)
 
 
-def _with_batch_order(df: DataFrame, batch_no: int, order_by: Sequence) -> DataFrame:
-    """Raw batch rows get an order struct prefixed by the batch number."""
-    o = F.struct(F.lit(batch_no).alias("b"), _order_struct(order_by).alias("o"))
+def _with_batch_order(df: DataFrame, batch_no: int, order_by: Sequence, batch_order: bool = True) -> DataFrame:
+    """Raw batch rows get an order struct, prefixed by the batch number for arrival order."""
+    o = (F.struct(F.lit(batch_no).alias("b"), _order_struct(order_by).alias("o")) if batch_order
+         else _order_struct(order_by))
     return df.withColumn(ORDER_FIRST, o).withColumn(ORDER_LAST, o)
 
 
 def merge_into(target: DataFrame | None, batches: Sequence[DataFrame], key, mode: str, order_by: Sequence,
-               first_cols=None, last_cols=None, cols=None, first_batch_no: int = 0) -> DataFrame:
+               first_cols=None, last_cols=None, cols=None, first_batch_no: int = 0,
+               batch_order: bool = True) -> DataFrame:
     """Merge new batches into stored rows with one of the keyed semantics.
 
     ``target`` is a previous result of ``merge_into`` (it carries the order columns) or None.
-    Batches are numbered in arrival order from ``first_batch_no``; within a batch ``order_by``
-    decides. The result carries ``_order_first``/``_order_last`` so it can be merged again;
-    drop them with ``drop_merge_columns`` before publishing.
+    With ``batch_order`` (arrival order) batches are numbered from ``first_batch_no`` and the
+    batch number decides first, then ``order_by``; without it only ``order_by`` (event order)
+    decides, so the result does not depend on the order in which batches arrive. The result
+    carries ``_order_first``/``_order_last`` so it can be merged again; drop them with
+    ``drop_merge_columns`` before publishing.
     """
     parts = []
     for i, b in enumerate(batches):
-        parts.append(_with_batch_order(b, first_batch_no + i, order_by))
+        parts.append(_with_batch_order(b, first_batch_no + i, order_by, batch_order))
     if target is not None:
         if ORDER_LAST not in target.columns:
             target = target.withColumn(ORDER_LAST, F.col(ORDER_FIRST))

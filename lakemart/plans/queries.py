@@ -832,3 +832,25 @@ def star_schema_summary(spark, sf):
     tables = star.star_schema(roles.log_rows(spark, sf), roles.part_as_songs(spark, sf), LOG_ORDER, ["_order"],
                               roles.LISTEN_PAGE_LOG)
     return star.star_checks(tables)
+
+
+# ============================================================== streaming
+
+EVENTS_STREAM = T.StructType([
+    T.StructField("user_id", T.LongType()), T.StructField("props", T.StringType()),
+    T.StructField("event_type", T.StringType()), T.StructField("ts_ms", T.LongType())])
+
+
+@query("stream_merge_users", MERGE_SQL)
+def stream_merge_users(spark, sf):
+    """Daily event files picked up by a file-source stream, one merge per micro-batch."""
+    from lakemart.streaming import current_version, stream_merge
+    src, target, ckpt = (scratch_path(spark, "stream-src"), scratch_path(spark, "stream-users"),
+                         scratch_path(spark, "stream-ckpt"))
+    e = _t(spark, sf, "events").select("user_id", "props", "event_type", ntz_to_epoch_ms("ts").alias("ts_ms"),
+                                       F.to_date("ts").alias("day"))
+    sinks.write_json_lines(e.hint("rebalance", "day"), src, partition_by=["day"])
+    q = stream_merge(spark, src, EVENTS_STREAM, target, ckpt, "user_id", "first_attrs_last_status", ["ts_ms"],
+                     first_cols=["props"], last_cols=["event_type"], max_files_per_trigger=8)
+    q.awaitTermination()
+    return current_version(spark, target)

@@ -1,0 +1,3 @@
+"""Structured Streaming loaders for arriving log files."""
+
+from lakemart.streaming.incremental import current_version, stream_merge  # noqa: F401
