@@ -63,3 +63,60 @@ def row_at_position(df: DataFrame, order_by: Sequence[str], position: int) -> Da
         numbered = head.withColumn("_rn", F.row_number().over(Window.orderBy(*order_by)))
         return numbered.where(F.col("_rn") == position + 1).drop("_rn")
     return dense_ids(df, order_by, "_rn", start=0).where(F.col("_rn") == position).drop("_rn")
+
+
+def weighted_offsets(df: DataFrame, order_by: Sequence[str], weight: str, out_col: str,
+                     num_partitions: int | None = None) -> DataFrame:
+    """Append ``out_col`` = sum of ``weight`` over all rows before this one in ``order_by``.
+
+    The same range-partition plan as ``dense_ids``; the running sum inside a range partition
+    is a window over that partition alone (rows are re-grouped by partition id, a shuffle of
+    ``df`` only), and the partition totals are turned into offsets through the broadcast
+    per-partition table.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    n = _partitions(df, num_partitions)
+    ranged = df.repartitionByRange(n, *order_by).withColumn(_PID, F.spark_partition_id())
+    inside = Window.partitionBy(_PID).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn(_POS, F.coalesce(F.sum(weight).over(inside), F.lit(0)).cast("long"))
+    local = local.checkpoint(eager=True)
+    totals = local.groupBy(_PID).agg(F.sum(weight).alias(_CNT))
+    running = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(_PID, F.coalesce(F.sum(_CNT).over(running), F.lit(0)).alias(_OFF))
+    out = local.join(F.broadcast(offsets), _PID)
+    return out.select(*df.columns, (F.col(_OFF) + F.col(_POS)).cast("long").alias(out_col))
+
+
+def dense_ids_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
+                   left_order: Sequence[str], right_order: Sequence[str], id_col: str = "id", start: int = 1,
+                   num_partitions: int | None = None) -> DataFrame:
+    """Inner equi-join of ``left`` and ``right`` with ``id_col`` numbered densely in the order
+    (left_order, right_order) of the joined rows, without sorting the joined rows.
+
+    Each right row gets its rank inside its key group (a skew-proof numbering of ``right`` by
+    key, then order, minus the group's first number); each left row gets the number of join
+    partners of all left rows before it (``weighted_offsets`` over ``left``). A joined pair's id
+    is start + left offset + right rank. Only ``left`` and ``right`` are sorted, never the
+    fan-out, which may be many times larger.
+    """
+    left_keys, right_keys = list(left_keys), list(right_keys)
+    rk = [f"_rk{i}" for i in range(len(right_keys))]
+    r = right.select("*", *[F.col(k).alias(a) for k, a in zip(right_keys, rk, strict=True)])
+    for a in rk:
+        r = r.where(F.col(a).isNotNull())
+    r_num = dense_ids(r, rk + list(right_order), "_rid", 0, num_partitions)
+    groups = r_num.groupBy(*rk).agg(F.min("_rid").alias("_gstart"), F.count(F.lit(1)).alias("_m"))
+    r_ranked = (r_num.join(groups.drop("_m"), rk)
+                .withColumn("_rank", F.col("_rid") - F.col("_gstart")).drop("_rid", "_gstart"))
+    lk = [f"_lk{i}" for i in range(len(left_keys))]
+    l_keyed = left.select("*", *[F.col(k).alias(a) for k, a in zip(left_keys, lk, strict=True)])
+    weights = groups.select(*[F.col(a).alias(b) for a, b in zip(rk, lk, strict=True)], "_m")
+    l_w = l_keyed.join(weights, lk, "left").withColumn("_m", F.coalesce(F.col("_m"), F.lit(0)))
+    l_off = weighted_offsets(l_w, left_order, "_m", "_loff", num_partitions)
+    cond = None
+    for a, b in zip(lk, rk, strict=True):
+        c = l_off[a] == r_ranked[b]
+        cond = c if cond is None else cond & c
+    joined = l_off.join(r_ranked, cond, "inner")
+    return joined.select(*[l_off[c] for c in left.columns], *[r_ranked[c] for c in right.columns],
+                         (F.lit(start) + F.col("_loff") + F.col("_rank")).cast("long").alias(id_col))

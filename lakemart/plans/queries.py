@@ -800,7 +800,7 @@ SELECT l.ts AS start_time, coalesce(CAST(l.userId AS VARCHAR), '0') AS user_id,
        CAST(row_number() OVER (ORDER BY {LOG_ORDER_L}, c.song_id) - 1 AS BIGINT) AS songplay_id
 FROM log l JOIN cat c ON l.artist = c.artist_name AND l.song = c.title""")
 def mart_songplays_two_key(spark, sf):
-    return star.songplays_two_key(roles.log_rows(spark, sf), roles.catalogue(spark, sf), LOG_ORDER + ["song_id"])
+    return star.songplays_two_key(roles.log_rows(spark, sf), roles.catalogue(spark, sf), LOG_ORDER, ["song_id"])
 
 
 @query("mart_songplays_title", f"""

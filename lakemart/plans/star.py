@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from lakemart.functions.defaults import typed_default
 from lakemart.functions.timeparts import epoch_ms_to_ntz, epoch_ms_whole_seconds, time_parts
 from lakemart.operators.dedupe import distinct_rows, first_attrs_last_status, keep_first, last_write_wins
-from lakemart.operators.keys import dense_ids
-from lakemart.operators.lookup import fk_violations, join_on_keys, lookup_first
+from lakemart.operators.keys import dense_ids, dense_ids_join
+from lakemart.operators.lookup import fk_violations, lookup_first
 from lakemart.operators.project import filter_eq, filter_nonempty
 from lakemart.operators.quality import null_violations, pk_violations
 
@@ -179,18 +179,19 @@ def songplays_lookup(log: DataFrame, catalogue: DataFrame, page: str = LISTEN_PA
 
 
 def songplays_two_key(staging_events: DataFrame, staging_songs: DataFrame,
-                      order_by: Sequence[str] = ("ts", "sessionId", "itemInSession", "song_id")) -> DataFrame:
+                      left_order: Sequence[str] = ("ts", "sessionId", "itemInSession"),
+                      right_order: Sequence[str] = ("song_id",)) -> DataFrame:
     """Events joined to the catalogue on (artist name, title), every match kept; NULL ids
-    default to '0'; dense ids from 0."""
-    j = join_on_keys(staging_events, staging_songs, ["artist", "song"], ["artist_name", "title"])
+    default to '0'; dense ids from 0 in (event order, catalogue order).
+
+    The ids are assigned without sorting the fan-out (``dense_ids_join``)."""
+    j = dense_ids_join(staging_events, staging_songs, ["artist", "song"], ["artist_name", "title"],
+                       left_order, right_order, "songplay_id", 0)
     j = j.withColumn("_user_text", F.col("userId").cast("string"))
-    facts = j.select(F.col("ts").alias("start_time"),
-                     typed_default(j, "_user_text", "0").alias("user_id"), "level",
-                     typed_default(j, "song_id", "0"), typed_default(j, "artist_id", "0"),
-                     F.col("sessionId").alias("session_id"), "location", F.col("userAgent").alias("user_agent"),
-                     *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)])
-    numbered = dense_ids(facts, [f"_o{i}" for i in range(len(order_by))], "songplay_id", 0)
-    return numbered.drop(*[f"_o{i}" for i in range(len(order_by))])
+    return j.select(F.col("ts").alias("start_time"), typed_default(j, "_user_text", "0").alias("user_id"), "level",
+                    typed_default(j, "song_id", "0"), typed_default(j, "artist_id", "0"),
+                    F.col("sessionId").alias("session_id"), "location", F.col("userAgent").alias("user_agent"),
+                    "songplay_id")
 
 
 def songplays_title(log: DataFrame, songs: DataFrame, artists: DataFrame, page: str = LISTEN_PAGE) -> DataFrame:

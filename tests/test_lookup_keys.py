@@ -62,3 +62,19 @@ def test_row_at_position(spark):
     assert keys.row_at_position(df, ["x"], 0).first().x == 0
     assert keys.row_at_position(df, ["x"], 41).first().x == 41
     assert keys.row_at_position(df, ["x"], 500).count() == 0
+
+
+def test_dense_ids_join_matches_row_number_of_join(spark):
+    left = spark.range(0, 400).select((F.col("id") % 13).alias("k"), F.col("id").alias("lo"),
+                                      (F.col("id") * 3).alias("lv"))
+    # key 0 is hot on the right; key 12 has no partners; NULL keys never join
+    right = spark.range(0, 300).select(F.when(F.col("id") % 3 == 0, F.lit(0))
+                                       .when(F.col("id") == 7, F.lit(None)).otherwise(F.col("id") % 12)
+                                       .alias("rk"), F.col("id").alias("ro"))
+    j = left.join(right, left.k == right.rk)
+    expected = {(r.lo, r.ro): r.rn for r in
+                j.select("lo", "ro", F.row_number().over(Window.orderBy("lo", "ro")).alias("rn")).collect()}
+    for n in (1, 6):
+        got = keys.dense_ids_join(left, right, ["k"], ["rk"], ["lo"], ["ro"], "id", 1, num_partitions=n)
+        assert got.columns == ["k", "lo", "lv", "rk", "ro", "id"]
+        assert {(r.lo, r.ro): r.id for r in got.collect()} == expected
