@@ -437,8 +437,8 @@ def not_null_check(spark, sf):
 
 
 @query("null_counts", """
-SELECT count_if(nullif(o_orderstatus, 'P') IS NULL) AS o_orderstatus_nulls,
-       count_if(nullif(o_orderpriority, '5-LOW') IS NULL) AS o_orderpriority_nulls
+SELECT CAST(count_if(nullif(o_orderstatus, 'P') IS NULL) AS BIGINT) AS o_orderstatus_nulls,
+       CAST(count_if(nullif(o_orderpriority, '5-LOW') IS NULL) AS BIGINT) AS o_orderpriority_nulls
 FROM orders""")
 def null_counts(spark, sf):
     o = _t(spark, sf, "orders").select(F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"),
