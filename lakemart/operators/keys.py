@@ -26,10 +26,13 @@ _PID, _POS, _OFF, _CNT = "_pid", "_pos", "_offset", "_cnt"
 POSITION_TOP_K_LIMIT = 100_000
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
+def _range(df: DataFrame, order_by: Sequence[str], num_partitions: int | None) -> DataFrame:
+    """Range-partition on the order. Without an explicit count the session's shuffle partition
+    count is used and AQE may merge small neighbouring ranges; merged ranges stay contiguous
+    and are renumbered in order, so partition ids still follow the sort order."""
     if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        return df.repartitionByRange(int(num_partitions), *order_by)
+    return df.repartitionByRange(*order_by)
 
 
 def dense_ids(df: DataFrame, order_by: Sequence[str], id_col: str = "id", start: int = 1,
@@ -37,8 +40,7 @@ def dense_ids(df: DataFrame, order_by: Sequence[str], id_col: str = "id", start:
     """Append ``id_col`` = start, start+1, ... following ``order_by`` (which must be a total order)."""
     ensure_checkpoint_dir(df.sparkSession)
     cols = df.columns
-    n = _partitions(df, num_partitions)
-    local = (df.repartitionByRange(n, *order_by)
+    local = (_range(df, order_by, num_partitions)
              .sortWithinPartitions(*order_by)
              .withColumn(_PID, F.spark_partition_id())
              .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33)))
@@ -75,8 +77,7 @@ def weighted_offsets(df: DataFrame, order_by: Sequence[str], weight: str, out_co
     per-partition table.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    n = _partitions(df, num_partitions)
-    ranged = df.repartitionByRange(n, *order_by).withColumn(_PID, F.spark_partition_id())
+    ranged = _range(df, order_by, num_partitions).withColumn(_PID, F.spark_partition_id())
     inside = Window.partitionBy(_PID).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn(_POS, F.coalesce(F.sum(weight).over(inside), F.lit(0)).cast("long"))
     local = local.checkpoint(eager=True)

@@ -78,3 +78,14 @@ def test_dense_ids_join_matches_row_number_of_join(spark):
         got = keys.dense_ids_join(left, right, ["k"], ["rk"], ["lo"], ["ro"], "id", 1, num_partitions=n)
         assert got.columns == ["k", "lo", "lv", "rk", "ro", "id"]
         assert {(r.lo, r.ro): r.id for r in got.collect()} == expected
+
+
+def test_dense_ids_with_aqe_coalescing(spark):
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5000).alias("a"))
+        got = keys.dense_ids(df, ["a"], "id", 1).collect()
+        assert sorted((r.a, r.id) for r in got) == [(i, i + 1) for i in range(5000)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
