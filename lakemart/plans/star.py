@@ -249,20 +249,23 @@ def star_checks(tables: dict[str, DataFrame]) -> DataFrame:
            "songs": [("artist_id", "artists", "artist_id")]}
     metrics = ("n_rows", "pk_violations", "null_violations", "fk_violations")
 
-    def one(name: str, metric: str, df: DataFrame) -> DataFrame:
-        cnt = df.agg(F.count(F.lit(1)).alias("v"))
-        return cnt.select(F.lit(name).alias("table_name"),
-                          *[(F.col("v") if m == metric else F.lit(0).cast("long")).alias(m) for m in metrics])
+    def row(name: str, df: DataFrame, **exprs) -> DataFrame:
+        got = df.agg(*[e.alias(m) for m, e in exprs.items()])
+        return got.select(F.lit(name).alias("table_name"),
+                          *[(F.col(m) if m in exprs else F.lit(0)).cast("long").alias(m) for m in metrics])
 
     parts = []
     for name, df in tables.items():
-        parts.append(one(name, "n_rows", df))
-        parts.append(one(name, "pk_violations", pk_violations(df, keys[name])))
-        parts.append(one(name, "null_violations", null_violations(df, not_null[name])))
+        any_null = None
+        for c in not_null[name]:
+            t = F.col(c).isNull()
+            any_null = t if any_null is None else any_null | t
+        # one pass for the row count and the NOT NULL check, one for the key check
+        parts.append(row(name, df, n_rows=F.count(F.lit(1)), null_violations=F.count_if(any_null)))
+        parts.append(row(name, pk_violations(df, keys[name]), pk_violations=F.count(F.lit(1))))
         for col, dim, dim_key in fks.get(name, []):
-            parts.append(one(name, "fk_violations", fk_violations(df.select(col), tables[dim], col, dim_key)))
-        if name not in fks:
-            parts.append(one(name, "fk_violations", df.limit(0)))
+            parts.append(row(name, fk_violations(df.select(col), tables[dim], col, dim_key),
+                             fk_violations=F.count(F.lit(1))))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
