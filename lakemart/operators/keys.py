@@ -22,8 +22,9 @@ from lakemart.session import ensure_checkpoint_dir
 
 _PID, _POS, _OFF, _CNT = "_pid", "_pos", "_offset", "_cnt"
 
-# Rows fetched per task for a positional lookup before switching to full numbering.
-POSITION_TOP_K_LIMIT = 100_000
+# Largest position served by a top-(position+1) per task. Every task sends that many rows to
+# one final merge, so the bound keeps that merge small; larger positions number all rows.
+POSITION_TOP_K_LIMIT = 1_000
 
 
 def _range(df: DataFrame, order_by: Sequence[str], num_partitions: int | None) -> DataFrame:

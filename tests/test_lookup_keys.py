@@ -89,3 +89,9 @@ def test_dense_ids_with_aqe_coalescing(spark):
         assert sorted((r.a, r.id) for r in got) == [(i, i + 1) for i in range(5000)]
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_row_at_position_large_position_uses_numbering(spark):
+    df = spark.range(0, 3000).select(((F.col("id") * 7) % 3000).alias("x"))
+    assert keys.POSITION_TOP_K_LIMIT < 2500
+    assert keys.row_at_position(df, ["x"], 2500).first().x == 2500
