@@ -69,9 +69,11 @@ def lookup_tables(spark: SparkSession, log_csv_dir: str, out_dir: str) -> dict[s
 
 def star_upsert(spark: SparkSession, song_dir: str, log_dir: str, out_dir: str) -> dict[str, DataFrame]:
     """Keyed-upsert star schema from JSON trees; returns the written tables and ``checks``."""
-    songs = readers.read_json_tree(spark, song_dir, schemas.SONG_JSON)
+    docs = _with_arrival_order(readers.read_json_tree(spark, song_dir, schemas.SONG_JSON))
+    # one song per file: the file's first record; "first" across files is arrival order
+    songs = readers.first_record_per_file(docs, ["_line"])
     log = readers.read_json_tree(spark, log_dir, schemas.LOG_JSON)
-    tables = star.star_schema(log, songs)
+    tables = star.star_schema(log, songs, song_order=_FILE_ORDER)
     contracts = {"users": schemas.USERS, "songs": schemas.SONGS, "artists": schemas.ARTISTS,
                  "time": schemas.TIME, "songplays": schemas.SONGPLAYS}
     written = {}

@@ -225,7 +225,10 @@ def songplays_title(log: DataFrame, songs: DataFrame, artists: DataFrame, page:
 
 def star_schema(log: DataFrame, songs: DataFrame, order_by: Sequence[str] = LOG_ORDER,
                 song_order: Sequence[str] = ("song_id",), page: str = LISTEN_PAGE) -> dict[str, DataFrame]:
-    """users, songs, artists, time, songplays from a raw log and a song catalogue."""
+    """users, songs, artists, time, songplays from a raw log and a song catalogue.
+
+    ``order_by`` orders log rows and ``song_order`` catalogue rows (both total orders; for
+    files, the arrival order: file, then line)."""
     songs_t = songs_first(songs, song_order)
     artists_t = artists_first(songs, song_order)
     return {

@@ -84,3 +84,13 @@ def test_cli(tmp_dir):
     songs, logs = _json_trees(tmp_dir)
     assert jobs.main(["star_upsert", "--songs", songs, "--logs", logs, "--out", os.path.join(tmp_dir, "cli"),
                       "--master", "local[2]"]) == 0
+
+
+def test_star_upsert_takes_first_record_per_song_file(spark, tmp_dir):
+    songs, logs = _json_trees(tmp_dir)
+    extra = dict(SONG_DOCS[0], song_id="SOSECONDLINE")
+    d = os.path.join(songs, "A", "B", "A")
+    write_json_lines(os.path.join(d, "TR0.json"), [SONG_DOCS[0], extra])
+    t = jobs.star_upsert(spark, songs, logs, os.path.join(tmp_dir, "out2"))
+    ids = {r.song_id for r in t["songs"].collect()}
+    assert "SOSECONDLINE" not in ids and "SOUPIRU12A6D4FA1E1" in ids
