@@ -45,8 +45,17 @@ def epoch_ms_to_text(ms) -> Column:
 
 
 def ntz_to_epoch_ms(ts) -> Column:
-    """UTC wall-clock ``timestamp_ntz`` -> epoch milliseconds (sub-millisecond part dropped)."""
-    return F.timestamp_diff("MILLISECOND", _epoch(), _c(ts))
+    """UTC wall-clock ``timestamp_ntz`` -> epoch milliseconds (sub-millisecond part dropped).
+
+    Built from the wall-clock parts (days since the epoch, hour, minute, fractional second),
+    which involve no time zone. ``timestamp_diff`` would cast through the session zone and be
+    an hour off for wall-clock times inside a daylight-saving gap of that zone.
+    """
+    ts = _c(ts)
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long")
+    clock = (F.hour(ts).cast("long") * F.lit(3_600_000) + F.minute(ts).cast("long") * F.lit(60_000)
+             + F.floor(F.date_part(F.lit("SECOND"), ts) * F.lit(1000)).cast("long"))
+    return days * F.lit(86_400_000) + clock
 
 
 def weekday(ts, base: str = "mon0") -> Column:

@@ -46,3 +46,15 @@ def test_bad_weekday_base(spark):
     import pytest
     with pytest.raises(ValueError):
         time_parts(F.col("x"), "tue0")
+
+
+def test_epoch_round_trip_inside_a_dst_gap(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        # 02:30 on 2024-03-10 does not exist in Los Angeles; 01:30 on 2024-11-03 exists twice
+        df = spark.createDataFrame([(1710037800000,), (1730597400000,), (-1,)], "ms long")
+        back = df.select("ms", ntz_to_epoch_ms(epoch_ms_to_ntz("ms")).alias("b")).collect()
+        assert all(r.ms == r.b for r in back)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
