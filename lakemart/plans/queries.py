@@ -52,7 +52,6 @@ EVENTS_TYPED = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts_ms", T.LongType()),
     T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
-EVENTS_JSON = T.StructType(EVENTS_TYPED.fields + [T.StructField("part_dir", T.StringType())])
 
 
 def _write_events_tree(spark, sf, fmt: str) -> str:

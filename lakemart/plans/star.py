@@ -25,7 +25,7 @@ from lakemart.operators.dedupe import distinct_rows, first_attrs_last_status, ke
 from lakemart.operators.keys import dense_ids, dense_ids_join
 from lakemart.operators.lookup import fk_violations, lookup_first
 from lakemart.operators.project import filter_eq, filter_nonempty
-from lakemart.operators.quality import null_violations, pk_violations
+from lakemart.operators.quality import pk_violations
 
 # Fixed values of the log format.
 LISTEN_PAGE = "NextSong"
