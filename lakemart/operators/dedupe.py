@@ -7,7 +7,7 @@
 * ``merge_into``             the same operators applied to stored rows plus a new batch
 
 "First" and "last" are defined by an explicit ``order_by`` that must be a total order. All
-keyed operators are one ``groupBy(key).agg(min_by/max_by(struct, order))``: a partial
+keyed operators are one ``groupBy(key).agg(min/max(struct(order, payload)))``: a partial
 aggregate runs before the shuffle, so a hot key is collapsed map-side to one row per task and
 no group is ever materialised. The payload columns travel in one struct so that they all come
 from the same row.
@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Column names used to carry the order of the kept row through merges.
 ORDER_FIRST = "_order_first"
@@ -30,13 +31,42 @@ def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _order_struct(order_by: Sequence) -> Column:
-    cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
+def _order_struct(order_by: Sequence, skip: Sequence[str] = ()) -> Column:
+    """The order as one struct. Key columns are left out: they are constant within a group."""
+    cols = [F.col(c) if isinstance(c, str) else c for c in order_by if not (isinstance(c, str) and c in skip)]
     if not cols:
-        raise ValueError("order_by must name at least one column (a total order)")
+        raise ValueError("order_by must name at least one non-key column (a total order)")
     return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(cols)])
 
 
+def _orderable(df: DataFrame, cols: Sequence[str]) -> bool:
+    """Whether ``cols`` can sit inside a compared struct (maps cannot be compared)."""
+    def ok(t):
+        if isinstance(t, T.MapType):
+            return False
+        if isinstance(t, T.StructType):
+            return all(ok(f.dataType) for f in t.fields)
+        if isinstance(t, T.ArrayType):
+            return ok(t.elementType)
+        return True
+    return all(ok(df.schema[c].dataType) for c in cols)
+
+
+def _extreme(agg: str, order: Column, payload: Sequence[str], df: DataFrame) -> Column:
+    """The payload of the row with the smallest / largest order, as struct ``o`` + ``p``.
+
+    One ``min``/``max`` over struct(order, payload) when the payload is comparable (cheaper than
+    ``min_by``/``max_by`` over two structs, and deterministic even on ties); ``min_by``/``max_by``
+    otherwise."""
+    p = F.struct(*[F.col(c) for c in payload])
+    if _orderable(df, payload):
+        both = F.struct(order.alias("o"), p.alias("p"))
+        return F.min(both) if agg == "min" else F.max(both)
+    by = F.min_by if agg == "min" else F.max_by
+    ext = F.min if agg == "min" else F.max
+    return F.struct(ext(order).alias("o"), by(p, order).alias("p"))
+
+
 def _payload(df: DataFrame, key: list[str], cols, reserved=()) -> list[str]:
     if cols is not None:
         return _names(cols)
@@ -48,30 +78,25 @@ def distinct_rows(df: DataFrame, cols=None) -> DataFrame:
     return (df.select(*_names(cols)) if cols is not None else df).dropDuplicates()
 
 
-def _pick(df: DataFrame, key, order_by, cols, keep_order: bool, agg_by, agg_order) -> DataFrame:
+def _pick(df: DataFrame, key, order_by, cols, keep_order: bool, agg: str) -> DataFrame:
     key = _names(key)
     payload = _payload(df, key, cols, (ORDER_FIRST, ORDER_LAST, BATCH))
-    has_order = ORDER_FIRST in df.columns
-    o = F.col(ORDER_FIRST) if has_order else _order_struct(order_by)
-    picked = agg_by(F.struct(*[F.col(c) for c in payload]), o).alias("_row")
-    aggs = [picked]
-    if keep_order:
-        aggs.append(agg_order(o).alias(ORDER_FIRST))
-    out = df.groupBy(*key).agg(*aggs)
-    cols_out = [F.col(k) for k in key] + [F.col(f"_row.{c}").alias(c) for c in payload]
+    o = F.col(ORDER_FIRST) if ORDER_FIRST in df.columns else _order_struct(order_by, key)
+    out = df.groupBy(*key).agg(_extreme(agg, o, payload, df).alias("_row"))
+    cols_out = [F.col(k) for k in key] + [F.col(f"_row.p.{c}").alias(c) for c in payload]
     if keep_order:
-        cols_out.append(F.col(ORDER_FIRST))
+        cols_out.append(F.col("_row.o").alias(ORDER_FIRST))
     return out.select(*cols_out)
 
 
 def keep_first(df: DataFrame, key, order_by: Sequence = (), cols=None, keep_order: bool = False) -> DataFrame:
     """Insert-if-absent semantics: per key, the row that is first in ``order_by``."""
-    return _pick(df, key, order_by, cols, keep_order, F.min_by, F.min)
+    return _pick(df, key, order_by, cols, keep_order, "min")
 
 
 def last_write_wins(df: DataFrame, key, order_by: Sequence = (), cols=None, keep_order: bool = False) -> DataFrame:
     """Upsert semantics: per key, the row that is last in ``order_by``."""
-    return _pick(df, key, order_by, cols, keep_order, F.max_by, F.max)
+    return _pick(df, key, order_by, cols, keep_order, "max")
 
 
 def first_attrs_last_status(df: DataFrame, key, first_cols, last_cols, order_by: Sequence = (),
@@ -86,16 +111,13 @@ def first_attrs_last_status(df: DataFrame, key, first_cols, last_cols, order_by:
     if ORDER_FIRST in df.columns:
         o_first, o_last = F.col(ORDER_FIRST), F.col(ORDER_LAST)
     else:
-        o_first = o_last = _order_struct(order_by)
-    aggs = [F.min_by(F.struct(*[F.col(c) for c in first_cols]), o_first).alias("_first"),
-            F.max_by(F.struct(*[F.col(c) for c in last_cols]), o_last).alias("_last")]
-    if keep_order:
-        aggs += [F.min(o_first).alias(ORDER_FIRST), F.max(o_last).alias(ORDER_LAST)]
-    out = df.groupBy(*key).agg(*aggs)
-    cols_out = ([F.col(k) for k in key] + [F.col(f"_first.{c}").alias(c) for c in first_cols]
-                + [F.col(f"_last.{c}").alias(c) for c in last_cols])
+        o_first = o_last = _order_struct(order_by, key)
+    out = df.groupBy(*key).agg(_extreme("min", o_first, first_cols, df).alias("_first"),
+                               _extreme("max", o_last, last_cols, df).alias("_last"))
+    cols_out = ([F.col(k) for k in key] + [F.col(f"_first.p.{c}").alias(c) for c in first_cols]
+                + [F.col(f"_last.p.{c}").alias(c) for c in last_cols])
     if keep_order:
-        cols_out += [F.col(ORDER_FIRST), F.col(ORDER_LAST)]
+        cols_out += [F.col("_first.o").alias(ORDER_FIRST), F.col("_last.o").alias(ORDER_LAST)]
     return out.select(*cols_out)
 
 

@@ -60,7 +60,7 @@ def test_hot_key_collapses_map_side(spark):
                                      F.col("id").alias("o"), F.col("id").cast("string").alias("attr"))
     out = dedupe.keep_first(df, "k", ["o"], cols=["attr"])
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan
+    assert "partial_min(" in plan   # map-side partial aggregate before the exchange
     assert out.where("k = 0").first().attr == "0"
 
 
@@ -79,3 +79,9 @@ def test_merge_batches_equals_unsplit(spark):
         t = dedupe.merge_into(t, [b3], "k", mode, ["o"], cols=["attr", "level"], first_batch_no=2)
         assert (_rows(dedupe.drop_merge_columns(t), ["k", "attr", "level"])
                 == _rows(fn(df, "k", ["o"], cols=["attr", "level"]), ["k", "attr", "level"]))
+
+
+def test_map_payload_falls_back_to_min_by(spark):
+    df = spark.createDataFrame([(1, {"a": 1}, 2), (1, {"b": 2}, 1)], "k long, m map<string,int>, o long")
+    assert dedupe.keep_first(df, "k", ["o"], cols=["m"]).first().m == {"b": 2}
+    assert dedupe.last_write_wins(df, "k", ["o"], cols=["m"]).first().m == {"a": 1}
