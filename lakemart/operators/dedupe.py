@@ -32,10 +32,13 @@ def _names(cols) -> list[str]:
 
 
 def _order_struct(order_by: Sequence, skip: Sequence[str] = ()) -> Column:
-    """The order as one struct. Key columns are left out: they are constant within a group."""
+    """The order as one struct. Key columns are left out: they are constant within a group (an
+    order made only of key columns becomes a constant, and ties go to the smallest payload)."""
+    if not order_by:
+        raise ValueError("order_by must name at least one column (a total order)")
     cols = [F.col(c) if isinstance(c, str) else c for c in order_by if not (isinstance(c, str) and c in skip)]
     if not cols:
-        raise ValueError("order_by must name at least one non-key column (a total order)")
+        cols = [F.lit(0)]
     return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(cols)])
 
 
