@@ -242,6 +242,19 @@ def layout_clustered(spark, sf):
     return readers.read_parquet(spark, path).select(*li.columns)
 
 
+@query("layout_bucketed", LINEITEM_SQL)
+def layout_bucketed(spark, sf):
+    """lineitem as a table bucketed and sorted by l_orderkey (later joins / aggregates on the key
+    read it without a shuffle)."""
+    import uuid
+    path = scratch_path(spark, "lineitem-bucketed")
+    name = f"lm_lineitem_bucketed_{uuid.uuid4().hex[:8]}"
+    li = _t(spark, sf, "lineitem")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sinks.write_bucketed_table(li, name, ["l_orderkey"], n, path, ["l_orderkey", "l_linenumber"])
+    return spark.table(name).select(*li.columns)
+
+
 TEMP_VIEW_SQL = """
 SELECT l.l_orderkey, l.l_linenumber, p.p_name, s.s_name
 FROM {li} l JOIN {p} p ON l.l_partkey = p.p_partkey JOIN {s} s ON l.l_suppkey = s.s_suppkey"""

@@ -89,3 +89,13 @@ def test_load_with_stats(spark, tmp_dir):
     df = spark.range(0, 42)
     stats = sinks.load_with_stats(spark, {"t": (df, os.path.join(tmp_dir, "t"))}).first()
     assert (stats.table_name, stats.n_rows) == ("t", 42)
+
+
+def test_bucketed_table_aggregates_without_shuffle(spark, tmp_dir):
+    df = spark.range(0, 2000).select((F.col("id") % 97).alias("k"), F.col("id").alias("v"))
+    sinks.write_bucketed_table(df, "lm_test_bucketed", ["k"], 8, os.path.join(tmp_dir, "b"))
+    t = spark.table("lm_test_bucketed")
+    agg = t.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    plan = agg._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert agg.count() == 97 and agg.agg(F.sum("n")).first()[0] == 2000
