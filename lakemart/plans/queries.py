@@ -863,6 +863,6 @@ def stream_merge_users(spark, sf):
                                        F.to_date("ts").alias("day"))
     sinks.write_json_lines(e.hint("rebalance", "day"), src, partition_by=["day"])
     q = stream_merge(spark, src, EVENTS_STREAM, target, ckpt, "user_id", "first_attrs_last_status", ["ts_ms"],
-                     first_cols=["props"], last_cols=["event_type"], max_files_per_trigger=8)
+                     first_cols=["props"], last_cols=["event_type"], max_files_per_trigger=8, buckets=4)
     q.awaitTermination()
     return current_version(spark, target)

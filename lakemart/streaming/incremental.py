@@ -3,14 +3,18 @@
 A file-source stream picks up new files under the log folder; each micro-batch is merged into
 the stored table with one of the keyed semantics (``lakemart.operators.dedupe.merge_into``).
 
-* State: the table is stored as Parquet partitioned by ``version`` (the micro-batch id). Batch
-  ``n`` reads version ``n-1``, merges its rows and writes version ``n``. A re-run of a batch
-  after a failure overwrites the same version with the same rows, so the sink is idempotent
-  and the stream's checkpoint gives exactly-once results. Old versions can be expired by age.
+* Layout: the stored table is Parquet partitioned by ``bucket`` (a hash of the key, fixed number
+  of buckets) and ``version`` (the micro-batch id that last rewrote the bucket).
+* A batch touches only the buckets of its own keys: it reads the newest version of those
+  buckets (partition pruning), merges the new rows, and writes them as version = batch id. Files
+  being read are never overwritten, other buckets are not rewritten, and a re-run of a batch after
+  a failure overwrites only its own (bucket, version) partitions with the same rows, so together
+  with the stream checkpoint the result is exactly-once. Old versions can be expired by age.
 * Order: rows are merged in event order (``order_by``), not arrival order, so files that arrive
   late or out of order give the same table as one batch load of all files.
-* Scale: each merge is one partial+final aggregate over (stored rows + new rows); nothing is
-  collected to the driver and no group is materialised.
+* Scale: each merge is one partial+final aggregate over (touched stored rows + new rows); the
+  only value brought to the driver per batch is the list of touched buckets, bounded by the
+  bucket count.
 """
 
 from __future__ import annotations
@@ -24,33 +28,61 @@ from pyspark.sql import types as T
 from lakemart.operators import dedupe
 
 VERSION = "version"
+BUCKET = "bucket"
+
+
+def _bucket(key: Sequence[str], buckets: int):
+    return F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(buckets)).cast("int")
+
+
+def _newest(stored: DataFrame) -> DataFrame:
+    """Rows of the newest version of every bucket."""
+    newest = stored.groupBy(BUCKET).agg(F.max(VERSION).alias("_newest"))
+    return (stored.join(F.broadcast(newest), BUCKET)
+            .where(F.col(VERSION) == F.col("_newest")).drop("_newest"))
 
 
 def current_version(spark: SparkSession, target: str) -> DataFrame:
-    """Rows of the newest version of a stored table (without the merge columns)."""
-    stored = spark.read.parquet(target)
-    newest = stored.agg(F.max(VERSION).alias("v")).first()["v"]
-    return dedupe.drop_merge_columns(stored.where(F.col(VERSION) == F.lit(newest)).drop(VERSION))
+    """The stored table as of the last batch (without the merge and layout columns).
+
+    The per-bucket version table has one row per bucket, so broadcasting it is bounded by the
+    bucket count."""
+    return dedupe.drop_merge_columns(_newest(spark.read.parquet(target)).drop(VERSION, BUCKET))
 
 
 def stream_merge(spark: SparkSession, source_dir: str, schema: T.StructType, target: str, checkpoint: str,
                  key, mode: str, order_by: Sequence[str], first_cols=None, last_cols=None, cols=None,
                  prepare: Callable[[DataFrame], DataFrame] | None = None, fmt: str = "json",
-                 max_files_per_trigger: int | None = None, available_now: bool = True):
-    """Start the stream; returns the ``StreamingQuery`` (call ``awaitTermination()``)."""
+                 max_files_per_trigger: int | None = None, available_now: bool = True, buckets: int = 64):
+    """Start the stream; returns the ``StreamingQuery`` (call ``awaitTermination()``).
+
+    Size ``buckets`` to the stored table (about its size / 128 MB): a batch rewrites whole
+    buckets, so fewer, larger buckets suit small tables and more buckets large ones."""
+    key = [key] if isinstance(key, str) else list(key)
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     source = reader.format(fmt).load(source_dir)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = prepare(batch) if prepare else batch
+        rows = (prepare(batch) if prepare else batch).withColumn(BUCKET, _bucket(key, buckets))
+        touched = [r[BUCKET] for r in rows.select(BUCKET).distinct().collect()]   # <= buckets values
+        if not touched:
+            return
         previous = None
         if batch_id > 0:
-            previous = spark.read.parquet(f"{target}/{VERSION}={batch_id - 1}")
-        merged = dedupe.merge_into(previous, [rows], key, mode, order_by, first_cols=first_cols,
+            try:
+                stored = spark.read.parquet(target)
+            except Exception:  # noqa: BLE001  (no version written yet)
+                stored = None
+            if stored is not None:
+                stored = stored.where(F.col(BUCKET).isin(touched) & (F.col(VERSION) < F.lit(batch_id)))
+                previous = _newest(stored).drop(VERSION)
+        merged = dedupe.merge_into(previous, [rows.drop(BUCKET)], key, mode, order_by, first_cols=first_cols,
                                    last_cols=last_cols, cols=cols, batch_order=False)
-        merged.write.mode("overwrite").parquet(f"{target}/{VERSION}={batch_id}")
+        out = merged.withColumn(BUCKET, _bucket(key, buckets)).withColumn(VERSION, F.lit(batch_id))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BUCKET, VERSION).parquet(target))
 
     writer = source.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

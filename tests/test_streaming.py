@@ -26,6 +26,17 @@ def test_stream_merge_is_independent_of_arrival_order(spark, tmp_dir):
     whole = dedupe.first_attrs_last_status(spark.createDataFrame(rows, SCHEMA), "k", ["attr"], ["level"], ["o"])
     assert got == sorted(tuple(r) for r in whole.select("k", "attr", "level").collect())
     assert spark.read.parquet(target).select("version").distinct().count() == 3   # one version per file
+    # a late file that only touches key 0 rewrites only key 0's bucket
+    late = [{"k": 0, "attr": "late", "level": "gold", "o": 100}]
+    write_json_lines(os.path.join(src, "part-9.json"), late)
+    stream_merge(spark, src, SCHEMA, target, ckpt, "k", "first_attrs_last_status", ["o"],
+                 first_cols=["attr"], last_cols=["level"]).awaitTermination()
+    stored = spark.read.parquet(target)
+    assert stored.where("version = 3").select("bucket").distinct().count() == 1
+    now = {r.k: (r.attr, r.level) for r in current_version(spark, target).collect()}
+    assert now[0] == (dict((k, a) for k, a, _ in got)[0], "gold")
+    assert all(now[k] == (a, lv) for k, a, lv in got if k != 0)
+    got = sorted((k, *now[k]) for k in now)
     # a second run finds no new files and leaves the table as it is
     stream_merge(spark, src, SCHEMA, target, ckpt, "k", "first_attrs_last_status", ["o"],
                  first_cols=["attr"], last_cols=["level"]).awaitTermination()
