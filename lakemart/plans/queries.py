@@ -262,9 +262,11 @@ FROM {li} l JOIN {p} p ON l.l_partkey = p.p_partkey JOIN {s} s ON l.l_suppkey =
 
 @query("temp_view_join", TEMP_VIEW_SQL.format(li="lineitem", p="part", s="supplier"))
 def temp_view_join(spark, sf):
+    import uuid
+    tag = uuid.uuid4().hex[:8]
     names = {}
     for t in ("lineitem", "part", "supplier"):
-        names[t] = f"lm_{t}"
+        names[t] = f"lm_{t}_{tag}"
         sinks.register_view(_t(spark, sf, t), names[t])
     return spark.sql(TEMP_VIEW_SQL.format(li=names["lineitem"], p=names["part"], s=names["supplier"]))
 
@@ -421,9 +423,11 @@ def fk_violations(spark, sf):
 SELECT p_partkey, p_name, p_brand, p_retailprice FROM part
 WHERE p_name = 'blue bolt' AND p_brand = 'Brand#4' AND p_retailprice = 900.2""")
 def param_lookup(spark, sf):
-    sinks.register_view(_t(spark, sf, "part"), "lm_part_lookup")
+    import uuid
+    view = f"lm_part_lookup_{uuid.uuid4().hex[:8]}"
+    sinks.register_view(_t(spark, sf, "part"), view)
     return lookup.param_lookup(
-        spark, "SELECT p_partkey, p_name, p_brand, p_retailprice FROM lm_part_lookup "
+        spark, f"SELECT p_partkey, p_name, p_brand, p_retailprice FROM {view} "
                "WHERE p_name = :title AND p_brand = :artist AND p_retailprice = :duration",
         title="blue bolt", artist="Brand#4", duration=900.2)
 
