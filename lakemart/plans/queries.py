@@ -847,7 +847,14 @@ UNION ALL SELECT 'songplays', (SELECT count(*) FROM plays), 0, 0,
 def star_schema_summary(spark, sf):
     tables = star.star_schema(roles.log_rows(spark, sf), roles.part_as_songs(spark, sf), LOG_ORDER, ["_order"],
                               roles.LISTEN_PAGE_LOG)
-    return star.star_checks(tables)
+    # each table is written once to shared storage and the checks read the written tables,
+    # instead of re-deriving every table for every check
+    written = {}
+    for name, df in tables.items():
+        path = scratch_path(spark, f"star-{name}")
+        sinks.write_parquet(df, path, "overwrite")
+        written[name] = spark.read.parquet(path)
+    return star.star_checks(written)
 
 
 # ============================================================== streaming
