@@ -666,6 +666,18 @@ def point_lookup(spark, sf):
     return project.key_lookup(_item_table(spark, sf), sessionId=POINT_SESSION, itemInSession=POINT_ITEM)
 
 
+@query("point_lookup_bucketed",
+       f"SELECT * FROM ({ITEM_SQL}) t WHERE sessionId = {POINT_SESSION} AND itemInSession = {POINT_ITEM}")
+def point_lookup_bucketed(spark, sf):
+    """The item lookup table stored bucketed by its partition key; the lookup reads one bucket."""
+    import uuid
+    name = f"lm_item_lookup_{uuid.uuid4().hex[:8]}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sinks.write_bucketed_table(_item_table(spark, sf), name, ["sessionId"], n, scratch_path(spark, "item-bucketed"),
+                               ["sessionId", "itemInSession"])
+    return project.key_lookup(spark.table(name), sessionId=POINT_SESSION, itemInSession=POINT_ITEM)
+
+
 @query("slice_lookup", f"""
 SELECT * FROM ({SESSION_SQL}) t WHERE userId = {SLICE_USER} AND sessionId = {SLICE_SESSION} ORDER BY itemInSession""")
 def slice_lookup(spark, sf):

@@ -94,3 +94,20 @@ def test_star_upsert_takes_first_record_per_song_file(spark, tmp_dir):
     t = jobs.star_upsert(spark, songs, logs, os.path.join(tmp_dir, "out2"))
     ids = {r.song_id for r in t["songs"].collect()}
     assert "SOSECONDLINE" not in ids and "SOUPIRU12A6D4FA1E1" in ids
+
+
+def test_lookup_tables_bucketed_prune_to_one_bucket(spark, tmp_dir):
+    src = _csv_tree(tmp_dir)
+    t = jobs.lookup_tables(spark, src, os.path.join(tmp_dir, "outb"), buckets=4)
+    # the planner turns the bucketed scan off when no join/aggregate needs it (files are still
+    # pruned by bucket id); with it on, the plan reports the pruning
+    key = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "false")
+        q = key_lookup(t["song_playlist_artists"], sessionId=954, itemInSession=53)
+        plan = q._jdf.queryExecution().executedPlan().toString()
+        assert "SelectedBucketsCount: 1 out of 4" in plan
+        assert [r.artist for r in q.collect()] == ["Sydney Youngblood"]
+    finally:
+        spark.conf.set(key, old)
