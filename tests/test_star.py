@@ -73,3 +73,13 @@ def test_two_key_and_title_joins(spark, tmp_dir):
     assert len(two) == 5   # Gang Starr once, Kajagoogoo twice x two catalogue copies
     title = star.songplays_title(log, songs, songs.select("artist_id"))
     assert title.count() == 5
+
+
+def test_null_defaults_of_insert_select_builders(spark):
+    ss = spark.createDataFrame([(None, None, "loc", "1.5", "2.5", None, "T", "100.0", 2000),
+                                ("AR1", "Name", "", None, None, "S1", "T2", "1.0", 0)],
+                               schemas.STAGING_SONGS)
+    a = {r.artist_id: r for r in star.artists_default(ss).collect()}
+    assert a["0"].artist_name == "N/A" and a["0"].latitude == "1.5" and a["0"].longitude == "2.5"
+    assert a["AR1"].artist_name == "Name"
+    assert sorted(r.song_id for r in star.songs_default(ss).collect()) == ["0", "S1"]
