@@ -76,8 +76,10 @@ def test_two_key_and_title_joins(spark, tmp_dir):
 
 
 def test_null_defaults_of_insert_select_builders(spark):
-    ss = spark.createDataFrame([(None, None, "loc", "1.5", "2.5", None, "T", "100.0", 2000),
-                                ("AR1", "Name", "", None, None, "S1", "T2", "1.0", 0)],
+    # num_songs, artist_id, artist_latitude, artist_longitude, artist_location, artist_name,
+    # song_id, title, duration, year
+    ss = spark.createDataFrame([(1, None, "1.5", "2.5", "loc", None, None, "T", "100.0", 2000),
+                                (1, "AR1", None, None, "", "Name", "S1", "T2", "1.0", 0)],
                                schemas.STAGING_SONGS)
     a = {r.artist_id: r for r in star.artists_default(ss).collect()}
     assert a["0"].artist_name == "N/A" and a["0"].latitude == "1.5" and a["0"].longitude == "2.5"
