@@ -65,24 +65,28 @@ def stream_merge(spark: SparkSession, source_dir: str, schema: T.StructType, tar
     source = reader.format(fmt).load(source_dir)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = (prepare(batch) if prepare else batch).withColumn(BUCKET, _bucket(key, buckets))
-        touched = [r[BUCKET] for r in rows.select(BUCKET).distinct().collect()]   # <= buckets values
-        if not touched:
-            return
-        previous = None
-        if batch_id > 0:
-            try:
-                stored = spark.read.parquet(target)
-            except Exception:  # noqa: BLE001  (no version written yet)
-                stored = None
-            if stored is not None:
-                stored = stored.where(F.col(BUCKET).isin(touched) & (F.col(VERSION) < F.lit(batch_id)))
-                previous = _newest(stored).drop(VERSION)
-        merged = dedupe.merge_into(previous, [rows.drop(BUCKET)], key, mode, order_by, first_cols=first_cols,
-                                   last_cols=last_cols, cols=cols, batch_order=False)
-        out = merged.withColumn(BUCKET, _bucket(key, buckets)).withColumn(VERSION, F.lit(batch_id))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET, VERSION).parquet(target))
+        # two actions run on the batch (touched buckets, then the merge): read its files once
+        rows = (prepare(batch) if prepare else batch).withColumn(BUCKET, _bucket(key, buckets)).persist()
+        try:
+            touched = [r[BUCKET] for r in rows.select(BUCKET).distinct().collect()]   # <= buckets values
+            if not touched:
+                return
+            previous = None
+            if batch_id > 0:
+                try:
+                    stored = spark.read.parquet(target)
+                except Exception:  # noqa: BLE001  (no version written yet)
+                    stored = None
+                if stored is not None:
+                    stored = stored.where(F.col(BUCKET).isin(touched) & (F.col(VERSION) < F.lit(batch_id)))
+                    previous = _newest(stored).drop(VERSION)
+            merged = dedupe.merge_into(previous, [rows.drop(BUCKET)], key, mode, order_by, first_cols=first_cols,
+                                       last_cols=last_cols, cols=cols, batch_order=False)
+            out = merged.withColumn(BUCKET, _bucket(key, buckets)).withColumn(VERSION, F.lit(batch_id))
+            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(BUCKET, VERSION).parquet(target))
+        finally:
+            rows.unpersist()
 
     writer = source.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
