@@ -159,9 +159,12 @@ def main(argv: list[str] | None = None) -> int:
         res = data_lake(spark, a.songs, a.logs, a.out, a.mode)
     else:
         res = JOBS[a.job](spark, a.songs, a.logs, a.out)
-    for name, df in res.items():
-        if name in ("checks", "load_stats"):
-            df.show(truncate=False)
+    reports = [df for name, df in res.items() if name in ("checks", "load_stats")]
+    if not reports:   # rows per written table, counted on the written files
+        for name, df in res.items():
+            print(f"{name}: {df.count()} rows")
+    for df in reports:
+        df.show(truncate=False)
     return 0
 
 
