@@ -99,3 +99,18 @@ def test_bucketed_table_aggregates_without_shuffle(spark, tmp_dir):
     plan = agg._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert agg.count() == 97 and agg.agg(F.sum("n")).first()[0] == 2000
+
+
+def test_staging_load_rejects_bad_values_and_nulls_empty_text(spark, tmp_dir):
+    import pytest
+    schema = T.StructType([T.StructField("userId", T.IntegerType()), T.StructField("ts", T.StringType())])
+    good = os.path.join(tmp_dir, "good")
+    os.makedirs(good)
+    write_json_lines(os.path.join(good, "a.json"), [{"userId": "7", "ts": "1"}, {"userId": "", "ts": "2"}])
+    rows = {r.ts: r.userId for r in readers.load_staging(spark, good, schema).collect()}
+    assert rows == {"1": 7, "2": None}
+    bad = os.path.join(tmp_dir, "bad")
+    os.makedirs(bad)
+    write_json_lines(os.path.join(bad, "b.json"), [{"userId": "seven", "ts": "3"}])
+    with pytest.raises(Exception):
+        readers.load_staging(spark, bad, schema).collect()
