@@ -149,8 +149,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     ap.add_argument("--mode", default="overwrite", choices=("append", "overwrite"), help="data_lake write mode")
     ap.add_argument("--buckets", type=int, default=None, help="lookup_tables: bucket count (bucketed tables)")
-    ap.add_argument("--master", default=None)
+    ap.add_argument("--master", default=None, help="Spark master (default: as given by spark-submit)")
     a = ap.parse_args(argv)
+    if a.job != "lookup_tables" and not a.songs:
+        ap.error(f"{a.job} needs --songs")
     spark = build_session(a.master, f"lakemart-{a.job}")
     ensure_checkpoint_dir(spark)
     if a.job == "lookup_tables":
