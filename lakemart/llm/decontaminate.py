@@ -92,11 +92,10 @@ def _shingle_hits(docs: DataFrame, table: np.ndarray, bits: int, ks: list[int])
                 hits = pa.ListArray.from_arrays(
                     pa.array(cut), pa.StructArray.from_arrays([pa.array((at - w.first[doc]).astype(np.int32)),
                                                                pa.array(key)], names=["pos", "h"]))
-                has = pa.array(np.diff(cut) > 0)
-                part = text.slice(i, n)
+                at_text = pa.array(i + np.arange(n), mask=np.diff(cut) == 0)  # null where there is no hit
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(base + seen + np.arange(n)), ids.slice(i, n), pa.array(np.diff(w.first).astype(np.int64)),
-                     hits, pa.compute.if_else(has, part, pa.scalar(None, part.type)).cast(pa.string())],
+                     hits, text.take(at_text).cast(pa.string())],
                     names=["row", "doc_id", "n_words", "hits", "text"])
                 seen += n
 

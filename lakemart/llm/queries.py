@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lakemart.llm import common as C
-from lakemart.llm import decontaminate
+from lakemart.llm import decontaminate, substring_dedup
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -43,3 +43,24 @@ SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 """
+
+
+@_query
+def op5_substring_dedup(spark, sf_dir):
+    return substring_dedup.dedup(C.read_table(spark, sf_dir, "documents")).drop("kept")
+
+
+ORACLE["op5_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, s, array_to_string(w[s : s + 12], ' ') AS x
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS s FROM d)),
+lo AS (SELECT x, min(doc_id) AS lo FROM win GROUP BY x),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS p FROM win JOIN lo USING (x) WHERE lo < doc_id),
+gl AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1),
+kept AS (SELECT doc_id, string_agg(y, ' ' ORDER BY p) AS t
+         FROM (SELECT doc_id, unnest(w) AS y, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN gone USING (doc_id, p)
+         GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(gl.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN gl USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
