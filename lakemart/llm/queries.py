@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from lakemart.llm import common as C
-from lakemart.llm import decontaminate, substring_dedup
+from lakemart.llm import decontaminate, packing, substring_dedup, token_store
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -64,3 +66,17 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(gl.n, 0) AS BI
        sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN gl USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+
+@_query
+def op9_packing(spark, sf_dir):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(packing.pieces(C.read_table(spark, sf_dir, "documents"), path))
+
+
+@_query
+def op1_token_store(spark, sf_dir):
+    folder = C.scratch_path(spark, "token-store")
+    manifest, freq = token_store.write_store(C.read_table(spark, sf_dir, "documents"), folder,
+                                             public_tokenizers.path("byte_bpe_50k.json"))
+    return token_store.read_store(spark, folder, manifest, freq)
