@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from lakemart.llm import common as C
-from lakemart.llm import decontaminate, packing, substring_dedup, token_store
+from lakemart.llm import decontaminate, packing, substring_dedup, token_store, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -80,3 +80,24 @@ def op1_token_store(spark, sf_dir):
     manifest, freq = token_store.write_store(C.read_table(spark, sf_dir, "documents"), folder,
                                              public_tokenizers.path("byte_bpe_50k.json"))
     return token_store.read_store(spark, folder, manifest, freq)
+
+
+@_query
+def op2_warc(spark, sf_dir):
+    folder = C.scratch_path(spark, "warc")
+    manifest = warc.write_archives(warc.plan_records(C.read_table(spark, sf_dir, "pages")), folder)
+    return warc.summed(warc.read_archives(spark, folder, manifest))
+
+
+ORACLE["op2_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+k AS (SELECT h, max(page_id) AS keeper FROM p GROUP BY h)
+SELECT page_id, CAST(octet_length(encode(t)) AS BIGINT) AS payload_bytes,
+       array_to_string([
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + ((CAST('0x' || substr(h, 1 + 5 * (i // 4), 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31), 1)
+         FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = keeper THEN NULL ELSE keeper END AS refers_to
+FROM p JOIN k USING (h)
+"""

@@ -199,7 +199,7 @@ def write_store(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "doc
             nonlocal out, at, run, held
             if out is None:
                 fs.create_dir(root, recursive=True)
-                out = fs.open_output_stream(f"{root}/{name}")
+                out = fs.open_output_stream(f"{root}/{name}", compression=None)
                 at = out.write(MAGIC + struct.pack("<I", coder.crc)) or len(MAGIC) + 4
             raw = _segment(coder, run)
             out.write(raw)
