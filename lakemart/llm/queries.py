@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from lakemart.llm import common as C
-from lakemart.llm import decontaminate, packing, substring_dedup, token_store, warc
+from lakemart.llm import decontaminate, packing, substring_dedup, token_store, url_filter, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -101,3 +102,59 @@ SELECT page_id, CAST(octet_length(encode(t)) AS BIGINT) AS payload_bytes,
        CASE WHEN page_id = keeper THEN NULL ELSE keeper END AS refers_to
 FROM p JOIN k USING (h)
 """
+
+
+def _list_entries(pages):
+    """Dated entries over the hosts of ``pages``: the tables hold no list, so days follow from the hosts' MD5."""
+    hosts = pages.select(url_filter.host_of(F.col("url")).alias("host")).dropna().distinct()
+    number = lambda c: F.conv(F.substring(F.md5(c), 1, 4), 16, 10).cast("int")
+    base = F.lit("2024-01-01").cast("date")
+
+    def entry(rows, name, verdict, domain, action, days):
+        return rows.select(F.lit(name).alias("list"), F.lit(verdict).alias("verdict"), domain.alias("domain"),
+                           F.date_add(base, days).alias("day"), F.lit(action).alias("action"))
+
+    host, parent = F.col("host"), F.concat_ws(".", F.slice(F.split("host", r"\."), -2, 2))
+    spam = hosts.where(host.rlike("casino|bets|pills|farm|win|track"))
+    domains = hosts.where(F.size(F.split("host", r"\.")) >= 2).select(parent.alias("host")).distinct()
+    some, blogs = domains.where(number(host) % 3 != 0), hosts.where(host.startswith("blog."))
+    first, n = number(host) % 60, number(host) % 200
+    return (entry(spam, "spam", "block", host, "add", first).unionAll(entry(spam, "spam", "block", host, "remove", first + 120))
+            .unionAll(entry(spam, "spam", "block", host, "add", first + 180))
+            .unionAll(entry(some, "rotating", "block", host, "add", n)).unionAll(entry(some, "rotating", "block", host, "remove", n + 45))
+            .unionAll(entry(blogs, "partners", "allow", host, "add", F.lit(60))))
+
+
+@_query
+def op6_url_filter(spark, sf_dir):
+    pages = C.read_table(spark, sf_dir, "pages")
+    captures = pages.select("page_id", "url", F.date_add(F.lit("2024-01-01").cast("date"),
+                                                         (F.col("page_id") % 365).cast("int")).alias("day"))
+    return url_filter.judge(captures, _list_entries(pages)).withColumn("day", F.col("day").cast("string"))
+
+
+ORACLE["op6_url_filter"] = r"""
+WITH cap AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 365 AS INTEGER) AS day,
+         nullif(regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '\.$', ''), '') AS url_host
+  FROM pages),
+host AS (SELECT DISTINCT url_host AS h FROM cap WHERE url_host IS NOT NULL),
+dom AS (SELECT DISTINCT array_to_string(string_split(h, '.')[-2:], '.') AS h FROM host WHERE len(string_split(h, '.')) >= 2),
+hn AS (SELECT h, CAST('0x' || substr(md5(h), 1, 4) AS INTEGER) AS n FROM host),
+dn AS (SELECT h, CAST('0x' || substr(md5(h), 1, 4) AS INTEGER) AS n FROM dom),
+span AS (  -- list, verdict, domain, days [since, until)
+  SELECT 'spam' AS list, 'block' AS verdict, h AS domain, n % 60 AS since, n % 60 + 120 AS until FROM hn
+  WHERE regexp_matches(h, 'casino|bets|pills|farm|win|track')
+  UNION ALL SELECT 'spam', 'block', h, n % 60 + 180, NULL FROM hn WHERE regexp_matches(h, 'casino|bets|pills|farm|win|track')
+  UNION ALL SELECT 'rotating', 'block', h, n % 200, n % 200 + 45 FROM dn WHERE n % 3 <> 0
+  UNION ALL SELECT 'partners', 'allow', h, 60, NULL FROM hn WHERE h LIKE 'blog.%'),
+hit AS (
+  SELECT page_id, count(*) AS n, string_agg(DISTINCT list, ',' ORDER BY list) AS lists,
+         bool_or(verdict = 'block') AND NOT bool_or(verdict = 'allow') AS blocked
+  FROM cap JOIN span ON (url_host = domain OR ends_with(url_host, '.' || domain))
+   AND day >= DATE '2024-01-01' + since AND (until IS NULL OR day < DATE '2024-01-01' + until)
+  GROUP BY page_id)
+SELECT cap.page_id, url, CAST(day AS VARCHAR) AS day, url_host, CAST(coalesce(n, 0) AS BIGINT) AS n_active,
+       coalesce(lists, '') AS active_lists, coalesce(blocked, false) AS blocked
+FROM cap LEFT JOIN hit USING (page_id)
+"""
