@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from lakemart.llm import common as C
-from lakemart.llm import decontaminate, packing, substring_dedup, token_store, url_filter, warc
+from lakemart.llm import decontaminate, packing, quality_rules, substring_dedup, token_store, url_filter, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -158,3 +158,9 @@ SELECT cap.page_id, url, CAST(day AS VARCHAR) AS day, url_host, CAST(coalesce(n,
        coalesce(lists, '') AS active_lists, coalesce(blocked, false) AS blocked
 FROM cap LEFT JOIN hit USING (page_id)
 """
+
+
+@_query
+def op8_quality_rules(spark, sf_dir):
+    docs = C.read_table(spark, sf_dir, "documents")
+    return quality_rules.score(docs, quality_rules.fit(docs, C.read_table(spark, sf_dir, "labels")))
