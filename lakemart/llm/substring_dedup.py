@@ -5,6 +5,7 @@ that share a window share an anchor at the same place in it. Work follows the re
 
 1. Seeds: anchors that stand in two documents at least (one aggregate of the anchors; a bit table of
    fixed size then picks their places in a second pass, false passes only cost time).
+   Texts equal to a smaller document's are set aside first: all their windows are repeats.
 2. Extension both ways, whole: an anchor with its reach (8 words on either side, all windows through
    it) is compared by its hash. If a smaller document has the same reach, every window in it is a repeat.
 3. Extension, part by part: where the reaches of one anchor differ (ends of a repeat, chance seeds),
@@ -66,132 +67,189 @@ def _reach(w: C.Words, at, doc, window: int, k: int):
     return C.mix(out)
 
 
-def _key(h, reach, doc):
-    """One 64-bit key of anchor, reach and document."""
-    return C.mix((h * np.uint64(0x9E3779B97F4A7C15)) ^ (reach + (doc.astype(np.uint64) << np.uint64(1))))
+def _key(reach, doc):
+    """One 64-bit key of a reach in a document."""
+    return C.mix((reach * np.uint64(0x9E3779B97F4A7C15)) ^ (doc.astype(np.uint64) << np.uint64(1)))
 
 
 def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc, text and doc_id, with t32 (32 bits of the text's hash), row (of id and t32) and copy (of id and text)."""
     t = C.column(docs, text)
-    return docs.select(F.coalesce(C.column(docs, doc_id, "long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(t).alias("th"),
-                       t.alias("text"), C.column(docs, doc_id, "long").alias("doc_id"))
+    out = docs.select(F.coalesce(C.column(docs, doc_id, "long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(t).alias("th"),
+                      t.alias("text"), C.column(docs, doc_id, "long").alias("doc_id"))
+    return out.select("*", F.shiftright("th", 32).cast("int").alias("t32"), F.xxhash64("th", "doc").alias("copy")) \
+        .withColumn("row", F.xxhash64("doc", "t32"))
 
 
-def _slices(b):
-    for i, buf, off in C.doc_slices(b.column("text")):
+def _slices(b, firsts, bits):
+    """Words, doc and t32 of runs of texts; texts that are surely not the first of equal ones have no words."""
+    first = C.bit_table(firsts, bits, b.column("copy").to_numpy().view(np.uint64))
+    text = b.column("text").take(pa.array(np.arange(b.num_rows), mask=~first))
+    for i, buf, off in C.doc_slices(text):
         w = C.Words(buf, off, C.ASCII_SPACE, C.SAME)
         n = len(off) - 1
-        yield w, b.column("doc").slice(i, n).to_numpy(), b.column("th").slice(i, n).to_numpy()
+        yield w, b.column("doc").slice(i, n).to_numpy(), b.column("t32").slice(i, n).to_numpy().astype(np.int64)
 
 
 def _batch(names, *arrays):
     return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=names)
 
 
+def _spot(t32, start, size):
+    """t32, start and length (under 32) of a span in one number."""
+    return (t32 << 32) | (start.astype(np.int64) * 32 + size)
+
+
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, anchor: int = ANCHOR,
-            bits: int = BITS) -> DataFrame:
-    """(doc, th, spans): word spans [start, end) of the windows that also start in a smaller document.
+            bits: int = BITS) -> tuple[DataFrame, np.ndarray]:
+    """(doc, t32, spans) of the words in windows that also start in a smaller document, and the bit table of first copies.
 
-    ``th`` is the text's xxhash64; spans are neither united nor in order yet, see ``unite``.
+    A span is start * 32 + length; spans are neither united nor in order, see ``unite``. Texts that are
+    equal to a smaller document's are left out: their bit is not set, and all their windows are repeats.
     """
-    spark = docs.sparkSession
-    src = _texts(docs, doc_id, text).select("doc", "th", "text")
+    sc = docs.sparkSession.sparkContext
+    src = _texts(docs, doc_id, text)
     side = window - anchor
+    equal = src.groupBy("th").agg(F.min("doc").alias("doc")).select(F.xxhash64("th", "doc").alias("copy"))
+    firsts = sc.broadcast(C.set_bits(equal, "copy", bits))
+    src = src.select("doc", "t32", "copy", "text")
 
     def seeds(batches):
         for b in batches:
-            for w, ids, _ in _slices(b):
+            for w, ids, _ in _slices(b, firsts.value, bits):
                 _, h, d = _anchors(w, window, anchor)
-                yield _batch(["h", "doc"], h.view(np.int64), ids[d])
+                yield _batch(["doc", "h"], ids[d], h.view(np.int64))
 
-    found = (src.select("doc", "th", "text").mapInArrow(seeds, "h long, doc long")
+    found = (src.mapInArrow(seeds, "doc long, h long")
              .groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi"))
-    table = spark.sparkContext.broadcast(C.set_bits(found, "h", bits))
+    table = sc.broadcast(C.set_bits(found, "h", bits))
+
+    def placed(b):
+        for w, ids, t32 in _slices(b, firsts.value, bits):
+            at, h, d = _anchors(w, window, anchor)
+            ok = C.bit_table(table.value, bits, h)
+            at, h, d = at[ok], h[ok], d[ok]
+            yield w, at, h, d, _reach(w, at, d, window, anchor), ids[d], t32[d]
 
     def reaches(batches):
         for b in batches:
-            for w, ids, th in _slices(b):
-                at, h, d = _anchors(w, window, anchor)
-                ok = C.bit_table(table.value, bits, h)
-                at, h, d = at[ok], h[ok], d[ok]
-                r = _reach(w, at, d, window, anchor)
-                yield _batch(["h", "reach", "doc", "th", "start", "end"], h.view(np.int64), r.view(np.int64), ids[d], th[d],
-                             (np.maximum(at - side, w.first[d]) - w.first[d]).astype(np.int32),
-                             (np.minimum(at + window, w.first[d + 1]) - w.first[d]).astype(np.int32))
-
-    placed = C.stored(src.mapInArrow(reaches, "h long, reach long, doc long, th long, start int, end int"), "anchor-reaches")
-    least = placed.groupBy("h", "reach").agg(F.min("doc").alias("lo"))
-    whole = placed.join(least, ["h", "reach"]).where("lo < doc").select("doc", "th", "start", "end")
+            for _, _, h, _, r, ids, _ in placed(b):
+                yield _batch(["doc", "reach", "h"], ids, r.view(np.int64), h.view(np.int64))
+
+    def spots(batches):
+        for b in batches:
+            for w, at, _, d, r, ids, t32 in placed(b):
+                s, e = np.maximum(at - side, w.first[d]), np.minimum(at + window, w.first[d + 1])
+                yield _batch(["doc", "reach", "spot"], ids, r.view(np.int64), _spot(t32, s - w.first[d], e - s))
+
+    least = C.stored(src.mapInArrow(reaches, "doc long, reach long, h long")
+                     .groupBy("reach").agg(F.min("doc").alias("lo"), F.min("h").alias("h")), "least-of-reach")
+    whole = (src.mapInArrow(spots, "doc long, reach long, spot long").join(least.select("reach", "lo"), "reach")
+             .where("lo < doc").select("doc", "spot"))
 
     mixed = least.groupBy("h").agg(F.min("lo").alias("a"), F.max("lo").alias("b")).where("a < b").select("h")
-    parts = least.join(mixed, "h")
+    mixed_table = sc.broadcast(C.set_bits(mixed, "h", bits))
 
     def part_keys(batches):
         for b in batches:
-            k = _key(*(b.column(c).to_numpy().view(np.uint64) for c in ("h", "reach", "lo")))
-            yield _batch(["k"], k.view(np.int64))
+            h, r, lo = (b.column(c).to_numpy().view(np.uint64) for c in ("h", "reach", "lo"))
+            ok = C.bit_table(mixed_table.value, bits, h)
+            yield _batch(["k"], _key(r[ok], lo[ok]).view(np.int64))
 
-    part_table = spark.sparkContext.broadcast(
-        C.set_bits(parts.select("h", "reach", "lo").mapInArrow(part_keys, "k long"), "k", bits))
+    parts = sc.broadcast(C.set_bits(least.mapInArrow(part_keys, "k long"), "k", bits))
 
     def windows(batches):
         for b in batches:
-            for w, ids, th in _slices(b):
-                at, h, d = _anchors(w, window, anchor)
-                ok = C.bit_table(table.value, bits, h)
-                at, h, d = at[ok], h[ok], d[ok]
-                r = _reach(w, at, d, window, anchor)
-                ok = C.bit_table(part_table.value, bits, _key(h, r, ids[d].view(np.uint64)))
-                at, d = at[ok], d[ok]
+            for w, at, _, d, r, ids, t32 in placed(b):
+                ok = C.bit_table(parts.value, bits, _key(r, ids))
+                at, d, ids, t32 = at[ok], d[ok], ids[ok], t32[ok]
                 s = (at[:, None] - np.arange(side + 1)[None, :]).ravel()
-                d = np.repeat(d, side + 1)
-                ok = (s >= w.first[d]) & (s + window <= w.first[d + 1])
+                k = np.repeat(np.arange(len(at)), side + 1)
+                ok = (s >= w.first[d[k]]) & (s + window <= w.first[d[k] + 1])
                 s, first = np.unique(s[ok], return_index=True)
-                d = d[ok][first]
+                k = k[ok][first]
                 x = C.kgrams(w.hash, window)[s] if len(s) else np.zeros(0, np.uint64)
-                yield _batch(["x", "doc", "th", "start"], x.view(np.int64), ids[d], th[d], (s - w.first[d]).astype(np.int32))
+                size = np.full(len(s), window)
+                yield _batch(["doc", "x", "spot"], ids[k], x.view(np.int64), _spot(t32[k], s - w.first[d[k]], size))
 
-    cut = C.stored(src.mapInArrow(windows, "x long, doc long, th long, start int"), "part-windows")
-    shared = cut.groupBy("x").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("x", "lo")
-    partly = (cut.join(shared, "x").where("lo < doc")
-              .select("doc", "th", "start", (F.col("start") + window).alias("end")))
-    return (whole.unionAll(partly).groupBy("doc", "th")  # no longer than the document itself
-            .agg(F.collect_list(F.struct("start", "end")).alias("spans")))
+    cut = src.mapInArrow(windows, "doc long, x long, spot long")
+    shared = (cut.select("doc", "x").groupBy("x").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+              .where("lo < hi").select("x", "lo"))
+    partly = cut.join(shared, "x").where("lo < doc").select("doc", "spot")
+    spans = (whole.unionAll(partly).groupBy("doc", F.shiftright("spot", 32).cast("int").alias("t32"))
+             .agg(F.collect_list(F.col("spot").bitwiseAND(F.lit(0xFFFFFFFF))).alias("spans")))  # one document's own
+    return C.stored(spans, "repeat-spans"), firsts
 
 
 def unite(spans) -> np.ndarray:
-    """Maximal spans, in order, of spans that overlap or touch; as an array of [start, end) rows."""
-    a = np.array([(s["start"], s["end"]) for s in spans or ()], dtype=np.int64).reshape(-1, 2)
-    if not len(a):
-        return a
+    """Maximal spans, in order, of spans (start * 32 + length) that overlap or touch; rows [start, end)."""
+    x = np.array(spans if spans is not None else (), dtype=np.int64)
+    if not len(x):
+        return np.zeros((0, 2), np.int64)
+    a = np.stack([x >> 5, (x >> 5) + (x & 31)], axis=1)
     a = a[np.argsort(a[:, 0], kind="stable")]
     reach = np.maximum.accumulate(a[:, 1])
     new = np.flatnonzero(np.concatenate([[True], a[1:, 0] > reach[:-1]]))
     return np.stack([a[new, 0], reach[np.concatenate([new[1:] - 1, [len(a) - 1]])]], axis=1)
 
 
-def _kept(batches):
-    for b in batches:
-        rows = []
-        for i, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-            w = (text or "").encode().split()
-            rows.append((i, w))
-        out, spans = [], b.column("spans").to_pylist()
-        for (i, w), s in zip(rows, spans, strict=True):
-            u = unite(s)
-            kept = [w] if not len(u) else [w[a:z] for a, z in zip([0, *u[:, 1]], [*u[:, 0], len(w)], strict=True)]
-            body = b" ".join(x for run in kept for x in run)
-            out.append((i, len(w), int((u[:, 1] - u[:, 0]).sum()), hashlib.sha256(body).hexdigest(), body.decode()))
-        cols = list(zip(*out, strict=True)) or [[]] * 5
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                                         names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
+_OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
+
+
+def _kept_rows(rows):
+    """Result rows from (doc_id, text bytes, maximal spans)."""
+    out = []
+    for i, text, u in rows:
+        w = text.split()
+        kept = [w] if not len(u) else [w[a:z] for a, z in zip([0, *u[:, 1]], [*u[:, 0], len(w)], strict=True)]
+        body = b" ".join(x for run in kept for x in run)
+        out.append((i, len(w), int((u[:, 1] - u[:, 0]).sum()), hashlib.sha256(body).hexdigest(), body.decode()))
+    cols = list(zip(*out, strict=True)) or [[]] * 5
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
+                                      names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, anchor: int = ANCHOR,
           bits: int = BITS) -> DataFrame:
-    """Per document: doc_id, n_words, n_removed, kept_sha256 and kept (the words left, one space between them)."""
-    spans = repeats(docs, doc_id, text, window, anchor, bits)
-    both = _texts(docs, doc_id, text).join(spans, ["doc", "th"], "left")
-    return both.select("doc_id", "text", "spans").mapInArrow(
-        _kept, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+    """Per document: doc_id, n_words, n_removed, kept_sha256 and kept (the words left, one space between them).
+
+    Copies, and documents that surely have no span, are finished where they are read; only the
+    others' texts, compressed, meet their spans in a join.
+    """
+    spans, firsts = repeats(docs, doc_id, text, window, anchor, bits)
+    touched = docs.sparkSession.sparkContext.broadcast(C.set_bits(spans.select(F.xxhash64("doc", "t32").alias("row")), "row", bits))
+    src = _texts(docs, doc_id, text).select("doc", "t32", "doc_id", "copy", "row", "text")
+
+    def split(b):
+        first = C.bit_table(firsts.value, bits, b.column("copy").to_numpy().view(np.uint64))
+        return first, first & C.bit_table(touched.value, bits, b.column("row").to_numpy().view(np.uint64))
+
+    def here(batches):
+        none = np.zeros((0, 2), np.int64)
+        for b in batches:
+            first, later = split(b)
+            p = b.take(pa.array(np.flatnonzero(~later)))
+            rows = []
+            for i, text, f in zip(p.column("doc_id").to_pylist(), p.column("text").to_pylist(), first[~later], strict=True):
+                text = (text or "").encode()
+                n = 0 if f else len(text.split())
+                rows.append((i, text, none if n < window else np.array([[0, n]])))
+            yield _kept_rows(rows)
+
+    def packed(batches):
+        for b in batches:
+            p = b.take(pa.array(np.flatnonzero(split(b)[1])))
+            z = [pa.compress((t or "").encode(), "zstd", asbytes=True) for t in p.column("text").to_pylist()]
+            size = [len((t or "").encode()) for t in p.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([p.column("doc"), p.column("t32"), p.column("doc_id"), pa.array(z, pa.binary()),
+                                              pa.array(size, pa.int64())], names=["doc", "t32", "doc_id", "z", "size"])
+
+    def joined(batches):
+        for b in batches:
+            cols = (b.column(c).to_pylist() for c in ("doc_id", "z", "size", "spans"))
+            yield _kept_rows([(i, pa.decompress(z, n, "zstd", asbytes=True) if n else b"", unite(s))
+                              for i, z, n, s in zip(*cols, strict=True)])
+
+    moved = src.mapInArrow(packed, "doc long, t32 int, doc_id long, z binary, size long").join(spans, ["doc", "t32"], "left")
+    return src.mapInArrow(here, _OUT).unionAll(moved.select("doc_id", "z", "size", "spans").mapInArrow(joined, _OUT))
