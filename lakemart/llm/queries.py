@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from lakemart.llm import common as C
-from lakemart.llm import decontaminate, packing, quality_rules, substring_dedup, token_store, url_filter, warc
+from lakemart.llm import decontaminate, jaccard_join, packing, quality_rules, substring_dedup, token_store, url_filter, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -164,3 +164,23 @@ FROM cap LEFT JOIN hit USING (page_id)
 def op8_quality_rules(spark, sf_dir):
     docs = C.read_table(spark, sf_dir, "documents")
     return quality_rules.score(docs, quality_rules.fit(docs, C.read_table(spark, sf_dir, "labels")))
+
+
+@_query
+def op4_jaccard_join(spark, sf_dir):
+    return jaccard_join.near_duplicates(C.read_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op4_jaccard_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS x
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS same FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT u, v FROM pair JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * same >= 80 * (a.n + b.n - same)),
+r AS (SELECT doc_id AS node, doc_id AS part FROM d UNION SELECT v, part FROM r JOIN link ON node = u WHERE part < v)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(part) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN r ON r.node = d.doc_id GROUP BY 1, 2
+"""
