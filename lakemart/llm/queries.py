@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from lakemart.llm import common as C
-from lakemart.llm import decontaminate, jaccard_join, packing, quality_rules, substring_dedup, token_store, url_filter, warc
+from lakemart.llm import decontaminate, html_text, jaccard_join, packing, quality_rules, substring_dedup, token_store, url_filter, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -184,3 +184,8 @@ r AS (SELECT doc_id AS node, doc_id AS part FROM d UNION SELECT v, part FROM r J
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(part) AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN r ON r.node = d.doc_id GROUP BY 1, 2
 """
+
+
+@_query
+def op3_html_text(spark, sf_dir):
+    return html_text.extract(C.read_table(spark, sf_dir, "pages"))
