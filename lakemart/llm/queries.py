@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from lakemart.llm import common as C
-from lakemart.llm import decontaminate, html_text, jaccard_join, packing, quality_rules, substring_dedup, token_store, url_filter, warc
+from lakemart.llm import decontaminate, html_text, jaccard_join, packing, perplexity, quality_rules, substring_dedup, token_store, url_filter, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -189,3 +189,8 @@ FROM d LEFT JOIN n USING (doc_id) JOIN r ON r.node = d.doc_id GROUP BY 1, 2
 @_query
 def op3_html_text(spark, sf_dir):
     return html_text.extract(C.read_table(spark, sf_dir, "pages"))
+
+
+@_query
+def op7_perplexity(spark, sf_dir):
+    return perplexity.classify(C.read_table(spark, sf_dir, "documents"), C.read_table(spark, sf_dir, "labels"))
