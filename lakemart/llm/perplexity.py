@@ -111,44 +111,56 @@ def model(texts: DataFrame) -> np.ndarray | None:
     return -np.log2(p).astype(np.float32)
 
 
-def _scores(docs: DataFrame, bits: np.ndarray, doc_id: str, text: str, lang: str) -> DataFrame:
+def _scored(docs: DataFrame, bits: np.ndarray, text: str) -> DataFrame:
+    """``docs`` as rest (a struct of its columns) with n_bytes and bits of the text."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
+    rows = docs.select(F.struct(*[C.column(docs, c) for c in docs.columns]).alias("rest"))
 
     def run(batches):
         for b in batches:
-            for i, buf, off in C.doc_slices(b.column("text")):
+            rest = b.column("rest")
+            for i, buf, off in C.doc_slices(rest.field(text)):
                 n, total = np.diff(off), np.zeros(len(off) - 1)
                 at = np.flatnonzero(n)
                 if len(at):
                     total[at] = np.add.reduceat(shared.value[grams(buf, off)].astype(np.float64), off[:-1][at])
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(i, len(n)), b.column("lang").slice(i, len(n)), pa.array(n), pa.array(total)],
-                    names=["doc_id", "lang", "n_bytes", "bits"])
+                yield pa.RecordBatch.from_arrays([rest.slice(i, len(n)), pa.array(n), pa.array(total)],
+                                                 names=["rest", "n_bytes", "bits"])
 
-    return docs.select(C.column(docs, doc_id, "long").alias("doc_id"), C.column(docs, lang, "string").alias("lang"),
-                       C.column(docs, text).alias("text")).mapInArrow(
-        run, "doc_id long, lang string, n_bytes long, bits double")
+    return rows.mapInArrow(run, f"rest {rows.schema['rest'].dataType.simpleString()}, n_bytes long, bits double")
 
 
-def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-             quantile: float = QUANTILE, margin: float = MARGIN, prior: float = PRIOR,
-             least_trusted: int = LEAST_TRUSTED) -> DataFrame:
-    """Per document: doc_id, lang, n_bytes, perplexity (a byte), score, score_limit and kept."""
-    ids = trusted_ids(labels)
-    rows = docs.select(C.column(docs, doc_id, "long").alias("doc_id"), C.column(docs, text).alias("text"))
-    bits = model(rows.join(ids, "doc_id", "left_semi").select("text"))
-    if bits is None:
-        bits = np.zeros(1 << (BITS * ORDER), np.float32)
-    scored = C.stored(_scores(docs, bits, doc_id, text, lang), "text-bits")
+def _limits(scored: DataFrame, ids: DataFrame, quantile: float, margin: float, prior: float, least: int):
+    """Score column, limits by language (lang, own) and the limit of all; ``scored`` has doc_id, lang, n_bytes, bits."""
     trusted = scored.where("n_bytes > 0").join(ids, "doc_id", "left_semi")
     mean = trusted.agg((F.sum("bits") / F.sum("n_bytes")).alias("m")).first()["m"] or 0.0
     score = (F.col("bits") + F.lit(mean * prior)) / (F.col("n_bytes") + F.lit(prior))
     limit = F.percentile_approx(score, F.lit(quantile), F.lit(10000)) + F.lit(margin)
     own = (trusted.groupBy("lang").agg(limit.alias("own"), F.count(F.lit(1)).alias("k"))
-           .where((F.col("k") >= least_trusted) & F.col("lang").isNotNull()).drop("k"))
+           .where((F.col("k") >= least) & F.col("lang").isNotNull()).drop("k"))
     every = trusted.agg(limit.alias("x")).first()["x"]
+    return score, C.stored(own, "language-limits"), float("inf") if every is None else every
+
+
+def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
+             quantile: float = QUANTILE, margin: float = MARGIN, prior: float = PRIOR,
+             least_trusted: int = LEAST_TRUSTED, keep_rest: bool = False) -> DataFrame:
+    """Per document: doc_id, lang, n_bytes, perplexity (a byte), score, score_limit and kept; with ``keep_rest`` also
+    rest (a struct of all columns), for which the texts are scored a second time rather than joined."""
+    ids = trusted_ids(labels)
+    rows = docs.select(C.column(docs, doc_id, "long").alias("doc_id"), C.column(docs, lang, "string").alias("lang"),
+                       C.column(docs, text).alias("text"))
+    bits = model(rows.join(ids, "doc_id", "left_semi").select("text"))
+    if bits is None:
+        bits = np.zeros(1 << (BITS * ORDER), np.float32)
+    scored = C.stored(_scored(rows, bits, "text").select("rest.doc_id", "rest.lang", "n_bytes", "bits"), "text-bits")
+    score, own, every = _limits(scored, ids, quantile, margin, prior, least_trusted)
+    if keep_rest:
+        scored = _scored(docs, bits, text).select(F.col("rest")[doc_id].cast("long").alias("doc_id"),
+                                                  F.col("rest")[lang].alias("lang"), "n_bytes", "bits", "rest")
     out = scored.join(own, "lang", "left").withColumn("score", score).withColumn(
-        "score_limit", F.coalesce("own", F.lit(every).cast("double"), F.lit(float("inf"))))
+        "score_limit", F.coalesce("own", F.lit(every)))
     perplexity = F.when(F.col("n_bytes") > 0, F.pow(F.lit(2.0), F.col("bits") / F.col("n_bytes")))
     return out.select("doc_id", "lang", "n_bytes", perplexity.alias("perplexity"), "score", "score_limit",
-                      ((F.col("n_bytes") == 0) | (F.col("score") <= F.col("score_limit"))).alias("kept"))
+                      ((F.col("n_bytes") == 0) | (F.col("score") <= F.col("score_limit"))).alias("kept"),
+                      *["rest"] * keep_rest)

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import public_tokenizers
+
+import corpus_pipeline
 from pyspark.sql import functions as F
 
 from lakemart.llm import common as C
 from lakemart.llm import decontaminate, html_text, jaccard_join, packing, perplexity, quality_rules, substring_dedup, token_store, url_filter, warc
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+QUERIES: dict = {"pipeline": corpus_pipeline.run}
+ORACLE: dict[str, str] = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
 
 
 def _query(fn):

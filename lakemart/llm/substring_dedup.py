@@ -73,10 +73,12 @@ def _key(reach, doc):
 
 
 def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc, text and doc_id, with t32 (32 bits of the text's hash), row (of id and t32) and copy (of id and text)."""
+    """doc, text, doc_id and rest (all columns but the text), with t32 (32 bits of the text's hash), row (of id and
+    t32) and copy (of id and text)."""
     t = C.column(docs, text)
     out = docs.select(F.coalesce(C.column(docs, doc_id, "long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(t).alias("th"),
-                      t.alias("text"), C.column(docs, doc_id, "long").alias("doc_id"))
+                      t.alias("text"), C.column(docs, doc_id, "long").alias("doc_id"),
+                      F.struct(*[C.column(docs, c) for c in docs.columns if c != text]).alias("rest"))
     return out.select("*", F.shiftright("th", 32).cast("int").alias("t32"), F.xxhash64("th", "doc").alias("copy")) \
         .withColumn("row", F.xxhash64("doc", "t32"))
 
@@ -211,15 +213,22 @@ def _kept_rows(rows):
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, anchor: int = ANCHOR,
-          bits: int = BITS) -> DataFrame:
-    """Per document: doc_id, n_words, n_removed, kept_sha256 and kept (the words left, one space between them).
+          bits: int = BITS, keep_rest: bool = False) -> DataFrame:
+    """Per document: doc_id, n_words, n_removed, kept_sha256 and kept (the words left, one space between them); with
+    ``keep_rest`` also text (as it was) and rest (a struct of the other columns).
 
     Copies, and documents that surely have no span, are finished where they are read; only the
     others' texts, compressed, meet their spans in a join.
     """
     spans, firsts = repeats(docs, doc_id, text, window, anchor, bits)
     touched = docs.sparkSession.sparkContext.broadcast(C.set_bits(spans.select(F.xxhash64("doc", "t32").alias("row")), "row", bits))
-    src = _texts(docs, doc_id, text).select("doc", "t32", "doc_id", "copy", "row", "text")
+    src = _texts(docs, doc_id, text)
+    extra = ["text", "rest"] if keep_rest else []
+    rest = f", text string, rest {src.schema['rest'].dataType.simpleString()}" if keep_rest else ""
+    src = src.select("doc", "t32", "doc_id", "copy", "row", "text", *extra[1:])
+
+    def add(made, b):
+        return pa.RecordBatch.from_arrays([*made.columns, *(b.column(c) for c in extra)], names=[*made.schema.names, *extra])
 
     def split(b):
         first = C.bit_table(firsts.value, bits, b.column("copy").to_numpy().view(np.uint64))
@@ -235,21 +244,30 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
                 text = (text or "").encode()
                 n = 0 if f else len(text.split())
                 rows.append((i, text, none if n < window else np.array([[0, n]])))
-            yield _kept_rows(rows)
+            yield add(_kept_rows(rows), p)
 
     def packed(batches):
         for b in batches:
             p = b.take(pa.array(np.flatnonzero(split(b)[1])))
             z = [pa.compress((t or "").encode(), "zstd", asbytes=True) for t in p.column("text").to_pylist()]
             size = [len((t or "").encode()) for t in p.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([p.column("doc"), p.column("t32"), p.column("doc_id"), pa.array(z, pa.binary()),
-                                              pa.array(size, pa.int64())], names=["doc", "t32", "doc_id", "z", "size"])
+            yield pa.RecordBatch.from_arrays(
+                [p.column("doc"), p.column("t32"), p.column("doc_id"), pa.array(z, pa.binary()), pa.array(size, pa.int64()),
+                 *(p.column(c) for c in extra[1:])], names=["doc", "t32", "doc_id", "z", "size", *extra[1:]])
 
     def joined(batches):
         for b in batches:
             cols = (b.column(c).to_pylist() for c in ("doc_id", "z", "size", "spans"))
-            yield _kept_rows([(i, pa.decompress(z, n, "zstd", asbytes=True) if n else b"", unite(s))
-                              for i, z, n, s in zip(*cols, strict=True)])
-
-    moved = src.mapInArrow(packed, "doc long, t32 int, doc_id long, z binary, size long").join(spans, ["doc", "t32"], "left")
-    return src.mapInArrow(here, _OUT).unionAll(moved.select("doc_id", "z", "size", "spans").mapInArrow(joined, _OUT))
+            rows = [(i, pa.decompress(z, n, "zstd", asbytes=True) if n else b"", unite(s))
+                    for i, z, n, s in zip(*cols, strict=True)]
+            made = _kept_rows(rows)
+            if extra:
+                made = pa.RecordBatch.from_arrays(
+                    [*made.columns, pa.array([x.decode() for _, x, _ in rows], pa.string()), b.column("rest")],
+                    names=[*made.schema.names, *extra])
+            yield made
+
+    sent = "doc long, t32 int, doc_id long, z binary, size long" + rest.removeprefix(", text string")
+    moved = src.mapInArrow(packed, sent).join(spans, ["doc", "t32"], "left")
+    return src.mapInArrow(here, _OUT + rest).unionAll(
+        moved.select("doc_id", "z", "size", "spans", *extra[1:]).mapInArrow(joined, _OUT + rest))
