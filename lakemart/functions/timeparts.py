@@ -6,7 +6,7 @@ parts whatever the session time zone is (the source data are UTC epoch milliseco
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 def _epoch() -> Column:
@@ -81,8 +81,3 @@ def time_parts(ts, base: str = "mon0", prefix: str = "") -> list[Column]:
         F.year(ts).alias(f"{prefix}year"),
         weekday(ts, base).cast("int").alias(f"{prefix}weekday"),
     ]
-
-
-def with_time_parts(df: DataFrame, ts_col: str, base: str = "mon0") -> DataFrame:
-    return df.select("*", *time_parts(ts_col, base))
-

@@ -131,18 +131,29 @@ def _with_batch_order(df: DataFrame, batch_no: int, order_by: Sequence, batch_or
     return df.withColumn(ORDER_FIRST, o).withColumn(ORDER_LAST, o)
 
 
+def stored_batch_no(target: DataFrame) -> int | None:
+    """Largest batch number in a stored result of ``merge_into``; None if it has no rows."""
+    last = ORDER_LAST if ORDER_LAST in target.columns else ORDER_FIRST
+    return target.agg(F.max(F.greatest(F.col(f"{ORDER_FIRST}.b"), F.col(f"{last}.b"))).alias("b")).first()["b"]
+
+
 def merge_into(target: DataFrame | None, batches: Sequence[DataFrame], key, mode: str, order_by: Sequence,
-               first_cols=None, last_cols=None, cols=None, first_batch_no: int = 0,
+               first_cols=None, last_cols=None, cols=None, first_batch_no: int | None = None,
                batch_order: bool = True) -> DataFrame:
     """Merge new batches into stored rows with one of the keyed semantics.
 
     ``target`` is a previous result of ``merge_into`` (it carries the order columns) or None.
-    With ``batch_order`` (arrival order) batches are numbered from ``first_batch_no`` and the
-    batch number decides first, then ``order_by``; without it only ``order_by`` (event order)
+    With ``batch_order`` (arrival order) batches are numbered from ``first_batch_no`` (default: after
+    the largest number stored in ``target``, from 0 without one) and the batch number decides first, then ``order_by``; without it only ``order_by`` (event order)
     decides, so the result does not depend on the order in which batches arrive. The result
     carries ``_order_first``/``_order_last`` so it can be merged again; drop them with
     ``drop_merge_columns`` before publishing.
     """
+    if first_batch_no is None:
+        first_batch_no = 0
+        if target is not None and batch_order:
+            held = stored_batch_no(target)
+            first_batch_no = 0 if held is None else held + 1
     parts = []
     for i, b in enumerate(batches):
         parts.append(_with_batch_order(b, first_batch_no + i, order_by, batch_order))

@@ -5,9 +5,9 @@
 1. range-partition the rows on the (total) order and sort inside each partition; the range
    partitioner samples the full sort key, so even a hot leading value is spread over tasks;
 2. number the rows inside each partition (``monotonically_increasing_id`` minus the partition's
-   base) and checkpoint that to the shared checkpoint folder, which fixes the numbering and cuts
-   the lineage so a lost executor cannot renumber anything;
-3. count rows per partition, turn the counts into running offsets (one row per partition: the
+   base) and write that as Parquet under the shared checkpoint folder, which fixes the numbering and
+   cuts the lineage so a lost executor cannot renumber anything;
+3. count rows per partition (reads one column), turn the counts into running offsets (one row per partition: the
    table is bounded by the partition count, so broadcasting it is safe), and add the offset.
 """
 
@@ -15,17 +15,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakemart.session import ensure_checkpoint_dir
+from lakemart.session import scratch_path
 
 _PID, _POS, _OFF, _CNT = "_pid", "_pos", "_offset", "_cnt"
 
-# Largest position served by a top-(position+1) per task. Every task sends that many rows to
-# one final merge, so the bound keeps that merge small; larger positions number all rows.
-POSITION_TOP_K_LIMIT = 1_000
-
 
 def _range(df: DataFrame, order_by: Sequence[str], num_partitions: int | None) -> DataFrame:
     """Range-partition on the order. Without an explicit count the session's shuffle partition
@@ -36,16 +36,27 @@ def _range(df: DataFrame, order_by: Sequence[str], num_partitions: int | None) -
     return df.repartitionByRange(*order_by)
 
 
-def dense_ids(df: DataFrame, order_by: Sequence[str], id_col: str = "id", start: int = 1,
-              num_partitions: int | None = None) -> DataFrame:
-    """Append ``id_col`` = start, start+1, ... following ``order_by`` (which must be a total order)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    cols = df.columns
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _numbered(df: DataFrame, order_by: Sequence[str], num_partitions: int | None) -> DataFrame:
+    """``df`` with its range partition and its place in it, written once: one exchange of the rows."""
     local = (_range(df, order_by, num_partitions)
              .sortWithinPartitions(*order_by)
              .withColumn(_PID, F.spark_partition_id())
              .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33)))
-    local = local.checkpoint(eager=True)
+    return _stored(local, "numbered")
+
+
+def dense_ids(df: DataFrame, order_by: Sequence[str], id_col: str = "id", start: int = 1,
+              num_partitions: int | None = None) -> DataFrame:
+    """Append ``id_col`` = start, start+1, ... following ``order_by`` (which must be a total order)."""
+    cols = df.columns
+    local = _numbered(df, order_by, num_partitions)
     counts = local.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
     running = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PID, F.coalesce(F.sum(_CNT).over(running), F.lit(0)).alias(_OFF))
@@ -56,32 +67,41 @@ def dense_ids(df: DataFrame, order_by: Sequence[str], id_col: str = "id", start:
 def row_at_position(df: DataFrame, order_by: Sequence[str], position: int) -> DataFrame:
     """The row at 0-based ``position`` of ``order_by`` (a total order); empty if out of range.
 
-    Small positions use a distributed top-(position+1) (each task keeps that many rows); large
-    positions number all rows with ``dense_ids``.
+    One way for every position: rows are numbered inside range partitions and stored; the counts (one
+    row per partition) tell which range holds the position, and only its row is read.
     """
     if position < 0:
         raise ValueError("position must be >= 0")
-    if position < POSITION_TOP_K_LIMIT:
-        head = df.orderBy(*order_by).limit(position + 1)
-        numbered = head.withColumn("_rn", F.row_number().over(Window.orderBy(*order_by)))
-        return numbered.where(F.col("_rn") == position + 1).drop("_rn")
-    return dense_ids(df, order_by, "_rn", start=0).where(F.col("_rn") == position).drop("_rn")
+    local = _numbered(df, order_by, None)
+    before = 0
+    for r in local.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT)).orderBy(_PID).collect():
+        if position < before + r[_CNT]:
+            return local.where((F.col(_PID) == r[_PID]) & (F.col(_POS) == position - before)).select(*df.columns)
+        before += r[_CNT]
+    return local.where(F.lit(False)).select(*df.columns)
 
 
 def weighted_offsets(df: DataFrame, order_by: Sequence[str], weight: str, out_col: str,
                      num_partitions: int | None = None) -> DataFrame:
     """Append ``out_col`` = sum of ``weight`` over all rows before this one in ``order_by``.
 
-    The same range-partition plan as ``dense_ids``; the running sum inside a range partition
-    is a window over that partition alone (rows are re-grouped by partition id, a shuffle of
-    ``df`` only), and the partition totals are turned into offsets through the broadcast
-    per-partition table.
+    The same range-partition plan as ``dense_ids``, one exchange of the rows: a task adds up its own
+    sorted partition in Arrow batches, and the partition totals are turned into offsets through the
+    broadcast per-partition table.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = _range(df, order_by, num_partitions).withColumn(_PID, F.spark_partition_id())
-    inside = Window.partitionBy(_PID).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn(_POS, F.coalesce(F.sum(weight).over(inside), F.lit(0)).cast("long"))
-    local = local.checkpoint(eager=True)
+    def running(batches):
+        total = 0
+        for b in batches:
+            w = pc.fill_null(b.column(weight).cast(pa.int64()), 0)
+            upto = pc.cumulative_sum(w)
+            place = pc.add(pc.subtract(upto, w), total)
+            total += upto[-1].as_py() if len(upto) else 0
+            yield pa.RecordBatch.from_arrays([*b.columns, place], names=[*b.schema.names, _POS])
+
+    ranged = (_range(df, order_by, num_partitions).sortWithinPartitions(*order_by)
+              .withColumn(_PID, F.spark_partition_id()))
+    schema = T.StructType([*ranged.schema.fields, T.StructField(_POS, T.LongType())])
+    local = _stored(ranged.mapInArrow(running, schema), "weighted")
     totals = local.groupBy(_PID).agg(F.sum(weight).alias(_CNT))
     running = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(_PID, F.coalesce(F.sum(_CNT).over(running), F.lit(0)).alias(_OFF))

@@ -20,11 +20,6 @@ def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def join_dims(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Plain equi-join of two dimensions on shared key column name(s) or a join condition."""
-    return left.join(right, on, how)
-
-
 def join_on_keys(left: DataFrame, right: DataFrame, left_keys, right_keys, how: str = "inner") -> DataFrame:
     """Equi-join on differently named key lists; every match is kept (fan-out)."""
     left_keys, right_keys = _names(left_keys), _names(right_keys)

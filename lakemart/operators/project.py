@@ -12,10 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def select_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*cols)
-
-
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(mapping))
 

@@ -1,10 +1,11 @@
 """Runnable jobs: raw log + song catalogue folders in, tables out.
 
-Four loaders share the builders in ``lakemart.plans.star`` and differ in their semantics:
+Five loaders share the builders in ``lakemart.plans.star`` and differ in their semantics:
 
 * ``lookup_tables``  CSV log tree -> reduced all-quoted CSV -> three query-shaped tables
                      (last write wins on each table's key), laid out by partition key and
                      clustering key;
+* ``star_merge``     one batch of songs and logs merged into the stored star schema (ids go on);
 * ``star_upsert``    keyed upserts (first attributes + last level for users, keep-first for
                      songs, artists and time), first-match songplay lookup, dense ids from 1,
                      plus key checks;
@@ -13,7 +14,7 @@ Four loaders share the builders in ``lakemart.plans.star`` and differ in their s
 * ``data_lake``      full-row distinct tables written as partitioned Parquet, the title-only
                      songplay join, append or idempotent overwrite.
 
-Every job writes each table once and reports (table, rows) from the write itself.
+Raw input is read once and staged as Parquet. Every job writes each table once and reports (table, rows) from the write itself.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart import schemas
-from lakemart.plans import star
-from lakemart.session import build_session, ensure_checkpoint_dir
+from lakemart.plans import incremental, star
+from lakemart.session import build_session, ensure_checkpoint_dir, scratch_path
+from lakemart.operators.project import filter_nonempty
 from lakemart.sources import readers, sinks
 
 # Row order inside a CSV log file is its arrival order; the tree is read with the file path
@@ -46,18 +48,28 @@ def _with_arrival_order(df: DataFrame) -> DataFrame:
             .withColumn("_line", F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())))
 
 
+def _staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet under the shared checkpoint folder and read back."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def lookup_tables(spark: SparkSession, log_csv_dir: str, out_dir: str, buckets: int | None = None
                   ) -> dict[str, DataFrame]:
     """CSV event files -> reduced CSV -> three lookup tables (Parquet, clustered).
 
     With ``buckets`` the tables are catalog tables bucketed by their partition key and sorted by
     partition + clustering key: a lookup with equality on the partition key then reads one
-    bucket (bucket pruning), the analogue of a partition-key read."""
-    raw = readers.read_csv_tree(spark, log_csv_dir, schemas.LOG_CSV)
-    reduced_path = os.path.join(out_dir, "event_datafile_new")
-    sinks.write_csv_quoted(star.reduced_log(raw), reduced_path)
-    reduced = _with_arrival_order(
-        readers.read_csv_typed(spark, reduced_path, schemas.REDUCED_LOG_CSV, schemas.REDUCED_LOG_TYPED))
+    bucket (bucket pruning), the analogue of a partition-key read.
+
+    The last write is the last in the source files (path, then line): rows carry that place from the
+    raw scan on. The reduced CSV is an output; the tables are not built from it."""
+    raw = _with_arrival_order(readers.read_csv_tree(spark, log_csv_dir, schemas.LOG_CSV))
+    text = _staged(spark, filter_nonempty(raw, "artist").select(*schemas.REDUCED_LOG_COLUMNS, *_FILE_ORDER), "reduced-log")
+    sinks.write_csv_quoted(star.reduced_log(text), os.path.join(out_dir, "event_datafile_new"))
+    reduced = text.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.REDUCED_LOG_TYPED.fields],
+                          *_FILE_ORDER)
     tables = {
         "song_playlist_artists": (star.item_lookup_table(reduced, _FILE_ORDER), ["sessionId"], ["itemInSession"]),
         "song_playlist_sessions": (star.session_lookup_table(reduced, _FILE_ORDER), ["userId", "sessionId"],
@@ -80,16 +92,17 @@ def star_upsert(spark: SparkSession, song_dir: str, log_dir: str, out_dir: str)
     """Keyed-upsert star schema from JSON trees; returns the written tables and ``checks``."""
     docs = _with_arrival_order(readers.read_json_tree(spark, song_dir, schemas.SONG_JSON))
     # one song per file: the file's first record; "first" across files is arrival order
-    songs = readers.first_record_per_file(docs, ["_line"])
-    log = readers.read_json_tree(spark, log_dir, schemas.LOG_JSON)
-    tables = star.star_schema(log, songs, song_order=_FILE_ORDER)
+    songs = _staged(spark, readers.first_record_per_file(docs, ["_line"]), "song-documents")
+    log = _staged(spark, readers.read_json_tree(spark, log_dir, schemas.LOG_JSON), "raw-log")
     contracts = {"users": schemas.USERS, "songs": schemas.SONGS, "artists": schemas.ARTISTS,
                  "time": schemas.TIME, "songplays": schemas.SONGPLAYS}
-    written = {}
-    for name, df in tables.items():
+
+    def store(name, df):
         path = os.path.join(out_dir, name)
         sinks.full_refresh(df, contracts[name], path)
-        written[name] = spark.read.parquet(path)
+        return spark.read.parquet(path)
+
+    written = star.write_star(log, songs, store, song_order=_FILE_ORDER)
     written["checks"] = star.star_checks({k: written[k] for k in contracts})
     return written
 
@@ -119,26 +132,46 @@ def warehouse(spark: SparkSession, song_dir: str, log_dir: str, out_dir: str) ->
 
 def data_lake(spark: SparkSession, song_root: str, log_root: str, out_dir: str,
               mode: str = "overwrite") -> dict[str, DataFrame]:
-    """Distinct, partitioned Parquet tables from the song and log globs."""
-    songs = readers.read_json_glob(spark, os.path.join(song_root, "*", "*", "*", "*.json"), schemas.SONG_JSON)
-    log = readers.read_json_glob(spark, os.path.join(log_root, "*", "*", "*.json"), schemas.LOG_JSON)
-    songs_t = star.songs_distinct(songs)
-    artists_t = star.artists_distinct(songs).select(
-        "artist_id", "artist_name", F.col("artist_location"), "artist_latitude", "artist_longitude")
-    users_t = star.users_distinct(log)
-    time_t = star.time_sun1(log)
-    plays_t = star.songplays_title(log, songs_t, artists_t)
-    plan = {"songs": (songs_t, ["year", "artist_id"]), "artists": (artists_t, []), "users": (users_t, []),
-            "time": (time_t, ["year", "month"]), "songplays": (plays_t, ["year", "month"])}
+    """Distinct, partitioned Parquet tables from the song and log globs.
+
+    Songs are partitioned by year and sorted by artist inside (a folder for each artist would be
+    unbounded). The log is joined to the songs and artists as stored, so that with ``append`` it also
+    meets those of earlier runs."""
+    songs = _staged(spark, readers.read_json_glob(spark, os.path.join(song_root, "*", "*", "*", "*.json"),
+                                                  schemas.SONG_JSON), "song-documents")
+    log = _staged(spark, readers.read_json_glob(spark, os.path.join(log_root, "*", "*", "*.json"), schemas.LOG_JSON),
+                  "raw-log")
+    artists = star.artists_distinct(songs).select("artist_id", "artist_name", "artist_location", "artist_latitude",
+                                                  "artist_longitude")
     out = {}
-    for name, (df, parts) in plan.items():
+
+    def store(name, df, parts=(), cluster=()):
         path = os.path.join(out_dir, name)
-        sinks.write_parquet(df, path, mode, parts)
+        sinks.write_parquet(df, path, mode, parts, cluster)
         out[name] = spark.read.parquet(path)
+
+    store("songs", star.songs_distinct(songs), ["year"], ["artist_id"])
+    store("artists", artists)
+    store("users", star.users_distinct(log))
+    store("time", star.time_sun1(log), ["year", "month"])
+    store("songplays", star.songplays_title(log, out["songs"], out["artists"]), ["year", "month"])
     return out
 
 
-JOBS = {"lookup_tables": lookup_tables, "star_upsert": star_upsert, "warehouse": warehouse, "data_lake": data_lake}
+def star_merge(spark: SparkSession, song_dir: str, log_dir: str, out_dir: str, batch: int | None = None
+               ) -> dict[str, DataFrame]:
+    """Merge a folder of new song documents and logs into the star schema stored in ``out_dir``.
+
+    ``batch`` numbers the load (default: after the last stored one); loading the last batch again
+    changes nothing."""
+    docs = _with_arrival_order(readers.read_json_tree(spark, song_dir, schemas.SONG_JSON))
+    songs = _staged(spark, readers.first_record_per_file(docs, ["_line"]), "song-documents")
+    log = _staged(spark, readers.read_json_tree(spark, log_dir, schemas.LOG_JSON), "raw-log")
+    return incremental.load_batch(spark, out_dir, log, songs, batch, star.LOG_ORDER, _FILE_ORDER)
+
+
+JOBS = {"lookup_tables": lookup_tables, "star_upsert": star_upsert, "star_merge": star_merge, "warehouse": warehouse,
+        "data_lake": data_lake}
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -149,6 +182,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     ap.add_argument("--mode", default="overwrite", choices=("append", "overwrite"), help="data_lake write mode")
     ap.add_argument("--buckets", type=int, default=None, help="lookup_tables: bucket count (bucketed tables)")
+    ap.add_argument("--batch", type=int, default=None, help="star_merge: batch number (default: the next)")
     ap.add_argument("--master", default=None, help="Spark master (default: as given by spark-submit)")
     a = ap.parse_args(argv)
     if a.job != "lookup_tables" and not a.songs:
@@ -159,6 +193,8 @@ def main(argv: list[str] | None = None) -> int:
         res = lookup_tables(spark, a.logs, a.out, a.buckets)
     elif a.job == "data_lake":
         res = data_lake(spark, a.songs, a.logs, a.out, a.mode)
+    elif a.job == "star_merge":
+        res = star_merge(spark, a.songs, a.logs, a.out, a.batch)
     else:
         res = JOBS[a.job](spark, a.songs, a.logs, a.out)
     reports = [df for name, df in res.items() if name in ("checks", "load_stats")]

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from lakemart.functions.defaults import number_as_text, typed_default
 from lakemart.functions.timeparts import epoch_ms_whole_seconds, ntz_to_epoch_ms
 from lakemart.operators import dedupe, keys, lookup, project, quality
-from lakemart.plans import roles, star
+from lakemart.plans import incremental, roles, star
 from lakemart.plans.roles import CAT_SQL, EVENTS_AS_LOG_SQL, LOG_ORDER, LOG_ORDER_SQL, LOG_SQL
 from lakemart.session import read_table, scratch_path
 from lakemart.sources import readers, sinks
@@ -72,7 +72,7 @@ def _write_events_tree(spark, sf, fmt: str) -> str:
 @query("scan_csv_recursive", EVENTS_MS_SQL)
 def scan_csv_recursive(spark, sf):
     path = _write_events_tree(spark, sf, "csv")
-    text = readers.read_csv_tree(spark, path, T.StructType(EVENTS_TEXT.fields[:6]))
+    text = readers.read_csv_tree(spark, path, T.StructType(EVENTS_TEXT.fields[:6]), multi_line=False)
     return readers.cast_to(text, EVENTS_TYPED)
 
 
@@ -121,13 +121,16 @@ def first_record_per_file(spark, sf):
             .select("o_orderpriority", "o_orderkey", "o_custkey", "o_totalprice"))
 
 
-@query("file_inventory", """SELECT event_type, count(*) AS n_rows FROM events GROUP BY event_type""")
+@query("file_inventory", """
+SELECT event_type, count(DISTINCT event_id % 3) AS n_files, count(*) AS n_rows FROM events GROUP BY event_type""")
 def file_inventory(spark, sf):
+    """Files and rows per event type, of a tree that has one file for each type and remainder."""
     path = scratch_path(spark, "events-by-type")
-    sinks.write_parquet(_t(spark, sf, "events"), path, "overwrite", ["event_type"])
+    e = _t(spark, sf, "events").withColumn("third", F.col("event_id") % 3)
+    e.repartition("event_type", "third").write.partitionBy("event_type", "third").parquet(path)
     inv = readers.file_inventory(readers.read_parquet(spark, path))
     typed = inv.select(F.regexp_extract("file_path", r"event_type=([^/]+)/", 1).alias("event_type"), "n_rows")
-    return typed.groupBy("event_type").agg(F.sum("n_rows").alias("n_rows"))
+    return typed.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_files"), F.sum("n_rows").alias("n_rows"))
 
 
 @query("multi_file_union", """
@@ -194,14 +197,19 @@ def full_refresh(spark, sf):
     return readers.read_parquet(spark, path).select(*o.columns)
 
 
-@query("partition_overwrite", ORDERS_YM_SQL)
+@query("partition_overwrite", """
+SELECT o_orderkey, o_custkey, CASE WHEN year(o_orderdate) = 1996 THEN -1.0 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month
+FROM orders WHERE year(o_orderdate) <> 1996 OR o_orderkey % 2 = 0""")
 def partition_overwrite(spark, sf):
-    """Dynamic partition overwrite: reloading touches only the partitions in the batch."""
+    """Dynamic partition overwrite: a second batch with fewer, changed rows of one year replaces that year's
+    partitions and leaves the others."""
     path = scratch_path(spark, "orders-dyn")
     o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
                                        F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
     sinks.write_parquet(o, path, "overwrite", ["year", "month"])
-    sinks.write_parquet(o, path, "overwrite", ["year", "month"])
+    second = o.where((F.col("year") == 1996) & (F.col("o_orderkey") % 2 == 0)).withColumn("o_totalprice", F.lit(-1.0))
+    sinks.write_parquet(second, path, "overwrite", ["year", "month"])
     back = readers.read_parquet(spark, path)
     return back.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
                        F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"))
@@ -389,25 +397,26 @@ def lookup_first_left(spark, sf):
 @query("join_two_key", """
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, c.p_partkey AS match_partkey
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
-JOIN part c ON p.p_name = c.p_name AND p.p_brand = c.p_brand""")
+JOIN part c ON p.p_partkey // 4 = c.p_partkey // 4 AND p.p_brand = c.p_brand""")
 def join_two_key(spark, sf):
     li, p = _t(spark, sf, "lineitem"), _t(spark, sf, "part")
     lp = li.join(p, li["l_partkey"] == p["p_partkey"]).select("l_orderkey", "l_linenumber", "l_partkey",
-                                                                "p_name", "p_brand")
-    c = p.select(F.col("p_partkey").alias("match_partkey"), F.col("p_name").alias("c_name"),
+                                                                F.expr(roles.TITLE).alias("title"), "p_brand")
+    c = p.select(F.col("p_partkey").alias("match_partkey"), F.expr(roles.TITLE).alias("c_title"),
                  F.col("p_brand").alias("c_brand"))
-    return lookup.join_on_keys(lp, c, ["p_name", "p_brand"], ["c_name", "c_brand"]).select(
+    return lookup.join_on_keys(lp, c, ["title", "p_brand"], ["c_title", "c_brand"]).select(
         "l_orderkey", "l_linenumber", "l_partkey", "match_partkey")
 
 
 @query("join_one_key", """
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, c.p_partkey AS match_partkey
-FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN part c ON p.p_name = c.p_name""")
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN part c ON p.p_partkey // 4 = c.p_partkey // 4""")
 def join_one_key(spark, sf):
     li, p = _t(spark, sf, "lineitem"), _t(spark, sf, "part")
-    lp = li.join(p, li["l_partkey"] == p["p_partkey"]).select("l_orderkey", "l_linenumber", "l_partkey", "p_name")
-    c = p.select(F.col("p_partkey").alias("match_partkey"), F.col("p_name").alias("c_name"))
-    return lookup.join_on_keys(lp, c, "p_name", "c_name").select("l_orderkey", "l_linenumber", "l_partkey",
+    lp = li.join(p, li["l_partkey"] == p["p_partkey"]).select("l_orderkey", "l_linenumber", "l_partkey",
+                                                                F.expr(roles.TITLE).alias("title"))
+    c = p.select(F.col("p_partkey").alias("match_partkey"), F.expr(roles.TITLE).alias("c_title"))
+    return lookup.join_on_keys(lp, c, "title", "c_title").select("l_orderkey", "l_linenumber", "l_partkey",
                                                                  "match_partkey")
 
 
@@ -528,9 +537,15 @@ def merge_keep_first(spark, sf):
     e = _t(spark, sf, "events").select("user_id", "event_id", "event_type", "ts")
     split = F.lit(MERGE_SPLIT).cast("timestamp_ntz")
     b1, b2 = e.where(F.col("ts") < split), e.where(F.col("ts") >= split)
-    t1 = dedupe.merge_into(None, [b1], "user_id", "keep_first", ["ts"], cols=["event_id", "event_type"])
-    t2 = dedupe.merge_into(t1, [b2], "user_id", "keep_first", ["ts"], cols=["event_id", "event_type"],
-                           first_batch_no=1)
+    return _merged_twice(spark, b1, b2, "keep_first")
+
+
+def _merged_twice(spark, b1, b2, mode):
+    """Two batches merged by user, the first stored in between; batch numbers by default."""
+    stored = scratch_path(spark, f"users-{mode}")
+    cols = ["event_id", "event_type"]
+    dedupe.merge_into(None, [b1], "user_id", mode, ["ts"], cols=cols).write.parquet(stored)
+    t2 = dedupe.merge_into(spark.read.parquet(stored), [b2], "user_id", mode, ["ts"], cols=cols)
     return dedupe.drop_merge_columns(t2)
 
 
@@ -541,10 +556,7 @@ def merge_last_write_wins(spark, sf):
     e = _t(spark, sf, "events").select("user_id", "event_id", "event_type", "ts")
     split = F.lit(MERGE_SPLIT).cast("timestamp_ntz")
     b1, b2 = e.where(F.col("ts") < split), e.where(F.col("ts") >= split)
-    t1 = dedupe.merge_into(None, [b1], "user_id", "last_write_wins", ["ts"], cols=["event_id", "event_type"])
-    t2 = dedupe.merge_into(t1, [b2], "user_id", "last_write_wins", ["ts"], cols=["event_id", "event_type"],
-                           first_batch_no=1)
-    return dedupe.drop_merge_columns(t2)
+    return _merged_twice(spark, b1, b2, "last_write_wins")
 
 
 # ============================================================== generated keys
@@ -613,7 +625,7 @@ def mart_reduced_log(spark, sf):
     path = scratch_path(spark, "reduced-log")
     reduced = star.reduced_log(roles.events_as_log(_t(spark, sf, "events")))
     sinks.write_csv_quoted(reduced, path)
-    return readers.read_csv_typed(spark, path, schemas.REDUCED_LOG_CSV, schemas.REDUCED_LOG_TYPED)
+    return readers.read_csv_typed(spark, path, schemas.REDUCED_LOG_CSV, schemas.REDUCED_LOG_TYPED, multi_line=False)
 
 
 def _log_lww_sql(key: str, cols: str) -> str:
@@ -624,14 +636,14 @@ SELECT {key}, {cols} FROM log
 QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {desc}) = 1"""
 
 
-ITEM_SQL = _log_lww_sql("sessionId, itemInSession", "artist, song, length")
+ITEM_SQL = _log_lww_sql("sessionId, itemInSession", "artist, song, length, userId")
 SESSION_SQL = _log_lww_sql("userId, sessionId, itemInSession", "artist, song, firstName, lastName")
 LISTENERS_SQL = _log_lww_sql("song, userId", "firstName, lastName")
 
 # Fixed lookup parameters (values present in the test tables).
 POINT_SESSION, POINT_ITEM = 338, 3
 SLICE_USER, SLICE_SESSION = 1424, 157
-KEY_SONG = "blue bolt"
+KEY_SONG = "song 5"
 
 
 def _item_table(spark, sf):
@@ -747,8 +759,8 @@ def mart_songs_partitioned(spark, sf):
     songs = p.select(F.col("p_partkey").cast("string").alias("song_id"), F.col("p_name").alias("title"),
                      F.col("p_type").alias("artist_id"), F.col("p_size").alias("year"),
                      F.col("p_retailprice").alias("duration"))
-    path = scratch_path(spark, "songs-by-year-artist")
-    sinks.write_parquet(star.songs_distinct(songs), path, "append", ["year", "artist_id"])
+    path = scratch_path(spark, "songs-by-year")
+    sinks.write_parquet(star.songs_distinct(songs), path, "append", ["year"], ["artist_id"])
     back = readers.read_parquet(spark, path)
     return back.select("song_id", "title", "duration", F.col("year").cast("int").alias("year"),
                        F.col("artist_id").cast("string").alias("artist_id"))
@@ -832,7 +844,7 @@ def mart_songplays_two_key(spark, sf):
 
 
 @query("mart_songplays_title", f"""
-WITH log AS ({LOG_SQL}), cat AS ({CAT_SQL})
+WITH log AS ({LOG_SQL}), cat AS (SELECT * REPLACE (nullif(song_id, 4 * (song_id // 4)) AS song_id) FROM ({CAT_SQL}))
 SELECT DISTINCT l.ts AS start_time, l.userId AS user_id, l.level, c.song_id, c.artist_id,
        l.sessionId AS session_id, l.location, l.userAgent AS user_agent,
        CAST(year(make_timestamp(l.ts * 1000)) AS INTEGER) AS year,
@@ -840,7 +852,8 @@ SELECT DISTINCT l.ts AS start_time, l.userId AS user_id, l.level, c.song_id, c.a
 FROM log l JOIN cat c ON l.song = c.title JOIN (SELECT DISTINCT artist_id FROM cat) a ON a.artist_id = c.artist_id
 WHERE l.page = '{roles.LISTEN_PAGE_LOG}'""")
 def mart_songplays_title(spark, sf):
-    cat = roles.catalogue(spark, sf)
+    cat = roles.catalogue(spark, sf)   # every fourth song has no id; its rows are kept
+    cat = cat.withColumn("song_id", F.when(F.col("song_id") % 4 != 0, F.col("song_id")))
     return star.songplays_title(roles.log_rows(spark, sf), cat.select("song_id", "title", "artist_id"),
                                 cat.select("artist_id").distinct(), roles.LISTEN_PAGE_LOG)
 
@@ -850,42 +863,86 @@ WITH log AS ({LOG_SQL}),
 users AS (SELECT DISTINCT userId FROM log WHERE firstName IS NOT NULL),
 plays AS (SELECT * FROM log WHERE page = '{roles.LISTEN_PAGE_LOG}')
 SELECT 'users' AS table_name, (SELECT count(*) FROM users) AS n_rows, CAST(0 AS BIGINT) AS pk_violations,
-       CAST(0 AS BIGINT) AS null_violations, CAST(0 AS BIGINT) AS fk_violations
-UNION ALL SELECT 'songs', (SELECT count(DISTINCT p_partkey) FROM part), 0, 0, 0
-UNION ALL SELECT 'artists', (SELECT count(DISTINCT p_brand) FROM part WHERE p_brand IS NOT NULL), 0, 0, 0
-UNION ALL SELECT 'time', (SELECT count(DISTINCT ts) FROM plays), 0, 0, 0
+       CAST(0 AS BIGINT) AS null_violations, CAST(0 AS BIGINT) AS fk_violations, CAST(0 AS BIGINT) AS length_violations
+UNION ALL SELECT 'songs', (SELECT count(DISTINCT p_partkey) FROM part), 0, 0, 0, 0
+UNION ALL SELECT 'artists', (SELECT count(DISTINCT p_brand) FROM part WHERE p_brand IS NOT NULL), 0, 0, 0, 0
+UNION ALL SELECT 'time', (SELECT count(DISTINCT ts) FROM plays), 0, 0, 0, 0
 UNION ALL SELECT 'songplays', (SELECT count(*) FROM plays), 0, 0,
-       (SELECT count(*) FROM plays WHERE userId NOT IN (SELECT userId FROM users))""")
+       (SELECT count(*) FROM plays WHERE userId NOT IN (SELECT userId FROM users)), 0""")
 def star_schema_summary(spark, sf):
-    tables = star.star_schema(roles.log_rows(spark, sf), roles.part_as_songs(spark, sf), LOG_ORDER, ["_order"],
-                              roles.LISTEN_PAGE_LOG)
-    # each table is written once to shared storage and the checks read the written tables,
-    # instead of re-deriving every table for every check
-    written = {}
-    for name, df in tables.items():
+    """The log is staged once, each table is written once, songplays and the checks read the written tables."""
+    return star.star_checks(star.write_star(_store(spark)("log", roles.log_rows(spark, sf)), roles.part_as_songs(spark, sf),
+                                            _store(spark), LOG_ORDER, ["_order"], roles.LISTEN_PAGE_LOG))
+
+
+def _store(spark):
+    def store(name, df):
         path = scratch_path(spark, f"star-{name}")
         sinks.write_parquet(df, path, "overwrite")
-        written[name] = spark.read.parquet(path)
-    return star.star_checks(written)
-
-
-# ============================================================== streaming
-
-EVENTS_STREAM = T.StructType([
-    T.StructField("user_id", T.LongType()), T.StructField("props", T.StringType()),
-    T.StructField("event_type", T.StringType()), T.StructField("ts_ms", T.LongType())])
-
-
-@query("stream_merge_users", MERGE_SQL)
-def stream_merge_users(spark, sf):
-    """Daily event files picked up by a file-source stream, one merge per micro-batch."""
-    from lakemart.streaming import current_version, stream_merge
-    src, target, ckpt = (scratch_path(spark, "stream-src"), scratch_path(spark, "stream-users"),
-                         scratch_path(spark, "stream-ckpt"))
-    e = _t(spark, sf, "events").select("user_id", "props", "event_type", ntz_to_epoch_ms("ts").alias("ts_ms"),
-                                       F.to_date("ts").alias("day"))
-    sinks.write_json_lines(e.hint("rebalance", "day"), src, partition_by=["day"])
-    q = stream_merge(spark, src, EVENTS_STREAM, target, ckpt, "user_id", "first_attrs_last_status", ["ts_ms"],
-                     first_cols=["props"], last_cols=["event_type"], max_files_per_trigger=8, buckets=4)
-    q.awaitTermination()
-    return current_version(spark, target)
+        return spark.read.parquet(path)
+    return store
+
+
+@query("star_checks_violations", """
+WITH users AS (SELECT CASE WHEN c_custkey % 97 = 0 THEN NULL ELSE c_custkey - CAST(c_custkey % 5 = 0 AS INTEGER) END AS user_id,
+                      substr(c_mktsegment, 1, CAST(1 + c_custkey % 2 AS INTEGER)) AS gender FROM customer),
+songs AS (SELECT p_partkey // 2 AS song_id, p_brand AS artist_id FROM part),
+artists AS (SELECT p_brand AS artist_id, nullif(min(p_brand), 'Brand#2') AS artist_name FROM part
+            WHERE p_brand <> 'Brand#3' GROUP BY p_brand),
+time AS (SELECT DISTINCT o_orderdate AS start_time, nullif(CAST(month(o_orderdate) AS INTEGER), 2) AS month FROM orders),
+plays AS (SELECT o_orderkey AS songplay_id, nullif(o_custkey, 7) AS user_id, o_orderkey % 3 AS song_id FROM orders),
+dup AS (SELECT count(*) AS n FROM (SELECT user_id FROM users GROUP BY user_id HAVING count(*) > 1))
+SELECT 'users' AS table_name, (SELECT count(*) FROM users) AS n_rows, (SELECT n FROM dup) AS pk_violations,
+       (SELECT count(*) FROM users WHERE user_id IS NULL) AS null_violations, CAST(0 AS BIGINT) AS fk_violations,
+       (SELECT count(*) FROM users WHERE length(gender) > 1) AS length_violations
+UNION ALL SELECT 'songs', (SELECT count(*) FROM songs),
+       (SELECT count(*) FROM (SELECT song_id FROM songs GROUP BY song_id HAVING count(*) > 1)), 0,
+       (SELECT count(*) FROM songs WHERE artist_id NOT IN (SELECT artist_id FROM artists)), 0
+UNION ALL SELECT 'artists', (SELECT count(*) FROM artists), 0, (SELECT count(*) FROM artists WHERE artist_name IS NULL), 0, 0
+UNION ALL SELECT 'time', (SELECT count(*) FROM time), 0, (SELECT count(*) FROM time WHERE month IS NULL), 0, 0
+UNION ALL SELECT 'songplays', (SELECT count(*) FROM plays), 0, (SELECT count(*) FROM plays WHERE user_id IS NULL),
+       (SELECT count(*) FROM plays WHERE user_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM users u WHERE u.user_id = plays.user_id))
+       + (SELECT count(*) FROM plays WHERE NOT EXISTS (SELECT 1 FROM songs s WHERE s.song_id = plays.song_id)), 0""")
+def star_checks_violations(spark, sf):
+    """The checks on tables with repeated keys, missing values, unknown references and too long codes."""
+    c, p, o = (_t(spark, sf, n) for n in ("customer", "part", "orders"))
+    brand = F.col("p_brand")
+    return star.star_checks({
+        "users": c.select(F.when(F.col("c_custkey") % 97 != 0, F.col("c_custkey") - (F.col("c_custkey") % 5 == 0).cast("int"))
+                          .alias("user_id"), F.substring("c_mktsegment", F.lit(1), (F.col("c_custkey") % 2 + 1).cast("int"))
+                          .alias("gender")),
+        "songs": p.select(F.expr("p_partkey div 2").alias("song_id"), brand.alias("artist_id")),
+        "artists": p.where(brand != "Brand#3").select(brand.alias("artist_id"), F.nullif(brand, F.lit("Brand#2"))
+                                                      .alias("artist_name")).distinct(),
+        "time": o.select(F.col("o_orderdate").alias("start_time"), *[F.lit(1).alias(x) for x in
+                                                                    ("hour", "day", "week", "year", "weekday")],
+                         F.nullif(F.month("o_orderdate"), F.lit(2)).alias("month")).distinct(),
+        "songplays": o.select(F.col("o_orderkey").alias("songplay_id"), F.col("o_orderdate").alias("start_time"),
+                              F.nullif("o_custkey", F.lit(7)).alias("user_id"), (F.col("o_orderkey") % 3).alias("song_id"),
+                              F.lit(None).cast("string").alias("artist_id"))})
+
+
+TIME_ORDER = ["ts", *[c for c in LOG_ORDER if c != "ts"]]
+SPLIT_MS = 800_000_000_000   # between the first and the last listen
+
+
+@query("star_incremental", f"""
+WITH log AS ({LOG_SQL}),
+dim AS (SELECT {roles.TITLE_SQL} AS title, p_brand AS artist_name, CAST(p_size AS DOUBLE) AS duration,
+               min(CAST(p_partkey AS VARCHAR)) AS song_id, p_brand AS artist_id FROM part GROUP BY ALL)
+SELECT CAST(row_number() OVER (ORDER BY {", ".join(f"l.{c}" for c in TIME_ORDER)}) AS BIGINT) AS songplay_id,
+       l.ts AS start_time, l.userId AS user_id, l.level, d.song_id, d.artist_id, l.sessionId AS session_id,
+       l.location, l.userAgent AS user_agent
+FROM log l LEFT JOIN dim d ON l.song = d.title AND l.artist = d.artist_name AND l.length = d.duration
+WHERE l.page = '{roles.LISTEN_PAGE_LOG}'""")
+def star_incremental(spark, sf):
+    """Two batches merged into a stored star schema, the second one loaded twice: songplays as if unsplit.
+    The second batch also repeats songs with another title, which must not replace the stored ones."""
+    store = scratch_path(spark, "star-store")
+    log, songs = _store(spark)("log", roles.log_rows(spark, sf)), roles.part_as_songs(spark, sf)
+    again = songs.where(F.col("_order") % 2 == 0).withColumn("title", F.lit("another title"))
+    early, late = log.where(F.col("ts") < SPLIT_MS), log.where(F.col("ts") >= SPLIT_MS)
+    for batch, (rows, docs) in ((0, (early, songs)), (1, (late, again)), (1, (late, again))):
+        tables = incremental.load_batch(spark, store, rows, docs, batch, TIME_ORDER, ["_order"], roles.LISTEN_PAGE_LOG,
+                                        buckets=8)
+    return tables["songplays"]

@@ -26,11 +26,10 @@ from lakemart.operators.keys import dense_ids, dense_ids_join
 from lakemart.operators.lookup import fk_violations, lookup_first
 from lakemart.operators.project import filter_eq, filter_nonempty
 from lakemart.operators.quality import pk_violations
+from lakemart.schemas import REDUCED_LOG_COLUMNS
 
 # Fixed values of the log format.
 LISTEN_PAGE = "NextSong"
-REDUCED_COLUMNS = ["artist", "firstName", "gender", "itemInSession", "lastName", "length",
-                   "level", "location", "sessionId", "song", "userId"]
 # Total order of log rows: event time, then session, then item.
 LOG_ORDER = ["ts", "sessionId", "itemInSession"]
 
@@ -39,12 +38,13 @@ LOG_ORDER = ["ts", "sessionId", "itemInSession"]
 
 def reduced_log(log: DataFrame) -> DataFrame:
     """Listen rows only (non-empty artist), 11 columns in the reduced-file order."""
-    return filter_nonempty(log, "artist").select(*REDUCED_COLUMNS)
+    return filter_nonempty(log, "artist").select(*REDUCED_LOG_COLUMNS)
 
 
 def item_lookup_table(reduced: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    """(sessionId, itemInSession) -> artist, song, length; last write wins on the key."""
-    return last_write_wins(reduced, ["sessionId", "itemInSession"], order_by, cols=["artist", "song", "length"])
+    """(sessionId, itemInSession) -> artist, song, length, userId; last write wins on the key."""
+    return last_write_wins(reduced, ["sessionId", "itemInSession"], order_by,
+                           cols=["artist", "song", "length", "userId"])
 
 
 def session_lookup_table(reduced: DataFrame, order_by: Sequence[str]) -> DataFrame:
@@ -143,10 +143,6 @@ def time_table(log: DataFrame, weekday_base: str = "mon0", page: str | None = LI
     return out.dropDuplicates(["start_time"]) if dedupe else out
 
 
-def time_mon0(log: DataFrame) -> DataFrame:
-    return time_table(log, "mon0", LISTEN_PAGE, whole_seconds=False, dedupe=True)
-
-
 def time_all_events(staging_events: DataFrame) -> DataFrame:
     return time_table(staging_events, "sun0", None, whole_seconds=True, dedupe=False)
 
@@ -166,16 +162,17 @@ def song_catalogue(songs: DataFrame, artists: DataFrame) -> DataFrame:
 def songplays_lookup(log: DataFrame, catalogue: DataFrame, page: str = LISTEN_PAGE,
                      order_by: Sequence[str] = LOG_ORDER, id_start: int = 1) -> DataFrame:
     """Every listen row, its (song_id, artist_id) resolved by (title, artist name, duration) to
-    the first catalogue match (smallest song_id), NULL on a miss; dense ids from 1."""
-    listens = filter_eq(log, "page", page)
-    resolved = lookup_first(listens, catalogue, ["song", "artist", "length"], ["title", "artist_name", "duration"],
+    the first catalogue match (smallest song_id), NULL on a miss; dense ids from 1.
+
+    The lookup neither drops nor adds rows, so the listens are numbered before it."""
+    need = ["ts", "userId", "level", "sessionId", "location", "userAgent", "song", "artist", "length"]
+    listens = filter_eq(log, "page", page).select(*dict.fromkeys([*need, *order_by]))
+    numbered = dense_ids(listens, list(order_by), "songplay_id", id_start)
+    resolved = lookup_first(numbered, catalogue, ["song", "artist", "length"], ["title", "artist_name", "duration"],
                             ["song_id", "artist_id"], ["song_id", "artist_id"])
-    facts = resolved.select(F.col("ts").alias("start_time"), F.col("userId").alias("user_id"), "level",
-                            "song_id", "artist_id", F.col("sessionId").alias("session_id"), "location",
-                            F.col("userAgent").alias("user_agent"), *[F.col(c).alias(f"_o_{c}") for c in order_by])
-    numbered = dense_ids(facts, [f"_o_{c}" for c in order_by], "songplay_id", id_start)
-    return numbered.select("songplay_id", "start_time", "user_id", "level", "song_id", "artist_id",
-                           "session_id", "location", "user_agent")
+    return resolved.select("songplay_id", F.col("ts").alias("start_time"), F.col("userId").alias("user_id"), "level",
+                           "song_id", "artist_id", F.col("sessionId").alias("session_id"), "location",
+                           F.col("userAgent").alias("user_agent"))
 
 
 def songplays_two_key(staging_events: DataFrame, staging_songs: DataFrame,
@@ -212,8 +209,9 @@ def songplays_title(log: DataFrame, songs: DataFrame, artists: DataFrame, page:
     l_distinct = listens.select(*lcols).dropDuplicates()
     s = (songs.select("song_id", F.col("title").alias("_title"), "artist_id").dropDuplicates()
          .join(artists.select("artist_id"), "artist_id", "left_semi"))
-    titles = s.groupBy("song_id", "artist_id").agg(F.count(F.lit(1)).alias("_n_titles"))
-    s = s.join(titles, ["song_id", "artist_id"])
+    titles = s.groupBy(F.col("song_id").alias("_s"), F.col("artist_id").alias("_a")).agg(F.count(F.lit(1)).alias("_n_titles"))
+    # null-safe: a song without id keeps its rows
+    s = s.join(titles, F.col("song_id").eqNullSafe(F.col("_s")) & F.col("artist_id").eqNullSafe(F.col("_a"))).drop("_s", "_a")
     out_cols = ["start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent",
                 "year", "month"]
     single = l_distinct.join(s.where(F.col("_n_titles") == 1), "_title").select(*out_cols)
@@ -223,25 +221,40 @@ def songplays_title(log: DataFrame, songs: DataFrame, artists: DataFrame, page:
 
 # ---------------------------------------------------------------- whole star schema
 
-def star_schema(log: DataFrame, songs: DataFrame, order_by: Sequence[str] = LOG_ORDER,
-                song_order: Sequence[str] = ("song_id",), page: str = LISTEN_PAGE) -> dict[str, DataFrame]:
-    """users, songs, artists, time, songplays from a raw log and a song catalogue.
+def star_dims(log: DataFrame, songs: DataFrame, order_by: Sequence[str] = LOG_ORDER,
+              song_order: Sequence[str] = ("song_id",), page: str = LISTEN_PAGE) -> dict[str, DataFrame]:
+    """users, songs, artists and time from a raw log and a song catalogue.
 
     ``order_by`` orders log rows and ``song_order`` catalogue rows (both total orders; for
     files, the arrival order: file, then line)."""
-    songs_t = songs_first(songs, song_order)
-    artists_t = artists_first(songs, song_order)
     return {
         "users": users_merge(log, order_by),
-        "songs": songs_t,
-        "artists": artists_t,
+        "songs": songs_first(songs, song_order),
+        "artists": artists_first(songs, song_order),
         "time": time_table(log, "mon0", page, whole_seconds=False, dedupe=True),
-        "songplays": songplays_lookup(log, song_catalogue(songs_t, artists_t), page, order_by),
     }
 
 
+def star_schema(log: DataFrame, songs: DataFrame, order_by: Sequence[str] = LOG_ORDER,
+                song_order: Sequence[str] = ("song_id",), page: str = LISTEN_PAGE) -> dict[str, DataFrame]:
+    """The four dimensions and songplays, as plans; see ``write_star`` for written tables."""
+    dims = star_dims(log, songs, order_by, song_order, page)
+    return dims | {"songplays": songplays_lookup(log, song_catalogue(dims["songs"], dims["artists"]), page, order_by)}
+
+
+def write_star(log: DataFrame, songs: DataFrame, store, order_by: Sequence[str] = LOG_ORDER,
+               song_order: Sequence[str] = ("song_id",), page: str = LISTEN_PAGE) -> dict[str, DataFrame]:
+    """``star_schema`` with each table written by ``store(name, df)``, which returns the written table;
+    songplays are resolved against the written songs and artists."""
+    out = {}
+    for name, df in star_dims(log, songs, order_by, song_order, page).items():
+        out[name] = store(name, df)
+    plays = songplays_lookup(log, song_catalogue(out["songs"], out["artists"]), page, order_by)
+    return out | {"songplays": store("songplays", plays)}
+
+
 def star_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, n_rows, pk_violations, null_violations, fk_violations) for the five tables."""
+    """(table_name, n_rows, pk_violations, null_violations, fk_violations, length_violations) for the five tables."""
     keys = {"users": ["user_id"], "songs": ["song_id"], "artists": ["artist_id"], "time": ["start_time"],
             "songplays": ["songplay_id"]}
     not_null = {"users": ["user_id"], "songs": ["song_id"], "artists": ["artist_id", "artist_name"],
@@ -250,7 +263,8 @@ def star_checks(tables: dict[str, DataFrame]) -> DataFrame:
     fks = {"songplays": [("user_id", "users", "user_id"), ("song_id", "songs", "song_id"),
                          ("artist_id", "artists", "artist_id")],
            "songs": [("artist_id", "artists", "artist_id")]}
-    metrics = ("n_rows", "pk_violations", "null_violations", "fk_violations")
+    char1 = {"users": "gender"}   # CHAR(1)
+    metrics = ("n_rows", "pk_violations", "null_violations", "fk_violations", "length_violations")
 
     def row(name: str, df: DataFrame, **exprs) -> DataFrame:
         got = df.agg(*[e.alias(m) for m, e in exprs.items()])
@@ -263,8 +277,9 @@ def star_checks(tables: dict[str, DataFrame]) -> DataFrame:
         for c in not_null[name]:
             t = F.col(c).isNull()
             any_null = t if any_null is None else any_null | t
-        # one pass for the row count and the NOT NULL check, one for the key check
-        parts.append(row(name, df, n_rows=F.count(F.lit(1)), null_violations=F.count_if(any_null)))
+        # one pass for the row count, the NOT NULL and the CHAR(1) check, one for the key check
+        one = {"length_violations": F.count_if(F.length(char1[name]) > 1)} if name in char1 else {}
+        parts.append(row(name, df, n_rows=F.count(F.lit(1)), null_violations=F.count_if(any_null), **one))
         parts.append(row(name, pk_violations(df, keys[name]), pk_violations=F.count(F.lit(1))))
         for col, dim, dim_key in fks.get(name, []):
             parts.append(row(name, fk_violations(df.select(col), tables[dim], col, dim_key),

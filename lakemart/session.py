@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings used when this package builds the session (tests, bench). A cluster deployment
@@ -19,10 +20,6 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # AQE never coalesces below this size; the 1 MB default turns a small partitioned write into
-    # one task that opens every partition's file in turn. Large shuffles are unaffected (they are
-    # coalesced towards the advisory partition size).
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -36,15 +33,20 @@ DEFAULT_CONF = {
 
 def build_session(master: str | None = None, app_name: str = "lakemart", shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with this package's defaults."""
+    """Create (or reuse) a session; this package's defaults fill in only what the caller, spark-submit
+    and the cluster's defaults leave unset."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    given = dict(extra or {})
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+        given["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    SparkContext._ensure_initialized()   # so that SparkConf sees what spark-submit was given
+    submitted = SparkConf()
+    for k, v in DEFAULT_CONF.items():
+        if k not in given and not submitted.contains(k):
+            given[k] = v
+    for k, v in given.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

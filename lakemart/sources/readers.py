@@ -18,14 +18,17 @@ FILE_PATH = "_file_path"
 
 
 def read_csv_tree(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
-                  glob: str | None = None) -> DataFrame:
+                  glob: str | None = None, multi_line: bool = True) -> DataFrame:
     """All CSV files under ``path`` at any depth; header skipped per file; quoted fields with
-    embedded quotes (doubled) and newlines are read whole."""
+    embedded quotes (doubled) are read whole.
+
+    With ``multi_line`` quoted line breaks are read whole too, but a file is one task; pass False
+    where no field holds a line break, so that large files are split."""
     reader = (spark.read.schema(schema)
               .option("recursiveFileLookup", True)
               .option("header", header)
               .option("quote", '"').option("escape", '"')
-              .option("multiLine", True)
+              .option("multiLine", multi_line)
               .option("encoding", "UTF-8")
               .option("mode", "FAILFAST"))
     if glob:
@@ -39,9 +42,9 @@ def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_csv_typed(spark: SparkSession, path: str, text_schema: T.StructType, typed_schema: T.StructType,
-                   header: bool = True) -> DataFrame:
+                   header: bool = True, multi_line: bool = True) -> DataFrame:
     """Re-read a text CSV and convert it to typed columns."""
-    return cast_to(read_csv_tree(spark, path, text_schema, header), typed_schema)
+    return cast_to(read_csv_tree(spark, path, text_schema, header, multi_line=multi_line), typed_schema)
 
 
 def read_json_tree(spark: SparkSession, path: str, schema: T.StructType, glob: str = "*.json") -> DataFrame:
@@ -97,14 +100,11 @@ def with_row_index(df: DataFrame, name: str = "_row_index") -> DataFrame:
 
 
 def first_record_per_file(df: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
-    """The first record of every file: by ``order_by`` within the file, else by physical row
-    position (Parquet). One partial+final aggregate keyed by file path."""
-    with_path = with_file_path(df)
-    cols = [c for c in df.columns]
+    """The first record of every file: by physical row position (Parquet; a filter, no shuffle), or
+    by ``order_by`` within the file (one partial+final aggregate keyed by file path)."""
     if order_by is None:
-        with_path = with_row_index(with_path)
-        order_by = ["_row_index"]
-    return keep_first(with_path, [FILE_PATH], order_by, cols=cols)
+        return df.where(F.col("_metadata.row_index") == 0).withColumn(FILE_PATH, F.col("_metadata.file_path"))
+    return keep_first(with_file_path(df), [FILE_PATH], order_by, cols=list(df.columns))
 
 
 def file_inventory(df: DataFrame) -> DataFrame:

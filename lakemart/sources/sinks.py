@@ -17,10 +17,9 @@ from pyspark.sql import types as T
 MODES = ("append", "overwrite")
 
 
-def write_csv_quoted(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
+def write_csv_quoted(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header row and every field quoted; quotes inside fields are doubled."""
-    out = df.coalesce(1) if single_file else df
-    (out.write.mode(mode)
+    (df.write.mode(mode)
      .option("header", True).option("quoteAll", True)
      .option("quote", '"').option("escape", '"')
      .option("encoding", "UTF-8")
@@ -34,12 +33,15 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite", partitio
     w.json(path)
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = ()) -> None:
-    """Parquet append or overwrite. With partition columns, ``overwrite`` replaces only the
+def write_parquet(df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = (),
+                  cluster_by: Sequence[str] = ()) -> None:
+    """Parquet append or overwrite; ``cluster_by`` sorts the rows inside each partition. With partition columns, ``overwrite`` replaces only the
     partitions present in ``df`` (dynamic partition overwrite), which makes reloads idempotent."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     out = df.hint("rebalance", *partition_by) if partition_by else df
+    if cluster_by:
+        out = out.sortWithinPartitions(*partition_by, *cluster_by)
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
@@ -84,8 +86,10 @@ def layout_clustered(df: DataFrame, partition_key: Sequence[str], clustering_key
 
 def write_bucketed_table(df: DataFrame, table: str, key: Sequence[str], buckets: int, path: str | None = None,
                          sort: Sequence[str] | None = None) -> None:
-    """A bucketed, sorted catalog table: later joins and aggregates on ``key`` need no shuffle."""
-    w = df.write.mode("overwrite").format("parquet").bucketBy(buckets, *key).sortBy(*(sort or key))
+    """A bucketed, sorted catalog table: later joins and aggregates on ``key`` need no shuffle.
+
+    Rows are dealt by the key first, so a bucket is written by one task into one file."""
+    w = df.repartition(buckets, *key).write.mode("overwrite").format("parquet").bucketBy(buckets, *key).sortBy(*(sort or key))
     if path:
         w = w.option("path", path)
     w.saveAsTable(table)

@@ -2,31 +2,32 @@
 
 import json
 
-# Sample log rows as published with the log format (values abbreviated where the source was).
+# Log rows with the format's key names; persons, titles and places are invented. Hard cases: commas, quotes,
+# a wrongly decoded name.
 LOG_ROWS = [
-    {"artist": "Sydney Youngblood", "auth": "Logged In", "firstName": "Jacob", "gender": "M", "itemInSession": 53,
-     "lastName": "Klein", "length": 238.07955, "level": "paid", "location": "Tampa-St. Petersburg-Clearwater, FL",
+    {"artist": "Harbour Lanterns", "auth": "Logged In", "firstName": "Tomas", "gender": "M", "itemInSession": 53,
+     "lastName": "Veld", "length": 201.07955, "level": "paid", "location": "Old Mill-St. Brannock, QX",
      "method": "PUT", "page": "NextSong", "registration": 1.540558e12, "sessionId": 954,
-     "song": "Ain't No Sunshine", "status": 200, "ts": 1543449657796, "userAgent": "Mozilla/5.0 (Macintosh)",
+     "song": "Don't Wake the Tide", "status": 200, "ts": 1543449657796, "userAgent": "Mozilla/5.0 (Macintosh)",
      "userId": "73"},
-    {"artist": "Gang Starr", "auth": "Logged In", "firstName": "Layla", "gender": "F", "itemInSession": 88,
-     "lastName": "Griffin", "length": 151.92771, "level": "paid", "location": "Lake Havasu City-Kingman, AZ",
+    {"artist": "Copper Finch", "auth": "Logged In", "firstName": "Ines", "gender": "F", "itemInSession": 88,
+     "lastName": "Marlow", "length": 143.92771, "level": "paid", "location": "Port Ellery-Dunmoor, ZY",
      "method": "PUT", "page": "NextSong", "registration": 1.541057e12, "sessionId": 984,
-     "song": "My Advice 2 You (Explicit)", "status": 200, "ts": 1543449690796,
+     "song": "Paper 2 Stone (Demo)", "status": 200, "ts": 1543449690796,
      "userAgent": "Mozilla/5.0 (Windows NT 6.1; WOW64)", "userId": "24"},
-    {"artist": "3OH!3", "auth": "Logged In", "firstName": "Layla", "gender": "F", "itemInSession": 89,
-     "lastName": "Griffin", "length": 192.522, "level": "paid", "location": "Lake Havasu City-Kingman, AZ",
+    {"artist": "9TO!5", "auth": "Logged In", "firstName": "Ines", "gender": "F", "itemInSession": 89,
+     "lastName": "Marlow", "length": 205.522, "level": "paid", "location": "Port Ellery-Dunmoor, ZY",
      "method": "PUT", "page": "NextSong", "registration": 1.541057e12, "sessionId": 984,
-     "song": "My First Kiss (Feat. Ke$ha) [Album Version]", "status": 200, "ts": 1543449841796,
+     "song": "Her Last Map (Feat. Jo$ie) [Long Cut]", "status": 200, "ts": 1543449841796,
      "userAgent": "Mozilla/5.0 (Windows NT 6.1; WOW64)", "userId": "24"},
-    {"artist": "RÃ\u0083Â¶yksopp", "auth": "Logged In", "firstName": "Jacob", "gender": "M",
-     "itemInSession": 54, "lastName": "Klein", "length": 369.81506, "level": "paid",
-     "location": "Tampa-St. Petersburg-Clearwater, FL", "method": "PUT", "page": "NextSong",
-     "registration": 1.540558e12, "sessionId": 954, "song": "The Girl and The Robot", "status": 200,
+    {"artist": "SÃ\u0083Â¶lvgard", "auth": "Logged In", "firstName": "Tomas", "gender": "M",
+     "itemInSession": 54, "lastName": "Veld", "length": 301.81506, "level": "paid",
+     "location": "Old Mill-St. Brannock, QX", "method": "PUT", "page": "NextSong",
+     "registration": 1.540558e12, "sessionId": 954, "song": "The Clock and The River", "status": 200,
      "ts": 1543449895796, "userAgent": "Mozilla/5.0 (Macintosh)", "userId": "73"},
-    {"artist": "Kajagoogoo", "auth": "Logged In", "firstName": "Layla", "gender": "F", "itemInSession": 90,
-     "lastName": "Griffin", "length": 223.55546, "level": "paid", "location": "Lake Havasu City-Kingman, AZ",
-     "method": "PUT", "page": "NextSong", "registration": 1.541057e12, "sessionId": 984, "song": "Too Shy",
+    {"artist": "Velvet Quarry", "auth": "Logged In", "firstName": "Ines", "gender": "F", "itemInSession": 90,
+     "lastName": "Marlow", "length": 187.25546, "level": "paid", "location": "Port Ellery-Dunmoor, ZY",
+     "method": "PUT", "page": "NextSong", "registration": 1.541057e12, "sessionId": 984, "song": "Two Doors",
      "status": 200, "ts": 1543450033796, "userAgent": "Mozilla/5.0 (Windows NT 6.1; WOW64)", "userId": "24"},
     # a non-listen page of a logged-out visitor: no artist, no user
     {"artist": None, "auth": "Logged Out", "firstName": None, "gender": None, "itemInSession": 0,
@@ -34,26 +35,26 @@ LOG_ROWS = [
      "registration": None, "sessionId": 1000, "song": None, "status": 200, "ts": 1543450100000,
      "userAgent": None, "userId": ""},
     # the same user later at a free level
-    {"artist": "Kajagoogoo", "auth": "Logged In", "firstName": "Layla", "gender": "F", "itemInSession": 91,
-     "lastName": "Griffin", "length": 223.55546, "level": "free", "location": "Lake Havasu City-Kingman, AZ",
-     "method": "PUT", "page": "NextSong", "registration": 1.541057e12, "sessionId": 984, "song": "Too Shy",
+    {"artist": "Velvet Quarry", "auth": "Logged In", "firstName": "Ines", "gender": "F", "itemInSession": 91,
+     "lastName": "Marlow", "length": 187.25546, "level": "free", "location": "Port Ellery-Dunmoor, ZY",
+     "method": "PUT", "page": "NextSong", "registration": 1.541057e12, "sessionId": 984, "song": "Two Doors",
      "status": 200, "ts": 1543450300000, "userAgent": "Mozilla/5.0 (Windows NT 6.1; WOW64)", "userId": "24"},
 ]
 
 SONG_DOCS = [
-    {"num_songs": 1, "artist_id": "ARJIE2Y1187B994AB7", "artist_latitude": None, "artist_longitude": None,
-     "artist_location": "", "artist_name": "Line Renaud", "song_id": "SOUPIRU12A6D4FA1E1",
-     "title": "Der Kleine Dompfaff", "duration": 152.92036, "year": 0},
-    {"num_songs": 1, "artist_id": "ARKAJAGOO", "artist_latitude": 51.5, "artist_longitude": -0.1,
-     "artist_location": "London", "artist_name": "Kajagoogoo", "song_id": "SOTOOSHY2",
-     "title": "Too Shy", "duration": 223.55546, "year": 1983},
+    {"num_songs": 1, "artist_id": "ARXYZ3K2298C005BC8", "artist_latitude": None, "artist_longitude": None,
+     "artist_location": "", "artist_name": "Odile Marchbanks", "song_id": "SOQWERT12B7C5D9F0A",
+     "title": "Das stille Ufer", "duration": 161.53125, "year": 0},
+    {"num_songs": 1, "artist_id": "ARVELVET", "artist_latitude": 51.5, "artist_longitude": -0.1,
+     "artist_location": "London", "artist_name": "Velvet Quarry", "song_id": "SOTWODOORS2",
+     "title": "Two Doors", "duration": 187.25546, "year": 1983},
     # the same title/artist/duration twice: the lookup must take the smallest song_id
-    {"num_songs": 1, "artist_id": "ARKAJAGOO", "artist_latitude": 51.5, "artist_longitude": -0.1,
-     "artist_location": "London", "artist_name": "Kajagoogoo", "song_id": "SOTOOSHY1",
-     "title": "Too Shy", "duration": 223.55546, "year": 1983},
-    {"num_songs": 1, "artist_id": "ARGANG", "artist_latitude": None, "artist_longitude": None,
-     "artist_location": "NY", "artist_name": "Gang Starr", "song_id": "SOADVICE",
-     "title": "My Advice 2 You (Explicit)", "duration": 151.92771, "year": 1992},
+    {"num_songs": 1, "artist_id": "ARVELVET", "artist_latitude": 51.5, "artist_longitude": -0.1,
+     "artist_location": "London", "artist_name": "Velvet Quarry", "song_id": "SOTWODOORS1",
+     "title": "Two Doors", "duration": 187.25546, "year": 1983},
+    {"num_songs": 1, "artist_id": "ARCOPPER", "artist_latitude": None, "artist_longitude": None,
+     "artist_location": "NY", "artist_name": "Copper Finch", "song_id": "SOPAPER",
+     "title": "Paper 2 Stone (Demo)", "duration": 143.92771, "year": 1992},
 ]
 
 

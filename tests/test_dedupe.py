@@ -81,6 +81,16 @@ def test_merge_batches_equals_unsplit(spark):
                 == _rows(fn(df, "k", ["o"], cols=["attr", "level"]), ["k", "attr", "level"]))
 
 
+def test_second_batch_without_a_number_comes_after_the_stored_ones(spark):
+    b = [spark.createDataFrame([(1, x, x, o)], SCHEMA) for x, o in (("A", 5), ("B", 1), ("C", 1))]
+    for mode, last in (("last_write_wins", "C"), ("keep_first", "A")):
+        t = dedupe.merge_into(None, [b[0]], "k", mode, ["o"], cols=["attr"])
+        t = dedupe.merge_into(t, [b[1]], "k", mode, ["o"], cols=["attr"])
+        assert dedupe.stored_batch_no(t) == (1 if mode == "last_write_wins" else 0)
+        t = dedupe.merge_into(t, [b[2]], "k", mode, ["o"], cols=["attr"])
+        assert [r.attr for r in t.collect()] == [last]
+
+
 def test_map_payload_falls_back_to_min_by(spark):
     df = spark.createDataFrame([(1, {"a": 1}, 2), (1, {"b": 2}, 1)], "k long, m map<string,int>, o long")
     assert dedupe.keep_first(df, "k", ["o"], cols=["m"]).first().m == {"b": 2}

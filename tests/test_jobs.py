@@ -37,12 +37,12 @@ def test_lookup_tables(spark, tmp_dir):
     src = _csv_tree(tmp_dir)
     t = jobs.lookup_tables(spark, src, os.path.join(tmp_dir, "out"))
     item = key_lookup(t["song_playlist_artists"], sessionId=954, itemInSession=53).collect()
-    assert [(r.artist, r.song, round(r.length, 3)) for r in item] == [("Sydney Youngblood", "Ain't No Sunshine",
-                                                                       238.08)]
+    assert [(r.artist, r.song, round(r.length, 3)) for r in item] == [("Harbour Lanterns", "Don't Wake the Tide",
+                                                                       201.08)]
     sess = key_lookup(t["song_playlist_sessions"], ["itemInSession"], userId=24, sessionId=984).collect()
     assert [r.itemInSession for r in sess] == [88, 89, 90, 91]
-    listeners = key_lookup(t["song_playlist_users"], ["userId"], song="Too Shy").collect()
-    assert [(r.firstName, r.lastName) for r in listeners] == [("Layla", "Griffin")]
+    listeners = key_lookup(t["song_playlist_users"], ["userId"], song="Two Doors").collect()
+    assert [(r.firstName, r.lastName) for r in listeners] == [("Ines", "Marlow")]
     # the visitor row without an artist is not a listen
     assert t["song_playlist_artists"].count() == len(LOG_ROWS) - 1
 
@@ -80,6 +80,40 @@ def test_data_lake_modes(spark, tmp_dir):
     assert t["songs"].count() == 8                           # append doubles on rerun
 
 
+def test_last_write_is_the_last_in_the_source_files(spark, tmp_dir):
+    # whichever day's file is larger, day 2 comes after day 1
+    for name, sizes in (("large_first", (400, 1)), ("large_last", (1, 400))):
+        d = os.path.join(tmp_dir, name)
+        os.makedirs(d)
+        for day, n in enumerate(sizes, start=1):
+            with open(os.path.join(d, f"2018-11-{day:02d}-events.csv"), "w", newline="", encoding="utf-8") as f:
+                w = csv.writer(f)
+                w.writerow(schemas.LOG_CSV.fieldNames())
+                for i in range(n):
+                    r = dict(LOG_ROWS[0], itemInSession=i, song=f"day {day}")
+                    w.writerow(["" if r[c] is None else r[c] for c in schemas.LOG_CSV.fieldNames()])
+        t = jobs.lookup_tables(spark, d, os.path.join(tmp_dir, name + "_out"))
+        row = key_lookup(t["song_playlist_artists"], sessionId=954, itemInSession=0).first()
+        assert (row.song, row.userId) == ("day 2", 73)
+
+
+def test_star_merge_goes_on_after_the_stored_batches(spark, tmp_dir):
+    songs, logs = _json_trees(tmp_dir)
+    out = os.path.join(tmp_dir, "store")
+    later = os.path.join(tmp_dir, "later")
+    os.makedirs(later)
+    write_json_lines(os.path.join(later, "2018-11-30-events.json"),
+                     [dict(LOG_ROWS[4], ts=1543550000000, level="free", firstName="Other", itemInSession=95)])
+    jobs.star_merge(spark, songs, logs, out)
+    for _ in range(2):   # the last batch again changes nothing
+        t = jobs.star_merge(spark, songs, later, out, batch=1)
+        plays = sorted((r.songplay_id, r.song_id) for r in t["songplays"].collect())
+        assert [i for i, _ in plays] == list(range(1, 8)) and plays[-1] == (7, "SOTWODOORS1")
+        users = {r.user_id: (r.first_name, r.level) for r in t["users"].collect()}
+        assert users["24"] == ("Ines", "free") and len(users) == 2
+        assert t["songs"].count() == 4 and t["time"].count() == 7
+
+
 def test_cli(tmp_dir):
     songs, logs = _json_trees(tmp_dir)
     assert jobs.main(["star_upsert", "--songs", songs, "--logs", logs, "--out", os.path.join(tmp_dir, "cli"),
@@ -93,7 +127,7 @@ def test_star_upsert_takes_first_record_per_song_file(spark, tmp_dir):
     write_json_lines(os.path.join(d, "TR0.json"), [SONG_DOCS[0], extra])
     t = jobs.star_upsert(spark, songs, logs, os.path.join(tmp_dir, "out2"))
     ids = {r.song_id for r in t["songs"].collect()}
-    assert "SOSECONDLINE" not in ids and "SOUPIRU12A6D4FA1E1" in ids
+    assert "SOSECONDLINE" not in ids and "SOQWERT12B7C5D9F0A" in ids
 
 
 def test_lookup_tables_bucketed_prune_to_one_bucket(spark, tmp_dir):
@@ -108,6 +142,6 @@ def test_lookup_tables_bucketed_prune_to_one_bucket(spark, tmp_dir):
         q = key_lookup(t["song_playlist_artists"], sessionId=954, itemInSession=53)
         plan = q._jdf.queryExecution().executedPlan().toString()
         assert "SelectedBucketsCount: 1 out of 4" in plan
-        assert [r.artist for r in q.collect()] == ["Sydney Youngblood"]
+        assert [r.artist for r in q.collect()] == ["Harbour Lanterns"]
     finally:
         spark.conf.set(key, old)

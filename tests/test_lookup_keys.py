@@ -5,11 +5,11 @@ from lakemart.operators import keys, lookup, quality
 
 
 def test_lookup_first_keeps_misses_and_takes_smallest(spark):
-    logs = spark.createDataFrame([(1, "Too Shy", "Kajagoogoo", 223.55546), (2, "Nope", "Nobody", 1.0),
-                                  (3, None, "Kajagoogoo", 223.55546)],
+    logs = spark.createDataFrame([(1, "Two Doors", "Velvet Quarry", 187.25546), (2, "Nope", "Nobody", 1.0),
+                                  (3, None, "Velvet Quarry", 187.25546)],
                                  "row long, song string, artist string, length double")
-    dim = spark.createDataFrame([("S2", "A1", "Too Shy", "Kajagoogoo", 223.55546),
-                                 ("S1", "A1", "Too Shy", "Kajagoogoo", 223.55546)],
+    dim = spark.createDataFrame([("S2", "A1", "Two Doors", "Velvet Quarry", 187.25546),
+                                 ("S1", "A1", "Two Doors", "Velvet Quarry", 187.25546)],
                                 "song_id string, artist_id string, title string, artist_name string, duration double")
     out = lookup.lookup_first(logs, dim, ["song", "artist", "length"], ["title", "artist_name", "duration"],
                               ["song_id"], ["song_id", "artist_id"])
@@ -18,8 +18,8 @@ def test_lookup_first_keeps_misses_and_takes_smallest(spark):
 
 
 def test_title_only_join_fans_out(spark):
-    logs = spark.createDataFrame([(1, "Too Shy")], "row long, song string")
-    songs = spark.createDataFrame([("S1", "Too Shy", "A1"), ("S2", "Too Shy", "A2")],
+    logs = spark.createDataFrame([(1, "Two Doors")], "row long, song string")
+    songs = spark.createDataFrame([("S1", "Two Doors", "A1"), ("S2", "Two Doors", "A2")],
                                   "song_id string, title string, artist_id string")
     assert lookup.join_on_keys(logs, songs, "song", "title").count() == 2
 
@@ -91,7 +91,17 @@ def test_dense_ids_with_aqe_coalescing(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
 
 
-def test_row_at_position_large_position_uses_numbering(spark):
-    df = spark.range(0, 3000).select(((F.col("id") * 7) % 3000).alias("x"))
-    assert keys.POSITION_TOP_K_LIMIT < 2500
-    assert keys.row_at_position(df, ["x"], 2500).first().x == 2500
+def test_row_at_position_is_one_way_for_every_position(spark):
+    df = spark.range(0, 3000).select((((F.col("id") + 1) * 7) % 3001).alias("x"))
+    for n in (0, 1, 999, 1000, 2500, 2999):
+        assert keys.row_at_position(df, ["x"], n).first().x == n + 1
+    assert keys.row_at_position(df.where("x < 0"), ["x"], 0).count() == 0
+
+
+def test_weighted_offsets_match_a_running_sum(spark):
+    df = spark.range(0, 2000).select(((F.col("id") * 7919) % 2000).alias("o"), (F.col("id") % 5).alias("w"))
+    got = {r.o: r.s for r in keys.weighted_offsets(df, ["o"], "w", "s", 7).collect()}
+    total = 0
+    for r in sorted(df.collect()):
+        assert got[r.o] == total
+        total += r.w
