@@ -81,7 +81,23 @@ def _pair(counts: np.ndarray, gap: int, most: int):
 
 
 def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths of one sequence, number of such sequences), for all pieces counted by length."""
+    """(lengths of one sequence, number of such sequences), for all pieces counted by length.
+
+    Few pieces may do better with more left to the best fit: complements of up to three, two, one and
+    no pieces are tried until no packing could have fewer sequences, and the best is taken.
+    """
+    best = None
+    for most in (3, 2, 1, 0):
+        made = _plan(counts, size, most)
+        if best is None or sum(n for _, n in made) < sum(n for _, n in best):
+            best = made
+        if sum(n for _, n in best) == fewest(counts, size):
+            break
+    return best
+
+
+def _plan(counts, size, most):
+    """``plan`` with exact complements of at most ``most`` pieces."""
     left = np.zeros(size + 1, np.int64)
     for n, c in counts.items():
         left[n] += c
@@ -93,16 +109,16 @@ def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, ...]
             out.append((combo, n))
 
     use((size,))
-    for a in range(size - 1, size // 2 - 1, -1):  # one length fills the gap
+    for a in range(size - 1, size // 2 - 1, -1) if most > 0 else ():  # one length fills the gap
         if left[a]:
             use((a, size - a))
-    for a in range(size - 2, size // 3 - 1, -1):  # two do
+    for a in range(size - 2, size // 3 - 1, -1) if most > 1 else ():  # two do
         if left[a]:
             for pair in _pair(left, size - a, a):
                 use((a, *pair))
                 if not left[a]:
                     break
-    for a in range(size - 3, size // 4 - 1, -1):  # three do; sums of available pairs are indexed as bits
+    for a in range(size - 3, size // 4 - 1, -1) if most > 2 else ():  # three do; sums of available pairs are indexed as bits
         if not left[a]:
             continue
         have = [int(x) for x in np.flatnonzero(left)]
