@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import string
 
 import numpy as np
 
@@ -16,6 +17,9 @@ from lakemart.llm.common import worker_state
 
 CACHE_PARTS, GROUP = 1_000_000, 1000
 
+#: Signs that may end a word as a token of their own, and the end of the letters for which that is relied on.
+SIGNS, LAST_LETTER = string.punctuation, "\u0370"
+
 
 class Encoder:
     """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes."""
@@ -30,7 +34,7 @@ class Encoder:
         pre, norm = conf.get("pre_tokenizer") or {}, conf.get("normalizer")
         steps = [p.get("type") for p in pre.get("pretokenizers", [])]
         if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not norm:
-            self.mode = "space before"  # a token holds a space at its start only, unless white space precedes it
+            self.mode = "space before"  # a token holds a space at its start only, a line end alone, but for runs of white space
         elif steps == ["Split", "ByteLevel"] and pre["pretokenizers"][0].get("behavior") == "Removed" and (
                 conf["model"].get("end_of_word_suffix")):
             self.mode = "words"  # white space is dropped and no token crosses it
@@ -43,47 +47,66 @@ class Encoder:
         self.last = np.array([n.endswith(suffix) for n in names])
         self.parts: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}
+        self.line = self._each(["\n"])[0]
 
     def _each(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _together(self, parts: list[str], lead: str, mark: np.ndarray, at_end: bool) -> None:
-        """Encode parts in groups and cut the ids at marked tokens; one by one if the marks do not add up."""
-        groups = [parts[i:i + GROUP] for i in range(0, len(parts), GROUP)]
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        texts = [t or "" for t in texts]
+        if self.mode == "whole":
+            return self._each(texts)
+        return self._spaced(texts) if self.mode == "space before" else self._split(texts)
+
+    def _learn(self, known: dict[str, bytes], new: set[str], lead: str, mark: np.ndarray, at_end: bool) -> None:
+        """Ids of new parts (each with ``lead`` before it): a word and the signs that end it are encoded apart, words
+        in groups whose ids are cut at marked tokens, or one by one if the marks do not add up."""
+        new.difference_update(known)
+        ended = {}
+        for x in new:
+            word = x.rstrip(SIGNS)
+            if word and len(word) < len(x) and word.isalpha() and max(word) < LAST_LETTER and word.lower().isalpha():
+                ended[x] = (word, x[len(word):])
+        whole = new.difference(ended)
+        whole.update(w for w, _ in ended.values() if w not in known)
+        words = sorted(x for x in whole if x.isalpha()) if at_end else sorted(whole)
+        groups = [words[i:i + GROUP] for i in range(0, len(words), GROUP)]
         texts = [lead + " ".join(g) for g in groups]
         for g, e in zip(groups, self.tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             ids = np.array(e.ids, dtype="<u4")
             at = np.flatnonzero(mark[ids])
             if len(at) != len(g) or (at[-1] != len(ids) - 1 if at_end else at[0] != 0):
-                self.parts.update(zip(g, self._each([lead + x for x in g]), strict=True))
+                known.update(zip(g, self._each([lead + x for x in g]), strict=True))
                 continue
             raw = ids.tobytes()
             cut = ([0, *((at + 1) * 4).tolist()] if at_end else [*(at * 4).tolist(), len(raw)])
-            self.parts.update(zip(g, (raw[a:z] for a, z in zip(cut, cut[1:], strict=False)), strict=True))
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        texts = [t or "" for t in texts]
-        if self.mode == "whole":
-            return self._each(texts)
-        return self._spaced(texts) if self.mode == "space before" else self._split(texts)
+            known.update(zip(g, (raw[a:z] for a, z in zip(cut, cut[1:], strict=False)), strict=True))
+        others = sorted(whole.difference(words))
+        known.update(zip(others, self._each([lead + x for x in others]), strict=True))
+        signs = sorted({t for _, t in ended.values()}.difference(self.signs))
+        self.signs.update(zip(signs, self._each(signs), strict=True))
+        for x, (word, end) in ended.items():
+            known[x] = known[word] + self.signs[end]
 
     def _spaced(self, texts):
-        cut = [t.split(" ") for t in texts]
-        new = set()
-        for c in cut:
-            new.update(c[1:])
-        if len(self.parts) + len(new) > CACHE_PARTS:
+        cut = [[x.split(" ") for x in t.split("\n")] for t in texts]
+        new, first = set(), set()
+        for lines in cut:
+            for c in lines:
+                first.add(c[0])
+                new.update(c[1:])
+        if len(self.parts) + len(self.heads) + len(new) > CACHE_PARTS:
             self.parts.clear()
-        new.difference_update(self.parts)
-        # a part that ends in white space, or is empty, would let a run of white space cross the cut
-        self._together(sorted(x for x in new if x and not x[-1].isspace()), " ", self.first, False)
-        out, get, whole = [], self.parts.__getitem__, []
-        heads = self._each([c[0] for c in cut])
-        for i, (c, h) in enumerate(zip(cut, heads, strict=True)):
+            self.heads.clear()
+        # a part that is empty, or begins or ends in white space, would let a run of white space cross a cut
+        self._learn(self.parts, {x for x in new if x and not (x[-1].isspace() or x[0].isspace())}, " ", self.first, False)
+        heads = sorted(x for x in first.difference(self.heads) if x and not (x[-1].isspace() or x[0].isspace()))
+        self.heads.update(zip(heads, self._each(heads), strict=True))
+        out, head, part, whole = [], self.heads.__getitem__, self.parts.__getitem__, []
+        for i, lines in enumerate(cut):
             try:
-                if c[0][-1:].isspace():
-                    raise KeyError
-                out.append(h + b"".join(map(get, c[1:])))
+                out.append(self.line.join([head(c[0]) + b"".join(map(part, c[1:])) for c in lines]))
             except KeyError:
                 out.append(b"")
                 whole.append(i)
@@ -96,13 +119,8 @@ class Encoder:
         new = set().union(*cut) if cut else set()
         if len(self.parts) + len(new) > CACHE_PARTS:
             self.parts.clear()
-        new.difference_update(self.parts)
-        new.discard("")
         self.parts[""] = b""
-        words = sorted(x for x in new if x.isalpha())
-        others = sorted(new.difference(words))
-        self._together(words, "", self.last, True)
-        self.parts.update(zip(others, self._each(others), strict=True))
+        self._learn(self.parts, new, "", self.last, True)
         get = self.parts.__getitem__
         return [b"".join(map(get, c)) for c in cut]
 
