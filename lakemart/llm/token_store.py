@@ -153,12 +153,11 @@ def tokenized(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str
     """(doc_id, ids): ids of each text and the end id, unsigned 16-bit if the vocabulary allows, else 32-bit."""
     def run(batches):
         enc = encoder(tokenizer)
-        kind = "<u2" if enc.size <= 1 << 16 else "<u4"
+        kind, tail = "<u2" if enc.size <= 1 << 16 else "<u4", np.array([end], "<u4").tobytes()
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
-                got = [np.append(np.frombuffer(x, "<u4"), end).astype(kind).tobytes()
-                       for x in enc.encode(part.column(1).to_pylist())]
+                got = [np.frombuffer(x + tail, "<u4").astype(kind).tobytes() for x in enc.encode(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(got, pa.binary()),
                                                   pa.array([int(kind[2])] * len(got), pa.int32())],
                                                  names=["doc_id", "ids", "width"])
@@ -170,8 +169,9 @@ def tokenized(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str
 def _counts(batches):
     total = np.zeros(0, np.int64)
     for b in batches:
-        for x, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            n = np.bincount(np.frombuffer(x, f"<u{w}"), minlength=len(total))
+        for lo in range(0, b.num_rows, 512):
+            part = b.slice(lo, 512)  # one tokenizer, one width
+            n = np.bincount(np.frombuffer(b"".join(part.column(0).to_pylist()), f"<u{part.column(1)[0]}"), minlength=len(total))
             n[:len(total)] += total
             total = n
     i = np.flatnonzero(total)
