@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lakemart.session import read_table, scratch_path
 
 __all__ = ["read_table", "scratch_path", "stored", "worker_state", "ASCII_SPACE", "NOT_WORD_10", "Words",
-           "doc_slices", "mix", "kgrams", "window_min", "set_bits", "bit_table", "bit_position", "column"]
+           "doc_slices", "row_slices", "mix", "kgrams", "window_min", "set_bits", "bit_table", "bit_position", "column"]
 
 
 def column(df: DataFrame, name: str, kind: str | None = None):
@@ -120,20 +120,29 @@ class Words:
         return len(self.hash)
 
 
-def doc_slices(col: pa.ChunkedArray | pa.Array, max_bytes: int = 4 << 20):
-    """Cut a string column into runs of rows of about ``max_bytes``: (first row, buffer, offsets), null as empty."""
+def doc_slices(col: pa.ChunkedArray | pa.Array, max_bytes: int = 1 << 20):
+    """Cut a string column into runs of rows of about ``max_bytes``: (first row, buffer, offsets), null as empty.
+
+    Only such a run, not the column, is copied, and scratch memory follows ``max_bytes`` or the longest text."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks() if col.num_chunks != 1 else col.chunk(0)
-    col = col.fill_null("") if col.null_count else col
-    col = col.cast(pa.large_binary())
-    n = len(col)
-    off = np.frombuffer(col.buffers()[1], dtype=np.int64)[col.offset:col.offset + n + 1]
-    data = np.frombuffer(col.buffers()[2], dtype=np.uint8) if col.buffers()[2] is not None else np.zeros(0, np.uint8)
-    i = 0
-    while i < n:
-        j = max(i + 1, int(np.searchsorted(off, off[i] + max_bytes, side="right")) - 1)
-        yield i, data[off[i]:off[j]], off[i:j + 1] - off[i]
-        i = j
+    for lo in range(0, len(col), 1024):
+        part = col.slice(lo, 1024)
+        part = (part.fill_null("") if part.null_count else part).cast(pa.large_binary())
+        n = len(part)
+        off = np.frombuffer(part.buffers()[1], dtype=np.int64)[part.offset:part.offset + n + 1]
+        data = np.frombuffer(part.buffers()[2], dtype=np.uint8) if part.buffers()[2] is not None else np.zeros(0, np.uint8)
+        i = 0
+        while i < n:
+            j = max(i + 1, int(np.searchsorted(off, off[i] + max_bytes, side="right")) - 1)
+            yield lo + i, data[off[i]:off[j]], off[i:j + 1] - off[i]
+            i = j
+
+
+def row_slices(b: pa.RecordBatch, rows: int = 512):
+    """A batch in runs of ``rows`` rows, for work that makes Python objects of them."""
+    for lo in range(0, b.num_rows, rows):
+        yield b.slice(lo, rows)
 
 
 def kgrams(h: np.ndarray, k: int) -> np.ndarray:

@@ -104,7 +104,7 @@ def _shingle_hits(docs: DataFrame, table: np.ndarray, bits: int, ks: list[int])
 
 def _verify(batches):
     """Marks each candidate window whose words stand in the document at its place."""
-    for b in batches:
+    for b in (x for b in batches for x in C.row_slices(b)):
         rows, marks, found = [], [], []
         for row, text, cand in zip(b.column("row").to_pylist(), b.column("text").to_pylist(),
                                    b.column("cand").to_pylist(), strict=True):

@@ -52,7 +52,7 @@ def _sets(b, text_col: str, shingle: int):
 def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, n, a, b, keys, head): set size, two sums over the set that name its class, least hashes."""
     def run(batches):
-        for batch in batches:
+        for batch in (x for b in batches for x in C.row_slices(b, 1024)):
             n, a, b, keys, head = [], [], [], [], []
             for _, s in _sets(batch, "text", shingle):
                 n.append(len(s))
@@ -270,7 +270,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     table = sc.broadcast(C.set_bits(cluster.select(F.xxhash64("node").alias("k")), "k", bits))
 
     def whole_sets(batches):
-        for b in batches:
+        for b in (x for b in batches for x in C.row_slices(b, 1024)):
             p = b.take(pa.array(np.flatnonzero(C.bit_table(table.value, bits, b.column("k").to_numpy().view(np.uint64)))))
             got = [s.astype("<u8").tobytes() for _, s in _sets(p, "text", shingle)]
             yield pa.RecordBatch.from_arrays([p.column("c"), pa.array(got, pa.binary())], names=["c", "members"])

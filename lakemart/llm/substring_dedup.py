@@ -85,12 +85,13 @@ def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def _slices(b, firsts, bits):
     """Words, doc and t32 of runs of texts; texts that are surely not the first of equal ones have no words."""
-    first = C.bit_table(firsts, bits, b.column("copy").to_numpy().view(np.uint64))
-    text = b.column("text").take(pa.array(np.arange(b.num_rows), mask=~first))
-    for i, buf, off in C.doc_slices(text):
-        w = C.Words(buf, off, C.ASCII_SPACE, C.SAME)
-        n = len(off) - 1
-        yield w, b.column("doc").slice(i, n).to_numpy(), b.column("t32").slice(i, n).to_numpy().astype(np.int64)
+    for p in C.row_slices(b, 1024):
+        first = C.bit_table(firsts, bits, p.column("copy").to_numpy().view(np.uint64))
+        text = p.column("text").take(pa.array(np.arange(p.num_rows), mask=~first))
+        for i, buf, off in C.doc_slices(text):
+            w = C.Words(buf, off, C.ASCII_SPACE, C.SAME)
+            n = len(off) - 1
+            yield w, p.column("doc").slice(i, n).to_numpy(), p.column("t32").slice(i, n).to_numpy().astype(np.int64)
 
 
 def _batch(names, *arrays):
@@ -236,7 +237,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
 
     def here(batches):
         none = np.zeros((0, 2), np.int64)
-        for b in batches:
+        for b in (x for b in batches for x in C.row_slices(b)):
             first, later = split(b)
             p = b.take(pa.array(np.flatnonzero(~later)))
             rows = []
@@ -247,16 +248,16 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
             yield add(_kept_rows(rows), p)
 
     def packed(batches):
-        for b in batches:
+        for b in (x for b in batches for x in C.row_slices(b)):
             p = b.take(pa.array(np.flatnonzero(split(b)[1])))
-            z = [pa.compress((t or "").encode(), "zstd", asbytes=True) for t in p.column("text").to_pylist()]
-            size = [len((t or "").encode()) for t in p.column("text").to_pylist()]
+            raw = [(t or "").encode() for t in p.column("text").to_pylist()]
+            z, size = [pa.compress(t, "zstd", asbytes=True) for t in raw], [len(t) for t in raw]
             yield pa.RecordBatch.from_arrays(
                 [p.column("doc"), p.column("t32"), p.column("doc_id"), pa.array(z, pa.binary()), pa.array(size, pa.int64()),
                  *(p.column(c) for c in extra[1:])], names=["doc", "t32", "doc_id", "z", "size", *extra[1:]])
 
     def joined(batches):
-        for b in batches:
+        for b in (x for b in batches for x in C.row_slices(b)):
             cols = (b.column(c).to_pylist() for c in ("doc_id", "z", "size", "spans"))
             rows = [(i, pa.decompress(z, n, "zstd", asbytes=True) if n else b"", unite(s))
                     for i, z, n, s in zip(*cols, strict=True)]
