@@ -11,7 +11,7 @@ Sets are put in one global order, that of their 64-bit hashes. Two sets with a J
    parts not yet connected are looked for, so a key's group costs about a step for each class.
 3. Connected candidates form clusters; each class ships its whole set to its cluster once, where
    similarities are computed exactly, again until a cluster is connected or proven not to be.
-4. Verified links are turned into components by min-label rounds on stored tables.
+4. Verified links are turned into components by rounds of hooking on stored tables.
 
 A key's group and a cluster of more than ``LIMIT`` classes are cut into blocks and each pair of blocks
 is a task of its own, so no task is unbounded and no pair is left out. A pair with similarity 0.8 is
@@ -27,6 +27,8 @@ named columns are read.
 
 from __future__ import annotations
 
+import bisect
+
 import numpy as np
 import pyarrow as pa
 
@@ -70,10 +72,10 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
 
 
 class Parts:
-    """Union-find over the members of a group; ``links`` is a forest of those that were joined."""
+    """Union-find over the members of a group; the root of a part is its first member."""
 
     def __init__(self, n):
-        self.up, self.left, self.links = list(range(n)), n, []
+        self.up, self.left = list(range(n)), n
 
     def root(self, i):
         while self.up[i] != i:
@@ -86,7 +88,10 @@ class Parts:
         if a != b:
             self.up[max(a, b)] = min(a, b)
             self.left -= 1
-            self.links.append((i, j))
+
+    def links(self):
+        """Each member with the first of its part: stars, so that chains of links are short."""
+        return [(self.root(i), i) for i in range(len(self.up)) if self.root(i) != i]
 
 
 def may_link(x, y, nx, ny) -> bool:
@@ -119,34 +124,38 @@ class Trie:
             node = nxt
         node[1].append(member)
 
-    def near(self, seq, least):
-        """Members of sequences that may share ``least`` tokens with ``seq``; most alike branches first."""
-        todo = [(self.top, 0, 0)]
-        n = len(seq)
+    def near(self, seq, least, most):
+        """(member, overlap) of sequences that share at least ``least`` tokens with ``seq`` and have at most ``most``
+        others; the branch that goes on alike comes first, the others are opened only when asked for."""
+        todo, n = [(self.top, 0, 0, 0, False)], len(seq)
         while todo:
-            node, at, got = todo.pop()
-            if got + min(node[2], n - at) < least:
+            node, at, got, other, rest = todo.pop()
+            if not rest:
+                if other > most or got + min(node[2], n - at) < least:
+                    continue
+                if got >= least:
+                    for member in node[1]:
+                        yield member, got
+                if node[0]:
+                    todo.append((node, at, got, other, True))
+                    alike = node[0].get(seq[at]) if at < n else None
+                    if alike:
+                        todo.append((alike, at + 1, got + 1, other, False))
                 continue
-            if got >= least:
-                yield from node[1]
-            same = None
             for t, child in node[0].items():
-                p = at
-                while p < n and seq[p] < t:
-                    p += 1
+                if at < n and t == seq[at]:
+                    continue
+                p = at + bisect.bisect_left(seq[at:], t) if at < n else n
+                if got + n - p < least:
+                    continue
                 if p < n and seq[p] == t:
-                    if p == at:
-                        same = (child, p + 1, got + 1)
-                    else:
-                        todo.append((child, p + 1, got + 1))
+                    todo.append((child, p + 1, got + 1, other, False))
                 else:
-                    todo.append((child, p, got))
-            if same:
-                todo.append(same)
+                    todo.append((child, p, got, other + 1, False))
 
 
 def candidate_links(sizes, heads) -> list[tuple[int, int]]:
-    """A forest that connects all members of a key's group that ``may_link`` connects."""
+    """Links that connect all members of a key's group that ``may_link`` connects."""
     m = len(sizes)
     parts = Parts(m)
     if m <= 6:
@@ -154,39 +163,56 @@ def candidate_links(sizes, heads) -> list[tuple[int, int]]:
             for i in range(j):
                 if parts.left > 1 and parts.root(i) != parts.root(j) and may_link(heads[i], heads[j], sizes[i], sizes[j]):
                     parts.join(i, j)
-        return parts.links
-    tokens, times = np.unique(np.concatenate(heads), return_counts=True)
-    often = tokens[times > 1]  # others are no overlap
+        return parts.links()
+    sizes = np.asarray(sizes)
+    owner = np.repeat(np.arange(m), [len(h) for h in heads])
+    tokens = np.concatenate(heads)
+    _, which, times = np.unique(tokens, return_inverse=True, return_counts=True)
+    shared = times[which] > 1  # others are no overlap
+    least = np.minimum(-(-HEAD // 5), -(-NEED * sizes // OF))
+    able = np.bincount(owner[shared], minlength=m) >= least  # the others can reach no one
+    seqs = np.split(tokens[shared], np.searchsorted(owner[shared], np.arange(1, m)))
     tree, inside = Trie(), 0
     for j in np.argsort(sizes, kind="stable").tolist():
-        seq = heads[j][np.isin(heads[j], often, assume_unique=True)].tolist()
-        least = min(-(-HEAD // 5), -(-NEED * int(sizes[j]) // OF))
-        for i in tree.near(seq, least):
+        if not able[j]:
+            continue
+        seq = seqs[j].tolist()
+        for i, _ in tree.near(seq, int(least[j]), HEAD):
             if parts.left == m - inside:
                 break  # this one and all in the tree are one part; the others are parts of their own
             if parts.root(i) != parts.root(j) and may_link(heads[i], heads[j], sizes[i], sizes[j]):
                 parts.join(i, j)
         tree.add(seq, j)
         inside += 1
-    return parts.links
+    return parts.links()
 
 
 def exact_links(sets) -> list[tuple[int, int]]:
-    """A forest that connects all sets that links of the full similarity connect."""
-    order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
-    heads = [(s[:HEAD] >> np.uint64(32)).astype(np.uint32) for s in sets]
-    parts = Parts(len(sets))
-    for at, j in enumerate(order):
-        for i in reversed(order[:at]):
-            if parts.left == 1:
-                return parts.links
-            if OF * len(sets[i]) < NEED * len(sets[j]):
-                break  # all before are smaller still
-            if parts.root(i) != parts.root(j) and may_link(heads[i], heads[j], len(sets[i]), len(sets[j])):
-                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if OF * both >= NEED * (len(sets[i]) + len(sets[j]) - both):
+    """Links that connect all sets that links of the full similarity connect.
+
+    Sets are met in the order of their size, so a set of n members must share NEED / OF of them with any
+    before it; the tree holds the hashes that more than one set has, and gives the overlap itself."""
+    m = len(sets)
+    parts = Parts(m)
+    sizes = np.array([len(x) for x in sets])
+    owner, tokens = np.repeat(np.arange(m), sizes), np.concatenate(sets)
+    _, which, times = np.unique(tokens, return_inverse=True, return_counts=True)
+    shared = times[which] > 1
+    least = -(-NEED * sizes // OF)
+    able = np.bincount(owner[shared], minlength=m) >= least
+    seqs = np.split(tokens[shared], np.searchsorted(owner[shared], np.arange(1, m)))
+    tree, inside = Trie(), 0
+    for j in np.argsort(sizes, kind="stable").tolist():
+        seq = seqs[j].tolist()
+        if able[j]:
+            for i, both in tree.near(seq, int(least[j]), int(sizes[j] - least[j])):
+                if OF * both >= NEED * (int(sizes[i] + sizes[j]) - both):
                     parts.join(i, j)
-    return parts.links
+                if parts.left == m - inside:
+                    break  # this one and all in the tree are one part
+        tree.add(seq, j)
+        inside += 1
+    return parts.links()
 
 
 def _blocks(df: DataFrame, group: str, member: str, limit: int) -> DataFrame:
@@ -230,21 +256,30 @@ def _links(pairs):
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
-    """(node, part): least node that links (u, v) reach, for each node of a link. Min-label rounds with jumps."""
-    both = C.stored(links.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(),
-                    f"{name}-links")
-    both = both.unionAll(both.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    label = C.stored(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.min("u")).alias("part")), name)
-    while True:  # each round at least halves the way to a part's least node
-        near = (both.join(label.withColumnRenamed("node", "v"), "v").groupBy(F.col("u").alias("node"))
-                .agg(F.min("part").alias("near")))
-        low = label.join(near, "node").select("node", "part", F.least("part", "near").alias("low"))
-        jump = label.select(F.col("node").alias("low"), F.col("part").alias("far"))
-        step = C.stored(low.join(jump, "low", "left").select("node", F.least("low", "far").alias("part"),
-                                                             (F.col("part") > F.least("low", "far")).alias("moved")), name)
-        label = step.select("node", "part")
-        if step.where("moved").isEmpty():
-            return label
+    """(node, part): least node that links (u, v) reach, for each node of a link.
+
+    Each round hooks every node that has a smaller neighbour onto the least one, follows the hooks to their ends
+    and goes on with the ends; at most half of the nodes of a part are left."""
+    pair = (F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    edges = C.stored(links.where("u <> v").select(*pair).distinct(), f"{name}-links")
+    label = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct().withColumn("part", F.col("node"))
+    while not edges.isEmpty():
+        hook = C.stored(edges.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("to")), f"{name}-hooks")
+        while True:
+            then = hook.select(F.col("node").alias("to"), F.col("to").alias("next"))
+            step = hook.join(then, "to", "left").select("node", F.coalesce("next", "to").alias("to"),
+                                                        F.col("next").isNotNull().alias("moved"))
+            if step.where("moved").isEmpty():
+                break
+            hook = C.stored(step.drop("moved"), f"{name}-hooks")
+        label = C.stored(label.join(hook.withColumnRenamed("node", "part"), "part", "left")
+                         .select("node", F.coalesce("to", "part").alias("part")), name)
+        ends = edges
+        for end in ("u", "v"):
+            ends = ends.join(hook.select(F.col("node").alias(end), F.col("to").alias("_to")), end, "left").withColumn(
+                end, F.coalesce("_to", end)).drop("_to")
+        edges = C.stored(ends.where("u <> v").select(*pair).distinct(), f"{name}-links")
+    return label
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,

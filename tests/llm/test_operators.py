@@ -76,26 +76,48 @@ def test_jaccard_join(spark, docs, empty):
     assert odd == [(5, 5)] * 3 + [(None, None)] * 2
 
 
+def _roots(n, links):
+    parts = jaccard_join.Parts(n)
+    for i, j in links:
+        parts.join(i, j)
+    return [parts.root(i) for i in range(n)]
+
+
 def test_trie_finds_what_all_pairs_find():
     rng = np.random.default_rng(3)
-    for _ in range(40):
-        base = [np.unique(rng.integers(0, 2**32, rng.integers(2, 60), dtype=np.uint64)) for _ in range(4)]
+    for _ in range(60):
+        base = [np.unique(rng.integers(0, 2**63, rng.integers(2, 60), dtype=np.uint64)) for _ in range(4)]
         sets = []
         for _ in range(14):
             s = base[rng.integers(4)]
-            extra = rng.integers(0, 2**32, rng.integers(0, 6), dtype=np.uint64)
+            extra = rng.integers(0, 2**63, rng.integers(0, 6), dtype=np.uint64)
             sets.append(np.unique(np.concatenate([s[rng.random(len(s)) < 0.93], extra])))
         sets = [s if len(s) else base[0] for s in sets]
-        sizes, heads = [len(s) for s in sets], [s[:jaccard_join.HEAD].astype(np.uint32) for s in sets]
-        parts = jaccard_join.Parts(len(sets))
-        for i in range(len(sets)):
-            for j in range(i):
-                if jaccard_join.may_link(heads[i], heads[j], sizes[i], sizes[j]):
-                    parts.join(i, j)
-        forest = jaccard_join.Parts(len(sets))
-        for i, j in jaccard_join.candidate_links(sizes, heads):
-            forest.join(i, j)
-        assert [forest.root(i) for i in range(len(sets))] == [parts.root(i) for i in range(len(sets))]
+        sizes, heads = [len(s) for s in sets], [(s[:jaccard_join.HEAD] >> np.uint64(32)).astype(np.uint32) for s in sets]
+        pairs = [(i, j) for i in range(14) for j in range(i)]
+        maybe = [(i, j) for i, j in pairs if jaccard_join.may_link(heads[i], heads[j], sizes[i], sizes[j])]
+        assert _roots(14, jaccard_join.candidate_links(sizes, heads)) == _roots(14, maybe)
+        full = [(i, j) for i, j in pairs if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))]
+        assert _roots(14, jaccard_join.exact_links(sets)) == _roots(14, full)
+
+
+def test_components_of_chains_and_stars(spark):
+    rng = random.Random(5)
+    ids = rng.sample(range(1000), 400)
+    links = [(ids[i], ids[i + 1]) for i in range(200)] + [(ids[300], x) for x in ids[301:360]] + [(7777, 7777), (ids[390], ids[391])] * 2
+    up = {x: x for x in ids}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for u, v in links:
+        if u != v:
+            a, b = sorted((root(u), root(v)))
+            up[b] = a
+    got = {r.node: r.part for r in jaccard_join.components(spark.createDataFrame(links, "u long, v long")).collect()}
+    assert got == {x: root(x) for u, v in links for x in (u, v) if u != v}
 
 
 def test_substring_dedup(spark, docs, empty):
