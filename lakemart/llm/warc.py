@@ -12,8 +12,8 @@ are summed up.
    names them in the manifest with each record's place, so repeated tasks do no harm.
 3. The reader takes ranges of records of about equal bytes.
 
-Cases: a null payload is written as empty; equal rows (id and all) are one record each, the first of
-them in digest order keeps the payload; pages without id keep a null id and come last in choosing
+Cases: a null payload is written as empty; equal rows (id and all) are one record each and, if theirs is
+the largest id, all of them responses; pages without id keep a null id and come last in choosing
 the response; a null url leaves the target out; an empty table gives no files; extra columns are not read.
 """
 
