@@ -97,18 +97,18 @@ def model(texts: DataFrame) -> np.ndarray | None:
                       .agg(F.count(F.lit(1)).alias("n")))
     if counts.isEmpty():
         return None
-    p = np.full(1, 1 / (1 << BITS))
+    p = np.full(1 << BITS, 1 / (1 << BITS), np.float32)
     for k, c in enumerate(reversed(orders), start=1):
         seen, rest = _level(c)
-        size = 1 << (BITS * k)
-        weight = np.ones(size >> BITS)
-        low = np.full(1 << BITS, p[0]) if k == 1 else np.tile(p, 1 << BITS)
-        for r in rest.toPandas().itertuples(index=False):  # at most 2**18 contexts
-            weight[r.context] = r.rest
-        p = low * np.repeat(weight, 1 << BITS)
+        p = p if k == 1 else np.tile(p, 1 << BITS)
+        weight = np.ones(len(p) >> BITS, np.float32)
+        r = rest.toPandas()  # at most 2**18 contexts
+        weight[r["context"].to_numpy()] = r["rest"].to_numpy()
+        p.reshape(-1, 1 << BITS)[:] *= weight[:, None]
         s = seen.toPandas()  # at most 2**24 grams, the size of the table
-        p[s["gram"].to_numpy()] += s["share"].to_numpy()
-    return -np.log2(p).astype(np.float32)
+        p[s["gram"].to_numpy()] += s["share"].to_numpy(np.float32)
+    np.log2(p, out=p)
+    return np.negative(p, out=p)
 
 
 def _scored(docs: DataFrame, bits: np.ndarray, text: str) -> DataFrame:
