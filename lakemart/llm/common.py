@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import sys
 import types
+import uuid
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from lakemart.session import read_table, scratch_path
 
 __all__ = ["read_table", "scratch_path", "stored", "worker_state", "ASCII_SPACE", "NOT_WORD_10", "Words",
-           "doc_slices", "row_slices", "mix", "kgrams", "window_min", "set_bits", "bit_table", "bit_position", "column"]
+           "doc_slices", "row_slices", "mix", "kgrams", "window_min", "BitSet", "set_bits", "bit_position", "column"]
 
 
 def column(df: DataFrame, name: str, kind: str | None = None):
@@ -176,7 +178,27 @@ def bit_position(key, bits: int):
     return F.shiftrightunsigned(key, 64 - bits)
 
 
-def set_bits(keys: DataFrame, key: str, bits: int) -> np.ndarray:
+class BitSet:
+    """The bit table, sent compressed and unpacked once in each worker."""
+
+    def __init__(self, table: np.ndarray, bits: int):
+        self.bits, self.packed, self.name = bits, zlib.compress(table.tobytes(), 1), uuid.uuid4().hex
+
+    def table(self) -> np.ndarray:
+        held = worker_state().setdefault("bit tables", {})
+        if self.name not in held:
+            while len(held) >= 8:  # of earlier stages
+                held.pop(next(iter(held)))
+            held[self.name] = np.frombuffer(zlib.decompress(self.packed), np.uint8)
+        return held[self.name]
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        """Which of the hashes ``h`` have their bit set."""
+        p = h >> np.uint64(64 - self.bits)
+        return (self.table()[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & np.uint8(1) != 0
+
+
+def set_bits(keys: DataFrame, key: str, bits: int) -> BitSet:
     """Bit table of ``key`` over all rows; at most 2**bits / 8 bytes reach the driver, however many rows there are."""
     place = bit_position(F.col(key), bits) + 1  # Spark's bitmaps count from 1
     rows = (keys.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b"))
@@ -186,10 +208,4 @@ def set_bits(keys: DataFrame, key: str, bits: int) -> np.ndarray:
         at = (r["b"] - 1) * 4096
         m = np.frombuffer(bytes(r["m"]), np.uint8)
         out[at:at + 4096] = m[:len(out) - at] if at + 4096 > len(out) else m
-    return out
-
-
-def bit_table(table: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
-    """Which of the hashes ``h`` have their bit set."""
-    p = h >> np.uint64(64 - bits)
-    return (table[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & np.uint8(1) != 0
+    return BitSet(out, bits)

@@ -67,7 +67,7 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
             .mapInArrow(run, "item_id string, words string, n int, tokens array<long>"))
 
 
-def _shingle_hits(docs: DataFrame, table: np.ndarray, bits: int, ks: list[int]) -> DataFrame:
+def _shingle_hits(docs: DataFrame, table: C.BitSet, ks: list[int]) -> DataFrame:
     def run(batches):
         base, seen = TaskContext.get().partitionId() << 33, 0
         for b in batches:
@@ -79,7 +79,7 @@ def _shingle_hits(docs: DataFrame, table: np.ndarray, bits: int, ks: list[int])
                 at, key = [], []
                 for k in ks:
                     g = C.kgrams(w.hash, k)
-                    p = np.flatnonzero(C.bit_table(table, bits, g))
+                    p = np.flatnonzero(table.has(g))
                     d = np.searchsorted(w.first, p, side="right") - 1
                     ok = p + k <= w.first[d + 1]
                     at.append(p[ok])
@@ -136,7 +136,7 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     ks = sorted({min(shingle, r["n"]) for r in win.select("n").distinct().collect()})  # at most 13 lengths
     table = C.set_bits(tokens, "h", bits)
     flat = docs.select(C.column(docs, doc_id, "long").alias("d"), C.column(docs, text).alias("t"))
-    sig = C.stored(_shingle_hits(flat, table, bits, ks or [shingle]), "shingle-hits")
+    sig = C.stored(_shingle_hits(flat, table, ks or [shingle]), "shingle-hits")
 
     hits = sig.select("row", "n_words", F.explode("hits").alias("x")).select("row", "n_words", "x.pos", "x.h")
     counts = hits.groupBy("h").agg(F.count(F.lit(1)).alias("freq"))

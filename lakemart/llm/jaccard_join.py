@@ -306,7 +306,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     def whole_sets(batches):
         for b in (x for b in batches for x in C.row_slices(b, 1024)):
-            p = b.take(pa.array(np.flatnonzero(C.bit_table(table.value, bits, b.column("k").to_numpy().view(np.uint64)))))
+            p = b.take(pa.array(np.flatnonzero(table.value.has(b.column("k").to_numpy().view(np.uint64)))))
             got = [s.astype("<u8").tobytes() for _, s in _sets(p, "text", shingle)]
             yield pa.RecordBatch.from_arrays([p.column("c"), pa.array(got, pa.binary())], names=["c", "members"])
 

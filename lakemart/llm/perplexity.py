@@ -7,7 +7,8 @@ rows, whatever the corpus. It holds for any language and never meets an unknown
 1. Trusted texts (labelled good and not toxic) are counted whole, in parallel; counts are summed by 4-gram.
 2. Modified Kneser-Ney: for each order from 4 down to 1 the counts (below the top: of distinct
    histories) are joined with their contexts' totals, sharded by context; three discounts an order.
-3. The probabilities of all 2**24 4-grams, one table of 64 MB, go to the tasks, which score whole texts.
+3. The seen 4-grams' shares and the orders below go to the tasks, which put together the table of all
+   2**24 probabilities (64 MB) and score whole texts.
 4. A document's score is its bits a byte, drawn towards the trusted mean as by ``PRIOR`` more bytes, so a
    few odd words do not reject a short text. Its language's limit is the ``QUANTILE`` of the trusted
    documents' scores and ``MARGIN`` bits; languages with few trusted documents take that of all.
@@ -22,6 +23,8 @@ trusted text all is kept; an empty table gives no rows; only the named columns a
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 
@@ -88,8 +91,35 @@ def _level(counts: DataFrame):
     return seen, sums.select("context", (F.col("taken") / F.col("total")).alias("rest"))
 
 
-def model(texts: DataFrame) -> np.ndarray | None:
-    """-log2 P of the last class of each 4-gram given those before, by the model of ``texts`` (column text)."""
+class Model:
+    """Trigram probabilities, weights left to them by context, and shares of the seen 4-grams."""
+
+    def __init__(self, low, rest, gram, share):
+        self.low, self.rest, self.gram, self.share, self.name = low, rest, gram, share, uuid.uuid4().hex
+
+    def table(self) -> np.ndarray:
+        """-log2 P of the last class of each 4-gram given those before; put together once in each worker."""
+        held = C.worker_state()
+        if held.get("model", ("",))[0] != self.name:
+            held["model"] = self.name, _negative_log2(_raise(self.low, self.rest, self.gram, self.share))
+        return held["model"][1]
+
+
+def _raise(low, rest, gram, share) -> np.ndarray:
+    """Probabilities of one order from those of the order below."""
+    p = np.tile(low, 1 << BITS)
+    p.reshape(-1, 1 << BITS)[:] *= rest[:, None]
+    p[gram] += share
+    return p
+
+
+def _negative_log2(p):
+    np.log2(p, out=p)
+    return np.negative(p, out=p)
+
+
+def model(texts: DataFrame) -> Model | None:
+    """The model of ``texts`` (column text); None without text."""
     counts = C.stored(texts.mapInArrow(_count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "gram-counts")
     orders = [counts]
     for k in range(ORDER - 1, 0, -1):  # below the top: in how many distinct places a gram's end occurs
@@ -97,23 +127,21 @@ def model(texts: DataFrame) -> np.ndarray | None:
                       .agg(F.count(F.lit(1)).alias("n")))
     if counts.isEmpty():
         return None
-    p = np.full(1 << BITS, 1 / (1 << BITS), np.float32)
+    p = np.full(1, 1 / (1 << BITS), np.float32)
     for k, c in enumerate(reversed(orders), start=1):
         seen, rest = _level(c)
-        p = p if k == 1 else np.tile(p, 1 << BITS)
-        weight = np.ones(len(p) >> BITS, np.float32)
-        r = rest.toPandas()  # at most 2**18 contexts
+        r, s = rest.toPandas(), seen.toPandas()  # at most 2**18 contexts and 2**24 grams, the size of the table
+        weight = np.ones(1 << (BITS * (k - 1)), np.float32)
         weight[r["context"].to_numpy()] = r["rest"].to_numpy()
-        p.reshape(-1, 1 << BITS)[:] *= weight[:, None]
-        s = seen.toPandas()  # at most 2**24 grams, the size of the table
-        p[s["gram"].to_numpy()] += s["share"].to_numpy(np.float32)
-    np.log2(p, out=p)
-    return np.negative(p, out=p)
+        gram, share = s["gram"].to_numpy(np.int32), s["share"].to_numpy(np.float32)
+        if k == ORDER:
+            return Model(p, weight, gram, share)
+        p = _raise(p, weight, gram, share)
 
 
-def _scored(docs: DataFrame, bits: np.ndarray, text: str) -> DataFrame:
+def _scored(docs: DataFrame, fitted: Model | None, text: str) -> DataFrame:
     """``docs`` as rest (a struct of its columns) with n_bytes and bits of the text."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    shared = docs.sparkSession.sparkContext.broadcast(fitted)
     rows = docs.select(F.struct(*[C.column(docs, c) for c in docs.columns]).alias("rest"))
 
     def run(batches):
@@ -122,8 +150,8 @@ def _scored(docs: DataFrame, bits: np.ndarray, text: str) -> DataFrame:
             for i, buf, off in C.doc_slices(rest.field(text)):
                 n, total = np.diff(off), np.zeros(len(off) - 1)
                 at = np.flatnonzero(n)
-                if len(at):
-                    total[at] = np.add.reduceat(shared.value[grams(buf, off)].astype(np.float64), off[:-1][at])
+                if len(at) and shared.value:
+                    total[at] = np.add.reduceat(shared.value.table()[grams(buf, off)].astype(np.float64), off[:-1][at])
                 yield pa.RecordBatch.from_arrays([rest.slice(i, len(n)), pa.array(n), pa.array(total)],
                                                  names=["rest", "n_bytes", "bits"])
 
@@ -150,13 +178,11 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     ids = trusted_ids(labels)
     rows = docs.select(C.column(docs, doc_id, "long").alias("doc_id"), C.column(docs, lang, "string").alias("lang"),
                        C.column(docs, text).alias("text"))
-    bits = model(rows.join(ids, "doc_id", "left_semi").select("text"))
-    if bits is None:
-        bits = np.zeros(1 << (BITS * ORDER), np.float32)
-    scored = C.stored(_scored(rows, bits, "text").select("rest.doc_id", "rest.lang", "n_bytes", "bits"), "text-bits")
+    fitted = model(rows.join(ids, "doc_id", "left_semi").select("text"))
+    scored = C.stored(_scored(rows, fitted, "text").select("rest.doc_id", "rest.lang", "n_bytes", "bits"), "text-bits")
     score, own, every = _limits(scored, ids, quantile, margin, prior, least_trusted)
     if keep_rest:
-        scored = _scored(docs, bits, text).select(F.col("rest")[doc_id].cast("long").alias("doc_id"),
+        scored = _scored(docs, fitted, text).select(F.col("rest")[doc_id].cast("long").alias("doc_id"),
                                                   F.col("rest")[lang].alias("lang"), "n_bytes", "bits", "rest")
     out = scored.join(own, "lang", "left").withColumn("score", score).withColumn(
         "score_limit", F.coalesce("own", F.lit(every)))

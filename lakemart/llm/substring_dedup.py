@@ -30,6 +30,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,10 +84,10 @@ def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         .withColumn("row", F.xxhash64("doc", "t32"))
 
 
-def _slices(b, firsts, bits):
+def _slices(b, firsts):
     """Words, doc and t32 of runs of texts; texts that are surely not the first of equal ones have no words."""
     for p in C.row_slices(b, 1024):
-        first = C.bit_table(firsts, bits, p.column("copy").to_numpy().view(np.uint64))
+        first = firsts.has(p.column("copy").to_numpy().view(np.uint64))
         text = p.column("text").take(pa.array(np.arange(p.num_rows), mask=~first))
         for i, buf, off in C.doc_slices(text):
             w = C.Words(buf, off, C.ASCII_SPACE, C.SAME)
@@ -104,7 +105,7 @@ def _spot(t32, start, size):
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, anchor: int = ANCHOR,
-            bits: int = BITS) -> tuple[DataFrame, np.ndarray]:
+            bits: int = BITS) -> tuple[DataFrame, Broadcast]:
     """(doc, t32, spans) of the words in windows that also start in a smaller document, and the bit table of first copies.
 
     A span is start * 32 + length; spans are neither united nor in order, see ``unite``. Texts that are
@@ -119,7 +120,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
 
     def seeds(batches):
         for b in batches:
-            for w, ids, _ in _slices(b, firsts.value, bits):
+            for w, ids, _ in _slices(b, firsts.value):
                 _, h, d = _anchors(w, window, anchor)
                 yield _batch(["doc", "h"], ids[d], h.view(np.int64))
 
@@ -128,9 +129,9 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
     table = sc.broadcast(C.set_bits(found, "h", bits))
 
     def placed(b):
-        for w, ids, t32 in _slices(b, firsts.value, bits):
+        for w, ids, t32 in _slices(b, firsts.value):
             at, h, d = _anchors(w, window, anchor)
-            ok = C.bit_table(table.value, bits, h)
+            ok = table.value.has(h)
             at, h, d = at[ok], h[ok], d[ok]
             yield w, at, h, d, _reach(w, at, d, window, anchor), ids[d], t32[d]
 
@@ -156,7 +157,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
     def part_keys(batches):
         for b in batches:
             h, r, lo = (b.column(c).to_numpy().view(np.uint64) for c in ("h", "reach", "lo"))
-            ok = C.bit_table(mixed_table.value, bits, h)
+            ok = mixed_table.value.has(h)
             yield _batch(["k"], _key(r[ok], lo[ok]).view(np.int64))
 
     parts = sc.broadcast(C.set_bits(least.mapInArrow(part_keys, "k long"), "k", bits))
@@ -164,7 +165,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
     def windows(batches):
         for b in batches:
             for w, at, _, d, r, ids, t32 in placed(b):
-                ok = C.bit_table(parts.value, bits, _key(r, ids))
+                ok = parts.value.has(_key(r, ids))
                 at, d, ids, t32 = at[ok], d[ok], ids[ok], t32[ok]
                 s = (at[:, None] - np.arange(side + 1)[None, :]).ravel()
                 k = np.repeat(np.arange(len(at)), side + 1)
@@ -232,8 +233,8 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
         return pa.RecordBatch.from_arrays([*made.columns, *(b.column(c) for c in extra)], names=[*made.schema.names, *extra])
 
     def split(b):
-        first = C.bit_table(firsts.value, bits, b.column("copy").to_numpy().view(np.uint64))
-        return first, first & C.bit_table(touched.value, bits, b.column("row").to_numpy().view(np.uint64))
+        first = firsts.value.has(b.column("copy").to_numpy().view(np.uint64))
+        return first, first & touched.value.has(b.column("row").to_numpy().view(np.uint64))
 
     def here(batches):
         none = np.zeros((0, 2), np.int64)

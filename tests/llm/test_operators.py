@@ -195,7 +195,7 @@ def test_perplexity_on_held_out_texts(spark, empty):
 
 def test_kneser_ney_probabilities_sum_to_one_and_match_plain_python(spark):
     texts = ["abracadabra, abra", "abba. Cab!", "dab ab"]
-    bits = perplexity.model(spark.createDataFrame([(t,) for t in texts], "text string"))
+    bits = perplexity.model(spark.createDataFrame([(t,) for t in texts], "text string")).table()
     p = np.exp2(-bits.astype(float)).reshape(-1, 64)
     assert np.allclose(p.sum(axis=1), 1, atol=1e-4)
     counts = [collections.Counter() for _ in range(5)]
@@ -369,5 +369,5 @@ def test_words_and_bit_table(spark):
     assert w.hash[2] == w.hash[3] and w.hash[1] == w.hash[7] and len(set(w.hash.tolist())) == 6
     keys = np.array([0, -1, 5, 2**62], np.int64)
     table = common.set_bits(spark.createDataFrame([(int(k),) for k in keys], "k long"), "k", 16)
-    assert common.bit_table(table, 16, keys.view(np.uint64)).all()
-    assert not common.bit_table(table, 16, np.array([2**50 * 3], np.uint64)).any()
+    assert table.has(keys.view(np.uint64)).all()
+    assert not table.has(np.array([2**50 * 3], np.uint64)).any()
