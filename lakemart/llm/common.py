@@ -33,9 +33,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def worker_state() -> dict:
-    """A dict that lives as long as the Python worker, for loaded models and caches."""
-    return sys.modules.setdefault("_lakemart_worker_state", types.ModuleType("_lakemart_worker_state")).__dict__
+def worker_state(kind: str) -> dict:
+    """A dict that lives on in the Python worker, for loaded models and caches of one kind of work.
+
+    What another kind of work has left there is dropped, so stages do not add up in a worker's memory."""
+    held = sys.modules.setdefault("_lakemart_worker_state", types.ModuleType("_lakemart_worker_state")).__dict__
+    if held.get("kind") != kind:
+        held["kind"], held["state"] = kind, {}
+    return held["state"]
 
 
 def _table(keep) -> np.ndarray:
@@ -185,9 +190,9 @@ class BitSet:
         self.bits, self.packed, self.name = bits, zlib.compress(table.tobytes(), 1), uuid.uuid4().hex
 
     def table(self) -> np.ndarray:
-        held = worker_state().setdefault("bit tables", {})
+        held = worker_state("bit tables")
         if self.name not in held:
-            while len(held) >= 8:  # of earlier stages
+            while len(held) >= 4:  # of earlier steps
                 held.pop(next(iter(held)))
             held[self.name] = np.frombuffer(zlib.decompress(self.packed), np.uint8)
         return held[self.name]

@@ -63,12 +63,14 @@ def grams(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def _count(batches):
-    total = np.zeros(1 << (BITS * ORDER), np.int64)
+    gram, n = np.zeros(0, np.int32), np.zeros(0, np.int64)
     for b in batches:
         for _, buf, off in C.doc_slices(b.column("text")):
-            total += np.bincount(grams(buf, off), minlength=len(total))
-    i = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(total[i])], names=["gram", "n"])
+            u, c = np.unique(grams(buf, off), return_counts=True)
+            both, where = np.unique(np.concatenate([gram, u]), return_inverse=True)
+            n = np.bincount(where, np.concatenate([n, c]), len(both)).astype(np.int64)
+            gram = both
+    yield pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int64)), pa.array(n)], names=["gram", "n"])
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -99,10 +101,11 @@ class Model:
 
     def table(self) -> np.ndarray:
         """-log2 P of the last class of each 4-gram given those before; put together once in each worker."""
-        held = C.worker_state()
-        if held.get("model", ("",))[0] != self.name:
-            held["model"] = self.name, _negative_log2(_raise(self.low, self.rest, self.gram, self.share))
-        return held["model"][1]
+        held = C.worker_state("perplexity")
+        if self.name not in held:
+            held.clear()
+            held[self.name] = _negative_log2(_raise(self.low, self.rest, self.gram, self.share))
+        return held[self.name]
 
 
 def _raise(low, rest, gram, share) -> np.ndarray:

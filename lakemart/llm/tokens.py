@@ -127,7 +127,7 @@ class Encoder:
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a tokenizer file, loaded once."""
-    held = worker_state()
+    held = worker_state("tokens")
     if path not in held:
         held[path] = Encoder(path)
     return held[path]
