@@ -16,8 +16,8 @@ Sets are put in one global order, that of their 64-bit hashes. Two sets with a J
 A key's group and a cluster of more than ``LIMIT`` classes are cut into blocks and each pair of blocks
 is a task of its own, so no task is unbounded and no pair is left out. A pair with similarity 0.8 is
 lost only if its least hashes differ far beyond chance: none of the 20 least of the union common
-(below 0.2**20 = 1e-14), or under a fifth of the 32 least (below 2e-13); both are as unlikely as a
-collision of the hashes. Sets of up to 32 are compared whole.
+(below 0.2**20 = 1e-14), or under 40 % of the 64 least (1e-12); both are as unlikely as a collision of
+the hashes. Sets of up to 64 are compared whole.
 
 Cases: null and wordless texts have an empty set and are linked with nothing; under 5 words the whole
 sequence is the one member; rows of one id count as one document; rows without id are linked with
@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 
 from lakemart.llm import common as C
 
-SHINGLE, KEYS, HEAD, LIMIT, BITS = 5, 20, 32, 4000, 27
+SHINGLE, KEYS, HEAD, LIMIT, BITS = 5, 20, 64, 4000, 27
+SHARE = 40  # percent of the least hashes of the union that a pair must have in common to be compared whole
 NEED, OF = 80, 100  # linked if OF * intersection >= NEED * union
 
 
@@ -104,7 +105,7 @@ def may_link(x, y, nx, ny) -> bool:
         x, y = x[x <= end], y[y <= end]
     both = len(np.intersect1d(x, y, assume_unique=True))
     union = len(x) + len(y) - both
-    return OF * both >= NEED * union if whole else 5 * both >= union
+    return OF * both >= (NEED if whole else SHARE) * union
 
 
 class Trie:
@@ -169,7 +170,7 @@ def candidate_links(sizes, heads) -> list[tuple[int, int]]:
     tokens = np.concatenate(heads)
     _, which, times = np.unique(tokens, return_inverse=True, return_counts=True)
     shared = times[which] > 1  # others are no overlap
-    least = np.minimum(-(-HEAD // 5), -(-NEED * sizes // OF))
+    least = np.minimum(-(-SHARE * HEAD // OF), -(-NEED * sizes // OF))
     able = np.bincount(owner[shared], minlength=m) >= least  # the others can reach no one
     seqs = np.split(tokens[shared], np.searchsorted(owner[shared], np.arange(1, m)))
     tree, inside = Trie(), 0
