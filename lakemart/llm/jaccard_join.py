@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from lakemart.llm import common as C
 
 SHINGLE, KEYS, HEAD, LIMIT, BITS = 5, 20, 64, 4000, 27
+SMALL = 6  # groups of so many are compared pair by pair
 SHARE = 40  # percent of the least hashes of the union that a pair must have in common to be compared whole
 NEED, OF = 80, 100  # linked if OF * intersection >= NEED * union
 
@@ -146,7 +147,7 @@ class Trie:
             for t, child in node[0].items():
                 if at < n and t == seq[at]:
                     continue
-                p = at + bisect.bisect_left(seq[at:], t) if at < n else n
+                p = bisect.bisect_left(seq, t, at)
                 if got + n - p < least:
                     continue
                 if p < n and seq[p] == t:
@@ -155,37 +156,62 @@ class Trie:
                     todo.append((child, p, got, other + 1, False))
 
 
+def _connect(parts: Parts, seqs, able, order, linked, near) -> list[tuple[int, int]]:
+    """Links that connect the able members that ``linked`` connects. Neighbours in the order of their sequences
+    are tried first, so that alike members are one part before the tree is asked for the others."""
+    able = [j for j in order if able[j]]
+    seqs = {j: seqs[j].tolist() for j in able}
+    left = len(able)
+
+    def join(i, j, both=None):
+        nonlocal left
+        if parts.root(i) != parts.root(j) and linked(i, j, both):
+            parts.join(i, j)
+            left -= 1
+            return True
+        return False
+
+    row = sorted(able, key=seqs.get)
+    for i, j in zip(row, row[1:], strict=False):
+        join(i, j)
+    tree, inside = Trie(), []
+    for j in able:
+        if left == 1:
+            break
+        if any(parts.root(i) != parts.root(j) for i in inside):
+            for i, both in near(tree, seqs[j], j):
+                if join(i, j, both) and all(parts.root(i) == parts.root(j) for i in inside):
+                    break
+        tree.add(seqs[j], j)
+        inside.append(j)
+    return parts.links()
+
+
+def _shared(sets, sizes, least):
+    """For each set its members that more than one set has, and whether they are enough."""
+    m = len(sets)
+    owner, tokens = np.repeat(np.arange(m), [len(x) for x in sets]), np.concatenate(sets)
+    _, which, times = np.unique(tokens, return_inverse=True, return_counts=True)
+    shared = times[which] > 1
+    return (np.split(tokens[shared], np.searchsorted(owner[shared], np.arange(1, m))),
+            np.bincount(owner[shared], minlength=m) >= least)
+
+
 def candidate_links(sizes, heads) -> list[tuple[int, int]]:
     """Links that connect all members of a key's group that ``may_link`` connects."""
-    m = len(sizes)
+    m, sizes = len(sizes), np.asarray(sizes)
     parts = Parts(m)
-    if m <= 6:
+    if m <= SMALL:
         for j in range(1, m):
             for i in range(j):
                 if parts.left > 1 and parts.root(i) != parts.root(j) and may_link(heads[i], heads[j], sizes[i], sizes[j]):
                     parts.join(i, j)
         return parts.links()
-    sizes = np.asarray(sizes)
-    owner = np.repeat(np.arange(m), [len(h) for h in heads])
-    tokens = np.concatenate(heads)
-    _, which, times = np.unique(tokens, return_inverse=True, return_counts=True)
-    shared = times[which] > 1  # others are no overlap
     least = np.minimum(-(-SHARE * HEAD // OF), -(-NEED * sizes // OF))
-    able = np.bincount(owner[shared], minlength=m) >= least  # the others can reach no one
-    seqs = np.split(tokens[shared], np.searchsorted(owner[shared], np.arange(1, m)))
-    tree, inside = Trie(), 0
-    for j in np.argsort(sizes, kind="stable").tolist():
-        if not able[j]:
-            continue
-        seq = seqs[j].tolist()
-        for i, _ in tree.near(seq, int(least[j]), HEAD):
-            if parts.left == m - inside:
-                break  # this one and all in the tree are one part; the others are parts of their own
-            if parts.root(i) != parts.root(j) and may_link(heads[i], heads[j], sizes[i], sizes[j]):
-                parts.join(i, j)
-        tree.add(seq, j)
-        inside += 1
-    return parts.links()
+    seqs, able = _shared(heads, sizes, least)
+    return _connect(parts, seqs, able, np.argsort(sizes, kind="stable").tolist(),
+                    lambda i, j, _: may_link(heads[i], heads[j], sizes[i], sizes[j]),
+                    lambda tree, seq, j: tree.near(seq, int(least[j]), HEAD))
 
 
 def exact_links(sets) -> list[tuple[int, int]]:
@@ -193,27 +219,26 @@ def exact_links(sets) -> list[tuple[int, int]]:
 
     Sets are met in the order of their size, so a set of n members must share NEED / OF of them with any
     before it; the tree holds the hashes that more than one set has, and gives the overlap itself."""
-    m = len(sets)
+    m, sizes = len(sets), np.array([len(x) for x in sets])
     parts = Parts(m)
-    sizes = np.array([len(x) for x in sets])
-    owner, tokens = np.repeat(np.arange(m), sizes), np.concatenate(sets)
-    _, which, times = np.unique(tokens, return_inverse=True, return_counts=True)
-    shared = times[which] > 1
-    least = -(-NEED * sizes // OF)
-    able = np.bincount(owner[shared], minlength=m) >= least
-    seqs = np.split(tokens[shared], np.searchsorted(owner[shared], np.arange(1, m)))
-    tree, inside = Trie(), 0
-    for j in np.argsort(sizes, kind="stable").tolist():
-        seq = seqs[j].tolist()
-        if able[j]:
-            for i, both in tree.near(seq, int(least[j]), int(sizes[j] - least[j])):
-                if OF * both >= NEED * (int(sizes[i] + sizes[j]) - both):
+
+    def linked(i, j, both=None):
+        if OF * min(sizes[i], sizes[j]) < NEED * max(sizes[i], sizes[j]):
+            return False
+        if both is None:
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        return OF * both >= NEED * (int(sizes[i] + sizes[j]) - both)
+
+    if m <= SMALL:
+        for j in range(1, m):
+            for i in range(j):
+                if parts.left > 1 and parts.root(i) != parts.root(j) and linked(i, j):
                     parts.join(i, j)
-                if parts.left == m - inside:
-                    break  # this one and all in the tree are one part
-        tree.add(seq, j)
-        inside += 1
-    return parts.links()
+        return parts.links()
+    least = -(-NEED * sizes // OF)
+    seqs, able = _shared(sets, sizes, least)
+    return _connect(parts, seqs, able, np.argsort(sizes, kind="stable").tolist(), linked,
+                    lambda tree, seq, j: tree.near(seq, int(least[j]), int(sizes[j] - least[j])))
 
 
 def _blocks(df: DataFrame, group: str, member: str, limit: int) -> DataFrame:
