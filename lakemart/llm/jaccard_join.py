@@ -28,6 +28,7 @@ named columns are read.
 from __future__ import annotations
 
 import bisect
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -156,10 +157,12 @@ class Trie:
                     todo.append((child, p, got, other + 1, False))
 
 
-def _connect(parts: Parts, seqs, able, order, linked, near) -> list[tuple[int, int]]:
-    """Links that connect the able members that ``linked`` connects. Neighbours in the order of their sequences
-    are tried first, so that alike members are one part before the tree is asked for the others."""
-    able = [j for j in order if able[j]]
+def _connect(parts: Parts, seqs, able, linked, near) -> list[tuple[int, int]]:
+    """Links that connect the able members that ``linked`` connects.
+
+    Neighbours in the order of their sequences are tried first; then all members but those of the largest
+    part ask the tree, since a link that is still missing has one of them at an end."""
+    able = np.flatnonzero(able).tolist()
     seqs = {j: seqs[j].tolist() for j in able}
     left = len(able)
 
@@ -168,22 +171,22 @@ def _connect(parts: Parts, seqs, able, order, linked, near) -> list[tuple[int, i
         if parts.root(i) != parts.root(j) and linked(i, j, both):
             parts.join(i, j)
             left -= 1
-            return True
-        return False
 
     row = sorted(able, key=seqs.get)
     for i, j in zip(row, row[1:], strict=False):
         join(i, j)
-    tree, inside = Trie(), []
-    for j in able:
-        if left == 1:
-            break
-        if any(parts.root(i) != parts.root(j) for i in inside):
+    if left > 1:
+        largest = Counter(parts.root(j) for j in able).most_common(1)[0][0]
+        tree = Trie()
+        for j in able:
+            tree.add(seqs[j], j)
+        for j in able:
+            if parts.root(j) == parts.root(largest):
+                continue
             for i, both in near(tree, seqs[j], j):
-                if join(i, j, both) and all(parts.root(i) == parts.root(j) for i in inside):
-                    break
-        tree.add(seqs[j], j)
-        inside.append(j)
+                join(i, j, both)
+                if left == 1:
+                    return parts.links()
     return parts.links()
 
 
@@ -209,16 +212,15 @@ def candidate_links(sizes, heads) -> list[tuple[int, int]]:
         return parts.links()
     least = np.minimum(-(-SHARE * HEAD // OF), -(-NEED * sizes // OF))
     seqs, able = _shared(heads, sizes, least)
-    return _connect(parts, seqs, able, np.argsort(sizes, kind="stable").tolist(),
-                    lambda i, j, _: may_link(heads[i], heads[j], sizes[i], sizes[j]),
+    return _connect(parts, seqs, able, lambda i, j, _: may_link(heads[i], heads[j], sizes[i], sizes[j]),
                     lambda tree, seq, j: tree.near(seq, int(least[j]), HEAD))
 
 
 def exact_links(sets) -> list[tuple[int, int]]:
     """Links that connect all sets that links of the full similarity connect.
 
-    Sets are met in the order of their size, so a set of n members must share NEED / OF of them with any
-    before it; the tree holds the hashes that more than one set has, and gives the overlap itself."""
+    A set of n members shares at least NEED / OF of them with a linked one, which then has at most
+    (OF - NEED) / NEED of n others; the tree holds the hashes that more than one set has and gives the overlap."""
     m, sizes = len(sets), np.array([len(x) for x in sets])
     parts = Parts(m)
 
@@ -237,8 +239,8 @@ def exact_links(sets) -> list[tuple[int, int]]:
         return parts.links()
     least = -(-NEED * sizes // OF)
     seqs, able = _shared(sets, sizes, least)
-    return _connect(parts, seqs, able, np.argsort(sizes, kind="stable").tolist(), linked,
-                    lambda tree, seq, j: tree.near(seq, int(least[j]), int(sizes[j] - least[j])))
+    return _connect(parts, seqs, able, linked,
+                    lambda tree, seq, j: tree.near(seq, int(least[j]), (OF - NEED) * int(sizes[j]) // NEED))
 
 
 def _blocks(df: DataFrame, group: str, member: str, limit: int) -> DataFrame:
