@@ -1,24 +1,29 @@
 """Quality classifier: interpolated modified Kneser-Ney model of trusted text, judged by perplexity.
 
-The model is over byte classes: letters by case, white space, digits, kinds of punctuation and of
-multi-byte characters; 64 in all, so a 4-gram is a 24-bit number and no table has more than 2**24
-rows, whatever the corpus. It holds for any language and never meets an unknown word.
-
-1. Trusted texts (labelled good and not toxic) are counted whole, in parallel; counts are summed by 4-gram.
-2. Modified Kneser-Ney: for each order from 4 down to 1 the counts (below the top: of distinct
-   histories) are joined with their contexts' totals, sharded by context; three discounts an order.
-3. The seen 4-grams' shares and the orders below go to the tasks, which put together the table of all
-   2**24 probabilities (64 MB) and score whole texts.
-4. A document's score is its bits a byte, drawn towards the trusted mean as by ``PRIOR`` more bytes, so a
-   few odd words do not reject a short text. Its language's limit is the ``QUANTILE`` of the trusted
+The model is over words (between white space, as written) and, below them, over byte classes: the
+probability of a word without history falls back on its spelling, so no word is unknown.
+
+1. Spelling: trusted texts (labelled good and not toxic) are counted whole as 4-grams of 64 byte classes;
+   modified Kneser-Ney from order 4 down to 1. A word is spelled from a space to a space; line ends and
+   further white space cost what this model says in their place.
+2. Words: all n-grams of ``WORDS`` words of the trusted texts (start and end of a text are words) are counted by
+   64-bit hash, summed per task and then by hash. For each order from the top down to 1 the counts (below the top: of
+   distinct histories) are joined with their contexts' totals and the order below, sharded by hash; three
+   discounts an order. These tables grow with the trusted text and stay in the tasks.
+3. For a seen n-gram, log P is that of its end plus the weight left to it plus a gain; for others there is no gain.
+   So a text's bits are those of its spelling less, over its n-grams, their gains and their weights as
+   contexts: the documents' distinct n-grams with their counts are joined with these values and summed by
+   document. A bit table of the model's hashes leaves out before the join what is certainly not in it.
+4. A trusted document is judged as if it had not been counted: n-grams that only it has give it nothing.
+5. A document's score is its bits a byte, drawn towards the trusted mean as by ``PRIOR`` more bytes, so a
+   few odd words do not reject a short text; a second score is that of its byte classes in their places
+   (white space and punctuation between words). Both must be within their limits. Its language's limit is the ``QUANTILE`` of the trusted
    documents' scores and ``MARGIN`` bits; languages with few trusted documents take that of all.
 
-A word-level model would need a row for each word pair of each document in a shuffle, several
-times the input; this one moves only 4-gram counts, which grow with the trusted text.
-
 Cases: null and empty texts have no perplexity and are kept; a label without document is ignored, and
 so is one without id; repeated labels count once; rows without id are scored, never trusted; without
-trusted text all is kept; an empty table gives no rows; only the named columns are read.
+trusted text all is kept; an empty table gives no rows; only the named columns are read; rows of equal id and
+text are scored alike.
 """
 
 from __future__ import annotations
@@ -33,7 +38,10 @@ from pyspark.sql import functions as F
 
 from lakemart.llm import common as C
 
-ORDER, BITS = 4, 6
+ORDER, BITS, WORDS = 4, 6, 3
+FILTER_BITS = 27  # of the table that spares the join n-grams which are not in the model
+START, END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # the words before and after a text
+MANY = -(1 << 63)  # in place of a document's key: more than one has the n-gram
 QUANTILE, MARGIN, PRIOR, LEAST_TRUSTED = 0.999, 0.25, 200, 100
 
 
@@ -50,6 +58,8 @@ def _classes() -> np.ndarray:
 
 
 CLASSES = _classes()
+#: Bits for a byte within its class, all alike.
+WITHIN = np.log2(np.maximum(np.bincount(CLASSES, minlength=64), 1))[CLASSES]
 
 
 def grams(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -79,13 +89,18 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
             .select(C.column(labels, "doc_id", "long").alias("doc_id")).dropna().distinct())
 
 
-def _level(counts: DataFrame):
-    """(gram, share) of the seen grams of one order and (context, rest) of their contexts: the discounted share
-    and the weight left to the order below. Joined by context."""
+def _discounts(counts: DataFrame) -> list[float]:
+    """The three discounts of one order: of counts of 1, of 2, and of more."""
     y = counts.agg(*[F.count_if(F.col("n") == k).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
     n1, n2, n3, n4 = (max(1, y[f"n{k}"]) for k in (1, 2, 3, 4))
     q = n1 / (n1 + 2 * n2)
-    d = [min(max(x, 0.05), k) for k, x in ((1, 1 - 2 * q * n2 / n1), (2, 2 - 3 * q * n3 / n2), (3, 3 - 4 * q * n4 / n3))]
+    return [min(max(x, 0.05), k) for k, x in ((1, 1 - 2 * q * n2 / n1), (2, 2 - 3 * q * n3 / n2), (3, 3 - 4 * q * n4 / n3))]
+
+
+def _level(counts: DataFrame):
+    """(gram, share) of the seen grams of one order and (context, rest) of their contexts: the discounted share
+    and the weight left to the order below. Joined by context."""
+    d = _discounts(counts)
     rows = counts.withColumn("context", F.shiftright("gram", BITS)).withColumn(
         "d", F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2]))
     sums = rows.groupBy("context").agg(F.sum("n").alias("total"), F.sum("d").alias("taken"))
@@ -142,54 +157,214 @@ def model(texts: DataFrame) -> Model | None:
         p = _raise(p, weight, gram, share)
 
 
-def _scored(docs: DataFrame, fitted: Model | None, text: str) -> DataFrame:
-    """``docs`` as rest (a struct of its columns) with n_bytes and bits of the text."""
-    shared = docs.sparkSession.sparkContext.broadcast(fitted)
-    rows = docs.select(F.struct(*[C.column(docs, c) for c in docs.columns]).alias("rest"))
-
-    def run(batches):
-        for b in batches:
-            rest = b.column("rest")
-            for i, buf, off in C.doc_slices(rest.field(text)):
-                n, total = np.diff(off), np.zeros(len(off) - 1)
-                at = np.flatnonzero(n)
-                if len(at) and shared.value:
-                    total[at] = np.add.reduceat(shared.value.table()[grams(buf, off)].astype(np.float64), off[:-1][at])
-                yield pa.RecordBatch.from_arrays([rest.slice(i, len(n)), pa.array(n), pa.array(total)],
-                                                 names=["rest", "n_bytes", "bits"])
-
-    return rows.mapInArrow(run, f"rest {rows.schema['rest'].dataType.simpleString()}, n_bytes long, bits double")
+def word_grams(h: np.ndarray, first: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Hashes of the 1- to ``WORDS``-grams that end at each word of the texts (word range ``first``), with starts and an
+    end; the text of each place; and which places are words or ends rather than starts."""
+    n, pad = np.diff(first), WORDS - 1
+    size = n + pad + 1
+    at = np.cumsum(size) - size
+    doc = np.repeat(np.arange(len(n)), size)
+    w = np.full(len(doc), START)
+    w[np.arange(len(h)) + np.repeat(at + pad - first[:-1], n)] = h
+    w[at + size - 1] = END
+    out = [w]
+    for _ in range(pad):
+        g = C.mix(w * np.uint64(0x9FB21C651E98DF25) + np.uint64(1))
+        g[1:] += out[-1][:-1] * np.uint64(0xD6E8FEB86659FD93)
+        out.append(C.mix(g))
+    return out, doc, np.arange(len(doc)) - np.repeat(at, size) >= pad
+
+
+def spelled(buf: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Bits of each word's spelling, from the space before it to the space after it."""
+    size = end - start + 1
+    at = np.cumsum(size) - size
+    place = np.arange(size.sum()) - np.repeat(at, size)
+    b = np.full(len(place), 0x20, np.uint8)
+    inside = place < np.repeat(size - 1, size)
+    b[inside] = buf[(place + np.repeat(start, size))[inside]]
+    c = CLASSES[b].astype(np.int32)
+    gram = c.copy()
+    for j in range(1, ORDER):
+        before = np.where(place >= j, np.concatenate([c[:0], np.zeros(min(j, len(c)), np.int32), c[:-j]])[:len(c)], place == j - 1)
+        gram |= before.astype(np.int32) << (BITS * j)
+    cost = table[gram].astype(np.float64) + np.where(inside, WITHIN[b], 0)
+    return np.add.reduceat(cost, at) if len(at) else np.zeros(0)
+
+
+def _white(buf: np.ndarray, off: np.ndarray, in_place: np.ndarray) -> np.ndarray:
+    """Bits of each text's white space but for single spaces after words."""
+    gap = C.ASCII_SPACE[buf]
+    after = np.zeros(len(buf), bool)
+    after[1:] = ~gap[:-1]
+    after[off[:-1][off[:-1] < len(buf)]] = False
+    at = np.flatnonzero(gap & ~(after & (buf == 0x20)))
+    return np.bincount(np.searchsorted(off, at, side="right") - 1, in_place[at], len(off) - 1)
+
+
+def _word_count(batches, spelling):
+    """Distinct word n-grams of each run of texts: hashes of the gram, its ends and its contexts, count, the only
+    document's key or MANY, bits of the last word's spelling."""
+    names = [*(f"g{k}" for k in range(1, WORDS + 1)), *(f"p{k}" for k in range(1, WORDS)), "n", "only", "spell"]
+    for batch in batches:
+        for i, buf, off in C.doc_slices(batch.column("text"), 4 << 20):
+            table = spelling.value.table()
+            key = batch.column("key").slice(i, len(off) - 1).to_numpy(zero_copy_only=False)
+            words = C.Words(buf, off, C.ASCII_SPACE, C.SAME)
+            g, doc, real = word_grams(words.hash, words.first)
+            cost = np.full(len(doc), table[1 << BITS | 1], np.float64)  # the end is an empty word
+            cost[real & (g[0] != END)] = spelled(buf, words.start, words.end, table)
+            at = np.flatnonzero(real)
+            _, one, where, n = np.unique(g[-1][at], return_index=True, return_inverse=True, return_counts=True)
+            k = key[doc[at]]
+            lo, hi = np.full(len(one), np.iinfo(np.int64).max), np.full(len(one), MANY)
+            np.minimum.at(lo, where, k)
+            np.maximum.at(hi, where, k)
+            at = at[one]
+            columns = [x[at].view(np.int64) for x in g] + [x[at - 1].view(np.int64) for x in g[:-1]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*columns, n, np.where(lo == hi, lo, MANY), cost[at])], names=names)
+
+
+class Words:
+    """Values of the model's word n-grams (gram, value, only), which are in a bit table; bits of a word without history."""
+
+    def __init__(self, values: DataFrame, held: C.BitSet, first: float):
+        self.values, self.held, self.first = values, held, first
+
+
+def word_model(texts: DataFrame, spelling) -> Words:
+    """The word model of ``texts`` (key, text) over the broadcast ``spelling``."""
+    longs = [*(f"g{k}" for k in range(1, WORDS + 1)), *(f"p{k}" for k in range(1, WORDS)), "n", "only"]
+    only = F.when(F.min("only") == F.max("only"), F.min("only")).otherwise(F.lit(MANY)).alias("only")
+    spell = F.min("spell").alias("spell")
+    rows = texts.mapInArrow(lambda b: _word_count(b, spelling), ", ".join(f"{x} long" for x in longs) + ", spell double")
+    levels = []
+    for k in range(WORDS, 0, -1):  # below the top: in how many distinct places a gram's end occurs
+        n = F.sum("n") if k == WORDS else F.count(F.lit(1))
+        below = [F.first(f"g{j}").alias(f"g{j}") for j in range(1, k)] + [F.first(f"p{j}").alias(f"p{j}") for j in range(1, k)]
+        rows = C.stored(rows.groupBy(f"g{k}").agg(n.cast("long").alias("n"), only, spell, *below), f"words-{k}")
+        levels.insert(0, rows)
+    p, values, first = None, [], 0.0
+    for k, c in enumerate(levels, start=1):
+        counts = c.withColumnRenamed(f"g{k}", "gram").withColumn("context", F.col(f"p{k - 1}") if k > 1 else F.lit(0).cast("long"))
+        d = F.element_at(F.array(*[F.lit(x) for x in _discounts(counts)]), F.least("n", F.lit(3)).cast("int"))
+        counts = counts.withColumn("d", d.cast("double"))
+        sums = counts.groupBy("context").agg(F.sum("n").alias("total"), F.sum("d").alias("taken"))
+        if k == 1:
+            y = sums.first()
+            counts = counts.withColumn("total", F.lit(y["total"])).withColumn("taken", F.lit(y["taken"]))
+            first, low = -float(np.log2(y["taken"] / y["total"])), -F.col("spell")
+        else:
+            counts = counts.join(sums.hint("merge"), "context").join(p.hint("merge"), F.col(f"g{k - 1}") == F.col("end"))
+            values.append(sums.select(F.col("context").alias("gram"), F.log2(F.col("taken") / F.col("total")).alias("value"), F.lit(None).cast("long").alias("only")))
+            low = F.col("log_p")
+        below = low + F.log2(F.col("taken") / F.col("total"))
+        log_p = F.log2((F.col("n") - F.col("d")) / F.col("total") + F.pow(F.lit(2.0), below))
+        done = counts.select("gram", "only", log_p.alias("log_p"), (log_p - below).alias("value"))
+        if k < WORDS:
+            done = C.stored(done, f"words-p{k}")
+            p = done.select(F.col("gram").alias("end"), "log_p")
+        values.append(done.select("gram", "value", "only"))
+    every = values[0]
+    for v in values[1:]:
+        every = every.unionByName(v)
+    # contexts that begin a text are never ends: only their own document may have them, but all texts begin alike
+    every = C.stored(every.groupBy("gram").agg(F.sum("value").cast("float").alias("value"), F.coalesce(F.max("only"), F.lit(MANY)).alias("only")), "word-values")
+    return Words(every, C.set_bits(every, "gram", FILTER_BITS), first)
+
+
+def _local(batches, spelling, first):
+    """Per text: n_bytes, its bits without what the word n-grams give, and its bits as byte classes in their places."""
+    for b in batches:
+        for i, buf, off in C.doc_slices(b.column("text")):
+            n, total, classes = np.diff(off), np.zeros(len(off) - 1), np.zeros(len(off) - 1)
+            if spelling.value:
+                table = spelling.value.table()
+                in_place, at = table[grams(buf, off)].astype(np.float64), np.flatnonzero(n)
+                if len(at):
+                    classes[at] = np.add.reduceat(in_place, off[:-1][at])
+                words = C.Words(buf, off, C.ASCII_SPACE, C.SAME)
+                doc = np.repeat(np.arange(len(n)), np.diff(words.first))
+                total += np.bincount(doc, spelled(buf, words.start, words.end, table) + first, len(n))
+                total += np.where(n > 0, _white(buf, off, in_place) + table[1 << BITS | 1] + first, 0)
+            keep = [b.column(c).slice(i, len(n)) for c in ("key", "doc_id", "lang")]
+            yield pa.RecordBatch.from_arrays([*keep, pa.array(n), pa.array(total), pa.array(classes)],
+                                             names=["key", "doc_id", "lang", "n_bytes", "bits", "class_bits"])
+
+
+def _document_grams(batches, held):
+    """Distinct word n-grams of each text that may be in the model (key, gram, n)."""
+    for b in batches:
+        for i, buf, off in C.doc_slices(b.column("text")):
+            key = b.column("key").slice(i, len(off) - 1).to_numpy(zero_copy_only=False)
+            words = C.Words(buf, off, C.ASCII_SPACE, C.SAME)
+            g, doc, real = word_grams(words.hash, words.first)
+            last = np.zeros(len(doc), bool)  # the start before the first word is a context
+            last[:-1] = real[1:] & ~real[:-1]
+            filled = (np.diff(off) > 0)[doc]
+            for k, x in enumerate(g, start=1):
+                at = np.flatnonzero((real | last if k < WORDS else real) & filled)
+                at = at[held.value.has(x[at])]
+                order = at[np.argsort(x[at], kind="stable")]
+                h, d = x[order], doc[order]
+                new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])])[:len(h)])
+                n = np.diff(np.append(new, len(h)))
+                yield pa.RecordBatch.from_arrays([pa.array(key[d[new]]), pa.array(h[new].view(np.int64)), pa.array(n.astype(np.int32))],
+                                                 names=["key", "gram", "n"])
+
+
+def _scored(rows: DataFrame, spelling, words: Words | None) -> DataFrame:
+    """key, doc_id, lang, n_bytes, bits and class_bits of the text of each of ``rows`` (key, doc_id, lang, text)."""
+    first = words.first if words else 0.0
+    local = rows.mapInArrow(lambda b: _local(b, spelling, first), "key long, doc_id long, lang string, n_bytes long, bits double, class_bits double")
+    if words is None:
+        return local
+    held = rows.sparkSession.sparkContext.broadcast(words.held)
+    found = rows.select("key", "text").mapInArrow(lambda b: _document_grams(b, held), "key long, gram long, n int")
+    gains = (found.join(words.values.hint("merge"), "gram").where("only <> key").groupBy("key").agg(F.sum(F.col("n") * F.col("value").cast("double")).alias("gain")))
+    local = C.stored(local, "spelling-bits")
+    copies = local.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))  # equal rows share a key
+    gains = gains.join(copies.hint("merge"), "key").select("key", (F.col("gain") / F.col("copies")).alias("gain"))
+    return local.join(gains.hint("merge"), "key", "left").withColumn("bits", F.col("bits") - F.coalesce("gain", F.lit(0.0))).drop("gain")
 
 
 def _limits(scored: DataFrame, ids: DataFrame, quantile: float, margin: float, prior: float, least: int):
-    """Score column, limits by language (lang, own) and the limit of all; ``scored`` has doc_id, lang, n_bytes, bits."""
+    """Of the words and of the byte classes: score columns, limits by language (lang, own, own_class) and limits of
+    all; ``scored`` has doc_id, lang, n_bytes, bits, class_bits."""
     trusted = scored.where("n_bytes > 0").join(ids, "doc_id", "left_semi")
-    mean = trusted.agg((F.sum("bits") / F.sum("n_bytes")).alias("m")).first()["m"] or 0.0
-    score = (F.col("bits") + F.lit(mean * prior)) / (F.col("n_bytes") + F.lit(prior))
-    limit = F.percentile_approx(score, F.lit(quantile), F.lit(10000)) + F.lit(margin)
-    own = (trusted.groupBy("lang").agg(limit.alias("own"), F.count(F.lit(1)).alias("k"))
+    kinds = {"own": "bits", "own_class": "class_bits"}
+    means = trusted.agg(*[(F.sum(c) / F.sum("n_bytes")).alias(k) for k, c in kinds.items()]).first()
+    score = {k: (F.col(c) + F.lit((means[k] or 0.0) * prior)) / (F.col("n_bytes") + F.lit(prior)) for k, c in kinds.items()}
+    limits = [(F.percentile_approx(score[k], F.lit(quantile), F.lit(10000)) + F.lit(margin)).alias(k) for k in kinds]
+    own = (trusted.groupBy("lang").agg(*limits, F.count(F.lit(1)).alias("k"))
            .where((F.col("k") >= least) & F.col("lang").isNotNull()).drop("k"))
-    every = trusted.agg(limit.alias("x")).first()["x"]
-    return score, C.stored(own, "language-limits"), float("inf") if every is None else every
+    every = trusted.agg(*limits).first()
+    return score, C.stored(own, "language-limits"), {k: float("inf") if every[k] is None else every[k] for k in kinds}
 
 
 def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
              quantile: float = QUANTILE, margin: float = MARGIN, prior: float = PRIOR,
              least_trusted: int = LEAST_TRUSTED, keep_rest: bool = False) -> DataFrame:
-    """Per document: doc_id, lang, n_bytes, perplexity (a byte), score, score_limit and kept; with ``keep_rest`` also
-    rest (a struct of all columns), for which the texts are scored a second time rather than joined."""
+    """Per document: doc_id, lang, n_bytes, perplexity (a byte), score and class_score with
+    their limits and kept; with ``keep_rest`` also
+    rest (a struct of all columns)."""
     ids = trusted_ids(labels)
-    rows = docs.select(C.column(docs, doc_id, "long").alias("doc_id"), C.column(docs, lang, "string").alias("lang"),
-                       C.column(docs, text).alias("text"))
-    fitted = model(rows.join(ids, "doc_id", "left_semi").select("text"))
-    scored = C.stored(_scored(rows, fitted, "text").select("rest.doc_id", "rest.lang", "n_bytes", "bits"), "text-bits")
+    key = F.xxhash64(C.column(docs, doc_id, "long"), C.column(docs, text))
+    rows = docs.select(key.alias("key"), C.column(docs, doc_id, "long").alias("doc_id"),
+                       C.column(docs, lang, "string").alias("lang"), C.column(docs, text).alias("text"))
+    trusted = rows.join(ids, "doc_id", "left_semi").where(F.octet_length("text") > 0).select("key", "text")
+    fitted = model(trusted.select("text"))
+    spelling = docs.sparkSession.sparkContext.broadcast(fitted)
+    words = word_model(trusted, spelling) if fitted else None
+    scored = C.stored(_scored(rows, spelling, words), "text-bits")
     score, own, every = _limits(scored, ids, quantile, margin, prior, least_trusted)
     if keep_rest:
-        scored = _scored(docs, fitted, text).select(F.col("rest")[doc_id].cast("long").alias("doc_id"),
-                                                  F.col("rest")[lang].alias("lang"), "n_bytes", "bits", "rest")
-    out = scored.join(own, "lang", "left").withColumn("score", score).withColumn(
-        "score_limit", F.coalesce("own", F.lit(every)))
+        whole = docs.select(key.alias("key"), F.struct(*[C.column(docs, c) for c in docs.columns]).alias("rest"))
+        scored = whole.join(scored.dropDuplicates(["key"]).hint("merge"), "key")
+    out = scored.join(own, "lang", "left")
+    for k, name in (("own", "score"), ("own_class", "class_score")):
+        out = out.withColumn(name, score[k]).withColumn(f"{name}_limit", F.coalesce(k, F.lit(every[k])))
     perplexity = F.when(F.col("n_bytes") > 0, F.pow(F.lit(2.0), F.col("bits") / F.col("n_bytes")))
-    return out.select("doc_id", "lang", "n_bytes", perplexity.alias("perplexity"), "score", "score_limit",
-                      ((F.col("n_bytes") == 0) | (F.col("score") <= F.col("score_limit"))).alias("kept"),
-                      *["rest"] * keep_rest)
+    within = (F.col("score") <= F.col("score_limit")) & (F.col("class_score") <= F.col("class_score_limit"))
+    return out.select("doc_id", "lang", "n_bytes", perplexity.alias("perplexity"), "score", "score_limit", "class_score",
+                      "class_score_limit", ((F.col("n_bytes") == 0) | within).alias("kept"), *["rest"] * keep_rest)

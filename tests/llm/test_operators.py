@@ -227,6 +227,77 @@ def test_kneser_ney_probabilities_sum_to_one_and_match_plain_python(spark):
             assert np.isclose(np.exp2(-float(bits[g[0] << 18 | g[1] << 12 | g[2] << 6 | g[3]])), prob(g), rtol=1e-4)
 
 
+def test_word_model_matches_plain_python(spark):
+    texts = {1: "a b a b c a b", 2: "b  c a b\nd", 3: "a b zz", 4: "d d d d d d d d a", 5: "b c a b a b c q", 6: "a a"}
+    table = spark.createDataFrame([(i, t, "en") for i, t in texts.items()] + [(6, "a a", "en")], "doc_id long, text string, lang string")
+    trusted = [1, 2, 3, 6, 6]
+    lab = spark.createDataFrame([(i, 1, 0) for i in (1, 2, 3, 6)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: (r.perplexity, r.n_bytes) for r in perplexity.classify(table, lab).collect()}
+    assert len(texts) == len(got)
+    bits = perplexity.model(spark.createDataFrame([(texts[i],) for i in trusted], "text string")).table()
+    cls = [int(x) for x in perplexity.CLASSES]
+    members = collections.Counter(cls)
+
+    def spell(word):
+        c = [0, 0, 1, *(cls[b] for b in word.encode()), 1]
+        return (sum(float(bits[c[i - 3] << 18 | c[i - 2] << 12 | c[i - 1] << 6 | c[i]]) for i in range(3, len(c)))
+                + sum(np.log2(members[cls[b]]) for b in word.encode()))
+
+    padded = lambda t: ["<s>", "<s>", *t.split(), ""]
+    counts, owners = [None, *(collections.Counter() for _ in range(3))], collections.defaultdict(set)
+    for i in trusted:
+        w = padded(texts[i])
+        for at in range(2, len(w)):
+            counts[3][tuple(w[at - 2:at + 1])] += 1
+            for k in (1, 2, 3):
+                owners[tuple(w[at - k + 1:at + 1])].add(i)
+    for k in (2, 1):
+        counts[k].update(g[1:] for g in counts[k + 1])
+    d = {}
+    for k in (1, 2, 3):
+        n = [max(1, sum(v == j for v in counts[k].values())) for j in (1, 2, 3, 4)]
+        q = n[0] / (n[0] + 2 * n[1])
+        d[k] = [0] + [min(max(j - (j + 1) * q * n[j] / n[j - 1], 0.05), j) for j in (1, 2, 3)]
+
+    def prob(g, seen=lambda g: True):
+        """Interpolated, with n-grams that are not ``seen`` (as ends or as contexts) left to the order below."""
+        if not g:
+            return None
+        k, own = len(g), [(x, v) for x, v in counts[len(g)].items() if x[:-1] == g[:-1]]
+        low = prob(g[1:], seen) if k > 1 else 2.0 ** -spell(g[0])
+        if not own or k > 1 and not seen(g[:-1]):
+            return low
+        total = sum(v for _, v in own)
+        rest = sum(d[k][min(x, 3)] for _, x in own) / total
+        v = counts[k].get(g, 0)
+        if not v or not seen(g):
+            return rest * low
+        whole = prob(g[1:]) if k > 1 else low  # the gain is that of the whole model
+        return rest * low * (((v - d[k][min(v, 3)]) / total + rest * whole) / (rest * whole))
+
+    for i, t in texts.items():
+        seen = lambda g: owners[g] != {i} if set(g) != {"<s>"} else True  # noqa: B023, E731
+        w = padded(t)
+        want = -sum(np.log2(prob(tuple(w[at - 2:at + 1]), seen)) for at in range(2, len(w)))
+        c = [0, 0, 0, *(cls[b] for b in t.encode())]
+        for at in range(3, len(c)):  # white space but for single spaces after words
+            if t[at - 3].isspace() and not (t[at - 3] == " " and at > 3 and not t[at - 4].isspace()):
+                want += float(bits[c[at - 3] << 18 | c[at - 2] << 12 | c[at - 1] << 6 | c[at]])
+        assert np.isclose(got[i][0], 2 ** (want / got[i][1]), rtol=1e-4), (i, t)
+
+
+def test_word_order_counts(spark):
+    """Words and spelling of the trusted texts in another order: only the counts of word n-grams tell them apart."""
+    sentence = ["one two three four five six seven eight nine ten", "red green blue black white grey brown pink gold teal"]
+    rows = [(i, " ".join(sentence[(i + j) % 2] for j in range(6)), "en") for i in range(20)]
+    mixed = (sentence[0] + " " + sentence[1]).split() * 3
+    random.Random(3).shuffle(mixed)
+    rows += [(100, " ".join(mixed), "en"), (101, " ".join([sentence[0], sentence[1]] * 3), "en")]
+    lab = spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.kept for r in perplexity.classify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), lab).collect()}
+    assert not got[100] and all(k for i, k in got.items() if i != 100)
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_tokens_are_those_of_the_whole_text(name):
     enc, tok = tokens.Encoder(public_tokenizers.path(name)), Tokenizer.from_file(public_tokenizers.path(name))
