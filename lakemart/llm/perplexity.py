@@ -18,7 +18,7 @@ probability of a word without history falls back on its spelling, so no word is
 5. A document's score is its bits a byte, drawn towards the trusted mean as by ``PRIOR`` more bytes, so a
    few odd words do not reject a short text; a second score is that of its byte classes in their places
    (white space and punctuation between words). Both must be within their limits. Its language's limit is the ``QUANTILE`` of the trusted
-   documents' scores and ``MARGIN`` bits; languages with few trusted documents take that of all.
+   documents' scores and ``MARGIN`` bits, however few they are; a language without any takes that of all.
 
 Cases: null and empty texts have no perplexity and are kept; a label without document is ignored, and
 so is one without id; repeated labels count once; rows without id are scored, never trusted; without
@@ -42,7 +42,7 @@ ORDER, BITS, WORDS = 4, 6, 3
 FILTER_BITS = 27  # of the table that spares the join n-grams which are not in the model
 START, END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # the words before and after a text
 MANY = -(1 << 63)  # in place of a document's key: more than one has the n-gram
-QUANTILE, MARGIN, PRIOR, LEAST_TRUSTED = 0.999, 0.25, 200, 100
+QUANTILE, MARGIN, PRIOR = 0.999, 0.25, 200
 
 
 def _classes() -> np.ndarray:
@@ -344,7 +344,7 @@ def _limits(scored: DataFrame, ids: DataFrame, quantile: float, margin: float, p
 
 def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
              quantile: float = QUANTILE, margin: float = MARGIN, prior: float = PRIOR,
-             least_trusted: int = LEAST_TRUSTED, keep_rest: bool = False) -> DataFrame:
+             least_trusted: int = 1, keep_rest: bool = False) -> DataFrame:
     """Per document: doc_id, lang, n_bytes, perplexity (a byte), score and class_score with
     their limits and kept; with ``keep_rest`` also
     rest (a struct of all columns)."""

@@ -286,6 +286,19 @@ def test_word_model_matches_plain_python(spark):
         assert np.isclose(got[i][0], 2 ** (want / got[i][1]), rtol=1e-4), (i, t)
 
 
+def test_each_language_has_its_own_limit(spark):
+    rows = [(i, " ".join(_words(40)), "en") for i in range(60)] + [(100 + i, "Qxz! " * (10 + i), "fr") for i in range(3)]
+    rows += [(200, " ".join(_words(40)), "de"), (201, "some text", None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    lab = spark.createDataFrame([(r[0], 1, 0) for r in rows[:63]], "doc_id long, quality int, toxic int")
+    got = perplexity.classify(table, lab).collect()
+    score = {x: [r.score for r in got if r.lang == x] for x in ("en", "fr")}
+    limit = {r.lang: r.score_limit for r in got}
+    for x in ("en", "fr"):
+        assert np.isclose(limit[x], max(score[x]) + perplexity.MARGIN)
+    assert limit["en"] != limit["fr"] and np.isclose(limit["de"], max(score["en"] + score["fr"]) + perplexity.MARGIN) and limit[None] == limit["de"]
+
+
 def test_word_order_counts(spark):
     """Words and spelling of the trusted texts in another order: only the counts of word n-grams tell them apart."""
     sentence = ["one two three four five six seven eight nine ten", "red green blue black white grey brown pink gold teal"]
