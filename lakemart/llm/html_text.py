@@ -5,9 +5,11 @@ length and its commas to its container and, fewer with each step, to the element
 container's points are discounted by the share of its text that is in links. The best container is
 kept with those siblings that score or read like article text.
 
-Always left out: scripts, styles, forms, navigation, page headers and footers, asides, and elements
-whose class or id says menu, advert, notice, comments and the like; inside the kept part also lists
-and boxes that are links for the most part. Nothing else is dropped or cut.
+Always left out: scripts, styles, forms, navigation, page headers and footers, and asides. A class or id
+that says menu, advert, notice, comments and the like lowers the points of the element and of what is in
+it, the more the less of the page's text it has; it is left out unless the best container or the best
+article is in it. Inside the kept part also lists and boxes are left out that are links for the most
+part. Nothing else is dropped or cut.
 
 A block is the text between the starts and ends of block elements: character references decoded,
 white space (also ``br``) one space, trimmed; blocks are joined by an empty line, in page order.
@@ -57,14 +59,16 @@ ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dial
 
 
 class Page:
-    """Elements (tag, parent, bonus, dropped) and text blocks (element, text, characters in links) of a page."""
+    """Elements (tag, parent, bonus, dropped, nearest with an unlikely name) and text blocks (element, pieces of text with
+    that name's element and whether in links) of a page."""
 
     def __init__(self, source: str):
-        self.tag, self.up, self.bonus, self.drop = ["#page"], [-1], [0.0], [False]
-        self.blocks: list[tuple[int, str, int]] = []
+        self.tag, self.up, self.bonus, self.drop, self.named = ["#page"], [-1], [0.0], [False], [0]
+        self.blocks: list[tuple[int, list[tuple[int, str, bool]]]] = []
         self._read(source)
 
     def _open(self, tag, attrs, parent):
+        named = False
         bonus, drop = (25.0, False) if tag in ("article", "main") else (0.0, tag in DROP)
         if attrs:
             for key, a, b, c in _NAME.findall(attrs):
@@ -76,7 +80,7 @@ class Page:
                     bonus += 25 * (value in ("main", "article"))
                 elif tag not in ("html", "body", "main", "article"):
                     words = set(_PART.findall(value))
-                    drop = drop or not words.isdisjoint(NOT_TEXT)
+                    named = named or not words.isdisjoint(NOT_TEXT)
                     bonus += 25 * (not words.isdisjoint(TEXT))
         if tag == "header":  # a page's header; an article's own holds its title
             k = parent
@@ -87,20 +91,18 @@ class Page:
         self.up.append(parent)
         self.bonus.append(bonus)
         self.drop.append(drop or self.drop[parent])
+        self.named.append(len(self.tag) - 1 if named else 0 if tag == "main" else self.named[parent])  # a page has one main
         return len(self.tag) - 1
 
     def _read(self, source):
         stack, links, at = [0], 0, 0
-        text: list[str] = []
-        linked: list[str] = []
+        text: list[tuple[int, str, bool]] = []
 
         def end_block():
             if text:
-                body = " ".join("".join(text).split())
-                if body and not self.drop[holder()]:
-                    self.blocks.append((holder(), body, len(" ".join("".join(linked).split()))))
+                if not self.drop[holder()]:
+                    self.blocks.append((holder(), text.copy()))
                 text.clear()
-                linked.clear()
 
         def holder():
             for k in reversed(stack):
@@ -117,9 +119,7 @@ class Page:
         def say(raw):
             if raw and not self.drop[stack[-1]]:
                 raw = html.unescape(raw) if "&" in raw else raw
-                text.append(raw)
-                if links:
-                    linked.append(raw)
+                text.append((self.named[stack[-1]], raw, links > 0))
 
         n = len(source)
         while at < n:
@@ -193,31 +193,48 @@ def _points(text: str) -> float:
     return 1 + text.count(",") + text.count("，") + text.count("、") + min(len(text) // 100, 3)
 
 
+def _joined(pieces) -> str:
+    return " ".join("".join(pieces).split())
+
+
 def main_text(source: str | None) -> str:
     """The page's main text (see the module's text)."""
     if not source:
         return ""
     page = Page(source)
-    if not page.blocks:
-        return ""
     n = len(page.tag)
-    score, size, link = [0.0] * n, [0] * n, [0] * n
-    for node, text, linked in page.blocks:
-        k = node
-        while k >= 0:
+    score, size, link, whole = [0.0] * n, [0] * n, [0] * n, [0] * n
+    blocks = []  # as they stand, without what has an unlikely name inside them
+    for node, pieces in page.blocks:
+        own = [(raw, linked) for name, raw, linked in pieces if name == page.named[node]]
+        blocks.append((node, _joined(raw for raw, _ in own), len(_joined(raw for raw, linked in own if linked))))
+        whole[node] += len(_joined(raw for _, raw, _ in pieces))
+    for k in range(n - 1, 0, -1):
+        whole[page.up[k]] += whole[k]
+    if not whole[0]:
+        return ""
+    for node, text, linked in blocks:
+        k, out = node, page.named[node]  # an unlikely name's text counts for what is in that element only
+        while k >= 0 and text:
             size[k] += len(text)
             link[k] += linked
-            k = page.up[k]
+            k = -1 if k and k == out else page.up[k]
         if len(text) >= 25 and 2 * linked < len(text):
             points = _points(text) * (1 - linked / len(text))
             k, step = page.up[node] if page.tag[node] in ("p", "pre", "h1", "h2", "h3", "h4", "h5", "h6") else node, 0
+            if out and page.up[out] == k:  # the paragraph itself has the name
+                k = node
             while k >= 0:
                 score[k] += points / (1, 2)[step] if step < 2 else points / (3 * step)
-                k, step = page.up[k], step + 1
+                k, step = -1 if k and k == out else page.up[k], step + 1
     total = [0.0] * n
     for k in range(n):
         if size[k] and not page.drop[k]:
             total[k] = (score[k] + page.bonus[k]) * (1 - link[k] / size[k])
+            out = page.named[k]
+            while out:
+                total[k] = total[k] / 5 - 10 * (1 - whole[out] / whole[0])
+                out = page.named[page.up[out]]
     paragraphs = {"p", "pre", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "th", "dt", "dd", "a"}
     best = max((k for k in range(n) if size[k] and page.tag[k] not in paragraphs), key=lambda k: (total[k], -k), default=0)
     k = best  # text in a part of an article belongs to the whole of it
@@ -227,16 +244,25 @@ def main_text(source: str | None) -> str:
             if page.tag[k] == "article":
                 break
         k = page.up[k]
+    articles = [k for k in range(n) if page.tag[k] in ("article", "main") and size[k]]
+    spared = {0}  # what holds the best container and the best article
+    for k in (best, max(articles, key=lambda k: (total[k], -k), default=0)):
+        while k > 0:
+            spared.add(k)
+            k = page.up[k]
+    out = [False] * n  # has, or is in, what has an unlikely name and is not spared
+    for k in range(1, n):
+        out[k] = out[page.up[k]] or page.named[k] == k and k not in spared
     kept = [False] * n
     longest: dict[int, str] = {}
-    for node, text, _ in page.blocks:
+    for node, text, _ in blocks:
         if len(text) > len(longest.get(node, "")):
             longest[node] = text
     least = max(10.0, total[best] / 5)
     for k in range(n):
         if k == best:
             kept[k] = True
-        elif page.up[k] == page.up[best] and best and not page.drop[k] and size[k]:
+        elif page.up[k] == page.up[best] and best and not page.drop[k] and not out[k] and size[k]:
             dense = link[k] / size[k]
             reads = page.tag[k] == "p" and (size[k] > 80 and dense < 0.25 or not link[k] and longest.get(k, "").endswith((".", "!", "?")))
             kept[k] = reads or page.tag[k] not in paragraphs and total[k] >= least
@@ -246,7 +272,9 @@ def main_text(source: str | None) -> str:
         kept[k] = kept[k] or inside
         links_only[k] = links_only[page.up[k]] or (
             inside and page.tag[k] in ("ul", "ol", "dl", "div", "section", "table") and size[k] > 0 and 5 * link[k] > 3 * size[k])
-    return "\n\n".join(text for node, text, _ in page.blocks if kept[node] and not links_only[node])
+    texts = (_joined(raw for name, raw, _ in pieces if not out[name])
+             for node, pieces in page.blocks if kept[node] and not out[node] and not links_only[node])
+    return "\n\n".join(t for t in texts if t)
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:

@@ -443,6 +443,22 @@ def test_html_text(spark):
     assert html_text.main_text("<div>" * 3000 + "deep text, far down") == "deep text, far down"
 
 
+PROSE = "<p>Some long text, with commas, that goes on for a while.</p><p>And another one, with more, of the same kind.</p>"
+TEXT = "Some long text, with commas, that goes on for a while.\n\nAnd another one, with more, of the same kind."
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='content has-sidebar'>%s</div>", "<div class='post ad-free'>%s</div>", "<div class='post ad-free'><article>%s</article></div>",
+    "<div id='comments-page'>%s</div>", "<div id='comments-page'><article>%s<div class='share'>Share, this, with, your, friends, and, so, on.</div></article></div>",
+    "<div class='has-sidebar'><div>%s</div><div class='sidebar'><p>Many, many, many, words, here, and, there, again.</p></div></div><div>Rights</div>",
+    "<div class='layout sidebar-left'><main>%s</main><div id=sidebar>Links</div></div><p>Rights, all, reserved, by us, forever and ever.</p>",
+    "<span class='has-sidebar'><div>%s</div></span>", "<p class='ad'>Buy, buy, buy, and buy some more, dear reader.</p><div>%s</div>",
+    "<div class=page><div>%s</div><div class=comments>" + "<div><p>A comment, long, with commas, and more, and more.</p></div>" * 20 + "</div></div>",
+])
+def test_html_names_lower_the_score(page):
+    assert html_text.main_text("<body><nav>Home</nav>" + page.replace("%s", PROSE) + "</body>") == TEXT
+
+
 def test_words_and_bit_table(spark):
     import pyarrow as pa
 
