@@ -32,7 +32,7 @@ from lakemart.llm import common as C
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]{0,4096}+"|'[^']{0,4096}+')*+)>"""
     r"""|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.S)
-_NAME = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""", re.I)
+_ATTR = re.compile(r"""[\s/]*+([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)(?:"|\Z)|'([^']*+)(?:'|\Z)|([^\s>]*+)))?""")
 _PART = re.compile(r"[a-z]+")
 
 # Element names of HTML.
@@ -71,8 +71,11 @@ class Page:
         named = False
         bonus, drop = (25.0, False) if tag in ("article", "main") else (0.0, tag in DROP)
         if attrs:
-            for key, a, b, c in _NAME.findall(attrs):
-                value, key = (a or b or c).lower(), key.lower()
+            read = {}  # each attribute whole, so no name is found in a value; the first of a name holds
+            for key, a, b, c in _ATTR.findall(attrs):
+                read.setdefault(key.lower(), a or b or c)
+            for key in read.keys() & {"class", "id", "role", "hidden"}:
+                value = read[key].lower()
                 if key == "hidden":
                     drop = True
                 elif key == "role":

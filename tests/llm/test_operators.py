@@ -471,3 +471,11 @@ def test_words_and_bit_table(spark):
     table = common.set_bits(spark.createDataFrame([(int(k),) for k in keys], "k long"), "k", 16)
     assert table.has(keys.view(np.uint64)).all()
     assert not table.has(np.array([2**50 * 3], np.uint64)).any()
+
+
+@pytest.mark.parametrize("attrs", ["style='overflow: hidden'", 'style="visibility: hidden; color: red"', "title='Hidden costs'", "data-x='a class=\"ad\" id=menu'",
+                                   "style = 'overflow: hidden'class=content", "class=content class=ad", "data-a=x/hidden", "data-a='role=\"navigation\"'"])
+def test_html_attribute_names_only_in_name_position(attrs):
+    assert html_text.main_text(f"<body><div {attrs}>{PROSE}</div></body>") == TEXT
+    for hides in ("hidden", "HIDDEN=''", "hidden/", "role=navigation", "a='b'hidden"):
+        assert html_text.main_text(f"<body><div {hides}>{PROSE}</div><p>Short.</p></body>") == "Short."
