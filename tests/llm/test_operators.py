@@ -479,3 +479,10 @@ def test_html_attribute_names_only_in_name_position(attrs):
     assert html_text.main_text(f"<body><div {attrs}>{PROSE}</div></body>") == TEXT
     for hides in ("hidden", "HIDDEN=''", "hidden/", "role=navigation", "a='b'hidden"):
         assert html_text.main_text(f"<body><div {hides}>{PROSE}</div><p>Short.</p></body>") == "Short."
+
+
+def test_html_long_attribute_values():
+    page = "<article><div data-x=\"%s\" data-y='%s'>Some text.</div><p>More.</p></article>"
+    long = "<p>markup > text</p>" * 5000
+    assert html_text.main_text(page % (long, long)) == "Some text.\n\nMore."
+    assert html_text.main_text("<article><p>One.</p><p title=\"" + "x" * 5000 + ">Two.</p></article>") == "One.\n\nTwo."  # no closing quote
