@@ -8,8 +8,9 @@ kept with those siblings that score or read like article text.
 Always left out: scripts, styles, forms, navigation, page headers and footers, and asides. A class or id
 that says menu, advert, notice, comments and the like lowers the points of the element and of what is in
 it, the more the less of the page's text it has; it is left out unless the best container or the best
-article is in it. Inside the kept part also lists and boxes are left out that are links for the most
-part. Nothing else is dropped or cut.
+article is in it. Inside the kept part, what is links for the most part is left out if it stands as navigation
+does: before the first text that reads, or boxes of bare links (no list, no heading) after the last.
+Nothing else is dropped or cut.
 
 A block is the text between the starts and ends of block elements: character references decoded,
 white space (also ``br``) one space, trimmed; blocks are joined by an empty line, in page order.
@@ -49,6 +50,9 @@ CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 WALL = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}}
 TABLE = {"table", "td", "th", "caption", "button", "object", "template"}
 
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+LISTS = {"ul", "ol", "dl", "pre", "table"}
+
 # Words of class and id names that say what an element is.
 NOT_TEXT = set("ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies "
                "disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices overlay "
@@ -269,12 +273,35 @@ def main_text(source: str | None) -> str:
             dense = link[k] / size[k]
             reads = page.tag[k] == "p" and (size[k] > 80 and dense < 0.25 or not link[k] and longest.get(k, "").endswith((".", "!", "?")))
             kept[k] = reads or page.tag[k] not in paragraphs and total[k] >= least
+    ahead = False  # a heading belongs to what follows it, lists and pre to what stands around them
+    beside = [k for k in range(1, n) if best and page.up[k] == page.up[best] and not out[k] and size[k]]
+    for k in reversed(beside):
+        if page.tag[k] in HEADINGS and 2 * link[k] < size[k]:
+            kept[k] = ahead
+        ahead = kept[k] or page.tag[k] in LISTS and ahead
+    within = [i for i, k in enumerate(beside) if kept[k]]
+    for k in beside[within[0]:within[-1]] if within else ():
+        kept[k] = kept[k] or page.tag[k] in LISTS and 5 * link[k] <= 3 * size[k]
+    for k in range(1, n):
+        kept[k] = kept[k] or kept[page.up[k]]
+    first, last, titled = [len(blocks)] * n, [-1] * n, [False] * n
+    reads = [len(blocks), -1]
+    for i, (node, text, linked) in enumerate(blocks):
+        if not kept[node] or out[node] or not text:
+            continue
+        heading = page.tag[node] in HEADINGS
+        if 2 * linked < len(text) and not heading:
+            reads = [min(reads[0], i), i]
+        k = node
+        while k >= 0:
+            first[k], last[k], titled[k] = min(first[k], i), i, titled[k] or heading or page.tag[k] in LISTS
+            k = page.up[k]
     links_only = [False] * n
     for k in range(1, n):
-        inside = kept[page.up[k]] and page.up[k] >= 0
-        kept[k] = kept[k] or inside
-        links_only[k] = links_only[page.up[k]] or (
-            inside and page.tag[k] in ("ul", "ol", "dl", "div", "section", "table") and size[k] > 0 and 5 * link[k] > 3 * size[k])
+        links_only[k] = links_only[page.up[k]]
+        if kept[page.up[k]] and page.tag[k] in ("ul", "ol", "dl", "div", "section", "table") and size[k] and 5 * link[k] > 3 * size[k]:
+            led = first[k] > 0 and (page.tag[blocks[first[k] - 1][0]] in HEADINGS or blocks[first[k] - 1][1].endswith(":"))
+            links_only[k] = links_only[k] or last[k] < reads[0] or first[k] > reads[1] and not titled[k] and not led
     texts = (_joined(raw for name, raw, _ in pieces if not out[name])
              for node, pieces in page.blocks if kept[node] and not out[node] and not links_only[node])
     return "\n\n".join(t for t in texts if t)

@@ -486,3 +486,21 @@ def test_html_long_attribute_values():
     long = "<p>markup > text</p>" * 5000
     assert html_text.main_text(page % (long, long)) == "Some text.\n\nMore."
     assert html_text.main_text("<article><p>One.</p><p title=\"" + "x" * 5000 + ">Two.</p></article>") == "One.\n\nTwo."  # no closing quote
+
+
+SOURCES = "<ul><li><a href=1>First source</a></li><li><a href=2>Second source</a></li></ul>"
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<article>{PROSE}<h2>Sources</h2>{SOURCES}</article>", f"{TEXT}\n\nSources\n\nFirst source\n\nSecond source"),
+    (f"<article>{PROSE}{SOURCES}</article>", f"{TEXT}\n\nFirst source\n\nSecond source"),
+    (f"<article>{PROSE}{SOURCES}<p>The end, then.</p></article>", f"{TEXT}\n\nFirst source\n\nSecond source\n\nThe end, then."),
+    (f"<article>{PROSE}<section><h2>References</h2><a href=1>First source</a></section></article>", f"{TEXT}\n\nReferences\n\nFirst source"),
+    (f"<article>{SOURCES}{PROSE}</article>", TEXT),
+    (f"<article>{PROSE}<ul class='related'><li><a href=1>Another article</a></ul><div><a href=1>next</a></div></article>", TEXT),
+    (f"<body><h1>Title</h1><div>{PROSE}</div><h2>Elsewhere</h2></body>", f"Title\n\n{TEXT}"),
+    (f"<body><h1><a href=/>Site</a></h1><div>{PROSE}</div></body>", TEXT),
+    (f"<body><div>{PROSE}</div><pre>some code</pre><ul><li>point</ul><p>The end, then.</p><ul><li>x</ul></body>", f"{TEXT}\n\nsome code\n\npoint\n\nThe end, then."),
+])
+def test_html_lists_and_headings(page, want):
+    assert html_text.main_text(page) == want
