@@ -1,7 +1,9 @@
 """Plain Python versions of the operators' contracts, for small tables."""
 
 import collections
+import functools
 import hashlib
+import math
 import re
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -81,3 +83,85 @@ def base_counts(t):
 
 def sha(words):
     return hashlib.sha256(" ".join(words).encode()).hexdigest()
+
+
+class KneserNey:
+    """Interpolated modified Kneser-Ney over token sequences with ``order - 1`` starts before them."""
+
+    def __init__(self, sequences, order, base):
+        self.order, self.base, self.memo = order, base, {}
+        self.counts = [collections.Counter() for _ in range(order + 1)]
+        for w in sequences:
+            self.counts[order].update(tuple(w[i - order + 1:i + 1]) for i in range(order - 1, len(w)))
+        for k in range(order - 1, 0, -1):
+            self.counts[k].update(g[1:] for g in self.counts[k + 1])
+        self.d, self.total, self.taken = {}, collections.Counter(), collections.Counter()
+        for k in range(1, order + 1):
+            n = [max(1, sum(v == j for v in self.counts[k].values())) for j in (1, 2, 3, 4)]
+            q = n[0] / (n[0] + 2 * n[1])
+            self.d[k] = [0] + [min(max(j - (j + 1) * q * n[j] / n[j - 1], 0.05), j) for j in (1, 2, 3)]
+            for g, v in self.counts[k].items():
+                self.total[g[:-1]] += v
+                self.taken[g[:-1]] += self.d[k][min(v, 3)]
+
+    def log2(self, g, seen=None):
+        """log2 P of the end of ``g``; n-grams that are not ``seen`` give nothing, the others what they give in the whole model."""
+        if seen is None and g in self.memo:
+            return self.memo[g]
+        k = len(g)
+        low = self.log2(g[1:], seen) if k > 1 else self.base(g[0])
+        out = low
+        if g[:-1] in self.total and (k == 1 or seen is None or seen(g[:-1])):
+            rest, v = self.taken[g[:-1]] / self.total[g[:-1]], self.counts[k].get(g, 0)
+            out += math.log2(rest)
+            if v and (seen is None or seen(g)):
+                whole = rest * 2 ** (self.log2(g[1:]) if k > 1 else low)
+                out += math.log2(((v - self.d[k][min(v, 3)]) / self.total[g[:-1]] + whole) / whole)
+        if seen is None:
+            self.memo[g] = out
+        return out
+
+
+def classifier(docs, trusted, classes, quantile, margin, prior):
+    """Ids that the quality classifier keeps of ``docs`` (id, lang, text; ids differ), fitted on the ids ``trusted``."""
+    texts = {i: t for i, _, t in docs if i in trusted and t}
+    members = collections.Counter(classes)
+    byte = KneserNey(([0] * 3 + [classes[b] for b in t.encode()] for t in texts.values()), 4, lambda c: -6.0)
+
+    @functools.cache
+    def spell(word):
+        c = [0, 0, 1, *(classes[b] for b in word), 1]
+        return sum(byte.log2(tuple(c[i - 3:i + 1])) for i in range(3, len(c))) - sum(math.log2(members[classes[b]]) for b in word)
+
+    def padded(t):
+        return [None, None, *re.split(rb"[ \t-\r]+", t.encode().strip(b" \t\n\v\f\r")), b""] if t.strip(" \t\n\v\f\r") else [None, None, b""]
+
+    word = KneserNey(map(padded, texts.values()), 3, spell)
+    owners = collections.defaultdict(set)
+    for i, t in texts.items():
+        w = padded(t)
+        for at in range(2, len(w)):
+            for k in (1, 2, 3):
+                owners[tuple(w[at - k + 1:at + 1])].add(i)
+    score = {}
+    for i, _, t in docs:
+        if t:
+            w, b = padded(t), t.encode()
+            seen = (lambda g: set(g) == {None} or owners[g] != {i}) if i in texts else None  # noqa: B023
+            c = [0] * 3 + [classes[x] for x in b]
+            place = [byte.log2(tuple(c[at:at + 4])) for at in range(len(b))]
+            bits = sum(word.log2(tuple(w[at - 2:at + 1]), seen) for at in range(2, len(w)))
+            bits += sum(p for at, p in enumerate(place) if b[at] in b" \t\n\v\f\r" and not (b[at] == 32 and at and b[at - 1] not in b" \t\n\v\f\r"))
+            score[i] = (-bits, -sum(place), len(b))
+    lang = {i: x for i, x, _ in docs}
+    kept = {i for i, _, t in docs if not t}
+    fine = [set(), set()]
+    for kind in (0, 1):
+        mean = sum(score[i][kind] for i in texts) / sum(score[i][2] for i in texts)
+        drawn = {i: (s[kind] + mean * prior) / (s[2] + prior) for i, s in score.items()}
+        every = sorted(drawn[i] for i in texts)
+        for i, x in drawn.items():
+            own = sorted(drawn[j] for j in texts if lang[j] == lang[i] and lang[i] is not None) or every
+            if x <= own[math.ceil(quantile * len(own)) - 1] + margin:
+                fine[kind].add(i)
+    return kept | fine[0] & fine[1]

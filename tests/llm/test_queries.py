@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from lakemart.llm import queries, url_filter
+from lakemart.llm import perplexity, queries, url_filter
 from tests.conftest import SMALL_SF
 from tests.llm import brute
 
@@ -101,5 +101,17 @@ def test_pipeline_by_plain_python(spark):
     assert max(full.values()) <= 4096 and len(full) <= -(-sum(full.values()) // 4096) + 1
 
 
+def test_first_stage_by_plain_python(spark):
+    """What the classifier keeps of the smallest table, from a plain Kneser-Ney model and quantiles."""
+    docs = spark.read.parquet(os.path.join(SMALL_SF, "documents.parquet"))
+    labels = spark.read.parquet(os.path.join(SMALL_SF, "labels.parquet"))
+    rows = [(r.doc_id, r.lang, r.text) for r in docs.collect()]
+    trusted = {r.doc_id for r in labels.collect() if r.quality == 1 and r.toxic == 0}
+    assert len({r[0] for r in rows}) == len(rows)
+    want = brute.classifier(rows, trusted, perplexity.CLASSES.tolist(), perplexity.QUANTILE, perplexity.MARGIN, perplexity.PRIOR)
+    got = [r.doc_id for r in dict(corpus_pipeline.STAGES)["quality classifier"](spark, docs, SMALL_SF).collect()]
+    assert sorted(got) == sorted(want) and 0 < len(got) < len(rows)
+
+
 def test_pipeline_runs_whole(spark):
     assert corpus_pipeline.run(spark, SMALL_SF).count() > 100
