@@ -13,12 +13,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.session import read_table, scratch_path
-
 __all__ = ["read_table", "scratch_path", "stored", "worker_state", "ASCII_SPACE", "NOT_WORD_10", "Words",
            "doc_slices", "row_slices", "mix", "kgrams", "window_min", "BitSet", "set_bits", "bit_position", "column"]
 
 
+# Functions of this module are shipped to tasks by value, and with them what it names; the session helpers
+# are therefore looked up when they are called, on the driver.
+
+def read_table(spark, sf_dir: str, name: str) -> DataFrame:
+    """A table of the inputs."""
+    from lakemart.session import read_table as read
+
+    return read(spark, sf_dir, name)
+
+
+def scratch_path(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    from lakemart.session import scratch_path as path
+
+    return path(spark, name)
+
+
 def column(df: DataFrame, name: str, kind: str | None = None):
     """One column by its own name, resolved on ``df`` itself (extra columns cannot clash)."""
     c = df[f"`{name}`"]
