@@ -1,31 +1,45 @@
-"""Batches merged into a stored star schema.
+"""Batches loaded into a stored star schema. No stored file is rewritten, but where a late song resolves listens.
 
-The dimensions are stored in buckets of their key's hash. A batch reads and rewrites only the buckets
-its keys fall into, from a staged copy, so no file is overwritten while it is read. Songplays are
-resolved against the stored songs and artists and stored under their batch, with ids that go on after
-those of the batches before. Loading the last batch again rewrites the same rows.
+Every table has a folder for each batch:
+
+* ``songs``, ``artists``, ``time`` are insert-if-absent: a batch adds the rows whose key is not stored. Which
+  keys are, is asked by streaming the stored key column (within the batch's least and greatest key, which Parquet
+  statistics prune) past the batch's keys; the stored table is not shuffled;
+* ``users`` hold a row per user and batch with the order of its first and last log row; the users themselves
+  (first attributes, last level) are an aggregate over them, so a batch only writes its own folder;
+* ``songplays`` are numbered inside their batch; ``batches`` holds how many each has, and an id is that number
+  after those of the batches before. A batch may be loaded again at any time: its songplays and users are
+  replaced, ids stay dense and unique (those of later batches move if the count changed), and rows once
+  inserted into songs, artists and time stay.
+* ``files`` lists the files of a batch as they were when they were loaded; it is written last, so a load that
+  broke off is done again under the same number.
+
+Listens without a match keep their title, artist and length. With ``resolve_late`` songs and artists that a batch
+adds are looked up for those listens only, and only batches with a hit are written anew.
 """
 
 from __future__ import annotations
 
 import os
+import time
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakemart.operators import dedupe
-from lakemart.operators.project import filter_eq
+from lakemart.operators.lookup import lookup_first
 from lakemart.plans import star
 from lakemart.session import scratch_path
-from lakemart.sources import sinks
 
-BUCKETS = 32
-_BUCKET, _OF, BATCH = "_bucket", "_buckets", "batch"
+BATCH = "batch"
+TABLES = ("users", "songs", "artists", "time", "songplays")
+_NO = "_n"
+_MISSED = {"song": "_song", "artist": "_artist", "length": "_length"}
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None if there is none yet; any other failure is raised."""
     try:
         return spark.read.parquet(path)
@@ -35,68 +49,139 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def merge_table(spark: SparkSession, path: str, rows: DataFrame, key: str, mode: str, order_by: Sequence[str],
-                batch: int, buckets: int = BUCKETS, **kw) -> DataFrame:
-    """Merge ``rows`` into the keyed table at ``path``; the whole table, with its merge columns."""
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    held = _stored(spark, path)
-    if held is not None:
-        touched = [r[0] for r in rows.select(bucket).distinct().collect()]   # at most ``buckets`` numbers
-        other = held.where(F.col(_OF) != buckets).select(_OF).first()
-        if other:
-            raise ValueError(f"{path} is stored in {other[0]} buckets, not {buckets}")
-        held = held.where(F.col(_BUCKET).isin(touched)).drop(_OF, _BUCKET)
-    merged = dedupe.merge_into(held, [rows], key, mode, order_by, first_batch_no=batch, **kw)
-    merged = merged.withColumn(_OF, F.lit(buckets)).withColumn(_BUCKET, bucket)
-    if held is not None:
-        stage = scratch_path(spark, "merge-stage")
-        merged.write.parquet(stage)
-        merged = spark.read.schema(merged.schema).parquet(stage)
-    sinks.write_parquet(merged, path, "overwrite", [_OF, _BUCKET])
-    return spark.read.parquet(path)
+def _write(df: DataFrame, path: str, batch: int, mode: str, stats: list | None = None) -> None:
+    """``df`` as (part of) one batch's folder; a batch without rows leaves a file that holds the schema."""
+    seen, t0 = Observation(), time.monotonic()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode).parquet(os.path.join(path, f"{BATCH}={batch}"))
+    if stats is not None:
+        stats.append((os.path.basename(path), int(seen.get["n"]), round(time.monotonic() - t0, 3)))
+
+
+def absent_rows(rows: DataFrame, held: DataFrame | None, key: str) -> DataFrame:
+    """Rows of ``rows`` whose key is not in ``held``.
+
+    The stored keys that the batch has are found first, as a semi join that streams the stored key column, so
+    only keys of the batch's size are joined against the rows."""
+    if held is None:
+        return rows
+    least, most = rows.agg(F.min(key), F.max(key)).first()
+    met = held.select(key).where(F.col(key).between(F.lit(least), F.lit(most))).join(rows.select(key), key, "left_semi")
+    return rows.join(met, key, "left_anti")
+
+
+def insert_absent(spark: SparkSession, path: str, rows: DataFrame, key: str, batch: int, stats: list | None = None) -> None:
+    """Append the rows (one per key) whose key is not stored to the batch's folder; rows without a key are left out."""
+    stage = scratch_path(spark, "insert-stage")
+    rows.where(F.col(key).isNotNull()).write.parquet(stage)
+    rows = spark.read.schema(rows.schema).parquet(stage)
+    held = stored(spark, path)
+    _write(absent_rows(rows, held, key), path, batch, "append", stats)
+
+
+def users(deltas: DataFrame) -> DataFrame:
+    """The users of all batches: attributes of the first row, level of the last."""
+    out = dedupe.first_attrs_last_status(deltas.drop(BATCH), "userId", ["firstName", "lastName", "gender"], ["level"])
+    return out.select(F.col("userId").alias("user_id"), F.col("firstName").alias("first_name"),
+                      F.col("lastName").alias("last_name"), "gender", "level")
+
+
+def songplays(plays: DataFrame, batches: DataFrame) -> DataFrame:
+    """Stored songplays with their ids: the number in the batch after the songplays of the batches before.
+
+    ``batches`` has one row per batch."""
+    before = Window.orderBy(BATCH).rowsBetween(Window.unboundedPreceding, -1)
+    start = batches.select(F.col(BATCH), F.coalesce(F.sum("n_plays").over(before), F.lit(0)).alias("_start"))
+    out = plays.join(start, BATCH)
+    return out.select((F.col("_start") + F.col(_NO)).alias("songplay_id"), "start_time", "user_id", "level", "song_id",
+                      "artist_id", "session_id", "location", "user_agent")
 
 
 def read_star(spark: SparkSession, store: str) -> dict[str, DataFrame]:
-    """The five stored tables, without the columns that merging needs."""
-    t = {n: dedupe.drop_merge_columns(spark.read.parquet(os.path.join(store, n)).drop(_OF, _BUCKET))
-         for n in ("users", "songs", "artists", "time")}
-    t["users"] = t["users"].select(F.col("userId").alias("user_id"), F.col("firstName").alias("first_name"),
-                                   F.col("lastName").alias("last_name"), "gender", "level")
-    t["songplays"] = spark.read.parquet(os.path.join(store, "songplays")).drop(BATCH)
-    return t
+    """The five stored tables."""
+    t = {n: spark.read.parquet(os.path.join(store, n)) for n in (*TABLES, "batches")}
+    return {"users": users(t["users"]), **{n: t[n].drop(BATCH) for n in ("songs", "artists", "time")},
+            "songplays": songplays(t["songplays"], t["batches"])}
+
+
+def _catalogue(songs: DataFrame, artists: DataFrame) -> DataFrame:
+    return star.song_catalogue(songs, artists).dropDuplicates()
+
+
+def resolve_late_songs(spark: SparkSession, store: str, batch: int) -> list[int]:
+    """Look up earlier misses in the songs and artists that ``batch`` added; the numbers of the batches written anew."""
+    path = os.path.join(store, "songplays")
+    t = {n: spark.read.parquet(os.path.join(store, n)) for n in ("songs", "artists", "songplays")}
+    added = {n: t[n].where(F.col(BATCH) == batch) for n in ("songs", "artists")}
+    new = _catalogue(added["songs"], t["artists"]).unionByName(_catalogue(t["songs"], added["artists"])).dropDuplicates()
+    missed = t["songplays"].where(F.col("song_id").isNull() & (F.col(BATCH) != batch)).select(BATCH, _NO, *_MISSED.values())
+    hits = lookup_first(missed, new, list(_MISSED.values()), ["title", "artist_name", "duration"], ["song_id", "artist_id"],
+                        ["song_id", "artist_id"], how="inner").select(BATCH, _NO, F.col("song_id").alias("_s"), F.col("artist_id").alias("_a"))
+    stage = scratch_path(spark, "late-hits")
+    hits.write.parquet(stage)
+    hits = spark.read.schema(hits.schema).parquet(stage)
+    met = sorted(r[0] for r in hits.select(BATCH).distinct().collect())   # batch numbers
+    if not met:
+        return met
+    old = t["songplays"].where(F.col(BATCH).isin(met)).join(hits, [BATCH, _NO], "left")
+    found = F.col("_s").isNotNull()
+    ids = {"song_id": F.coalesce("song_id", "_s"), "artist_id": F.coalesce("artist_id", "_a")}
+    new_rows = old.select(*[ids[c].alias(c) if c in ids else F.when(~found, F.col(c)).alias(c) if c in _MISSED.values() else F.col(c)
+                            for c in t["songplays"].columns])
+    stage = scratch_path(spark, "late-stage")   # not overwritten while it is read
+    new_rows.write.parquet(stage)
+    (spark.read.schema(new_rows.schema).parquet(stage).hint("rebalance", BATCH).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path))
+    return met
 
 
 def load_batch(spark: SparkSession, store: str, log: DataFrame, songs: DataFrame, batch: int | None = None,
                order_by: Sequence[str] = star.LOG_ORDER, song_order: Sequence[str] = ("song_id",),
-               page: str = star.LISTEN_PAGE, buckets: int = BUCKETS) -> dict[str, DataFrame]:
-    """Merge one batch of log rows and song documents into the star schema in ``store``; the stored tables.
+               page: str = star.LISTEN_PAGE, resolve_late: bool = False, earlier: str = "move",
+               files: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Load one batch of log rows and song documents into the star schema in ``store``; the stored tables and
+    ``load_stats`` (rows that the batch wrote to each table, seconds).
 
-    Across batches "first" and "last" go by batch, then by the given orders.
+    ``batch`` is its number (default: after the last). Across batches "first" and "last" go by batch, then by the
+    given orders. A stored batch that is not the last may be loaded again if ``earlier`` is ``move`` (ids of later
+    batches follow its new count), not if it is ``refuse``. ``files`` is what to note as the batch's files.
     """
-    plays_path = os.path.join(store, "songplays")
-    plays = _stored(spark, plays_path)
+    if earlier not in ("move", "refuse"):
+        raise ValueError("earlier must be 'move' or 'refuse'")
+    done = stored(spark, os.path.join(store, "batches"))
+    last = None if done is None else done.agg(F.max(BATCH)).first()[0]
     if batch is None:
-        batch = 0 if plays is None else (plays.agg(F.max(BATCH)).first()[0] or 0) + 1
-    named = songs.where(F.col("artist_name").isNotNull()).select(
-        "artist_id", "artist_name", F.col("artist_location").alias("location"),
-        F.col("artist_latitude").alias("latitude"), F.col("artist_longitude").alias("longitude"), *song_order)
-    time = star.time_table(log, "mon0", page, whole_seconds=False, dedupe=True)
-    plan = {
-        "users": (log.where(F.col("firstName").isNotNull() & F.col("userId").isNotNull()), "userId",
-                  "first_attrs_last_status", order_by, {"first_cols": ["firstName", "lastName", "gender"],
-                                                        "last_cols": ["level"]}),
-        "songs": (songs.where(F.col("song_id").isNotNull()).withColumn("year", F.col("year").cast("string")), "song_id",
-                  "keep_first", song_order, {"cols": ["title", "artist_id", "year", "duration"]}),
-        "artists": (named.where(F.col("artist_id").isNotNull()), "artist_id", "keep_first", song_order,
-                    {"cols": ["artist_name", "location", "latitude", "longitude"]}),
-        "time": (time, "start_time", "keep_first", ["start_time"],
-                 {"cols": ["hour", "day", "week", "month", "year", "weekday"]}),
-    }
-    for name, (rows, key, mode, order, kw) in plan.items():
-        merge_table(spark, os.path.join(store, name), rows, key, mode, order, batch, buckets, **kw)
-    last = None if plays is None else plays.where(F.col(BATCH) < batch).agg(F.max("songplay_id")).first()[0]
-    t = {n: spark.read.parquet(os.path.join(store, n)) for n in ("songs", "artists")}
-    facts = star.songplays_lookup(filter_eq(log, "page", page), star.song_catalogue(t["songs"], t["artists"]), page,
-                                  order_by, (last or 0) + 1)
-    sinks.write_parquet(facts.withColumn(BATCH, F.lit(batch)), plays_path, "overwrite", [BATCH])
-    return read_star(spark, store)
+        batch = 0 if last is None else last + 1
+    if earlier == "refuse" and last is not None and batch < last:
+        raise ValueError(f"batch {batch} is older than the last stored batch {last}")
+    at = lambda n: os.path.join(store, n)
+    stats: list = []
+    people = log.where(F.col("firstName").isNotNull() & F.col("userId").isNotNull())
+    people = dedupe.merge_into(None, [people], "userId", "first_attrs_last_status", order_by, first_batch_no=batch,
+                               first_cols=["firstName", "lastName", "gender"], last_cols=["level"])
+    _write(people, at("users"), batch, "overwrite", stats)
+    insert_absent(spark, at("songs"), star.songs_first(songs, song_order), "song_id", batch, stats)
+    insert_absent(spark, at("artists"), star.artists_first(songs, song_order), "artist_id", batch, stats)
+    insert_absent(spark, at("time"), star.time_table(log, "mon0", page, whole_seconds=False, dedupe=True), "start_time", batch, stats)
+    t = {n: spark.read.parquet(at(n)) for n in ("songs", "artists")}
+    plays = star.resolved_plays(log, star.song_catalogue(t["songs"], t["artists"]), page, order_by)
+    miss = F.col("song_id").isNull()
+    plays = plays.select(F.col("songplay_id").alias(_NO), *star.SONGPLAY_COLUMNS[1:],
+                         *[F.when(miss, F.col(c)).alias(a) for c, a in _MISSED.items()])
+    _write(plays, at("songplays"), batch, "overwrite", stats)
+    count = spark.createDataFrame([(stats[-1][1],)], "n_plays long")
+    _write(count, at("batches"), batch, "overwrite")
+    if resolve_late:
+        resolve_late_songs(spark, store, batch)
+    if files is not None:
+        _write(files, at("files"), batch, "overwrite")
+    return read_star(spark, store) | {"load_stats": spark.createDataFrame(stats, "table_name string, n_rows long, seconds double")}
+
+
+def changed_files(listed: DataFrame, noted: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Of the files listed now (kind, path, size, modified): those never loaded, and the noted ones (with their
+    batch) that have another size or time now or are gone."""
+    if noted is None:
+        return listed, listed.withColumn(BATCH, F.lit(None).cast("int")).where(F.lit(False))
+    new = listed.join(noted, ["kind", "path"], "left_anti")
+    changed = noted.join(listed, ["kind", "path", "size", "modified"], "left_anti")
+    return new, changed

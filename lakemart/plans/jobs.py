@@ -22,8 +22,9 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart import schemas
@@ -97,13 +98,17 @@ def star_upsert(spark: SparkSession, song_dir: str, log_dir: str, out_dir: str)
     contracts = {"users": schemas.USERS, "songs": schemas.SONGS, "artists": schemas.ARTISTS,
                  "time": schemas.TIME, "songplays": schemas.SONGPLAYS}
 
+    stats = []
+
     def store(name, df):
-        path = os.path.join(out_dir, name)
-        sinks.full_refresh(df, contracts[name], path)
+        path, seen, t0 = os.path.join(out_dir, name), Observation(), time.monotonic()
+        sinks.full_refresh(sinks.conform(df, contracts[name]).observe(seen, F.count(F.lit(1)).alias("n")), contracts[name], path)
+        stats.append((name, int(seen.get["n"]), round(time.monotonic() - t0, 3)))
         return spark.read.parquet(path)
 
     written = star.write_star(log, songs, store, song_order=_FILE_ORDER)
     written["checks"] = star.star_checks({k: written[k] for k in contracts})
+    written["load_stats"] = spark.createDataFrame(stats, "table_name string, n_rows long, seconds double")
     return written
 
 
@@ -148,7 +153,7 @@ def data_lake(spark: SparkSession, song_root: str, log_root: str, out_dir: str,
     def store(name, df, parts=(), cluster=()):
         path = os.path.join(out_dir, name)
         sinks.write_parquet(df, path, mode, parts, cluster)
-        out[name] = spark.read.parquet(path)
+        out[name] = readers.read_parquet(spark, path, df.schema)   # a partitioned table without rows has no file to tell
 
     store("songs", star.songs_distinct(songs), ["year"], ["artist_id"])
     store("artists", artists)
@@ -158,16 +163,53 @@ def data_lake(spark: SparkSession, song_root: str, log_root: str, out_dir: str,
     return out
 
 
-def star_merge(spark: SparkSession, song_dir: str, log_dir: str, out_dir: str, batch: int | None = None
-               ) -> dict[str, DataFrame]:
-    """Merge a folder of new song documents and logs into the star schema stored in ``out_dir``.
-
-    ``batch`` numbers the load (default: after the last stored one); loading the last batch again
-    changes nothing."""
-    docs = _with_arrival_order(readers.read_json_tree(spark, song_dir, schemas.SONG_JSON))
-    songs = _staged(spark, readers.first_record_per_file(docs, ["_line"]), "song-documents")
-    log = _staged(spark, readers.read_json_tree(spark, log_dir, schemas.LOG_JSON), "raw-log")
-    return incremental.load_batch(spark, out_dir, log, songs, batch, star.LOG_ORDER, _FILE_ORDER)
+def star_merge(spark: SparkSession, song_dir: str, log_dir: str, out_dir: str, batch: int | None = None,
+               resolve_late: bool = False, one_song_per_file: bool = True) -> dict[str, DataFrame]:
+    """Load the files of two growing folders into the star schema stored in ``out_dir``, each file once.
+
+    Files are known by path, size and time. New ones are the next batch. If a loaded file has changed, its
+    batch is loaded again from the files as they are now; a loaded file that is gone is an error, as its rows
+    could not be told from others. With ``batch`` both folders, whole, are that batch. Without new or changed
+    files nothing is loaded. ``resolve_late`` looks up earlier listens without a match in what a batch adds."""
+    listed = (readers.list_files(spark, song_dir).withColumn("kind", F.lit("song"))
+              .unionByName(readers.list_files(spark, log_dir).withColumn("kind", F.lit("log"))))
+    listed = _staged(spark, listed.select("kind", "path", "size", "modified"), "listed-files")
+
+    def load(files: DataFrame, number: int | None) -> dict[str, DataFrame]:
+        paths = {"song": [], "log": []}
+        for r in files.select("kind", "path").collect():   # the reader takes a list of paths
+            paths[r["kind"]].append(r["path"])
+
+        def tree(kind, schema):
+            return readers.read_json_tree(spark, paths[kind], schema) if paths[kind] else spark.createDataFrame([], schema)
+
+        docs = _with_arrival_order(tree("song", schemas.SONG_JSON)) if paths["song"] else (
+            tree("song", schemas.SONG_JSON).withColumns({"_file": F.lit(""), "_line": F.struct(F.lit(0).cast("long"), F.lit(0).cast("long"))}))
+        if one_song_per_file and paths["song"]:
+            docs = readers.first_record_per_file(docs, ["_line"])
+        return incremental.load_batch(spark, out_dir, _staged(spark, tree("log", schemas.LOG_JSON), "raw-log"),
+                                      _staged(spark, docs, "song-documents"), number, star.LOG_ORDER, _FILE_ORDER,
+                                      resolve_late=resolve_late, files=files)
+
+    if batch is not None:
+        return load(listed, batch)
+    noted = incremental.stored(spark, os.path.join(out_dir, "files"))
+    if noted is not None:   # a batch that is loaded again replaces its list
+        noted = _staged(spark, noted, "noted-files")
+    new, changed = incremental.changed_files(listed, noted)
+    new = _staged(spark, new.select(*listed.columns), "new-files")
+    again = sorted({r[0] for r in changed.select(incremental.BATCH).distinct().collect()})
+    out = None
+    for number in again:
+        old = noted.where(F.col(incremental.BATCH) == number).select("kind", "path")
+        files = _staged(spark, listed.join(old, ["kind", "path"], "left_semi").select(*listed.columns), "batch-files")
+        if files.count() != old.count():
+            raise ValueError(f"files of batch {number} are gone")
+        out = load(files, number)
+    if not new.isEmpty():
+        number = None if noted is None else noted.agg(F.max(incremental.BATCH)).first()[0] + 1
+        out = load(new, 0 if number is None else number)
+    return out if out is not None else incremental.read_star(spark, out_dir)
 
 
 JOBS = {"lookup_tables": lookup_tables, "star_upsert": star_upsert, "star_merge": star_merge, "warehouse": warehouse,
@@ -182,7 +224,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     ap.add_argument("--mode", default="overwrite", choices=("append", "overwrite"), help="data_lake write mode")
     ap.add_argument("--buckets", type=int, default=None, help="lookup_tables: bucket count (bucketed tables)")
-    ap.add_argument("--batch", type=int, default=None, help="star_merge: batch number (default: the next)")
+    ap.add_argument("--batch", type=int, default=None, help="star_merge: load both folders, whole, as this batch (default: new and changed files only)")
+    ap.add_argument("--resolve-late", action="store_true", help="star_merge: look up earlier misses in new songs")
     ap.add_argument("--master", default=None, help="Spark master (default: as given by spark-submit)")
     a = ap.parse_args(argv)
     if a.job != "lookup_tables" and not a.songs:
@@ -194,7 +237,7 @@ def main(argv: list[str] | None = None) -> int:
     elif a.job == "data_lake":
         res = data_lake(spark, a.songs, a.logs, a.out, a.mode)
     elif a.job == "star_merge":
-        res = star_merge(spark, a.songs, a.logs, a.out, a.batch)
+        res = star_merge(spark, a.songs, a.logs, a.out, a.batch, a.resolve_late)
     else:
         res = JOBS[a.job](spark, a.songs, a.logs, a.out)
     reports = [df for name, df in res.items() if name in ("checks", "load_stats")]

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from lakemart.functions.defaults import number_as_text, typed_default
 from lakemart.functions.timeparts import epoch_ms_whole_seconds, ntz_to_epoch_ms
 from lakemart.operators import dedupe, keys, lookup, project, quality
-from lakemart.plans import incremental, roles, star
+from lakemart.plans import incremental, jobs, roles, star
 from lakemart.plans.roles import CAT_SQL, EVENTS_AS_LOG_SQL, LOG_ORDER, LOG_ORDER_SQL, LOG_SQL
 from lakemart.session import read_table, scratch_path
 from lakemart.sources import readers, sinks
@@ -926,23 +926,68 @@ TIME_ORDER = ["ts", *[c for c in LOG_ORDER if c != "ts"]]
 SPLIT_MS = 800_000_000_000   # between the first and the last listen
 
 
-@query("star_incremental", f"""
+def _plays_sql(user: str = "l.userId") -> str:
+    """All listens looked up in the whole catalogue, numbered in event order."""
+    return f"""
 WITH log AS ({LOG_SQL}),
 dim AS (SELECT {roles.TITLE_SQL} AS title, p_brand AS artist_name, CAST(p_size AS DOUBLE) AS duration,
                min(CAST(p_partkey AS VARCHAR)) AS song_id, p_brand AS artist_id FROM part GROUP BY ALL)
 SELECT CAST(row_number() OVER (ORDER BY {", ".join(f"l.{c}" for c in TIME_ORDER)}) AS BIGINT) AS songplay_id,
-       l.ts AS start_time, l.userId AS user_id, l.level, d.song_id, d.artist_id, l.sessionId AS session_id,
+       l.ts AS start_time, {user} AS user_id, l.level, d.song_id, d.artist_id, l.sessionId AS session_id,
        l.location, l.userAgent AS user_agent
 FROM log l LEFT JOIN dim d ON l.song = d.title AND l.artist = d.artist_name AND l.length = d.duration
-WHERE l.page = '{roles.LISTEN_PAGE_LOG}'""")
+WHERE l.page = '{roles.LISTEN_PAGE_LOG}'"""
+
+
+def _load_batches(spark, sf, batches, **kw) -> DataFrame:
+    """Songplays after loading (number, log, songs) batches one after the other; each is made from the whole log and catalogue."""
+    store = scratch_path(spark, "star-store")
+    log, songs = _store(spark)("log", roles.log_rows(spark, sf)), roles.part_as_songs(spark, sf)
+    for number, rows, docs in batches(log, songs):
+        incremental.load_batch(spark, store, rows, docs, number, TIME_ORDER, ["_order"], roles.LISTEN_PAGE_LOG, **kw)
+    return incremental.read_star(spark, store)["songplays"]
+
+
+@query("star_incremental", _plays_sql())
 def star_incremental(spark, sf):
     """Two batches merged into a stored star schema, the second one loaded twice: songplays as if unsplit.
     The second batch also repeats songs with another title, which must not replace the stored ones."""
-    store = scratch_path(spark, "star-store")
+    def batches(log, songs):
+        again = songs.where(F.col("_order") % 2 == 0).withColumn("title", F.lit("another title"))
+        late = (1, log.where(F.col("ts") >= SPLIT_MS), again)
+        return [(0, log.where(F.col("ts") < SPLIT_MS), songs), late, late]
+    return _load_batches(spark, sf, batches)
+
+
+@query("star_reload_earlier", _plays_sql())
+def star_reload_earlier(spark, sf):
+    """An earlier batch loaded again with rows that it lacked: ids are dense and in order again."""
+    def batches(log, songs):
+        early, late = log.where(F.col("ts") < SPLIT_MS), log.where(F.col("ts") >= SPLIT_MS)
+        return [(0, early.where(F.col("sessionId") % 3 != 0), songs), (1, late, songs), (0, early, songs)]
+    return _load_batches(spark, sf, batches)
+
+
+@query("star_late_songs", _plays_sql())
+def star_late_songs(spark, sf):
+    """Half of the titles arrive a batch after their listens: as a lookup in the whole catalogue."""
+    def batches(log, songs):
+        odd = F.expr("_order div 4") % 2 == 1
+        return [(0, log.where(F.col("ts") < SPLIT_MS), songs.where(~odd)), (1, log.where(F.col("ts") >= SPLIT_MS), songs.where(odd))]
+    return _load_batches(spark, sf, batches, resolve_late=True)
+
+
+@query("star_growing_folder", _plays_sql("CAST(l.userId AS VARCHAR)"))
+def star_growing_folder(spark, sf):
+    """Files added to a log folder and a song folder, the job run after each and once more: every file counts once."""
+    root = scratch_path(spark, "growing")
     log, songs = _store(spark)("log", roles.log_rows(spark, sf)), roles.part_as_songs(spark, sf)
-    again = songs.where(F.col("_order") % 2 == 0).withColumn("title", F.lit("another title"))
-    early, late = log.where(F.col("ts") < SPLIT_MS), log.where(F.col("ts") >= SPLIT_MS)
-    for batch, (rows, docs) in ((0, (early, songs)), (1, (late, again)), (1, (late, again))):
-        tables = incremental.load_batch(spark, store, rows, docs, batch, TIME_ORDER, ["_order"], roles.LISTEN_PAGE_LOG,
-                                        buckets=8)
-    return tables["songplays"]
+    item = ((F.col("_partkey") * 1000000 + F.col("_suppkey")) * 10 + F.col("itemInSession")).alias("itemInSession")
+    page = F.when(F.col("page") == roles.LISTEN_PAGE_LOG, star.LISTEN_PAGE).otherwise(F.col("page")).alias("page")
+    lines = log.select("song", "artist", "length", "ts", "sessionId", item, F.col("userId").cast("string").alias("userId"), page, "level",
+                       "location", "userAgent", "firstName", "lastName", "gender")
+    sinks.write_json_lines(songs.drop("_order"), f"{root}/songs/first")
+    for part, rows in (("first", F.col("ts") < SPLIT_MS), ("second", F.col("ts") >= SPLIT_MS)):
+        sinks.write_json_lines(lines.where(rows), f"{root}/logs/{part}")
+        jobs.star_merge(spark, f"{root}/songs", f"{root}/logs", f"{root}/store", one_song_per_file=False)
+    return jobs.star_merge(spark, f"{root}/songs", f"{root}/logs", f"{root}/store", one_song_per_file=False)["songplays"]

@@ -159,12 +159,13 @@ def song_catalogue(songs: DataFrame, artists: DataFrame) -> DataFrame:
             .join(artists.select("artist_id", "artist_name"), "artist_id"))
 
 
-def songplays_lookup(log: DataFrame, catalogue: DataFrame, page: str = LISTEN_PAGE,
-                     order_by: Sequence[str] = LOG_ORDER, id_start: int = 1) -> DataFrame:
-    """Every listen row, its (song_id, artist_id) resolved by (title, artist name, duration) to
-    the first catalogue match (smallest song_id), NULL on a miss; dense ids from 1.
+SONGPLAY_COLUMNS = ["songplay_id", "start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location",
+                    "user_agent"]
 
-    The lookup neither drops nor adds rows, so the listens are numbered before it."""
+
+def resolved_plays(log: DataFrame, catalogue: DataFrame, page: str = LISTEN_PAGE, order_by: Sequence[str] = LOG_ORDER,
+                   id_start: int = 1) -> DataFrame:
+    """``songplays_lookup`` with the text that was looked up: ``song``, ``artist`` and ``length``."""
     need = ["ts", "userId", "level", "sessionId", "location", "userAgent", "song", "artist", "length"]
     listens = filter_eq(log, "page", page).select(*dict.fromkeys([*need, *order_by]))
     numbered = dense_ids(listens, list(order_by), "songplay_id", id_start)
@@ -172,7 +173,16 @@ def songplays_lookup(log: DataFrame, catalogue: DataFrame, page: str = LISTEN_PA
                             ["song_id", "artist_id"], ["song_id", "artist_id"])
     return resolved.select("songplay_id", F.col("ts").alias("start_time"), F.col("userId").alias("user_id"), "level",
                            "song_id", "artist_id", F.col("sessionId").alias("session_id"), "location",
-                           F.col("userAgent").alias("user_agent"))
+                           F.col("userAgent").alias("user_agent"), "song", "artist", "length")
+
+
+def songplays_lookup(log: DataFrame, catalogue: DataFrame, page: str = LISTEN_PAGE,
+                     order_by: Sequence[str] = LOG_ORDER, id_start: int = 1) -> DataFrame:
+    """Every listen row, its (song_id, artist_id) resolved by (title, artist name, duration) to
+    the first catalogue match (smallest song_id), NULL on a miss; dense ids from 1.
+
+    The lookup neither drops nor adds rows, so the listens are numbered before it."""
+    return resolved_plays(log, catalogue, page, order_by, id_start).select(*SONGPLAY_COLUMNS)
 
 
 def songplays_two_key(staging_events: DataFrame, staging_songs: DataFrame,

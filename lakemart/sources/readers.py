@@ -47,8 +47,8 @@ def read_csv_typed(spark: SparkSession, path: str, text_schema: T.StructType, ty
     return cast_to(read_csv_tree(spark, path, text_schema, header, multi_line=multi_line), typed_schema)
 
 
-def read_json_tree(spark: SparkSession, path: str, schema: T.StructType, glob: str = "*.json") -> DataFrame:
-    """All JSON-lines files matching ``glob`` under ``path`` at any depth."""
+def read_json_tree(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, glob: str = "*.json") -> DataFrame:
+    """All JSON-lines files matching ``glob`` under ``path`` (or several paths) at any depth."""
     return (spark.read.schema(schema)
             .option("recursiveFileLookup", True)
             .option("pathGlobFilter", glob)
@@ -111,3 +111,9 @@ def file_inventory(df: DataFrame) -> DataFrame:
     """Files under a scan and the data rows in each (file_path, n_rows)."""
     return (with_file_path(df).groupBy(FILE_PATH).agg(F.count(F.lit(1)).alias("n_rows"))
             .withColumnRenamed(FILE_PATH, "file_path"))
+
+
+def list_files(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+    """Files under ``path`` at any depth, without reading them (path, size, modified)."""
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path))
+    return found.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
