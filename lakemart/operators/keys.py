@@ -64,21 +64,57 @@ def dense_ids(df: DataFrame, order_by: Sequence[str], id_col: str = "id", start:
     return out.select(*cols, (F.col(_OFF) + F.col(_POS) + F.lit(start)).cast("long").alias(id_col))
 
 
-def row_at_position(df: DataFrame, order_by: Sequence[str], position: int) -> DataFrame:
+def _literal(value, kind: T.DataType):
+    """A collected value as a literal of its column's type."""
+    if value is not None and isinstance(kind, T.TimestampNTZType):
+        value = value.isoformat(sep=" ")
+    return F.lit(value).cast(kind)
+
+
+def row_at_position(df: DataFrame, order_by: Sequence[str], position: int, at_once: int = 1 << 16, cuts: int = 32) -> DataFrame:
     """The row at 0-based ``position`` of ``order_by`` (a total order); empty if out of range.
 
-    One way for every position: rows are numbered inside range partitions and stored; the counts (one
-    row per partition) tell which range holds the position, and only its row is read.
+    Selection, not sorting: boundaries from a sample of fixed size, exact counts of the rows below and up to each
+    in one pass, then the same within the one range that holds the position, until it has at most ``at_once``
+    rows; those are sorted by a top-n. The first column's bounds are pushed into the scan. Nothing is shuffled
+    or written; a boundary that many rows share is settled by its count.
     """
     if position < 0:
         raise ValueError("position must be >= 0")
-    local = _numbered(df, order_by, None)
-    before = 0
-    for r in local.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT)).orderBy(_PID).collect():
-        if position < before + r[_CNT]:
-            return local.where((F.col(_PID) == r[_PID]) & (F.col(_POS) == position - before)).select(*df.columns)
-        before += r[_CNT]
-    return local.where(F.lit(False)).select(*df.columns)
+    order = list(order_by)
+    kinds = [df.schema[c].dataType for c in order]
+    key = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    bound = lambda b: F.struct(*[_literal(v, k).alias(f"o{i}") for i, (v, k) in enumerate(zip(b, kinds, strict=True))])
+    part, rows, seed = df, None, 0
+    while rows is None or rows > at_once:
+        seed += 1
+        sample = part.select(*order).orderBy(F.rand(seed)).limit(128 * cuts)
+        sample = [tuple(r) for r in df.sparkSession.createDataFrame(sample.collect(), sample.schema).orderBy(*order).collect()]
+        if len(sample) < 128 * cuts:   # all rows
+            break
+        marks = list(dict.fromkeys(sample[len(sample) * i // cuts] for i in range(1, cuts)))
+        counts = part.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(key < bound(b)).alias(f"lt{i}") for i, b in enumerate(marks)],
+                          *[F.count_if(key <= bound(b)).alias(f"le{i}") for i, b in enumerate(marks)]).first()
+        if position >= counts["n"]:
+            break
+        below = [i for i in range(len(marks)) if counts[f"lt{i}"] <= position]
+        if below and position < counts[f"le{below[-1]}"]:
+            return part.where(key == bound(marks[below[-1]])).limit(1)
+        start, rows = 0, counts["n"]
+        if below:
+            low = marks[below[-1]]
+            start = counts[f"le{below[-1]}"]
+            part = part.where(key > bound(low))
+            if low[0] is not None:
+                part = part.where(F.col(order[0]) >= _literal(low[0], kinds[0]))
+        if len(below) < len(marks):
+            high = marks[len(below)]
+            rows = counts[f"lt{len(below)}"]
+            part = part.where(key < bound(high))
+            if high[0] is not None:
+                part = part.where(F.col(order[0]).isNull() | (F.col(order[0]) <= _literal(high[0], kinds[0])))
+        position, rows = position - start, rows - start
+    return part.orderBy(*order).offset(position).limit(1)
 
 
 def weighted_offsets(df: DataFrame, order_by: Sequence[str], weight: str, out_col: str,

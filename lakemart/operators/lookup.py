@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.operators.dedupe import keep_first
+from lakemart.sources.sinks import KEY_HASH, hashed_key
 
 
 def _names(cols) -> list[str]:
@@ -54,6 +55,39 @@ def lookup_first(left: DataFrame, dim: DataFrame, left_keys, dim_keys, order_by:
     return out.drop(*renamed.values())
 
 
+def _same(a: Column, b: Column) -> Column:
+    """Equality that the planner does not take for one more join key, which would need another distribution."""
+    return (a >= b) & (a <= b)
+
+
+def join_bucketed(left: DataFrame, right: DataFrame, left_keys, right_keys, how: str = "inner") -> DataFrame:
+    """Equi-join of two tables stored in the same number of buckets of these keys: bucket by bucket, without a
+    shuffle. Composite keys are joined on their stored hash, and the columns are compared on its matches only."""
+    left_keys, right_keys = _names(left_keys), _names(right_keys)
+    if len(left_keys) == 1:
+        return join_on_keys(left, right, left_keys, right_keys, how)
+    if hashed_key(left) != left_keys or hashed_key(right) != right_keys:
+        raise ValueError("both tables must be bucketed by the hash of the join's columns")
+    cond = left[KEY_HASH] == right[KEY_HASH]
+    for lk, rk in zip(left_keys, right_keys, strict=True):
+        cond = cond & _same(left[lk], right[rk])
+    return left.join(right, cond, how)
+
+
+def lookup_first_bucketed(left: DataFrame, dim: DataFrame, left_keys, dim_keys, order_by: Sequence, take) -> DataFrame:
+    """``lookup_first`` of two tables stored in the same buckets of their keys: the first match per key and the
+    left join both use the stored layout."""
+    left_keys, dim_keys, take = _names(left_keys), _names(dim_keys), _names(take)
+    by = [KEY_HASH, *dim_keys] if len(dim_keys) > 1 else dim_keys
+    reduced = keep_first(dim, by, order_by, cols=take)
+    reduced = reduced.select(*[F.col(c).alias(f"_dim{i}") for i, c in enumerate(by)], *take)
+    on = left[KEY_HASH if len(dim_keys) > 1 else left_keys[0]] == reduced["_dim0"]
+    if len(dim_keys) > 1:
+        for i, lk in enumerate(left_keys):
+            on = on & _same(left[lk], reduced[f"_dim{i + 1}"])
+    return left.join(reduced, on, "left").drop(*[f"_dim{i}" for i in range(len(by))], KEY_HASH)
+
+
 def fk_violations(fact: DataFrame, dim: DataFrame, fact_key, dim_key=None) -> DataFrame:
     """Fact rows whose non-NULL foreign key has no row in the dimension (left anti join)."""
     fact_key = _names(fact_key)

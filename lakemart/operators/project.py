@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.sources.sinks import KEY_HASH, hashed_key
+
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(mapping))
@@ -35,12 +37,20 @@ def filter_notnull(df: DataFrame, cols) -> DataFrame:
 
 
 def key_lookup(df: DataFrame, order_by: Sequence[str] = (), **equals) -> DataFrame:
-    """Rows matching every ``column = value``; ordered by the clustering columns if given."""
+    """Rows matching every ``column = value``; ordered by the clustering columns if given.
+
+    On a table that is bucketed by the hash of a composite key (``sinks.write_bucketed_table``) a lookup by the
+    whole key also states the hash, so that it reads one bucket."""
     cond = None
     for k, v in equals.items():
         t = F.col(k) == F.lit(v)
         cond = t if cond is None else cond & t
+    key = hashed_key(df)
+    if key and all(equals.get(c) is not None for c in key):
+        cond = cond & (F.col(KEY_HASH) == F.xxhash64(*[F.lit(equals[c]).cast(df.schema[c].dataType) for c in key]))
     out = df.where(cond) if cond is not None else df
+    if key:
+        out = out.drop(KEY_HASH)
     return out.orderBy(*order_by) if order_by else out
 
 

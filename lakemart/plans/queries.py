@@ -408,6 +408,23 @@ def join_two_key(spark, sf):
         "l_orderkey", "l_linenumber", "l_partkey", "match_partkey")
 
 
+@query("join_bucketed", f"""
+WITH cat AS ({CAT_SQL}), log AS ({LOG_SQL}),
+first AS (SELECT title, artist_name, duration, min({{'s': song_id, 'a': artist_id}}) AS m FROM cat
+          WHERE artist_name IS NOT NULL GROUP BY ALL)
+SELECT l.sessionId, l.itemInSession, l.ts, l._partkey, l._suppkey, l.song, l.artist, l.length, m.s AS song_id, m.a AS artist_id
+FROM log l LEFT JOIN first f ON l.song = f.title AND l.artist = f.artist_name AND l.length = f.duration""")
+def join_bucketed(spark, sf):
+    """The first-match lookup of listens in a catalogue over stored layouts: both sides lie in the same buckets of
+    (title, artist, length), so neither the first match nor the join shuffles."""
+    log = roles.log_rows(spark, sf).select("sessionId", "itemInSession", "ts", "_partkey", "_suppkey", "song", "artist", "length")
+    cat = roles.catalogue(spark, sf).where("artist_name is not null")
+    plays = _bucketed(spark, log, "plays_bucketed", ["song", "artist", "length"], None)
+    songs = _bucketed(spark, cat, "songs_bucketed", ["title", "artist_name", "duration"], None)
+    return lookup.lookup_first_bucketed(plays, songs, ["song", "artist", "length"], ["title", "artist_name", "duration"],
+                                        ["song_id", "artist_id"], ["song_id", "artist_id"])
+
+
 @query("join_one_key", """
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, c.p_partkey AS match_partkey
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN part c ON p.p_partkey // 4 = c.p_partkey // 4""")
@@ -697,6 +714,23 @@ def slice_lookup(spark, sf):
                               sessionId=SLICE_SESSION)
 
 
+def _bucketed(spark, df, name, key, sort):
+    """``df`` as a table in buckets of ``key``."""
+    import uuid
+    table = f"lm_{name}_{uuid.uuid4().hex[:8]}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sinks.write_bucketed_table(df, table, key, n, scratch_path(spark, name), sort)
+    return spark.table(table)
+
+
+@query("slice_lookup_bucketed", f"""
+SELECT * FROM ({SESSION_SQL}) t WHERE userId = {SLICE_USER} AND sessionId = {SLICE_SESSION} ORDER BY itemInSession""")
+def slice_lookup_bucketed(spark, sf):
+    """The session table stored in buckets of its whole partition key (user and session); the lookup reads one."""
+    table = _bucketed(spark, _session_table(spark, sf), "session_bucketed", ["userId", "sessionId"], ["userId", "sessionId", "itemInSession"])
+    return project.key_lookup(table, ["itemInSession"], userId=SLICE_USER, sessionId=SLICE_SESSION)
+
+
 @query("key_lookup", f"SELECT * FROM ({LISTENERS_SQL}) t WHERE song = '{KEY_SONG}' ORDER BY userId")
 def key_lookup(spark, sf):
     return project.key_lookup(_listeners_table(spark, sf), ["userId"], song=KEY_SONG)

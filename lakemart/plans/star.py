@@ -23,9 +23,8 @@ from lakemart.functions.defaults import typed_default
 from lakemart.functions.timeparts import epoch_ms_to_ntz, epoch_ms_whole_seconds, time_parts
 from lakemart.operators.dedupe import distinct_rows, first_attrs_last_status, keep_first, last_write_wins
 from lakemart.operators.keys import dense_ids, dense_ids_join
-from lakemart.operators.lookup import fk_violations, lookup_first
+from lakemart.operators.lookup import lookup_first
 from lakemart.operators.project import filter_eq, filter_nonempty
-from lakemart.operators.quality import pk_violations
 from lakemart.schemas import REDUCED_LOG_COLUMNS
 
 # Fixed values of the log format.
@@ -264,37 +263,45 @@ def write_star(log: DataFrame, songs: DataFrame, store, order_by: Sequence[str]
 
 
 def star_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, n_rows, pk_violations, null_violations, fk_violations, length_violations) for the five tables."""
-    keys = {"users": ["user_id"], "songs": ["song_id"], "artists": ["artist_id"], "time": ["start_time"],
-            "songplays": ["songplay_id"]}
+    """(table_name, n_rows, pk_violations, null_violations, fk_violations, length_violations) for the five tables.
+
+    Every table is read once: its rows become tagged keys (its own key, and each key it refers to), and one
+    aggregate by (table that the key belongs to, key) tells repeated own keys and references without one. Hot
+    keys are reduced before the shuffle."""
+    keys = {"users": "user_id", "songs": "song_id", "artists": "artist_id", "time": "start_time", "songplays": "songplay_id"}
     not_null = {"users": ["user_id"], "songs": ["song_id"], "artists": ["artist_id", "artist_name"],
                 "time": ["start_time", "hour", "day", "week", "month", "year", "weekday"],
                 "songplays": ["start_time", "user_id"]}
-    fks = {"songplays": [("user_id", "users", "user_id"), ("song_id", "songs", "song_id"),
-                         ("artist_id", "artists", "artist_id")],
-           "songs": [("artist_id", "artists", "artist_id")]}
+    fks = {"songplays": {"user_id": "users", "song_id": "songs", "artist_id": "artists"}, "songs": {"artist_id": "artists"}}
     char1 = {"users": "gender"}   # CHAR(1)
-    metrics = ("n_rows", "pk_violations", "null_violations", "fk_violations", "length_violations")
+    referring = [t for t in fks if t in tables]
+
+    def tagged(name: str, df: DataFrame) -> DataFrame:
+        any_null = F.greatest(*[F.col(c).isNull().cast("int") for c in not_null[name]], F.lit(0))
+        long = (F.length(char1[name]) > 1).cast("int") if name in char1 else F.lit(0)
+        zero = F.lit(0)
+
+        def entry(of, key, own, null, too_long):
+            return F.struct(F.lit(of).alias("of"), F.col(key).cast("string").alias("key"), own.alias("own"),
+                            F.coalesce(null, zero).alias("null"), F.coalesce(too_long, zero).alias("long"),
+                            *[F.lit(int(t == name and of != name)).alias(f"by_{t}") for t in referring])
 
-    def row(name: str, df: DataFrame, **exprs) -> DataFrame:
-        got = df.agg(*[e.alias(m) for m, e in exprs.items()])
-        return got.select(F.lit(name).alias("table_name"),
-                          *[(F.col(m) if m in exprs else F.lit(0)).cast("long").alias(m) for m in metrics])
+        own = entry(name, keys[name], F.lit(1), any_null, long)
+        refs = [F.when(F.col(c).isNotNull(), entry(dim, c, zero, zero, zero)) for c, dim in fks.get(name, {}).items()]
+        return df.select(F.explode(F.array(own, *refs)).alias("e")).where("e is not null").select("e.*")
 
-    parts = []
+    rows = None
     for name, df in tables.items():
-        any_null = None
-        for c in not_null[name]:
-            t = F.col(c).isNull()
-            any_null = t if any_null is None else any_null | t
-        # one pass for the row count, the NOT NULL and the CHAR(1) check, one for the key check
-        one = {"length_violations": F.count_if(F.length(char1[name]) > 1)} if name in char1 else {}
-        parts.append(row(name, df, n_rows=F.count(F.lit(1)), null_violations=F.count_if(any_null), **one))
-        parts.append(row(name, pk_violations(df, keys[name]), pk_violations=F.count(F.lit(1))))
-        for col, dim, dim_key in fks.get(name, []):
-            parts.append(row(name, fk_violations(df.select(col), tables[dim], col, dim_key),
-                             fk_violations=F.count(F.lit(1))))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.groupBy("table_name").agg(*[F.sum(m).cast("long").alias(m) for m in metrics])
+        rows = tagged(name, df) if rows is None else rows.unionByName(tagged(name, df))
+    by_key = rows.groupBy("of", "key").agg(*[F.sum(c).alias(c) for c in ("own", "null", "long", *[f"by_{t}" for t in referring])])
+    of = by_key.groupBy("of").agg(
+        F.sum("own").alias("n_rows"), F.count_if(F.col("own") > 1).alias("pk"), F.sum("null").alias("null"), F.sum("long").alias("long"),
+        *[F.sum(F.when(F.col("own") == 0, F.col(f"by_{t}")).otherwise(0)).alias(f"by_{t}") for t in referring])
+    zero = F.lit(0).cast("long")
+    found = [F.struct(F.col("of").alias("table_name"), F.col("n_rows"), F.col("pk"), F.col("null"), zero.alias("fk"), F.col("long"))]
+    found += [F.struct(F.lit(t).alias("table_name"), zero.alias("n_rows"), zero.alias("pk"), zero.alias("null"),
+                       F.col(f"by_{t}").alias("fk"), zero.alias("long")) for t in referring]
+    total = of.select(F.explode(F.array(*found)).alias("r")).select("r.*").groupBy("table_name")
+    return total.agg(*[F.sum(c).cast("long").alias(m) for c, m in (
+        ("n_rows", "n_rows"), ("pk", "pk_violations"), ("null", "null_violations"), ("fk", "fk_violations"),
+        ("long", "length_violations"))]).where(F.col("table_name").isin(list(tables)))

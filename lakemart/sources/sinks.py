@@ -84,17 +84,32 @@ def layout_clustered(df: DataFrame, partition_key: Sequence[str], clustering_key
     return df.hint("rebalance", *partition_key).sortWithinPartitions(*partition_key, *clustering_key)
 
 
+#: Hash of all columns of a composite key, in tables bucketed by it.
+KEY_HASH = "_key"
+
+
 def write_bucketed_table(df: DataFrame, table: str, key: Sequence[str], buckets: int, path: str | None = None,
                          sort: Sequence[str] | None = None) -> None:
     """A bucketed, sorted catalog table: later joins and aggregates on ``key`` need no shuffle.
 
-    Rows are dealt by the key first, so a bucket is written by one task into one file."""
-    w = df.repartition(buckets, *key).write.mode("overwrite").format("parquet").bucketBy(buckets, *key).sortBy(*(sort or key))
+    Rows are dealt by the key first, so a bucket is written by one task into one file. Spark prunes buckets for a
+    single bucket column only, so a key of several columns is stored with their hash as one more column, which
+    the table is bucketed by; it notes the columns, for ``project.key_lookup`` and ``lookup.join_bucketed``."""
+    by = list(key)
+    if len(by) > 1:
+        df = df.withColumn(KEY_HASH, F.xxhash64(*by)).withMetadata(KEY_HASH, {"key": by})
+        by = [KEY_HASH]
+    w = df.repartition(buckets, *by).write.mode("overwrite").format("parquet").bucketBy(buckets, *by).sortBy(*by, *[c for c in sort or key if c not in by])
     if path:
         w = w.option("path", path)
     w.saveAsTable(table)
 
 
+def hashed_key(df: DataFrame) -> list[str]:
+    """The columns whose hash a table is bucketed by; none if it has no such column."""
+    return list(df.schema[KEY_HASH].metadata.get("key", [])) if KEY_HASH in df.columns else []
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df
