@@ -3,8 +3,8 @@
 Every table has a folder for each batch:
 
 * ``songs``, ``artists``, ``time`` are insert-if-absent: a batch adds the rows whose key is not stored. Which
-  keys are, is asked by streaming the stored key column (within the batch's least and greatest key, which Parquet
-  statistics prune) past the batch's keys; the stored table is not shuffled;
+  keys are, is asked by streaming the stored key column past the batch's keys (of times, only files within the
+  batch's least and greatest time); a stored table that is larger than the batch is not shuffled;
 * ``users`` hold a row per user and batch with the order of its first and last log row; the users themselves
   (first attributes, last level) are an aggregate over them, so a batch only writes its own folder;
 * ``songplays`` are numbered inside their batch; ``batches`` holds how many each has, and an id is that number
@@ -23,13 +23,17 @@ from __future__ import annotations
 import os
 import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemart.operators import dedupe
 from lakemart.operators.lookup import lookup_first
+from lakemart.operators.project import filter_eq
 from lakemart.plans import star
 from lakemart.session import scratch_path
 
@@ -39,10 +43,13 @@ _NO = "_n"
 _MISSED = {"song": "_song", "artist": "_artist", "length": "_length"}
 
 
-def stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None if there is none yet; any other failure is raised."""
+def stored(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The table at ``path``, or None if there is none yet; any other failure is raised. With the schema of its
+    rows (without the batch) no file is opened to find it."""
     try:
-        return spark.read.parquet(path)
+        if schema is None:
+            return spark.read.parquet(path)
+        return spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.IntegerType())])).parquet(path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -57,25 +64,32 @@ def _write(df: DataFrame, path: str, batch: int, mode: str, stats: list | None =
         stats.append((os.path.basename(path), int(seen.get["n"]), round(time.monotonic() - t0, 3)))
 
 
-def absent_rows(rows: DataFrame, held: DataFrame | None, key: str) -> DataFrame:
+def together(*steps):
+    """Run independent steps at the same time, each submitting its Spark jobs from its own thread; their results."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(s) for s in steps]]
+
+
+def absent_rows(rows: DataFrame, held: DataFrame | None, key: str, between: tuple | None = None) -> DataFrame:
     """Rows of ``rows`` whose key is not in ``held``.
 
     The stored keys that the batch has are found first, as a semi join that streams the stored key column, so
-    only keys of the batch's size are joined against the rows."""
+    only keys of the batch's size are joined against the rows. ``between`` are the batch's least and greatest key
+    where stored keys lie together (times): Parquet statistics then prune the stored files."""
     if held is None:
         return rows
-    least, most = rows.agg(F.min(key), F.max(key)).first()
-    met = held.select(key).where(F.col(key).between(F.lit(least), F.lit(most))).join(rows.select(key), key, "left_semi")
-    return rows.join(met, key, "left_anti")
+    held = held.select(key)
+    if between is not None:
+        held = held.where(F.col(key).between(F.lit(between[0]), F.lit(between[1])))
+    return rows.join(held.join(rows.select(key), key, "left_semi"), key, "left_anti")
 
 
-def insert_absent(spark: SparkSession, path: str, rows: DataFrame, key: str, batch: int, stats: list | None = None) -> None:
+def insert_absent(spark: SparkSession, path: str, rows: DataFrame, key: str, batch: int, stats: list | None = None,
+                  between: tuple | None = None) -> None:
     """Append the rows (one per key) whose key is not stored to the batch's folder; rows without a key are left out."""
-    stage = scratch_path(spark, "insert-stage")
-    rows.where(F.col(key).isNotNull()).write.parquet(stage)
-    rows = spark.read.schema(rows.schema).parquet(stage)
-    held = stored(spark, path)
-    _write(absent_rows(rows, held, key), path, batch, "append", stats)
+    rows = rows.where(F.col(key).isNotNull())
+    held = stored(spark, path, rows.schema)
+    _write(absent_rows(rows, held, key, between), path, batch, "append", stats)
 
 
 def users(deltas: DataFrame) -> DataFrame:
@@ -96,9 +110,11 @@ def songplays(plays: DataFrame, batches: DataFrame) -> DataFrame:
                       "artist_id", "session_id", "location", "user_agent")
 
 
-def read_star(spark: SparkSession, store: str) -> dict[str, DataFrame]:
-    """The five stored tables."""
-    t = {n: spark.read.parquet(os.path.join(store, n)) for n in (*TABLES, "batches")}
+def read_star(spark: SparkSession, store: str, schemas: dict[str, T.StructType] | None = None) -> dict[str, DataFrame]:
+    """The five stored tables; with the ``schemas`` of their rows no file is opened."""
+    names = (*TABLES, "batches")
+    schemas = schemas or {}
+    t = dict(zip(names, together(*[partial(stored, spark, os.path.join(store, n), schemas.get(n)) for n in names]), strict=True))
     return {"users": users(t["users"]), **{n: t[n].drop(BATCH) for n in ("songs", "artists", "time")},
             "songplays": songplays(t["songplays"], t["batches"])}
 
@@ -147,7 +163,8 @@ def load_batch(spark: SparkSession, store: str, log: DataFrame, songs: DataFrame
     """
     if earlier not in ("move", "refuse"):
         raise ValueError("earlier must be 'move' or 'refuse'")
-    done = stored(spark, os.path.join(store, "batches"))
+    sizes = T.StructType([T.StructField("n_plays", T.LongType())])
+    done = stored(spark, os.path.join(store, "batches"), sizes)
     last = None if done is None else done.agg(F.max(BATCH)).first()[0]
     if batch is None:
         batch = 0 if last is None else last + 1
@@ -158,23 +175,34 @@ def load_batch(spark: SparkSession, store: str, log: DataFrame, songs: DataFrame
     people = log.where(F.col("firstName").isNotNull() & F.col("userId").isNotNull())
     people = dedupe.merge_into(None, [people], "userId", "first_attrs_last_status", order_by, first_batch_no=batch,
                                first_cols=["firstName", "lastName", "gender"], last_cols=["level"])
-    _write(people, at("users"), batch, "overwrite", stats)
-    insert_absent(spark, at("songs"), star.songs_first(songs, song_order), "song_id", batch, stats)
-    insert_absent(spark, at("artists"), star.artists_first(songs, song_order), "artist_id", batch, stats)
-    insert_absent(spark, at("time"), star.time_table(log, "mon0", page, whole_seconds=False, dedupe=True), "start_time", batch, stats)
-    t = {n: spark.read.parquet(at(n)) for n in ("songs", "artists")}
-    plays = star.resolved_plays(log, star.song_catalogue(t["songs"], t["artists"]), page, order_by)
+    listens = filter_eq(log, "page", page)
+    times = star.time_table(log, "mon0", page, whole_seconds=False, dedupe=True)
+
+    def add_times():
+        span = tuple(listens.agg(F.min(F.col("ts").cast("long")), F.max(F.col("ts").cast("long"))).first())
+        insert_absent(spark, at("time"), times, "start_time", batch, stats, span)
+
+    first = {"songs": (star.songs_first(songs, song_order), "song_id"), "artists": (star.artists_first(songs, song_order), "artist_id")}
+    *_, numbered = together(
+        lambda: _write(people, at("users"), batch, "overwrite", stats),
+        *[partial(insert_absent, spark, at(n), rows, key, batch, stats) for n, (rows, key) in first.items()],
+        add_times,
+        lambda: star.numbered_listens(log, page, order_by))
+    t = {n: stored(spark, at(n), rows.schema) for n, (rows, _) in first.items()}
+    plays = star.resolve(numbered, star.song_catalogue(t["songs"], t["artists"]))
     miss = F.col("song_id").isNull()
     plays = plays.select(F.col("songplay_id").alias(_NO), *star.SONGPLAY_COLUMNS[1:],
                          *[F.when(miss, F.col(c)).alias(a) for c, a in _MISSED.items()])
     _write(plays, at("songplays"), batch, "overwrite", stats)
-    count = spark.createDataFrame([(stats[-1][1],)], "n_plays long")
+    count = spark.range(1).select(F.lit(stats[-1][1]).cast("long").alias("n_plays"))
     _write(count, at("batches"), batch, "overwrite")
     if resolve_late:
         resolve_late_songs(spark, store, batch)
     if files is not None:
         _write(files, at("files"), batch, "overwrite")
-    return read_star(spark, store) | {"load_stats": spark.createDataFrame(stats, "table_name string, n_rows long, seconds double")}
+    schemas = {"users": people.schema, "time": times.schema, "songplays": plays.schema, "batches": sizes,
+               **{n: rows.schema for n, (rows, _) in first.items()}}
+    return read_star(spark, store, schemas) | {"load_stats": spark.createDataFrame(stats, "table_name string, n_rows long, seconds double")}
 
 
 def changed_files(listed: DataFrame, noted: DataFrame | None) -> tuple[DataFrame, DataFrame]:

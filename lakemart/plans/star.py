@@ -162,26 +162,27 @@ SONGPLAY_COLUMNS = ["songplay_id", "start_time", "user_id", "level", "song_id",
                     "user_agent"]
 
 
-def resolved_plays(log: DataFrame, catalogue: DataFrame, page: str = LISTEN_PAGE, order_by: Sequence[str] = LOG_ORDER,
-                   id_start: int = 1) -> DataFrame:
-    """``songplays_lookup`` with the text that was looked up: ``song``, ``artist`` and ``length``."""
+def numbered_listens(log: DataFrame, page: str = LISTEN_PAGE, order_by: Sequence[str] = LOG_ORDER, id_start: int = 1) -> DataFrame:
+    """Listen rows with dense ids in ``order_by``; the lookup neither drops nor adds rows, so they are numbered before it."""
     need = ["ts", "userId", "level", "sessionId", "location", "userAgent", "song", "artist", "length"]
     listens = filter_eq(log, "page", page).select(*dict.fromkeys([*need, *order_by]))
-    numbered = dense_ids(listens, list(order_by), "songplay_id", id_start)
-    resolved = lookup_first(numbered, catalogue, ["song", "artist", "length"], ["title", "artist_name", "duration"],
-                            ["song_id", "artist_id"], ["song_id", "artist_id"])
-    return resolved.select("songplay_id", F.col("ts").alias("start_time"), F.col("userId").alias("user_id"), "level",
-                           "song_id", "artist_id", F.col("sessionId").alias("session_id"), "location",
-                           F.col("userAgent").alias("user_agent"), "song", "artist", "length")
+    return dense_ids(listens, list(order_by), "songplay_id", id_start)
+
+
+def resolve(numbered: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Numbered listens as songplays, and the text that was looked up: ``song``, ``artist`` and ``length``."""
+    found = lookup_first(numbered, catalogue, ["song", "artist", "length"], ["title", "artist_name", "duration"],
+                         ["song_id", "artist_id"], ["song_id", "artist_id"])
+    return found.select("songplay_id", F.col("ts").alias("start_time"), F.col("userId").alias("user_id"), "level",
+                        "song_id", "artist_id", F.col("sessionId").alias("session_id"), "location",
+                        F.col("userAgent").alias("user_agent"), "song", "artist", "length")
 
 
 def songplays_lookup(log: DataFrame, catalogue: DataFrame, page: str = LISTEN_PAGE,
                      order_by: Sequence[str] = LOG_ORDER, id_start: int = 1) -> DataFrame:
     """Every listen row, its (song_id, artist_id) resolved by (title, artist name, duration) to
-    the first catalogue match (smallest song_id), NULL on a miss; dense ids from 1.
-
-    The lookup neither drops nor adds rows, so the listens are numbered before it."""
-    return resolved_plays(log, catalogue, page, order_by, id_start).select(*SONGPLAY_COLUMNS)
+    the first catalogue match (smallest song_id), NULL on a miss; dense ids from 1."""
+    return resolve(numbered_listens(log, page, order_by, id_start), catalogue).select(*SONGPLAY_COLUMNS)
 
 
 def songplays_two_key(staging_events: DataFrame, staging_songs: DataFrame,

@@ -54,7 +54,7 @@ def test_keys_are_asked_by_a_semi_join_that_does_not_shuffle_the_store(spark, tm
     path = os.path.join(tmp_dir, "held")
     spark.range(1000).selectExpr("id as k", "id as v").write.parquet(path)
     rows = spark.createDataFrame([(5, 1), (2000, 1)], "k long, v long")
-    got = incremental.absent_rows(rows, spark.read.parquet(path), "k")
+    got = incremental.absent_rows(rows, spark.read.parquet(path), "k", (5, 2000))
     assert [r.k for r in got.collect()] == [2000]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(k,5)" in plan and "LessThanOrEqual(k,2000)" in plan   # reach the file's statistics
