@@ -1,23 +1,23 @@
 """N-gram Jaccard join: prefix-tree join of word 5-gram sets, and the groups that its links form.
 
-Sets are put in one global order, that of their 64-bit hashes. Two sets with a Jaccard similarity of
-0.8 share most of their least members, so:
+Sets are put in one global order, from rare to common members: a table of fixed size holds the members that
+many texts share, by how often they were met (any order gives the same links; this one keeps common passages
+out of the way). Members are compared as 64-bit hashes.
 
 1. Equal sets become one class (an aggregate); the rest works on classes.
-2. Each class gives its ``KEYS`` least hashes as keys; keys of one class alone are dropped by an
-   aggregate. For each key a prefix tree holds the first ``HEAD`` hashes of its classes. A class
-   traverses the tree: overlap found so far is shared by all sets below a node, and a subtree is left
-   when what remains of the sets cannot bring the overlap to the least needed. Only links between
-   parts not yet connected are looked for, so a key's group costs about a step for each class.
-3. Connected candidates form clusters; each class ships its whole set to its cluster once, where
-   similarities are computed exactly, again until a cluster is connected or proven not to be.
-4. Verified links are turned into components by rounds of hooking on stored tables.
+2. A set of n members that shares at least ceil(0.8 n) of them with another shares one of its first
+   n - ceil(0.8 n) + 1. These are its keys; keys of one class alone are dropped by an aggregate (through a
+   bit table, which may keep a few too many).
+3. Of the classes of a key, pairs are kept that the sizes, the key's places in the order and a parity sketch
+   allow: its bits are the parities of the members in each bin, so two sketches differ in no more bits than the
+   sets in members. No linked pair is lost by any of these.
+4. Pairs form clusters; each class ships its whole set to its cluster once. There a prefix tree holds the
+   sets, ordered by hash: a set traverses it, overlap found so far is shared by all sets below a node, and a subtree
+   is left when what remains cannot bring the overlap to the least needed. Similarities are exact.
+5. Links are turned into components by rounds of hooking on stored tables.
 
 A key's group and a cluster of more than ``LIMIT`` classes are cut into blocks and each pair of blocks
-is a task of its own, so no task is unbounded and no pair is left out. A pair with similarity 0.8 is
-lost only if its least hashes differ far beyond chance: none of the 20 least of the union common
-(below 0.2**20 = 1e-14), or under 40 % of the 64 least (1e-12); both are as unlikely as a collision of
-the hashes. Sets of up to 64 are compared whole.
+is a task of its own, so no task is unbounded and no pair is left out.
 
 Cases: null and wordless texts have an empty set and are linked with nothing; under 5 words the whole
 sequence is the one member; rows of one id count as one document; rows without id are linked with
@@ -38,15 +38,18 @@ from pyspark.sql import functions as F
 
 from lakemart.llm import common as C
 
-SHINGLE, KEYS, HEAD, LIMIT, BITS = 5, 20, 64, 4000, 27
+SHINGLE, LIMIT, BITS = 5, 4000, 27
 SMALL = 6  # groups of so many are compared pair by pair
-SHARE = 40  # percent of the least hashes of the union that a pair must have in common to be compared whole
 NEED, OF = 80, 100  # linked if OF * intersection >= NEED * union
+#: Members in the table of common ones; bytes of text in a run that counts them; bits of the widest sketch.
+COMMON, COUNTED, WIDEST = 1 << 20, 1 << 22, 1 << 14
+#: Rows of key groups that are compared at once, whole groups.
+RUN = 1 << 14
 
 
-def _sets(b, text_col: str, shingle: int):
+def _sets(b, text_col: str, shingle: int, max_bytes: int = 1 << 20):
     """(row, sorted distinct hashes) for each text of a batch."""
-    for i, buf, off in C.doc_slices(b.column(text_col)):
+    for i, buf, off in C.doc_slices(b.column(text_col), max_bytes):
         w = C.Words(buf, off, C.ASCII_SPACE, C.LOWER)
         g = C.kgrams(w.hash, shingle)
         for k in range(len(off) - 1):
@@ -54,24 +57,97 @@ def _sets(b, text_col: str, shingle: int):
             yield i + k, np.unique(g[a:z - shingle + 1]) if z - a >= shingle else C.kgrams(w.hash[a:z], z - a)[:z - a]
 
 
-def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, n, a, b, keys, head): set size, two sums over the set that name its class, least hashes."""
+def common_members(docs: DataFrame, text: str, shingle: int, most: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
+    """Up to ``most`` members met most often, sorted, and their order from the least to the most often met.
+
+    A run of texts counts what it meets twice or more, so a member is counted about as far as it is common; the
+    runs' counts are added by Spark."""
+    def count(batches):
+        for b in batches:
+            held, size = [], 0
+
+            def met(held):
+                h, n = np.unique(np.concatenate(held), return_counts=True)
+                return pa.RecordBatch.from_arrays([pa.array(h[n > 1].view(np.int64)), pa.array(n[n > 1])], names=["g", "n"])
+
+            for _, s in _sets(b, "text", shingle):
+                held.append(s)
+                size += len(s)
+                if size * 8 > COUNTED:
+                    yield met(held)
+                    held, size = [], 0
+            if held:
+                yield met(held)
+
+    met = docs.select(C.column(docs, text).alias("text")).mapInArrow(count, "g long, n long")
+    met = C.stored(met.groupBy("g").agg(F.sum("n").alias("n")), "met-members")
+    sizes = met.groupBy("n").agg(F.count(F.lit(1)).alias("members")).orderBy(F.desc("n")).toPandas()   # one row per count
+    fit = sizes[sizes["members"].cumsum() <= most]
+    top = met.where(F.col("n") >= int(fit["n"].min()) if len(fit) else F.lit(False)).toPandas()
+    g, n = top["g"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
+    rank = np.zeros(len(g), np.uint32)
+    rank[np.lexsort((g, n))] = np.arange(1, len(g) + 1, dtype=np.uint32)
+    at = np.argsort(g)
+    return g[at], rank[at]
+
+
+def keys_of(n):
+    """How many of the first members of a set of n are its keys."""
+    return n - -(-NEED * n // OF) + 1 if n else 0
+
+
+def width_of(n):
+    """Bits of the sketch of a set of n members."""
+    return int(min(WIDEST, max(64, 1 << int(2 * n - 1).bit_length())))
+
+
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parities of the members in each bin, as 64-bit words."""
+    w = width_of(len(s))
+    bins = (C.mix(s ^ np.uint64(0x9E3779B97F4A7C15)) & np.uint64(w - 1)).astype(np.int64)
+    return np.packbits(np.bincount(bins, minlength=w) & 1 == 1, bitorder="little").view(np.uint64)
+
+
+def fold(x: np.ndarray) -> np.ndarray:
+    """Sketches of half the width."""
+    half = x.shape[-1] // 2
+    return x[..., :half] ^ x[..., half:]
+
+
+def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+               common=None) -> DataFrame:
+    """(doc_id, n, a, b, keys, sketch): set size, two sums over the set that name its class, its first members in
+    the order from rare to common."""
     def run(batches):
+        known, often = (x.value for x in common) if common is not None else (np.zeros(0, np.uint64), np.zeros(0, np.uint32))
         for batch in (x for b in batches for x in C.row_slices(b, 1024)):
-            n, a, b, keys, head = [], [], [], [], []
+            n, a, b, keys, bits = [], [], [], [], []
             for _, s in _sets(batch, "text", shingle):
                 n.append(len(s))
                 a.append(int(np.add.reduce(C.mix(s ^ np.uint64(0x51ED270B)))) if len(s) else 0)
                 b.append(int(np.add.reduce(C.mix(s ^ np.uint64(0xA3C59AC3)))) if len(s) else 0)
-                keys.append(s[:KEYS].view(np.int64))
-                head.append((s[:HEAD] >> np.uint64(32)).astype("<u4").tobytes())
+                keys.append(_first(s, known, often).view(np.int64))
+                bits.append(sketch(s).tobytes() if len(s) else b"")
             wrap = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), wrap(a), wrap(b), pa.array(keys, pa.list_(pa.int64())),
-                 pa.array(head, pa.binary())], names=["doc_id", "n", "a", "b", "keys", "head"])
+                 pa.array(bits, pa.binary())], names=["doc_id", "n", "a", "b", "keys", "sketch"])
 
     return docs.select(C.column(docs, doc_id, "long").alias("doc_id"), C.column(docs, text).alias("text")).mapInArrow(
-        run, "doc_id long, n long, a long, b long, keys array<long>, head binary")
+        run, "doc_id long, n long, a long, b long, keys array<long>, sketch binary")
+
+
+def _first(s, known, often):
+    """The keys of a sorted set: its first members, those that are not known to be common first."""
+    p = keys_of(len(s))
+    if not len(known) or not p:
+        return s[:p]
+    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+    weight = np.where(known[at] == s, often[at], 0)
+    rare = np.flatnonzero(weight == 0)
+    if len(rare) >= p:
+        return s[rare[:p]]
+    return s[np.lexsort((s, weight))[:p]]
 
 
 class Parts:
@@ -97,19 +173,6 @@ class Parts:
         return [(self.root(i), i) for i in range(len(self.up)) if self.root(i) != i]
 
 
-def may_link(x, y, nx, ny) -> bool:
-    """Whether sets of sizes nx, ny with heads x, y (sorted arrays) can reach the similarity; sure if both are whole."""
-    if OF * min(nx, ny) < NEED * max(nx, ny):
-        return False
-    whole = nx <= HEAD and ny <= HEAD
-    if not whole:
-        end = min(x[-1] if nx > HEAD else np.inf, y[-1] if ny > HEAD else np.inf)
-        x, y = x[x <= end], y[y <= end]
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    union = len(x) + len(y) - both
-    return OF * both >= (NEED if whole else SHARE) * union
-
-
 class Trie:
     """Prefix tree of sorted hash sequences; a node is [children, members that end here, longest way down]."""
 
@@ -200,20 +263,80 @@ def _shared(sets, sizes, least):
             np.bincount(owner[shared], minlength=m) >= least)
 
 
-def candidate_links(sizes, heads) -> list[tuple[int, int]]:
-    """Links that connect all members of a key's group that ``may_link`` connects."""
-    m, sizes = len(sizes), np.asarray(sizes)
-    parts = Parts(m)
-    if m <= SMALL:
-        for j in range(1, m):
-            for i in range(j):
-                if parts.left > 1 and parts.root(i) != parts.root(j) and may_link(heads[i], heads[j], sizes[i], sizes[j]):
-                    parts.join(i, j)
-        return parts.links()
-    least = np.minimum(-(-SHARE * HEAD // OF), -(-NEED * sizes // OF))
-    seqs, able = _shared(heads, sizes, least)
-    return _connect(parts, seqs, able, lambda i, j, _: may_link(heads[i], heads[j], sizes[i], sizes[j]),
-                    lambda tree, seq, j: tree.near(seq, int(least[j]), HEAD))
+def alike(x: np.ndarray, y: np.ndarray, nx, ny, px, py):
+    """Whether sets of sizes nx, ny may be linked: sketches x, y (rows of equal width), the key's places px, py."""
+    both = nx + ny
+    ok = (OF * np.minimum(nx, ny) >= NEED * np.maximum(nx, ny))
+    ok &= (OF + NEED) * (1 + np.minimum(px, py) + np.minimum(nx - px, ny - py) - 1) >= NEED * both
+    differ = np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
+    return ok & ((OF + NEED) * differ <= (OF - NEED) * both)
+
+
+def _sketch_rows(raw: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Widths (in words), and for each width used the sketches of that width; the place of each row among them."""
+    words = np.fromiter(map(len, raw), np.int64, len(raw)) // 8
+    levels, place = {}, np.zeros(len(raw), np.int64)
+    for w in np.unique(words):
+        at = np.flatnonzero(words == w)
+        place[at] = np.arange(len(at))
+        levels[int(w)] = np.frombuffer(b"".join([raw[i] for i in at]), np.uint64).reshape(len(at), w)
+    return words, levels, place
+
+
+def candidate_links(group, n, pos, raw) -> list[tuple[int, int]]:
+    """Links (rows) that connect in each group (rows sorted by group) all rows that ``alike`` connects.
+
+    Groups of up to ``SMALL`` rows are compared pair by pair, all groups at once. In a larger one neighbours in the
+    order of their sizes come first; then all rows but those of the largest part are compared with those of other
+    parts, since a link that is still missing has one of them at an end."""
+    words, levels, place = _sketch_rows(raw)
+    folded = {w: fold(m) for w, m in levels.items() if w > 1}
+
+    def check(i, j):
+        """``alike`` of row pairs; widths differ by one step at most if the sizes allow a link."""
+        out = np.zeros(len(i), bool)
+        for w, m in levels.items():
+            same = np.flatnonzero((words[i] == w) & (words[j] == w))
+            for k in np.array_split(same, -(-len(same) * w // (1 << 18)) or 1):   # some MB of sketches at once
+                out[k] = alike(m[place[i[k]]], m[place[j[k]]], n[i[k]], n[j[k]], pos[i[k]], pos[j[k]])
+            if w // 2 not in levels or w == 1:
+                continue
+            for a, b in ((i, j), (j, i)):   # a is wider
+                at = np.flatnonzero((words[a] == w) & (words[b] == w // 2))
+                for k in np.array_split(at, -(-len(at) * w // (1 << 18)) or 1):
+                    out[k] = alike(folded[w][place[a[k]]], levels[w // 2][place[b[k]]], n[a[k]], n[b[k]], pos[a[k]], pos[b[k]])
+        return out
+
+    first = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
+    size = np.diff(np.append(first, len(group)))
+    small = np.repeat(size <= SMALL, size)
+    links = []
+    for k in range(1, SMALL):
+        j = np.flatnonzero(small[k:] & (group[k:] == group[:-k])) + k
+        if len(j):
+            j = j[check(j - k, j)]
+            links += zip((j - k).tolist(), j.tolist(), strict=True)
+    for lo, m in zip(first[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
+        row = lo + np.argsort(n[lo:lo + m], kind="stable")
+        parts = Parts(m)
+        for k in np.flatnonzero(check(row[:-1], row[1:])).tolist():
+            parts.join(k, k + 1)
+        if parts.left > 1:
+            sizes = n[row]
+            root = np.array([parts.root(k) for k in range(m)])
+            largest = np.bincount(root).argmax()
+            for k in np.flatnonzero(root != largest).tolist():
+                a = np.searchsorted(OF * sizes, NEED * sizes[k])
+                z = np.searchsorted(NEED * sizes, OF * sizes[k], side="right")
+                others = np.arange(a, z)
+                others = others[root[others] != root[k]]
+                for x in others[check(np.full(len(others), row[k]), row[others])].tolist():
+                    if parts.root(x) != parts.root(k):
+                        parts.join(x, k)
+                        top = parts.root(k)
+                        root[(root == root[x]) | (root == root[k])] = top
+        links += [(int(row[x]), int(row[y])) for x, y in parts.links()]
+    return links
 
 
 def exact_links(sets) -> list[tuple[int, int]]:
@@ -310,24 +433,65 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     return label
 
 
+def _candidates(batches):
+    """Links between the classes of each key group, of batches sorted by group."""
+    held, rows = [], 0
+
+    def out(t):
+        col = lambda c: t.column(c).to_numpy()
+        c = col("c")
+        pairs = candidate_links(col("at"), col("n"), col("pos"), t.column("sketch").to_pylist())
+        return _links(sorted({(int(min(c[i], c[j])), int(max(c[i], c[j]))) for i, j in pairs}))
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        rows += b.num_rows
+        if rows < RUN:
+            continue
+        t = pa.Table.from_batches(held).combine_chunks()
+        at = t.column("at").to_numpy()
+        cut = int(np.flatnonzero(at == at[-1])[0])   # the last group may go on
+        if cut:
+            yield out(t.slice(0, cut))
+        held, rows = t.slice(cut).to_batches(), t.num_rows - cut
+    if held:
+        yield out(pa.Table.from_batches(held).combine_chunks())
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                    limit: int = LIMIT, bits: int = BITS) -> DataFrame:
+                    limit: int = LIMIT, bits: int = BITS, most: int = COMMON) -> DataFrame:
     """Per document: doc_id, n_shingles and component_id, the least id that links reach."""
     sc = docs.sparkSession.sparkContext
-    sig = C.stored(signatures(docs, doc_id, text, shingle), "signatures")
+    common = tuple(sc.broadcast(x) for x in common_members(docs, text, shingle, most))
+    sig = C.stored(signatures(docs, doc_id, text, shingle, common), "signatures")
     named = sig.where("n > 0 and doc_id is not null")
     classes = C.stored(named.groupBy("a", "b").agg(F.min("doc_id").alias("c"), F.first("n").alias("n"),
-                                                   F.first("keys").alias("keys"), F.first("head").alias("head")), "classes")
-    keys = classes.select("c", F.explode("keys").alias("g"))
-    shared = (keys.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("rows"))
-              .where("lo < hi").select("g", "rows"))
-    hits = keys.join(shared, "g").join(classes.select("c", "n", "head"), "c")
-    grouped = _blocks(hits, "g", "c", limit).repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "c")
-
-    def candidates(rows):
-        return candidate_links([r[1] for r in rows], [np.frombuffer(r[2], "<u4") for r in rows])
-
-    found = grouped.select("g", "i", "j", "c", "n", "head").mapInArrow(_by_group(candidates, ["n", "head"]), "u long, v long")
+                                                   F.first("keys").alias("keys"), F.first("sketch").alias("sketch")), "classes")
+    shared = C.stored(classes.select(F.explode("keys").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("rows"))
+                      .where("rows > 1"), "shared-keys")
+    met = sc.broadcast(C.set_bits(shared, "g", bits))
+
+    def entries(batches):
+        for b in (x for b in batches for x in C.row_slices(b, 256)):
+            keys = b.column("keys")
+            size = np.diff(keys.offsets.to_numpy())
+            g = keys.flatten().to_numpy()
+            row = np.repeat(np.arange(b.num_rows), size)
+            pos = np.arange(len(g)) - np.repeat(np.cumsum(size) - size, size)
+            ok = np.flatnonzero(met.value.has(g.view(np.uint64)))
+            for k in np.array_split(ok, len(ok) // 4096 + 1):
+                part = b.take(pa.array(row[k]))
+                yield pa.RecordBatch.from_arrays([pa.array(g[k]), pa.array(pos[k]), part.column("c"), part.column("n"), part.column("sketch")],
+                                                 names=["g", "pos", "c", "n", "sketch"])
+
+    hits = classes.select("c", "n", "keys", "sketch").mapInArrow(entries, "g long, pos long, c long, n long, sketch binary")
+    large = C.stored(shared.where(F.col("rows") > limit), "large-groups")   # few, so that the planner sees its size
+    hits = hits.join(large, "g", "left").withColumn("rows", F.coalesce("rows", F.lit(1)))
+    grouped = (_blocks(hits, "g", "c", limit).withColumn("at", F.xxhash64("g", "i", "j"))
+               .repartition("at").sortWithinPartitions("at", "c"))
+    found = grouped.select("at", "pos", "c", "n", "sketch").mapInArrow(_candidates, "u long, v long")
     cluster = components(found, "clusters")  # node, part
 
     table = sc.broadcast(C.set_bits(cluster.select(F.xxhash64("node").alias("k")), "k", bits))

@@ -5,6 +5,7 @@ import base64
 import collections
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -93,14 +94,73 @@ def test_trie_finds_what_all_pairs_find():
             extra = rng.integers(0, 2**63, rng.integers(0, 6), dtype=np.uint64)
             sets.append(np.unique(np.concatenate([s[rng.random(len(s)) < 0.93], extra])))
         sets = [s if len(s) else base[0] for s in sets]
-        sizes, heads = [len(s) for s in sets], [(s[:jaccard_join.HEAD] >> np.uint64(32)).astype(np.uint32) for s in sets]
         pairs = [(i, j) for i in range(14) for j in range(i)]
-        maybe = [(i, j) for i, j in pairs if jaccard_join.may_link(heads[i], heads[j], sizes[i], sizes[j])]
-        assert _roots(14, jaccard_join.candidate_links(sizes, heads)) == _roots(14, maybe)
         full = [(i, j) for i, j in pairs if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))]
         assert _roots(14, jaccard_join.exact_links(sets)) == _roots(14, full)
 
 
+def _linked(x, y):
+    return 100 * len(np.intersect1d(x, y)) >= 80 * len(np.union1d(x, y))
+
+
+def test_keys_and_candidates_lose_no_linked_pair():
+    """Every linked pair shares a key; in a key's group the links found connect what all pairs that may be linked connect."""
+    rng = np.random.default_rng(8)
+    hashes = lambda n: np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+    passage = hashes(40)
+    seen = 0
+    for trial in range(80):
+        base = [np.union1d(hashes(rng.integers(1, 400)), passage if rng.random() < 0.5 else passage[:0]) for _ in range(4)]
+        sets = []
+        for _ in range(rng.integers(2, 40)):
+            s = base[rng.integers(4)]
+            sets.append(np.union1d(s[rng.random(len(s)) < rng.choice([0.85, 0.93, 1.0])], hashes(rng.integers(0, 20))))
+        sets = [s if len(s) else base[0] for s in sets]
+        order = np.argsort(passage) if trial % 2 else np.arange(0)
+        known, often = passage[order], np.arange(1, len(order) + 1, dtype=np.uint32)
+        keys = [jaccard_join._first(s, known, often) for s in sets]
+        groups = {}
+        for i, k in enumerate(keys):
+            for p, g in enumerate(k.tolist()):
+                groups.setdefault(g, []).append((i, p))
+        rows = [(g, i, p) for g in sorted(groups) for i, p in groups[g]]
+        got = jaccard_join.candidate_links(np.array([r[0] for r in rows], np.uint64), np.array([len(sets[r[1]]) for r in rows]),
+                                           np.array([r[2] for r in rows]), [jaccard_join.sketch(sets[r[1]]).tobytes() for r in rows])
+        roots = _roots(len(sets), [(rows[a][1], rows[b][1]) for a, b in got])
+        for i in range(len(sets)):
+            for j in range(i):
+                if _linked(sets[i], sets[j]):
+                    seen += 1
+                    assert set(keys[i].tolist()) & set(keys[j].tolist()) and roots[i] == roots[j]
+        assert all(rows[a][0] == rows[b][0] for a, b in got)
+    assert seen > 1000
+
+
+def test_sketches_fold_and_bound_the_difference():
+    rng = np.random.default_rng(2)
+    for n in (1, 5, 31, 33, 300, 513, 5000, 20000):
+        s = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        t = np.union1d(s[rng.random(len(s)) < 0.9], rng.integers(0, 2**63, n // 10, dtype=np.uint64))
+        x, y = jaccard_join.sketch(s), jaccard_join.sketch(t)
+        while len(x) > len(y):
+            x = jaccard_join.fold(x)
+        while len(y) > len(x):
+            y = jaccard_join.fold(y)
+        assert int(np.bitwise_count(x ^ y).sum()) <= len(np.setxor1d(s, t))
+
+
+def test_many_documents_sharing_a_passage(spark):
+    """A passage in thousands of documents makes no hot group: its shingles come last in every set."""
+    rnd = random.Random(12)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, " ".join(f"w{rnd.randrange(10**6)}" for _ in range(rnd.randint(60, 200))) + " " + passage) for i in range(2000)]
+    rows += [(5000 + i, rows[i][1] + " tail") for i in range(50)]
+    began = time.monotonic()
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert time.monotonic() - began < 60
+    assert got == {i: i - 5000 if i >= 5000 else i for i, _ in rows}
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(5)
     ids = rng.sample(range(1000), 400)
