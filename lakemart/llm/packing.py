@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.llm import common as C
-from lakemart.llm.tokens import encoder
+from lakemart.llm.tokens import ROWS, encoder
 from lakemart.operators.keys import dense_ids
 
 SIZE, END = 4096, 1
@@ -43,8 +43,7 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
     def run(batches):
         enc = encoder(tokenizer)
         for b in batches:
-            for lo in range(0, b.num_rows, 512):
-                part = b.slice(lo, 512)
+            for part in C.row_slices(b, ROWS):
                 out = []
                 for i, ids in zip(part.column(0).to_pylist(), enc.encode(part.column(1).to_pylist()), strict=True):
                     ids += tail

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakemart.llm import common as C
-from lakemart.llm.tokens import encoder
+from lakemart.llm.tokens import ROWS, encoder
 
 END, BLOCK, LANES, SEGMENT = 0, 4096, 32, 1 << 20
 MAGIC, SCALE, LOW = b"RANSIDS1", 20, 31
@@ -155,8 +155,7 @@ def tokenized(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str
         enc = encoder(tokenizer)
         kind, tail = "<u2" if enc.size <= 1 << 16 else "<u4", np.array([end], "<u4").tobytes()
         for b in batches:
-            for lo in range(0, b.num_rows, 512):
-                part = b.slice(lo, 512)
+            for part in C.row_slices(b, ROWS):
                 got = [np.frombuffer(x + tail, "<u4").astype(kind).tobytes() for x in enc.encode(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(got, pa.binary()),
                                                   pa.array([int(kind[2])] * len(got), pa.int32())],

@@ -1,7 +1,8 @@
 """Token ids of whole texts with a public tokenizer, word by word where that is the same.
 
 A text is cut where no token can cross the cut; each distinct part is encoded once per worker (a
-cache of bounded size) and the ids are joined. Which cuts are safe follows from the tokenizer's own
+cache of bounded size). Arrow cuts a run of texts and numbers its distinct parts, and NumPy gathers
+their ids, so only distinct parts become Python strings. Which cuts are safe follows from the tokenizer's own
 pre-tokenizer; any other tokenizer, and any text with unusual white space, is encoded whole.
 """
 
@@ -12,17 +13,40 @@ import os
 import string
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from lakemart.llm.common import worker_state
 
-CACHE_PARTS, GROUP = 1_000_000, 1000
+CACHE_PARTS, GROUP, ROWS = 1_000_000, 1000, 2048
 
 #: Signs that may end a word as a token of their own, and the end of the letters for which that is relied on.
 SIGNS, LAST_LETTER = string.punctuation, "\u0370"
+#: Before the first part of a line in a cut text; texts that hold it themselves are encoded whole.
+HEAD = "\x01"
+
+
+def _gathered(ids: list[bytes], part: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """The ids of each text: ``part`` numbers the parts of all texts, ``first`` are the texts' places in it."""
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    at, pool = np.cumsum(size) - size, np.frombuffer(b"".join(ids), "<u4")
+    n = size[part]
+    end = np.append(0, np.cumsum(n))
+    out = pool[np.repeat(at[part] - end[:-1], n) + np.arange(end[-1])]
+    cut = end[first].tolist()
+    return [out[a:z].tobytes() for a, z in zip(cut, cut[1:], strict=False)]
+
+
+def _cut(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct parts between spaces, the number of each part of all texts, and each text's place in these."""
+    lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+    coded = lists.flatten().dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), lists.offsets.to_numpy()
 
 
 class Encoder:
-    """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes."""
+    """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes; a run of ``ROWS`` texts is
+    a good measure, as parts that they share are looked up once."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -46,7 +70,6 @@ class Encoder:
         self.first = np.array([n.startswith("Ġ") for n in names])
         self.last = np.array([n.endswith(suffix) for n in names])
         self.parts: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}
         self.signs: dict[str, bytes] = {}
         self.line = self._each(["\n"])[0]
 
@@ -55,14 +78,13 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
-        if self.mode == "whole":
+        if self.mode == "whole" or not texts:
             return self._each(texts)
         return self._spaced(texts) if self.mode == "space before" else self._split(texts)
 
     def _learn(self, known: dict[str, bytes], new: set[str], lead: str, mark: np.ndarray, at_end: bool) -> None:
         """Ids of new parts (each with ``lead`` before it): a word and the signs that end it are encoded apart, words
         in groups whose ids are cut at marked tokens, or one by one if the marks do not add up."""
-        new.difference_update(known)
         ended = {}
         for x in new:
             word = x.rstrip(SIGNS)
@@ -89,40 +111,48 @@ class Encoder:
         for x, (word, end) in ended.items():
             known[x] = known[word] + self.signs[end]
 
-    def _spaced(self, texts):
-        cut = [[x.split(" ") for x in t.split("\n")] for t in texts]
-        new, first = set(), set()
-        for lines in cut:
-            for c in lines:
-                first.add(c[0])
-                new.update(c[1:])
-        if len(self.parts) + len(self.heads) + len(new) > CACHE_PARTS:
+    def _known(self, parts: list[str]) -> tuple[list[bytes | None], list[int]]:
+        """What the cache has of ``parts``, and the places of those it lacks; it is emptied when it gets too large."""
+        ids = list(map(self.parts.get, parts))
+        lacks = [i for i, x in enumerate(ids) if x is None]
+        if len(self.parts) + len(lacks) > CACHE_PARTS:
             self.parts.clear()
-            self.heads.clear()
+            return [None] * len(parts), list(range(len(parts)))
+        return ids, lacks
+
+    def _spaced(self, texts):
         # a part that is empty, or begins or ends in white space, would let a run of white space cross a cut
-        self._learn(self.parts, {x for x in new if x and not (x[-1].isspace() or x[0].isspace())}, " ", self.first, False)
-        heads = sorted(x for x in first.difference(self.heads) if x and not (x[-1].isspace() or x[0].isspace()))
-        self.heads.update(zip(heads, self._each(heads), strict=True))
-        out, head, part, whole = [], self.heads.__getitem__, self.parts.__getitem__, []
-        for i, lines in enumerate(cut):
-            try:
-                out.append(self.line.join([head(c[0]) + b"".join(map(part, c[1:])) for c in lines]))
-            except KeyError:
-                out.append(b"")
-                whole.append(i)
-        for i, ids in zip(whole, self._each([texts[i] for i in whole]), strict=True):
-            out[i] = ids
+        parts, part, first = _cut([HEAD + t.replace("\n", f" \n {HEAD}") for t in texts])
+        ids, lacks = self._known(parts)
+        fit = lambda x: x and not (x[-1].isspace() or x[0].isspace())
+        new = [parts[i] for i in lacks]
+        heads = sorted(x[1:] for x in new if x[0:1] == HEAD and fit(x[1:]))
+        self.parts["\n"] = self.line
+        self._learn(self.parts, {x for x in new if x[0:1] != HEAD and fit(x)}, " ", self.first, False)
+        self.parts.update(zip([HEAD + x for x in heads], self._each(heads), strict=True))
+        for i in lacks:
+            ids[i] = self.parts.get(parts[i])
+        odd = [i for i in lacks if ids[i] is None]
+        for i in odd:
+            ids[i] = b""
+        out, whole = _gathered(ids, part, first), {i for i, t in enumerate(texts) if HEAD in t}
+        if odd:
+            mark = np.zeros(len(parts), bool)
+            mark[odd] = True
+            whole |= set(np.flatnonzero(np.add.reduceat(mark[part], first[:-1], dtype=np.int64)).tolist())
+        for i, x in zip(sorted(whole), self._each([texts[i] for i in sorted(whole)]), strict=True):
+            out[i] = x
         return out
 
     def _split(self, texts):
-        cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = set().union(*cut) if cut else set()
-        if len(self.parts) + len(new) > CACHE_PARTS:
-            self.parts.clear()
+        parts, part, first = _cut([t.replace("\n", " ").replace("\t", " ").replace("\r", " ") for t in texts])
+        self.parts[""] = b""
+        ids, lacks = self._known(parts)
         self.parts[""] = b""
-        self._learn(self.parts, new, "", self.last, True)
-        get = self.parts.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
+        self._learn(self.parts, {parts[i] for i in lacks}.difference([""]), "", self.last, True)
+        for i in lacks:
+            ids[i] = self.parts[parts[i]]
+        return _gathered(ids, part, first)
 
 
 def encoder(path: str) -> Encoder:
