@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import operator
 import sys
 import types
 import uuid
@@ -10,6 +11,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -198,11 +200,24 @@ def bit_position(key, bits: int):
     return F.shiftrightunsigned(key, 64 - bits)
 
 
+class _ByValue:
+    """A function that pickles by value also where Spark pickles plainly (broadcasts)."""
+
+    def __init__(self, fn):
+        self.fn = fn
+
+    def __reduce__(self):
+        return cloudpickle.loads, (cloudpickle.dumps(self.fn),)
+
+
 class BitSet:
     """The bit table, sent compressed and unpacked once in each worker."""
 
-    def __init__(self, table: np.ndarray, bits: int):
-        self.bits, self.packed, self.name = bits, zlib.compress(table.tobytes(), 1), uuid.uuid4().hex
+    def __init__(self, packed: bytes, bits: int, name: str | None = None):
+        self.bits, self.packed, self.name = bits, packed, name or uuid.uuid4().hex
+
+    def __reduce__(self):
+        return operator.call, (_ByValue(BitSet), self.packed, self.bits, self.name)
 
     def table(self) -> np.ndarray:
         held = worker_state("bit tables")
@@ -228,4 +243,4 @@ def set_bits(keys: DataFrame, key: str, bits: int) -> BitSet:
         at = (r["b"] - 1) * 4096
         m = np.frombuffer(bytes(r["m"]), np.uint8)
         out[at:at + 4096] = m[:len(out) - at] if at + 4096 > len(out) else m
-    return BitSet(out, bits)
+    return BitSet(zlib.compress(out.tobytes(), 1), bits)

@@ -13,7 +13,8 @@ Cases: a capture without url, host or day is kept with no active entry; hosts an
 in lower case without a final dot; repeated captures are judged one by one; repeated entries count
 once; an ``add`` while listed changes nothing, nor does a ``remove`` while not listed; entries with a
 null list, domain or day are ignored; empty tables give no rows or no active entries; extra columns
-of the captures are kept as they are, extra columns of the entries are not read.
+of the captures are kept, those with a name of the result under another (see ``judge``); extra columns of
+the entries are not read.
 """
 
 from __future__ import annotations
@@ -48,21 +49,32 @@ def intervals(entries: DataFrame) -> DataFrame:
             .select(*keys, F.col("day").alias("since"), "until"))
 
 
+ADDED = ("url_host", "n_active", "active_lists", "blocked")
+
+
 def judge(captures: DataFrame, entries: DataFrame, url: str = "url", day: str = "day") -> DataFrame:
     """``captures`` with url_host, n_active, active_lists (sorted, comma-joined) and blocked.
 
-    A capture is blocked if an active entry of a ``block`` list covers it and none of an ``allow`` list does.
+    A capture is blocked if an active entry of a ``block`` list covers it and none of an ``allow`` list does. A
+    column of the captures that has one of these names is kept with an underscore after it.
     """
-    held = captures.select("*", host_of(F.col(f"`{url}`")).alias("url_host"))
-    seen = (held.select("url_host", F.col(f"`{day}`").alias("on")).dropna().distinct()
-            .withColumn("domain", F.explode(with_parents(F.col("url_host")))))
+    names = []
+    for c in captures.columns:
+        new = c
+        while new != c and new in captures.columns or new in (*ADDED, *names):
+            new += "_"
+        names.append(new)
+    own = lambda c: captures[f"`{c}`"]
+    # the captures' own columns travel in one struct, so that none of their names can clash
+    held = captures.select(F.struct(*[own(c).alias(n) for c, n in zip(captures.columns, names, strict=True)]).alias("capture"),
+                           host_of(own(url)).alias("url_host"), own(day).alias("on"))
+    seen = held.select("url_host", "on").dropna().distinct().withColumn("domain", F.explode(with_parents(F.col("url_host"))))
     valid = intervals(entries)
     hit = (seen.join(valid, "domain").where("since <= `on` and (until is null or `on` < until)")
            .groupBy("url_host", "on").agg(F.count(F.lit(1)).alias("n"), F.collect_set("list").alias("lists"),
                                          F.max(F.col("verdict") == "block").alias("block"),
-                                         F.max(F.col("verdict") == "allow").alias("allow"))
-           .withColumnRenamed("url_host", "_host").withColumnRenamed("on", "_on"))
-    out = held.join(hit, (held["url_host"] == hit["_host"]) & (held[f"`{day}`"] == hit["_on"]), "left")
-    return out.select(*[held[f"`{c}`"] for c in held.columns], F.coalesce("n", F.lit(0)).cast("long").alias("n_active"),
-                      F.coalesce(F.array_join(F.sort_array("lists"), ","), F.lit("")).alias("active_lists"),
-                      F.coalesce(F.col("block") & ~F.col("allow"), F.lit(False)).alias("blocked"))
+                                         F.max(F.col("verdict") == "allow").alias("allow")))
+    return held.join(hit, ["url_host", "on"], "left").select(
+        "capture.*", "url_host", F.coalesce("n", F.lit(0)).cast("long").alias("n_active"),
+        F.coalesce(F.array_join(F.sort_array("lists"), ","), F.lit("")).alias("active_lists"),
+        F.coalesce(F.col("block") & ~F.col("allow"), F.lit(False)).alias("blocked"))

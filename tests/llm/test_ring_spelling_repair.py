@@ -314,3 +314,44 @@ def test_common_prefix_of_linked_strings():
     for a, b in itertools.product(range(len(strings)), repeat=2):
         assert tree.text(tree.common(nodes[a], nodes[b])[0]) == os.path.commonprefix([strings[a], strings[b]])
         assert tree.less(nodes[a], nodes[b]) == (strings[a] < strings[b])
+
+
+# ---------------------------------------------------------------- columns that clash with the URL filter's own
+
+def test_url_filter_keeps_captures_with_clashing_names(spark):
+    from lakemart.llm import url_filter
+
+    captures = spark.createDataFrame([(1, "http://a.b.com/x", "2024-01-05", "h", 7, "l", "k", "w", "o", "d", 3, "z")],
+                                     "page_id int, url string, day string, url_host string, n int, lists string, block string, allow string, "
+                                     "`on` string, domain string, n_active int, url_host_ string").selectExpr("* except (day)", "date(day) as day")
+    entries = spark.createDataFrame([("s", "block", "b.com", "2024-01-01", "add", 1)],
+                                    "list string, verdict string, domain string, day string, action string, n int").selectExpr("* except (day)", "date(day) as day")
+    got = url_filter.judge(captures, entries).collect()
+    assert len(got) == 1
+    r = got[0].asDict()
+    assert (r["url_host"], r["n_active"], r["active_lists"], r["blocked"]) == ("a.b.com", 1, "s", True)
+    assert (r["url_host__"], r["url_host_"], r["n_active_"], r["n"], r["lists"], r["block"], r["allow"], r["on"], r["domain"]) == (
+        "h", "z", 3, 7, "l", "k", "w", "o", "d")
+
+
+def test_tasks_need_no_copy_of_the_package(tmp_path):
+    """A driver that has the repository on its own path only, from another folder."""
+    import subprocess
+    import sys
+    import textwrap
+
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = textwrap.dedent(f"""
+        import sys
+        sys.path.insert(0, {repo!r})
+        from lakemart.session import build_session
+        spark = build_session("local[2]", shuffle_partitions=2)
+        from lakemart.llm import decontaminate, jaccard_join, spelling
+        docs = spark.createDataFrame([(1, "a b c d e f g h"), (2, "a b c d e f g h")], "doc_id long, text string")
+        assert jaccard_join.near_duplicates(docs).where("component_id = 1").count() == 2
+        assert spelling.vocabulary(docs, 1).count() == 8
+        items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+        assert decontaminate.contamination(docs, items).where("n_hit = 3").count() == 2
+    """)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=300, capture_output=True)
