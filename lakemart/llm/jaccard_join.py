@@ -8,7 +8,8 @@ out of the way). Members are compared as 64-bit hashes.
 2. A set of n members that shares at least ceil(0.8 n) of them with another shares one of its first
    n - ceil(0.8 n) + 1. These are its keys; keys of one class alone are dropped by an aggregate (through a
    bit table, which may keep a few too many).
-3. Of the classes of a key, pairs are kept that the sizes, the key's places in the order and a parity sketch
+3. Classes that meet no class of a fitting size in a key leave it. Of the others, pairs are kept that the sizes,
+   the key's places in the order (it must be able to be the first member they share) and a parity sketch
    allow: its bits are the parities of the members in each bin, so two sketches differ in no more bits than the
    sets in members. No linked pair is lost by any of these.
 4. Pairs form clusters; each class ships its whole set to its cluster once. There a prefix tree holds the
@@ -33,7 +34,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemart.llm import common as C
@@ -98,7 +99,7 @@ def keys_of(n):
 
 def width_of(n):
     """Bits of the sketch of a set of n members."""
-    return int(min(WIDEST, max(64, 1 << int(2 * n - 1).bit_length())))
+    return int(min(WIDEST, max(64, 1 << int(n - 1).bit_length())))
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
@@ -264,10 +265,11 @@ def _shared(sets, sizes, least):
 
 
 def alike(x: np.ndarray, y: np.ndarray, nx, ny, px, py):
-    """Whether sets of sizes nx, ny may be linked: sketches x, y (rows of equal width), the key's places px, py."""
+    """Whether sets of sizes nx, ny may be linked and the key be the first member they share: sketches x, y (rows of
+    equal width), the key's places px, py."""
     both = nx + ny
-    ok = (OF * np.minimum(nx, ny) >= NEED * np.maximum(nx, ny))
-    ok &= (OF + NEED) * (1 + np.minimum(px, py) + np.minimum(nx - px, ny - py) - 1) >= NEED * both
+    least = -(-NEED * both // (OF + NEED))
+    ok = (OF * np.minimum(nx, ny) >= NEED * np.maximum(nx, ny)) & (np.minimum(nx - px, ny - py) >= least)
     differ = np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
     return ok & ((OF + NEED) * differ <= (OF - NEED) * both)
 
@@ -438,7 +440,7 @@ def _candidates(batches):
     held, rows = [], 0
 
     def out(t):
-        col = lambda c: t.column(c).to_numpy()
+        col = lambda c: t.column(c).to_numpy().astype(np.int64)
         c = col("c")
         pairs = candidate_links(col("at"), col("n"), col("pos"), t.column("sketch").to_pylist())
         return _links(sorted({(int(min(c[i], c[j])), int(max(c[i], c[j]))) for i, j in pairs}))
@@ -480,15 +482,27 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             g = keys.flatten().to_numpy()
             row = np.repeat(np.arange(b.num_rows), size)
             pos = np.arange(len(g)) - np.repeat(np.cumsum(size) - size, size)
-            ok = np.flatnonzero(met.value.has(g.view(np.uint64)))
-            for k in np.array_split(ok, len(ok) // 4096 + 1):
-                part = b.take(pa.array(row[k]))
-                yield pa.RecordBatch.from_arrays([pa.array(g[k]), pa.array(pos[k]), part.column("c"), part.column("n"), part.column("sketch")],
-                                                 names=["g", "pos", "c", "n", "sketch"])
-
-    hits = classes.select("c", "n", "keys", "sketch").mapInArrow(entries, "g long, pos long, c long, n long, sketch binary")
-    large = C.stored(shared.where(F.col("rows") > limit), "large-groups")   # few, so that the planner sees its size
-    hits = hits.join(large, "g", "left").withColumn("rows", F.coalesce("rows", F.lit(1)))
+            k = np.flatnonzero(met.value.has(g.view(np.uint64)))
+            part = b.take(pa.array(row[k]))
+            yield pa.RecordBatch.from_arrays([pa.array(g[k]), pa.array(pos[k].astype(np.int32)), part.column("c"), part.column("n")],
+                                             names=["g", "pos", "c", "n"])
+
+    hits = classes.select("c", F.col("n").cast("int").alias("n"), "keys").mapInArrow(entries, "g long, pos int, c long, n int")
+    # a class stays with a key if the next smaller or larger class of the key has a size that can be linked, and, of
+    # two classes alone, if the key can be the first member they share
+    sizes = Window.partitionBy("g").orderBy("n", "c")
+
+    def fits(move):
+        n, pos = (move(c).over(sizes) for c in ("n", "pos"))
+        least = F.ceil(NEED * (F.col("n") + n) / (OF + NEED) - 1e-9)
+        first = (F.col("n") - F.col("pos") >= least) & (n - pos >= least)
+        alone = move("n", 2).over(sizes).isNull() & (F.lead if move is F.lag else F.lag)("n").over(sizes).isNull()
+        return F.coalesce((OF * F.least("n", n) >= NEED * F.greatest("n", n)) & (first | ~alone), F.lit(False))
+
+    hits = C.stored(hits.withColumn("fit", fits(F.lag) | fits(F.lead)).where("fit").drop("fit"), "fitting-keys")
+    large = C.stored(hits.groupBy("g").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > limit), "large-groups")
+    hits = (hits.join(large, "g", "left").withColumn("rows", F.coalesce("rows", F.lit(1)))   # few: the planner sees their size
+            .join(classes.select("c", "sketch"), "c"))
     grouped = (_blocks(hits, "g", "c", limit).withColumn("at", F.xxhash64("g", "i", "j"))
                .repartition("at").sortWithinPartitions("at", "c"))
     found = grouped.select("at", "pos", "c", "n", "sketch").mapInArrow(_candidates, "u long, v long")
