@@ -5,10 +5,12 @@ length and its commas to its container and, fewer with each step, to the element
 container's points are discounted by the share of its text that is in links. The best container is
 kept with those siblings that score or read like article text.
 
-Always left out: scripts, styles, forms, navigation, page headers and footers, and asides. A class or id
-that says menu, advert, notice, comments and the like lowers the points of the element and of what is in
+Always left out: scripts, styles, form controls, navigation, page headers and footers, asides, and what is hidden
+(``hidden``, ``display: none``). A class or id
+that says menu, advert, notice, comments and the like, or a form, lowers the points of the element and of what is in
 it, the more the less of the page's text it has; it is left out unless the best container or the best
-article is in it. Inside the kept part, what is links for the most part is left out if it stands as navigation
+article is in it, and a form also if it has neither an article nor two paragraphs that read. What stands between
+kept siblings of the best container is kept unless it is links for the most part. Inside the kept part, what is links for the most part is left out if it stands as navigation
 does: before the first text that reads, or boxes of bare links (no list, no heading) after the last.
 Nothing else is dropped or cut.
 
@@ -35,6 +37,7 @@ _TOKEN = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.S)
 _ATTR = re.compile(r"""[\s/]*+([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)(?:"|\Z)|'([^']*+)(?:'|\Z)|([^\s>]*+)))?""")
 _PART = re.compile(r"[a-z]+")
+_HIDES = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 
 # Element names of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -42,8 +45,8 @@ RAW = set("script style textarea title noscript iframe xmp noembed noframes".spl
 BLOCK = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
             "footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre section "
             "summary table tbody td tfoot th thead tr ul".split())
-DROP = set("script style noscript template svg math iframe object embed applet form nav footer aside button select textarea "
-           "input menu dialog head title canvas audio video".split())
+DROP = set("script style noscript template svg math iframe object embed applet nav footer aside button select textarea "
+           "input label fieldset datalist output progress meter menu dialog head title canvas audio video".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"},
              "tfoot": {"tr", "td", "th", "thead", "tbody"}}
@@ -72,16 +75,18 @@ class Page:
         self._read(source)
 
     def _open(self, tag, attrs, parent):
-        named = False
+        named = tag == "form"
         bonus, drop = (25.0, False) if tag in ("article", "main") else (0.0, tag in DROP)
         if attrs:
             read = {}  # each attribute whole, so no name is found in a value; the first of a name holds
             for key, a, b, c in _ATTR.findall(attrs):
                 read.setdefault(key.lower(), a or b or c)
-            for key in read.keys() & {"class", "id", "role", "hidden"}:
+            for key in read.keys() & {"class", "id", "role", "hidden", "style"}:
                 value = read[key].lower()
                 if key == "hidden":
                     drop = True
+                elif key == "style":
+                    drop = drop or _HIDES.search(value) is not None
                 elif key == "role":
                     drop = drop or value in ROLES
                     bonus += 25 * (value in ("main", "article"))
@@ -204,11 +209,30 @@ def _joined(pieces) -> str:
     return " ".join("".join(pieces).split())
 
 
+def _without_forms(page: Page) -> None:
+    """Drop forms that are no frame of text: without an article, and with fewer than two paragraphs that read."""
+    if "form" not in page.tag:
+        return
+    form = [0] * len(page.tag)   # the outermost form that an element is in
+    for k in range(1, len(page.tag)):
+        form[k] = form[page.up[k]] or (k if page.tag[k] == "form" else 0)
+    reads = [0] * len(page.tag)
+    for k, tag in enumerate(page.tag):
+        reads[form[k]] += 2 * (tag in ("article", "main"))
+    for node, pieces in page.blocks:
+        text = _joined(raw for _, raw, _ in pieces)
+        reads[form[node]] += len(text) >= 25 and 2 * len(_joined(raw for _, raw, linked in pieces if linked)) < len(text)
+    for k in range(1, len(page.tag)):
+        page.drop[k] = page.drop[k] or form[k] > 0 and reads[form[k]] < 2
+    page.blocks = [b for b in page.blocks if not page.drop[b[0]]]
+
+
 def main_text(source: str | None) -> str:
     """The page's main text (see the module's text)."""
     if not source:
         return ""
     page = Page(source)
+    _without_forms(page)
     n = len(page.tag)
     score, size, link, whole = [0.0] * n, [0] * n, [0] * n, [0] * n
     blocks = []  # as they stand, without what has an unlikely name inside them
@@ -265,15 +289,15 @@ def main_text(source: str | None) -> str:
     for node, text, _ in blocks:
         if len(text) > len(longest.get(node, "")):
             longest[node] = text
-    least = max(10.0, total[best] / 5)
+    least = total[best] / 5
     for k in range(n):
         if k == best:
             kept[k] = True
         elif page.up[k] == page.up[best] and best and not page.drop[k] and not out[k] and size[k]:
             dense = link[k] / size[k]
             reads = page.tag[k] == "p" and (size[k] > 80 and dense < 0.25 or not link[k] and longest.get(k, "").endswith((".", "!", "?")))
-            kept[k] = reads or page.tag[k] not in paragraphs and total[k] >= least
-    ahead = False  # a heading belongs to what follows it, lists and pre to what stands around them
+            kept[k] = reads or page.tag[k] not in paragraphs and total[k] >= least and total[k] > 0
+    ahead = False  # a heading belongs to what follows it, other text to what stands around it
     beside = [k for k in range(1, n) if best and page.up[k] == page.up[best] and not out[k] and size[k]]
     for k in reversed(beside):
         if page.tag[k] in HEADINGS and 2 * link[k] < size[k]:
@@ -281,7 +305,7 @@ def main_text(source: str | None) -> str:
         ahead = kept[k] or page.tag[k] in LISTS and ahead
     within = [i for i, k in enumerate(beside) if kept[k]]
     for k in beside[within[0]:within[-1]] if within else ():
-        kept[k] = kept[k] or page.tag[k] in LISTS and 5 * link[k] <= 3 * size[k]
+        kept[k] = kept[k] or 5 * link[k] <= 3 * size[k] and not page.drop[k]
     for k in range(1, n):
         kept[k] = kept[k] or kept[page.up[k]]
     first, last, titled = [len(blocks)] * n, [-1] * n, [False] * n

@@ -355,3 +355,76 @@ def test_tasks_need_no_copy_of_the_package(tmp_path):
     """)
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=300, capture_output=True)
+
+
+# ---------------------------------------------------------------- pages whose article is known
+
+def _article(rnd):
+    """(html, text) of an article: paragraphs first and last, anything between."""
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 9)))
+    say = lambda a, z: ", ".join(" ".join(word() for _ in range(rnd.randint(3, 7))) for _ in range(rnd.randint(a, z))) + "."
+    out, text = [], []
+    n = rnd.randint(3, 8)
+    for i in range(n):
+        t = say(2, 6)
+        kind = rnd.choice(["p", "p", "p", "h2", "blockquote", "ul", "div", "pre", "figure"]) if 0 < i < n - 1 else "p"
+        if kind == "ul":
+            items = [say(1, 1) for _ in range(rnd.randint(1, 4))]
+            out.append("<ul>" + "".join(f"<li>{x}" for x in items) + "</ul>")
+            text += items
+        elif kind == "div":
+            t = say(1, 1)
+            out.append(f"<div>{t}</div>")
+            text.append(t)
+        elif kind == "h2":
+            t = say(1, 1)
+            out.append(f"<h2>{t}</h2><p>{(u := say(2, 4))}</p>")
+            text += [t, u]
+        elif kind == "figure":
+            out.append(f"<figure><img src=x><figcaption>{t}</figcaption></figure>")
+            text.append(t)
+        else:
+            out.append(f"<{kind}>{t}</{kind}>" if rnd.random() < 0.7 or kind != "p" else f"<p>{t}")
+            text.append(t)
+    return "\n".join(out), "\n\n".join(text)
+
+
+BEFORE = ["<nav><a href=/>Home</a> <a href=/x>News, sport, and, more</a></nav>", "<header><h1>Site name</h1><p>Our motto, which is long, and wise.</p></header>",
+          "<script>var a = '<p>not, text, at, all, but, long, long</p>';</script>", "<style>p { color: red, blue, green }</style>",
+          "<form action=/search><input name=q><label>Search, find, look for something on the site</label><button>Go</button></form>",
+          "<div style='display:none'><p>Hidden, words, with, many, commas, so, many, that, it, wins, over, all, else.</p></div>",
+          "<div hidden><p>More, hidden, words, with, commas, and, so, on, and, on, and, on, and, on.</p></div>", "<div class='cookie-notice'>We use cookies, as everybody does, accept them.</div>"]
+AFTER = ["<footer><p>Rights, all of them, reserved, by us, since long ago.</p></footer>", "<aside><p>Something else, beside, the, point, entirely, and, long.</p></aside>",
+         "<div class=comments><div><p>A comment, long, with commas, and more, and more.</p></div><div><p>Another one, of the same, length, and commas.</p></div></div>",
+         "<ul class=related><li><a href=1>One more article</a><li><a href=2>And another</a></ul>", "<form><p>Subscribe, now, to our letter, it is free, and weekly.</p><input></form>",
+         "<div class='ad'>Buy, buy, buy, and buy some more, dear reader.</div>"]
+FRAMES = ["%s", "<div>%s</div>", "<form id=aspnetForm>%s</form>", "<div class='page'><div class='inner'>%s</div></div>", "<form><div id=wrap>%s</div></form>"]
+HOLDERS = ["<div>%s</div>", "<article>%s</article>", "<main><div class=content>%s</div></main>", "<section><div>%s</div></section>", "<div class='content has-sidebar'>%s</div>"]
+
+
+@pytest.mark.parametrize("seed", range(120))
+def test_generated_pages_give_their_article(seed):
+    from lakemart.llm import html_text
+
+    rnd = random.Random(seed)
+    source, text = _article(rnd)
+    junk = lambda all_: "".join(rnd.sample(all_, rnd.randint(0, len(all_))))
+    page = rnd.choice(FRAMES) % (junk(BEFORE) + rnd.choice(HOLDERS) % source + junk(AFTER))
+    assert html_text.main_text(f"<html><head><title>T, t, t</title></head><body>{page}</body></html>") == text
+
+
+@pytest.mark.parametrize("between", ["<blockquote>A quotation, from somebody.</blockquote>", "<div>Short.</div>", "<div><i>A note</i></div>", "<figure><figcaption>What is seen</figcaption></figure>"])
+def test_what_stands_between_kept_siblings_is_kept(between):
+    from lakemart.llm import html_text
+
+    long = "Some long text, with commas, that goes on for a while, and then on, and on, until it ends."
+    page = f"<body><p>{long}</p><p>{long}</p><div><p>{long}</p><p>{long}</p></div>{between}<p>{long}</p></body>"
+    got = html_text.main_text(page)
+    assert re.sub("<[^>]*>", "", between) in got.split("\n\n") and got.count(long) >= 3
+
+
+@pytest.mark.parametrize("page", ["<form><p>Please enter your name, and your password.</p><input></form>", "<form><label>Name, first and last, as in your passport</label></form>"])
+def test_a_form_alone_is_no_text(page):
+    from lakemart.llm import html_text
+
+    assert html_text.main_text(f"<body>{page}</body>") == ""
