@@ -23,7 +23,6 @@ from __future__ import annotations
 import os
 import time
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.errors import AnalysisException
@@ -35,7 +34,7 @@ from lakemart.operators import dedupe
 from lakemart.operators.lookup import lookup_first
 from lakemart.operators.project import filter_eq
 from lakemart.plans import star
-from lakemart.session import scratch_path
+from lakemart.session import scratch_path, together
 
 BATCH = "batch"
 TABLES = ("users", "songs", "artists", "time", "songplays")
@@ -64,12 +63,6 @@ def _write(df: DataFrame, path: str, batch: int, mode: str, stats: list | None =
         stats.append((os.path.basename(path), int(seen.get["n"]), round(time.monotonic() - t0, 3)))
 
 
-def together(*steps):
-    """Run independent steps at the same time, each submitting its Spark jobs from its own thread; their results."""
-    with ThreadPoolExecutor(len(steps)) as pool:
-        return [f.result() for f in [pool.submit(s) for s in steps]]
-
-
 def absent_rows(rows: DataFrame, held: DataFrame | None, key: str, between: tuple | None = None) -> DataFrame:
     """Rows of ``rows`` whose key is not in ``held``.
 

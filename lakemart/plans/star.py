@@ -15,6 +15,7 @@ Three families mirror the three ways the star schema is built:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from lakemart.operators.keys import dense_ids, dense_ids_join
 from lakemart.operators.lookup import lookup_first
 from lakemart.operators.project import filter_eq, filter_nonempty
 from lakemart.schemas import REDUCED_LOG_COLUMNS
+from lakemart.session import together
 
 # Fixed values of the log format.
 LISTEN_PAGE = "NextSong"
@@ -192,8 +194,10 @@ def songplays_two_key(staging_events: DataFrame, staging_songs: DataFrame,
     default to '0'; dense ids from 0 in (event order, catalogue order).
 
     The ids are assigned without sorting the fan-out (``dense_ids_join``)."""
-    j = dense_ids_join(staging_events, staging_songs, ["artist", "song"], ["artist_name", "title"],
-                       left_order, right_order, "songplay_id", 0)
+    # only what the result or the order needs is moved
+    events = staging_events.select(*dict.fromkeys(["ts", "userId", "level", "sessionId", "location", "userAgent", "artist", "song", *left_order]))
+    songs = staging_songs.select(*dict.fromkeys(["song_id", "artist_id", "artist_name", "title", *right_order]))
+    j = dense_ids_join(events, songs, ["artist", "song"], ["artist_name", "title"], left_order, right_order, "songplay_id", 0)
     j = j.withColumn("_user_text", F.col("userId").cast("string"))
     return j.select(F.col("ts").alias("start_time"), typed_default(j, "_user_text", "0").alias("user_id"), "level",
                     typed_default(j, "song_id", "0"), typed_default(j, "artist_id", "0"),
@@ -255,11 +259,12 @@ def star_schema(log: DataFrame, songs: DataFrame, order_by: Sequence[str] = LOG_
 def write_star(log: DataFrame, songs: DataFrame, store, order_by: Sequence[str] = LOG_ORDER,
                song_order: Sequence[str] = ("song_id",), page: str = LISTEN_PAGE) -> dict[str, DataFrame]:
     """``star_schema`` with each table written by ``store(name, df)``, which returns the written table;
-    songplays are resolved against the written songs and artists."""
-    out = {}
-    for name, df in star_dims(log, songs, order_by, song_order, page).items():
-        out[name] = store(name, df)
-    plays = songplays_lookup(log, song_catalogue(out["songs"], out["artists"]), page, order_by)
+    songplays are resolved against the written songs and artists. The dimensions are written, and the listens
+    numbered, at the same time."""
+    dims = star_dims(log, songs, order_by, song_order, page)
+    *written, numbered = together(*[partial(store, name, df) for name, df in dims.items()], lambda: numbered_listens(log, page, order_by))
+    out = dict(zip(dims, written, strict=True))
+    plays = resolve(numbered, song_catalogue(out["songs"], out["artists"])).select(*SONGPLAY_COLUMNS)
     return out | {"songplays": store("songplays", plays)}
 
 
