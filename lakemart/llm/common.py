@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import operator
 import sys
 import types
@@ -210,14 +211,24 @@ class _ByValue:
         return cloudpickle.loads, (cloudpickle.dumps(self.fn),)
 
 
-class BitSet:
-    """The bit table, sent compressed and unpacked once in each worker."""
+def _made(kind, state: dict):
+    out = kind.__new__(kind)
+    out.__dict__.update(state)
+    return out
+
 
-    def __init__(self, packed: bytes, bits: int, name: str | None = None):
-        self.bits, self.packed, self.name = bits, packed, name or uuid.uuid4().hex
+class Shipped:
+    """Base of what is broadcast: it reaches tasks that have no copy of this package."""
 
     def __reduce__(self):
-        return operator.call, (_ByValue(BitSet), self.packed, self.bits, self.name)
+        return operator.call, (_ByValue(functools.partial(_made, type(self))), self.__dict__)
+
+
+class BitSet(Shipped):
+    """The bit table, sent compressed and unpacked once in each worker."""
+
+    def __init__(self, table: np.ndarray, bits: int):
+        self.bits, self.packed, self.name = bits, zlib.compress(table.tobytes(), 1), uuid.uuid4().hex
 
     def table(self) -> np.ndarray:
         held = worker_state("bit tables")
@@ -243,4 +254,4 @@ def set_bits(keys: DataFrame, key: str, bits: int) -> BitSet:
         at = (r["b"] - 1) * 4096
         m = np.frombuffer(bytes(r["m"]), np.uint8)
         out[at:at + 4096] = m[:len(out) - at] if at + 4096 > len(out) else m
-    return BitSet(zlib.compress(out.tobytes(), 1), bits)
+    return BitSet(out, bits)

@@ -108,7 +108,7 @@ def _level(counts: DataFrame):
     return seen, sums.select("context", (F.col("taken") / F.col("total")).alias("rest"))
 
 
-class Model:
+class Model(C.Shipped):
     """Trigram probabilities, weights left to them by context, and shares of the seen 4-grams."""
 
     def __init__(self, low, rest, gram, share):
@@ -335,7 +335,7 @@ def _limits(scored: DataFrame, ids: DataFrame, quantile: float, margin: float, p
     kinds = {"own": "bits", "own_class": "class_bits"}
     means = trusted.agg(*[(F.sum(c) / F.sum("n_bytes")).alias(k) for k, c in kinds.items()]).first()
     score = {k: (F.col(c) + F.lit((means[k] or 0.0) * prior)) / (F.col("n_bytes") + F.lit(prior)) for k, c in kinds.items()}
-    limits = [(F.percentile_approx(score[k], F.lit(quantile), F.lit(10000)) + F.lit(margin)).alias(k) for k in kinds]
+    limits = [(F.percentile_approx(score[k], F.lit(quantile), F.lit(1000000)) + F.lit(margin)).alias(k) for k in kinds]
     own = (trusted.groupBy("lang").agg(*limits, F.count(F.lit(1)).alias("k"))
            .where((F.col("k") >= least) & F.col("lang").isNotNull()).drop("k"))
     every = trusted.agg(*limits).first()

@@ -81,7 +81,7 @@ def _mean(values: np.ndarray, d: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-class Model:
+class Model(C.Shipped):
     """Weights by place, bias, and the calibration (slope, shift)."""
 
     def __init__(self, weights, bias=0.0, slope=1.0, shift=0.0):

@@ -346,12 +346,17 @@ def test_tasks_need_no_copy_of_the_package(tmp_path):
         sys.path.insert(0, {repo!r})
         from lakemart.session import build_session
         spark = build_session("local[2]", shuffle_partitions=2)
-        from lakemart.llm import decontaminate, jaccard_join, spelling
+        from lakemart.llm import decontaminate, jaccard_join, perplexity, quality_rules, spelling, substring_dedup
         docs = spark.createDataFrame([(1, "a b c d e f g h"), (2, "a b c d e f g h")], "doc_id long, text string")
         assert jaccard_join.near_duplicates(docs).where("component_id = 1").count() == 2
         assert spelling.vocabulary(docs, 1).count() == 8
         items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
         assert decontaminate.contamination(docs, items).where("n_hit = 3").count() == 2
+        assert substring_dedup.dedup(docs).count() == 2
+        more = spark.range(40).selectExpr("id as doc_id", "concat('word ', id, ' other words') as text", "'en' as lang")
+        labels = spark.range(40).selectExpr("id as doc_id", "cast(id % 2 as int) as quality", "0 as toxic")
+        assert perplexity.classify(more, labels).count() == 40
+        assert quality_rules.score(more, quality_rules.fit(more, labels, rounds=3)).count() == 40
     """)
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=300, capture_output=True)
