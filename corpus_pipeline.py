@@ -3,6 +3,12 @@
 Each stage takes what the one before kept and returns the columns of ``documents``; the last returns
 the packed pieces. ``run`` writes each stage's result as Parquet and reads it back, so a lost executor
 costs one stage's work at most.
+
+Cases, in every stage: rows without id stay, as nothing can be said of them by id (the classifier judges their
+text); null, empty and wordless texts stay and are packed as their end id. Repeated rows of one id share that
+id's fate in the second and fourth stage and are judged one by one elsewhere; of equal texts the least id
+stays. Texts of any length are read whole. An empty ``documents`` gives no pieces; without labels, or without
+benchmark items, that stage keeps all. Further columns are carried to the last stage but one, whatever their names.
 """
 
 from __future__ import annotations
