@@ -40,12 +40,12 @@ from pyspark.sql import functions as F
 from lakemart.llm import common as C
 
 SHINGLE, LIMIT, BITS = 5, 4000, 27
-SMALL = 6  # groups of so many are compared pair by pair
+SMALL, NEAR = 6, 3  # clusters of so many are compared pair by pair; rows of a key with so many before them first
 NEED, OF = 80, 100  # linked if OF * intersection >= NEED * union
 #: Members in the table of common ones; bytes of text in a run that counts them; bits of the widest sketch.
 COMMON, COUNTED, WIDEST = 1 << 20, 1 << 22, 1 << 14
 #: Rows of key groups that are compared at once, whole groups.
-RUN = 1 << 14
+RUN = 1 << 15
 
 
 def _sets(b, text_col: str, shingle: int, max_bytes: int = 1 << 20):
@@ -98,8 +98,9 @@ def keys_of(n):
 
 
 def width_of(n):
-    """Bits of the sketch of a set of n members."""
-    return int(min(WIDEST, max(64, 1 << int(n - 1).bit_length())))
+    """Bits of the sketch of a set of n members: a power of two, two thirds of n at least. Sets that differ in
+    most members then differ in a third of n bits or more; linked ones differ in under a quarter."""
+    return int(min(WIDEST, max(64, 1 << int((2 * n + 2) // 3 - 1).bit_length())))
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
@@ -264,14 +265,16 @@ def _shared(sets, sizes, least):
             np.bincount(owner[shared], minlength=m) >= least)
 
 
-def alike(x: np.ndarray, y: np.ndarray, nx, ny, px, py):
-    """Whether sets of sizes nx, ny may be linked and the key be the first member they share: sketches x, y (rows of
-    equal width), the key's places px, py."""
-    both = nx + ny
-    least = -(-NEED * both // (OF + NEED))
-    ok = (OF * np.minimum(nx, ny) >= NEED * np.maximum(nx, ny)) & (np.minimum(nx - px, ny - py) >= least)
+def may_meet(nx, ny, px, py):
+    """Whether sets of sizes nx, ny may be linked and a key at the places px, py be the first member they share."""
+    least = -(-NEED * (nx + ny) // (OF + NEED))
+    return (OF * np.minimum(nx, ny) >= NEED * np.maximum(nx, ny)) & (np.minimum(nx - px, ny - py) >= least)
+
+
+def alike(x: np.ndarray, y: np.ndarray, nx, ny):
+    """Whether sets of sizes nx, ny with sketches x, y (rows of equal width) may be linked."""
     differ = np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
-    return ok & ((OF + NEED) * differ <= (OF - NEED) * both)
+    return (OF + NEED) * differ <= (OF - NEED) * (nx + ny)
 
 
 def _sketch_rows(raw: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
@@ -286,59 +289,72 @@ def _sketch_rows(raw: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.nda
 
 
 def candidate_links(group, n, pos, raw) -> list[tuple[int, int]]:
-    """Links (rows) that connect in each group (rows sorted by group) all rows that ``alike`` connects.
-
-    Groups of up to ``SMALL`` rows are compared pair by pair, all groups at once. In a larger one neighbours in the
-    order of their sizes come first; then all rows but those of the largest part are compared with those of other
-    parts, since a link that is still missing has one of them at an end."""
-    words, levels, place = _sketch_rows(raw)
+    """Links (rows) that connect in each group all rows that ``may_meet`` and ``alike`` connect; all groups at once.
+
+    In the order of sizes, rows are first compared with the few before them. Then all rows but those of a group's
+    largest part are compared with the rows of other parts that have a fitting size, since a link that is still
+    missing has one of them at an end. Of the links between two parts one is given."""
+    if not len(group):
+        return []
+    order = np.lexsort((n, group))
+    group, n, pos = group[order], n[order], pos[order]
+    words, levels, place = _sketch_rows([raw[i] for i in order])
     folded = {w: fold(m) for w, m in levels.items() if w > 1}
 
     def check(i, j):
-        """``alike`` of row pairs; widths differ by one step at most if the sizes allow a link."""
-        out = np.zeros(len(i), bool)
-        for w, m in levels.items():
-            same = np.flatnonzero((words[i] == w) & (words[j] == w))
-            for k in np.array_split(same, -(-len(same) * w // (1 << 18)) or 1):   # some MB of sketches at once
-                out[k] = alike(m[place[i[k]]], m[place[j[k]]], n[i[k]], n[j[k]], pos[i[k]], pos[j[k]])
-            if w // 2 not in levels or w == 1:
-                continue
-            for a, b in ((i, j), (j, i)):   # a is wider
-                at = np.flatnonzero((words[a] == w) & (words[b] == w // 2))
-                for k in np.array_split(at, -(-len(at) * w // (1 << 18)) or 1):
-                    out[k] = alike(folded[w][place[a[k]]], levels[w // 2][place[b[k]]], n[a[k]], n[b[k]], pos[a[k]], pos[b[k]])
+        """Which of the row pairs may be linked; of fitting sizes, widths differ by one step at most."""
+        out = may_meet(n[i], n[j], pos[i], pos[j])
+        some = np.flatnonzero(out)
+        a, b = i[some], j[some]
+        wide = words[a] < words[b]
+        a, b = np.where(wide, b, a), np.where(wide, a, b)
+        for w in np.unique(words[a]):
+            for equal in (True, False):
+                at = np.flatnonzero((words[a] == w) & ((words[b] == w) == equal))
+                for k in np.array_split(at, -(-len(at) * w // (1 << 18)) or 1):   # some MB of sketches at once
+                    if len(k):
+                        x, y = (levels[w], levels[w]) if equal else (folded[w], levels[w // 2])
+                        out[some[k]] = alike(x[place[a[k]]], y[place[b[k]]], n[a[k]], n[b[k]])
         return out
 
-    first = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
-    size = np.diff(np.append(first, len(group)))
-    small = np.repeat(size <= SMALL, size)
+    rows, part = len(group), Parts(len(group))
+    root = np.arange(rows)
     links = []
-    for k in range(1, SMALL):
-        j = np.flatnonzero(small[k:] & (group[k:] == group[:-k])) + k
-        if len(j):
-            j = j[check(j - k, j)]
-            links += zip((j - k).tolist(), j.tolist(), strict=True)
-    for lo, m in zip(first[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
-        row = lo + np.argsort(n[lo:lo + m], kind="stable")
-        parts = Parts(m)
-        for k in np.flatnonzero(check(row[:-1], row[1:])).tolist():
-            parts.join(k, k + 1)
-        if parts.left > 1:
-            sizes = n[row]
-            root = np.array([parts.root(k) for k in range(m)])
-            largest = np.bincount(root).argmax()
-            for k in np.flatnonzero(root != largest).tolist():
-                a = np.searchsorted(OF * sizes, NEED * sizes[k])
-                z = np.searchsorted(NEED * sizes, OF * sizes[k], side="right")
-                others = np.arange(a, z)
-                others = others[root[others] != root[k]]
-                for x in others[check(np.full(len(others), row[k]), row[others])].tolist():
-                    if parts.root(x) != parts.root(k):
-                        parts.join(x, k)
-                        top = parts.root(k)
-                        root[(root == root[x]) | (root == root[k])] = top
-        links += [(int(row[x]), int(row[y])) for x, y in parts.links()]
-    return links
+
+    def join(i, j):
+        for a, b in zip(i.tolist(), j.tolist(), strict=True):
+            if part.root(a) != part.root(b):
+                part.join(a, b)
+                links.append((a, b))
+
+    for k in range(1, NEAR + 1):
+        j = np.flatnonzero(group[k:] == group[:-k]) + k if k < rows else np.zeros(0, np.int64)
+        if k > 1:
+            j = j[root[j] != root[j - k]]
+        j = j[check(j - k, j)]
+        join(j - k, j)
+        root = np.array([part.root(x) for x in range(rows)], np.int64) if len(j) else root
+    first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    of = np.cumsum(np.append(True, group[1:] != group[:-1])) - 1
+    size = np.bincount(root, minlength=rows)[root]   # of the row's part
+    largest = np.zeros(len(first), np.int64)
+    best = np.lexsort((size, of))   # the last of each group has its largest part
+    largest[of[best]] = root[best]
+    main = root == largest[of]
+    asks = np.flatnonzero(~main)
+    for step in (-1, 1):   # before a row all others, after it those of the largest part (the others ask themselves)
+        j, d = asks, 1
+        while len(j):
+            i = j + step * d
+            ok = (i >= 0) & (i < rows)
+            ok[ok] = group[i[ok]] == group[j[ok]]
+            ok[ok] = OF * np.minimum(n[i[ok]], n[j[ok]]) >= NEED * np.maximum(n[i[ok]], n[j[ok]])   # sizes only part from here on
+            j, i = j[ok], i[ok]
+            new = np.flatnonzero((root[i] != root[j]) & (main[i] | (step < 0)))
+            hit = new[check(i[new], j[new])]
+            join(i[hit], j[hit])
+            d += 1
+    return [(int(order[a]), int(order[b])) for a, b in links]
 
 
 def exact_links(sets) -> list[tuple[int, int]]:
