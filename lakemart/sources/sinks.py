@@ -92,14 +92,15 @@ def write_bucketed_table(df: DataFrame, table: str, key: Sequence[str], buckets:
                          sort: Sequence[str] | None = None) -> None:
     """A bucketed, sorted catalog table: later joins and aggregates on ``key`` need no shuffle.
 
-    Rows are dealt by the key first, so a bucket is written by one task into one file. Spark prunes buckets for a
+    Rows are dealt by the key first, so a bucket is written by one task into one file, unless a hot key makes it
+    large: AQE then splits it over several tasks and files. Spark prunes buckets for a
     single bucket column only, so a key of several columns is stored with their hash as one more column, which
     the table is bucketed by; it notes the columns, for ``project.key_lookup`` and ``lookup.join_bucketed``."""
     by = list(key)
     if len(by) > 1:
         df = df.withColumn(KEY_HASH, F.xxhash64(*by)).withMetadata(KEY_HASH, {"key": by})
         by = [KEY_HASH]
-    w = df.repartition(buckets, *by).write.mode("overwrite").format("parquet").bucketBy(buckets, *by).sortBy(*by, *[c for c in sort or key if c not in by])
+    w = df.hint("rebalance", buckets, *by).write.mode("overwrite").format("parquet").bucketBy(buckets, *by).sortBy(*by, *[c for c in sort or key if c not in by])
     if path:
         w = w.option("path", path)
     w.saveAsTable(table)

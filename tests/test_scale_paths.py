@@ -160,3 +160,19 @@ def test_checks_read_every_table_once(spark, tmp_dir):
     got = {r.table_name: tuple(r)[1:] for r in checks.collect()}
     assert got == {"users": (4, 1, 1, 0, 1), "songs": (3, 0, 0, 1, 0), "artists": (1, 0, 1, 0, 0), "time": (1, 0, 0, 0, 0),
                    "songplays": (3, 1, 2, 3, 0)}
+
+
+def test_a_hot_bucket_is_written_by_several_tasks(spark, tmp_dir):
+    import glob
+    import re
+    df = spark.range(60000, numPartitions=4).selectExpr("if(id % 3 = 0, 7, id) as k", "uuid() as v")
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+        sinks.write_bucketed_table(df, "t_hot", ["k"], 4, os.path.join(tmp_dir, "hot"))
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    buckets = [int(re.search(r"_(\d{5})\.c000", f)[1]) for f in glob.glob(os.path.join(tmp_dir, "hot", "part-*"))]
+    assert set(buckets) == {0, 1, 2, 3} and len(buckets) > 4
+    assert spark.table("t_hot").count() == 60000 and project.key_lookup(spark.table("t_hot"), k=7).count() == 20001
