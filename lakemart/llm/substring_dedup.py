@@ -15,7 +15,8 @@ that share a window share an anchor at the same place in it. Work follows the re
 
 No step holds a group of equal anchors together: groups are reduced to their least document by
 aggregates and joined back, so a passage in a third of all documents is one row per task.
-Equality is judged on 64-bit hashes of word 5-grams, reaches and windows.
+Whether texts, reaches or windows are equal is judged on a 64-bit hash and 32 bits of another one (of a text its
+CRC-32); anchors, which only find places, on a 64-bit hash.
 
 Cases: null and wordless texts keep nothing and lose nothing; texts under 13 words have no window;
 equal ids are not smaller than each other, so rows of one id do not thin each other; rows without id
@@ -55,6 +56,16 @@ def _anchors(w: C.Words, window: int, k: int):
     return at, g[at], np.searchsorted(w.first, at, side="right") - 1
 
 
+def _second(h: np.ndarray) -> np.ndarray:
+    """Other hashes of the same words, to judge equality by."""
+    return C.mix(h ^ np.uint64(0xC3A5C85C97CB3127))
+
+
+def _more(h: np.ndarray) -> np.ndarray:
+    """32 bits of a hash."""
+    return (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def _reach(w: C.Words, at, doc, window: int, k: int):
     """Hash of each anchor's reach, which takes in how many words it has on either side."""
     side = window - k
@@ -68,6 +79,16 @@ def _reach(w: C.Words, at, doc, window: int, k: int):
     return C.mix(out)
 
 
+class _Other:
+    """Words under their second hashes."""
+
+    def __init__(self, w: C.Words):
+        self.hash, self.first = _second(w.hash), w.first
+
+    def __len__(self):
+        return len(self.hash)
+
+
 def _key(reach, doc):
     """One 64-bit key of a reach in a document."""
     return C.mix((reach * np.uint64(0x9E3779B97F4A7C15)) ^ (doc.astype(np.uint64) << np.uint64(1)))
@@ -75,12 +96,13 @@ def _key(reach, doc):
 
 def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc, text, doc_id and rest (all columns but the text), with t32 (32 bits of the text's hash), row (of id and
-    t32) and copy (of id and text)."""
+    t32) and copy (of id and text), and the text's two hashes th and tc."""
     t = C.column(docs, text)
     out = docs.select(F.coalesce(C.column(docs, doc_id, "long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(t).alias("th"),
+                      F.crc32(F.encode(F.coalesce(t, F.lit("")), "UTF-8")).alias("tc"),
                       t.alias("text"), C.column(docs, doc_id, "long").alias("doc_id"),
                       F.struct(*[C.column(docs, c) for c in docs.columns if c != text]).alias("rest"))
-    return out.select("*", F.shiftright("th", 32).cast("int").alias("t32"), F.xxhash64("th", "doc").alias("copy")) \
+    return out.select("*", F.shiftright("th", 32).cast("int").alias("t32"), F.xxhash64("th", "tc", "doc").alias("copy")) \
         .withColumn("row", F.xxhash64("doc", "t32"))
 
 
@@ -114,7 +136,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
     sc = docs.sparkSession.sparkContext
     src = _texts(docs, doc_id, text)
     side = window - anchor
-    equal = src.groupBy("th").agg(F.min("doc").alias("doc")).select(F.xxhash64("th", "doc").alias("copy"))
+    equal = src.groupBy("th", "tc").agg(F.min("doc").alias("doc")).select(F.xxhash64("th", "tc", "doc").alias("copy"))
     firsts = sc.broadcast(C.set_bits(equal, "copy", bits))
     src = src.select("doc", "t32", "copy", "text")
 
@@ -135,20 +157,24 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
             at, h, d = at[ok], h[ok], d[ok]
             yield w, at, h, d, _reach(w, at, d, window, anchor), ids[d], t32[d]
 
+    def more(w, at, d):
+        """The second hash of each reach."""
+        return _more(_reach(_Other(w), at, d, window, anchor))
+
     def reaches(batches):
         for b in batches:
-            for _, _, h, _, r, ids, _ in placed(b):
-                yield _batch(["doc", "reach", "h"], ids, r.view(np.int64), h.view(np.int64))
+            for w, at, h, d, r, ids, _ in placed(b):
+                yield _batch(["doc", "reach", "more", "h"], ids, r.view(np.int64), more(w, at, d), h.view(np.int64))
 
     def spots(batches):
         for b in batches:
             for w, at, _, d, r, ids, t32 in placed(b):
                 s, e = np.maximum(at - side, w.first[d]), np.minimum(at + window, w.first[d + 1])
-                yield _batch(["doc", "reach", "spot"], ids, r.view(np.int64), _spot(t32, s - w.first[d], e - s))
+                yield _batch(["doc", "reach", "more", "spot"], ids, r.view(np.int64), more(w, at, d), _spot(t32, s - w.first[d], e - s))
 
-    least = C.stored(src.mapInArrow(reaches, "doc long, reach long, h long")
-                     .groupBy("reach").agg(F.min("doc").alias("lo"), F.min("h").alias("h")), "least-of-reach")
-    whole = (src.mapInArrow(spots, "doc long, reach long, spot long").join(least.select("reach", "lo"), "reach")
+    least = C.stored(src.mapInArrow(reaches, "doc long, reach long, more int, h long")
+                     .groupBy("reach", "more").agg(F.min("doc").alias("lo"), F.min("h").alias("h")), "least-of-reach")
+    whole = (src.mapInArrow(spots, "doc long, reach long, more int, spot long").join(least.select("reach", "more", "lo"), ["reach", "more"])
              .where("lo < doc").select("doc", "spot"))
 
     mixed = least.groupBy("h").agg(F.min("lo").alias("a"), F.max("lo").alias("b")).where("a < b").select("h")
@@ -172,14 +198,14 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
                 ok = (s >= w.first[d[k]]) & (s + window <= w.first[d[k] + 1])
                 s, first = np.unique(s[ok], return_index=True)
                 k = k[ok][first]
-                x = C.kgrams(w.hash, window)[s] if len(s) else np.zeros(0, np.uint64)
+                x, y = (C.kgrams(h, window)[s] if len(s) else np.zeros(0, np.uint64) for h in (w.hash, _second(w.hash)))
                 size = np.full(len(s), window)
-                yield _batch(["doc", "x", "spot"], ids[k], x.view(np.int64), _spot(t32[k], s - w.first[d[k]], size))
+                yield _batch(["doc", "x", "y", "spot"], ids[k], x.view(np.int64), _more(y), _spot(t32[k], s - w.first[d[k]], size))
 
-    cut = src.mapInArrow(windows, "doc long, x long, spot long")
-    shared = (cut.select("doc", "x").groupBy("x").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-              .where("lo < hi").select("x", "lo"))
-    partly = cut.join(shared, "x").where("lo < doc").select("doc", "spot")
+    cut = src.mapInArrow(windows, "doc long, x long, y int, spot long")
+    shared = (cut.select("doc", "x", "y").groupBy("x", "y").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+              .where("lo < hi").select("x", "y", "lo"))
+    partly = cut.join(shared, ["x", "y"]).where("lo < doc").select("doc", "spot")
     spans = (whole.unionAll(partly).groupBy("doc", F.shiftright("spot", 32).cast("int").alias("t32"))
              .agg(F.collect_list(F.col("spot").bitwiseAND(F.lit(0xFFFFFFFF))).alias("spans")))  # one document's own
     return C.stored(spans, "repeat-spans"), firsts
