@@ -110,11 +110,16 @@ def first_attrs_last_status(df: DataFrame, key, first_cols, last_cols, order_by:
     ``_order_first`` / ``_order_last`` from an earlier run; both merge the same way, so a merge
     of batches equals the unsplit result.
     """
-    key, first_cols, last_cols = _names(key), _names(first_cols), _names(last_cols)
     if ORDER_FIRST in df.columns:
         o_first, o_last = F.col(ORDER_FIRST), F.col(ORDER_LAST)
     else:
-        o_first = o_last = _order_struct(order_by, key)
+        o_first = o_last = _order_struct(order_by, _names(key))
+    return _first_last(df, _names(key), _names(first_cols), _names(last_cols), o_first, o_last, keep_order)
+
+
+def _first_last(df: DataFrame, key: list[str], first_cols: list[str], last_cols: list[str], o_first: Column, o_last: Column,
+                keep_order: bool) -> DataFrame:
+    """Per key ``first_cols`` of the row that is first by ``o_first`` and ``last_cols`` of the one last by ``o_last``."""
     out = df.groupBy(*key).agg(_extreme("min", o_first, first_cols, df).alias("_first"),
                                _extreme("max", o_last, last_cols, df).alias("_last"))
     cols_out = ([F.col(k) for k in key] + [F.col(f"_first.p.{c}").alias(c) for c in first_cols]
@@ -124,6 +129,24 @@ def first_attrs_last_status(df: DataFrame, key, first_cols, last_cols, order_by:
     return out.select(*cols_out)
 
 
+def _first_last_of_batches(batches: Sequence[DataFrame], key: list[str], first_cols: list[str], last_cols: list[str],
+                           order_by: Sequence, first_batch_no: int, batch_order: bool) -> DataFrame:
+    """Raw batches with ``first_attrs_last_status``, order columns kept.
+
+    Structs are compared, so Spark sorts a task's rows by key before its map-side aggregate. The rows hold the order
+    once, as plain columns; the structs are made of them in the aggregate."""
+    _order_struct(order_by)   # refuses an empty order
+    order = [(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}") for i, c in enumerate(order_by)]
+    u = None
+    for i, b in enumerate(batches):
+        rows = b.select(*key, *first_cols, *last_cols, *order, F.lit(first_batch_no + i).alias(BATCH))
+        u = rows if u is None else u.unionByName(rows)
+    o = _order_struct([f"_o{i}" for i in range(len(order))])
+    if batch_order:
+        o = F.struct(F.col(BATCH).alias("b"), o.alias("o"))
+    return _first_last(u, key, first_cols, last_cols, o, o, keep_order=True)
+
+
 def _with_batch_order(df: DataFrame, batch_no: int, order_by: Sequence, batch_order: bool = True) -> DataFrame:
     """Raw batch rows get an order struct, prefixed by the batch number for arrival order."""
     o = (F.struct(F.lit(batch_no).alias("b"), _order_struct(order_by).alias("o")) if batch_order
@@ -154,16 +177,19 @@ def merge_into(target: DataFrame | None, batches: Sequence[DataFrame], key, mode
         if target is not None and batch_order:
             held = stored_batch_no(target)
             first_batch_no = 0 if held is None else held + 1
-    parts = []
-    for i, b in enumerate(batches):
-        parts.append(_with_batch_order(b, first_batch_no + i, order_by, batch_order))
+    key = _names(key)
+    if mode == "first_attrs_last_status" and batches:   # reduced before they meet the stored rows
+        parts = [_first_last_of_batches(batches, key, _names(first_cols), _names(last_cols), order_by, first_batch_no, batch_order)]
+        if target is None:
+            return parts[0]
+    else:
+        parts = [_with_batch_order(b, first_batch_no + i, order_by, batch_order) for i, b in enumerate(batches)]
     if target is not None:
         if ORDER_LAST not in target.columns:
             target = target.withColumn(ORDER_LAST, F.col(ORDER_FIRST))
         parts.insert(0, target)
     if not parts:
         raise ValueError("nothing to merge")
-    key = _names(key)
     if mode == "first_attrs_last_status":
         base = [p.select(*key, *_names(first_cols), *_names(last_cols), ORDER_FIRST, ORDER_LAST) for p in parts]
     else:

@@ -95,3 +95,27 @@ def test_map_payload_falls_back_to_min_by(spark):
     df = spark.createDataFrame([(1, {"a": 1}, 2), (1, {"b": 2}, 1)], "k long, m map<string,int>, o long")
     assert dedupe.keep_first(df, "k", ["o"], cols=["m"]).first().m == {"b": 2}
     assert dedupe.last_write_wins(df, "k", ["o"], cols=["m"]).first().m == {"a": 1}
+
+
+def test_merged_rows_hold_their_order_once_before_the_map_side_aggregate(spark):
+    # what a task sorts for its partial aggregate: the order as plain columns, no structs (and not twice)
+    df = spark.createDataFrame([(i % 7, f"a{i}", "paid" if i % 2 else "free", i) for i in range(60)], SCHEMA)
+    kw = dict(first_cols=["attr"], last_cols=["level"], first_batch_no=3)
+    t = dedupe.merge_into(None, [df.where("o < 30"), df.where("o >= 30")], "k", "first_attrs_last_status", ["o", "k"], **kw)
+    plan = t._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Aggregate":
+        plan = plan.children().head()
+    below = plan.children().head().output()
+    kinds = [below.apply(i).dataType().typeName() for i in range(below.size())]
+    assert "struct" not in kinds and len(kinds) == 6
+    got = {r.k: (r.attr, r.level, r._order_first, r._order_last) for r in t.collect()}
+    assert len(got) == 7
+    for k, (attr, level, first, last) in got.items():
+        assert (attr, first) == (f"a{k}", (3, (k, k)))
+        end = max(i for i in range(60) if i % 7 == k)
+        assert (level, last) == ("paid" if end % 2 else "free", (4, (end, k)))
+    # and onto stored rows, whose first rows stay
+    more = spark.createDataFrame([(0, "z", "new", 0), (9, "n", "new", 0)], SCHEMA)
+    t = dedupe.merge_into(t, [more], "k", "first_attrs_last_status", ["o", "k"], first_cols=["attr"], last_cols=["level"])
+    got = {r.k: (r.attr, r.level, r._order_last.b) for r in t.collect()}
+    assert got[0] == ("a0", "new", 5) and got[9] == ("n", "new", 5) and len(got) == 8
