@@ -16,7 +16,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-__all__ = ["read_table", "scratch_path", "stored", "worker_state", "ASCII_SPACE", "NOT_WORD_10", "Words",
+__all__ = ["read_table", "scratch_path", "stored", "Scratch", "worker_state", "ASCII_SPACE", "NOT_WORD_10", "Words",
            "doc_slices", "row_slices", "mix", "kgrams", "window_min", "BitSet", "set_bits", "bit_position", "column"]
 
 
@@ -51,6 +51,35 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one step under the shared scratch folder, deleted at its end; meanwhile Spark deletes the shuffle files of
+    each query when the query ends, not when the driver has collected its garbage."""
+
+    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark, name: str, path: str | None = None):
+        self.spark, self.path = spark, path or scratch_path(spark, name)
+
+    def __enter__(self):
+        self.before = self.spark.conf.get(self.CLEANUP, "false")
+        self.spark.conf.set(self.CLEANUP, "true")
+        return self
+
+    def __exit__(self, *_):
+        self.spark.conf.set(self.CLEANUP, self.before)
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def part(self, name: str) -> Scratch:
+        """Scratch of a part of the step."""
+        return Scratch(self.spark, name, f"{self.path}/{name}")
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written once and read back, as long as the step lasts."""
+        df.write.option("compression", "zstd").parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+
+
 def worker_state(kind: str) -> dict:
     """A dict that lives on in the Python worker, for loaded models and caches of one kind of work.
 

@@ -9,11 +9,14 @@ probability of a word without history falls back on its spelling, so no word is
 2. Words: all n-grams of ``WORDS`` words of the trusted texts (start and end of a text are words) are counted by
    64-bit hash, summed per task and then by hash. For each order from the top down to 1 the counts (below the top: of
    distinct histories) are joined with their contexts' totals and the order below, sharded by hash; three
-   discounts an order. These tables grow with the trusted text and stay in the tasks.
+   discounts an order. These tables grow with the trusted text and stay in the tasks. They are made for one
+   range of middle words after the other, first for what is needed of all of them, then for the values;
+   a range's tables and shuffle files go before the next begins, and the texts are read again.
 3. For a seen n-gram, log P is that of its end plus the weight left to it plus a gain; for others there is no gain.
    So a text's bits are those of its spelling less, over its n-grams, their gains and their weights as
    contexts: the documents' distinct n-grams with their counts are joined with these values and summed by
-   document. A bit table of the model's hashes leaves out before the join what is certainly not in it.
+   document. A bit table of the model's hashes leaves out before the join what is certainly not in it, and
+   a table of frequent n-grams' values, of fixed size, what is found in it.
 4. A trusted document is judged as if it had not been counted: n-grams that only it has give it nothing.
 5. A document's score is its bits a byte, drawn towards the trusted mean as by ``PRIOR`` more bytes, so a
    few odd words do not reject a short text; a second score is that of its byte classes in their places
@@ -28,17 +31,22 @@ text are scored alike.
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from lakemart.llm import common as C
 
 ORDER, BITS, WORDS = 4, 6, 3
+RANGES, HOT_BITS = 4, 19  # of words, for at most so many parts of the counts on disk at a time; places for frequent n-grams
+RANGE_BYTES = 1 << 21  # of trusted text, at least, for each range
 FILTER_BITS = 27  # of the table that spares the join n-grams which are not in the model
 START, END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # the words before and after a text
 MANY = -(1 << 63)  # in place of a document's key: more than one has the n-gram
@@ -89,20 +97,33 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
             .select(C.column(labels, "doc_id", "long").alias("doc_id")).dropna().distinct())
 
 
-def _discounts(counts: DataFrame) -> list[float]:
-    """The three discounts of one order: of counts of 1, of 2, and of more."""
-    y = counts.agg(*[F.count_if(F.col("n") == k).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
-    n1, n2, n3, n4 = (max(1, y[f"n{k}"]) for k in (1, 2, 3, 4))
+def _three(*y: int) -> list[float]:
+    """The three discounts of an order with ``y`` n-grams of count 1, 2, 3 and 4: of counts of 1, of 2, and of more."""
+    n1, n2, n3, n4 = (max(1, x or 0) for x in y)
     q = n1 / (n1 + 2 * n2)
     return [min(max(x, 0.05), k) for k, x in ((1, 1 - 2 * q * n2 / n1), (2, 2 - 3 * q * n3 / n2), (3, 3 - 4 * q * n4 / n3))]
 
 
+def _discounts(counts: DataFrame) -> list[float]:
+    """The three discounts of one order."""
+    return _three(*counts.agg(*[F.count_if(F.col("n") == k).alias(f"n{k}") for k in (1, 2, 3, 4)]).first())
+
+
+def _discount(d: list[float]):
+    """The discount of a row's count."""
+    return F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
+
+
+def _only():
+    """The only document's key of a group, or MANY."""
+    return F.when(F.min("only") == F.max("only"), F.min("only")).otherwise(F.lit(MANY)).alias("only")
+
+
 def _level(counts: DataFrame):
     """(gram, share) of the seen grams of one order and (context, rest) of their contexts: the discounted share
     and the weight left to the order below. Joined by context."""
     d = _discounts(counts)
-    rows = counts.withColumn("context", F.shiftright("gram", BITS)).withColumn(
-        "d", F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2]))
+    rows = counts.withColumn("context", F.shiftright("gram", BITS)).withColumn("d", _discount(d))
     sums = rows.groupBy("context").agg(F.sum("n").alias("total"), F.sum("d").alias("taken"))
     seen = rows.join(sums, "context").select("gram", ((F.col("n") - F.col("d")) / F.col("total")).alias("share"))
     return seen, sums.select("context", (F.col("taken") / F.col("total")).alias("rest"))
@@ -169,9 +190,7 @@ def word_grams(h: np.ndarray, first: np.ndarray) -> tuple[list[np.ndarray], np.n
     w[at + size - 1] = END
     out = [w]
     for _ in range(pad):
-        g = C.mix(w * np.uint64(0x9FB21C651E98DF25) + np.uint64(1))
-        g[1:] += out[-1][:-1] * np.uint64(0xD6E8FEB86659FD93)
-        out.append(C.mix(g))
+        out.append(_extended(np.append(np.uint64(0), out[-1][:-1])[:len(w)], w))
     return out, doc, np.arange(len(doc)) - np.repeat(at, size) >= pad
 
 
@@ -202,75 +221,159 @@ def _white(buf: np.ndarray, off: np.ndarray, in_place: np.ndarray) -> np.ndarray
     return np.bincount(np.searchsorted(off, at, side="right") - 1, in_place[at], len(off) - 1)
 
 
-def _word_count(batches, spelling):
-    """Distinct word n-grams of each run of texts: hashes of the gram, its ends and its contexts, count, the only
-    document's key or MANY, bits of the last word's spelling."""
-    names = [*(f"g{k}" for k in range(1, WORDS + 1)), *(f"p{k}" for k in range(1, WORDS)), "n", "only", "spell"]
+def _extended(below: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Hashes of the n-grams ``below``, each with one more word ``w``."""
+    g = C.mix(w * np.uint64(0x9FB21C651E98DF25) + np.uint64(1))
+    g += below * np.uint64(0xD6E8FEB86659FD93)
+    return C.mix(g)
+
+
+def _in_range(w: np.ndarray, r: int, ranges: int) -> np.ndarray:
+    """Which words belong to range ``r``."""
+    return (w >> np.uint64(33)) % np.uint64(ranges) == r
+
+
+def _word_count(batches, r, ranges):
+    """Distinct word 3-grams of each run of texts whose middle word is in range ``r``: hash of the words before the last,
+    middle and last word, count, the only document's key or MANY."""
     for batch in batches:
         for i, buf, off in C.doc_slices(batch.column("text"), 4 << 20):
-            table = spelling.value.table()
             key = batch.column("key").slice(i, len(off) - 1).to_numpy(zero_copy_only=False)
             words = C.Words(buf, off, C.ASCII_SPACE, C.SAME)
             g, doc, real = word_grams(words.hash, words.first)
-            cost = np.full(len(doc), table[1 << BITS | 1], np.float64)  # the end is an empty word
-            cost[real & (g[0] != END)] = spelled(buf, words.start, words.end, table)
             at = np.flatnonzero(real)
+            at = at[_in_range(g[0][at - 1], r, ranges)]
             _, one, where, n = np.unique(g[-1][at], return_index=True, return_inverse=True, return_counts=True)
             k = key[doc[at]]
             lo, hi = np.full(len(one), np.iinfo(np.int64).max), np.full(len(one), MANY)
             np.minimum.at(lo, where, k)
             np.maximum.at(hi, where, k)
-            at = at[one]
-            columns = [x[at].view(np.int64) for x in g] + [x[at - 1].view(np.int64) for x in g[:-1]]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*columns, n, np.where(lo == hi, lo, MANY), cost[at])], names=names)
+            order = np.argsort(one)  # in the texts' order equal keys follow one another
+            at = at[one[order]]
+            columns = [x.view(np.int64) for x in (g[1][at - 1], g[0][at - 1], g[0][at])]
+            only = np.where(lo == hi, lo, MANY)[order]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*columns, n[order], only)], names=["p", "v", "w", "n", "only"])
+
+
+def _word_spelling(batches, spelling):
+    """Distinct words of each run of texts, the end among them, and the bits of their spelling."""
+    for batch in batches:
+        for _, buf, off in C.doc_slices(batch.column("text"), 4 << 20):
+            table = spelling.value.table()
+            words = C.Words(buf, off, C.ASCII_SPACE, C.SAME)
+            h, one = np.unique(words.hash, return_index=True)
+            cost = spelled(buf, words.start[one], words.end[one], table)  # the end is an empty word
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(h, END).view(np.int64)), pa.array(np.append(cost, np.float64(table[1 << BITS | 1])))],
+                                             names=["w", "spell"])
+
+
+class Hot(C.Shipped):
+    """Values of frequent n-grams, at most one for each of 2**``HOT_BITS`` places that the top bits of a hash name."""
+
+    def __init__(self, rows):
+        place = np.arange(1 << HOT_BITS, dtype=np.uint64)
+        self.gram, self.value = (place ^ np.uint64(1)) << np.uint64(64 - HOT_BITS), np.zeros(1 << HOT_BITS)  # none fits its place
+        gram = rows.column("gram").to_numpy().view(np.uint64)
+        at = (gram >> np.uint64(64 - HOT_BITS)).astype(np.int64)
+        self.gram[at], self.value[at] = gram, rows.column("value").to_numpy()
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes ``h`` are here, and the values of those."""
+        at = (h >> np.uint64(64 - HOT_BITS)).astype(np.int64)
+        hit = self.gram[at] == h
+        return hit, self.value[at[hit]]
 
 
 class Words:
-    """Values of the model's word n-grams (gram, value, only), which are in a bit table; bits of a word without history."""
-
-    def __init__(self, values: DataFrame, held: C.BitSet, first: float):
-        self.values, self.held, self.first = values, held, first
-
-
-def word_model(texts: DataFrame, spelling) -> Words:
-    """The word model of ``texts`` (key, text) over the broadcast ``spelling``."""
-    longs = [*(f"g{k}" for k in range(1, WORDS + 1)), *(f"p{k}" for k in range(1, WORDS)), "n", "only"]
-    only = F.when(F.min("only") == F.max("only"), F.min("only")).otherwise(F.lit(MANY)).alias("only")
-    spell = F.min("spell").alias("spell")
-    rows = texts.mapInArrow(lambda b: _word_count(b, spelling), ", ".join(f"{x} long" for x in longs) + ", spell double")
-    levels = []
-    for k in range(WORDS, 0, -1):  # below the top: in how many distinct places a gram's end occurs
-        n = F.sum("n") if k == WORDS else F.count(F.lit(1))
-        below = [F.first(f"g{j}").alias(f"g{j}") for j in range(1, k)] + [F.first(f"p{j}").alias(f"p{j}") for j in range(1, k)]
-        rows = C.stored(rows.groupBy(f"g{k}").agg(n.cast("long").alias("n"), only, spell, *below), f"words-{k}")
-        levels.insert(0, rows)
-    p, values, first = None, [], 0.0
-    for k, c in enumerate(levels, start=1):
-        counts = c.withColumnRenamed(f"g{k}", "gram").withColumn("context", F.col(f"p{k - 1}") if k > 1 else F.lit(0).cast("long"))
-        d = F.element_at(F.array(*[F.lit(x) for x in _discounts(counts)]), F.least("n", F.lit(3)).cast("int"))
-        counts = counts.withColumn("d", d.cast("double"))
-        sums = counts.groupBy("context").agg(F.sum("n").alias("total"), F.sum("d").alias("taken"))
-        if k == 1:
-            y = sums.first()
-            counts = counts.withColumn("total", F.lit(y["total"])).withColumn("taken", F.lit(y["taken"]))
-            first, low = -float(np.log2(y["taken"] / y["total"])), -F.col("spell")
-        else:
-            counts = counts.join(sums.hint("merge"), "context").join(p.hint("merge"), F.col(f"g{k - 1}") == F.col("end"))
-            values.append(sums.select(F.col("context").alias("gram"), F.log2(F.col("taken") / F.col("total")).alias("value"), F.lit(None).cast("long").alias("only")))
-            low = F.col("log_p")
-        below = low + F.log2(F.col("taken") / F.col("total"))
-        log_p = F.log2((F.col("n") - F.col("d")) / F.col("total") + F.pow(F.lit(2.0), below))
-        done = counts.select("gram", "only", log_p.alias("log_p"), (log_p - below).alias("value"))
-        if k < WORDS:
-            done = C.stored(done, f"words-p{k}")
-            p = done.select(F.col("gram").alias("end"), "log_p")
-        values.append(done.select("gram", "value", "only"))
-    every = values[0]
-    for v in values[1:]:
-        every = every.unionByName(v)
-    # contexts that begin a text are never ends: only their own document may have them, but all texts begin alike
-    every = C.stored(every.groupBy("gram").agg(F.sum("value").cast("float").alias("value"), F.coalesce(F.max("only"), F.lit(MANY)).alias("only")), "word-values")
-    return Words(every, C.set_bits(every, "gram", FILTER_BITS), first)
+    """The word model in ranges of words, built while its ``scratch`` is open: n-grams are counted by the range of their
+    middle word, which all n-grams with one context and all with one end share, so a range's values need no other's counts."""
+
+    def __init__(self, texts: DataFrame, spelling, scratch: C.Scratch):
+        self.texts, self.scratch = texts, scratch
+        size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        self.ranges = max(1, min(RANGES, size // RANGE_BYTES))
+        contexts, ends = [], []
+        for r in range(self.ranges):
+            with scratch.part(f"count-{r}") as own:
+                pairs = own.stored(self._grams(r, "v", "w").groupBy("v", "w").agg(
+                    F.count(F.lit(1)).alias("n"), _only(), *[F.count_if(F.col("n") == k).alias(f"c{k}") for k in (1, 2, 3, 4)]), "pairs")
+                y = [F.count_if(F.col("n") == k).alias(f"y{k}") for k in (1, 2, 3, 4)]
+                contexts.append(scratch.stored(pairs.groupBy("v").agg(
+                    F.sum("n").alias("total"), F.count(F.lit(1)).alias("y"), *y, *[F.sum(f"c{k}").alias(f"c{k}") for k in (1, 2, 3, 4)]), f"contexts-{r}"))
+                ends.append(scratch.stored(pairs.groupBy("w").agg(F.count(F.lit(1)).alias("n"), _only()), f"ends-{r}"))
+        contexts, ends = (functools.reduce(DataFrame.unionByName, x) for x in (contexts, ends))
+        found = contexts.agg(*[F.sum(f"{x}{k}").alias(f"{x}{k}") for x in "cy" for k in (1, 2, 3, 4)]).first()
+        self.d3, d2 = (_three(*[found[f"{x}{k}"] for k in (1, 2, 3, 4)]) for x in "cy")
+        taken = d2[0] * F.col("y1") + d2[1] * F.col("y2") + d2[2] * (F.col("y") - F.col("y1") - F.col("y2"))
+        self.contexts = contexts.select("v", F.log2(taken / F.col("total")).alias("rest"), "total", F.array(*map(F.lit, d2)).alias("d2"))
+        spell = texts.mapInArrow(lambda b: _word_spelling(b, spelling), "w long, spell double").groupBy("w").agg(F.min("spell").alias("spell"))
+        words = scratch.stored(ends.groupBy("w").agg(F.sum("n").alias("n"), _only()).join(spell.hint("merge"), "w"), "words")
+        d1 = _discounts(words)
+        words = words.withColumn("d", _discount(d1))
+        y = words.agg(F.sum("n").alias("total"), F.sum("d").alias("taken")).first()
+        self.first = -float(np.log2(y["taken"] / y["total"]))
+        below = -F.col("spell") - F.lit(self.first)
+        log_p = F.log2((F.col("n") - F.col("d")) / F.lit(y["total"]) + F.pow(F.lit(2.0), below))
+        self.words = scratch.stored(words.select("w", "n", "only", log_p.alias("log_p"), (log_p - below).alias("value")), "word-values")
+
+    def _grams(self, r: int, *by: str) -> DataFrame:
+        """Counts of the 3-grams of range ``r``, dealt out by some of their columns."""
+        ranges = self.ranges
+        rows = self.texts.mapInArrow(lambda b: _word_count(b, r, ranges), "p long, v long, w long, n long, only long")
+        return rows.repartition(*by).groupBy("p", "v", "w").agg(F.sum("n").alias("n"), _only())
+
+    def values(self, r: int, own: C.Scratch) -> DataFrame:
+        """gram, value, only and heat (about how often it occurs) of the n-grams of range ``r``. A word stands also for
+        the context that it is; other contexts have ids of their own, the complement of their hash."""
+        same = Window.partitionBy("p")
+        at = lambda c: F.pmod(F.shiftrightunsigned(c, 33), F.lit(self.ranges)) == r
+        start = int(_extended(np.array([START]), np.array([START])).view(np.int64)[0])
+        # contexts that begin a text are never ends: only their own document may have them, but all texts begin alike
+        whole = F.when(F.col("p") == start, F.lit(MANY)).when(F.min("only").over(same) == F.max("only").over(same), F.col("only")).otherwise(F.lit(MANY))
+        grams = self._grams(r, "p").withColumn("d", _discount(self.d3))
+        grams = own.stored(grams.select("p", "v", "w", "n", "only", "d", F.sum("n").over(same).alias("total"), F.log2(F.sum("d").over(same) / F.sum("n").over(same)).alias("rest"),
+                                        whole.alias("whole"), (F.col("w") == F.min("w").over(same)).alias("lead")), "grams")
+        pairs = grams.groupBy("v", "w").agg(F.count(F.lit(1)).alias("n"), _only(), F.sum("n").alias("heat"))
+        pairs = pairs.join(self.contexts.where(at("v")).hint("merge"), "v").join(self.words.select("w", "log_p").hint("merge"), "w")
+        below = F.col("log_p") + F.col("rest")
+        log_p = F.log2((F.col("n") - F.element_at("d2", F.least("n", F.lit(3)).cast("int"))) / F.col("total") + F.pow(F.lit(2.0), below))
+        pairs = own.stored(pairs.select("v", "w", "only", "heat", log_p.alias("log_p"), (log_p - below).alias("value")), "pairs")
+
+        def longer(a: pd.Series, b: pd.Series) -> pd.Series:
+            return pd.Series(_extended(*(x.to_numpy().view(np.uint64) for x in (a, b))).view(np.int64))
+
+        extended = F.pandas_udf(longer, LongType())
+        below = F.col("log_p") + F.col("rest")
+        value = F.log2((F.col("n") - F.col("d")) / F.col("total") + F.pow(F.lit(2.0), below)) - below
+        columns = lambda gram, value, only, heat: [gram.alias("gram"), value.alias("value"), only.alias("only"), heat.alias("heat")]
+        three = grams.join(pairs.select("v", "w", "log_p").hint("merge"), ["v", "w"]).select(*columns(extended("p", "w"), value, F.col("only"), F.col("n")))
+        two = pairs.select(*columns(extended("v", "w"), F.col("value"), F.col("only"), F.col("heat")))
+        before = grams.where("lead").select(*columns(F.bitwise_not("p"), F.col("rest"), F.col("whole"), F.col("total")))
+        one = self.words.where(at("w")).join(self.contexts.where(at("v")).hint("merge"), F.col("w") == F.col("v"), "full")
+        one = one.select(*columns(F.coalesce("w", "v"), F.coalesce("value", F.lit(0.0)) + F.coalesce("rest", F.lit(0.0)),
+                                  F.coalesce("only", F.lit(MANY)), F.coalesce("n", "total")))
+        return own.stored(three.unionByName(two).unionByName(before).unionByName(one), "values")
+
+    def gains(self, others: DataFrame) -> DataFrame:
+        """key and gain of the trusted texts and of ``others`` (key, text): values of their n-grams, range by range. What
+        only one trusted text has concerns the others alone."""
+        sc, ranges, out = others.sparkSession.sparkContext, self.ranges, []
+        for r in range(ranges):
+            with self.scratch.part(f"values-{r}") as own:
+                values = self.values(r, own)
+                place = C.bit_position(F.col("gram"), HOT_BITS)
+                hot = values.where(F.col("only") == MANY).groupBy(place.alias("place")).agg(F.max(F.struct("heat", "gram", "value")).alias("x"))
+                hot = sc.broadcast(Hot(hot.select("x.gram", "x.value").toArrow()))
+                held = [sc.broadcast(C.set_bits(x, "gram", FILTER_BITS)) for x in (values.where(F.col("only") == MANY), values)]
+                found, rest = (x.mapInArrow(lambda b, r=r, hot=hot, h=h: _document_grams(b, r, ranges, hot, h), "key long, gram long, n int, gain double")
+                               for x, h in zip((self.texts, others), held, strict=True))
+                found = found.unionByName(rest)
+                found = found.join(values.hint("merge"), (found["gram"] == values["gram"]) & F.col("gain").isNull(), "left").where("gain IS NOT NULL OR only <> key")
+                gain = F.sum(F.coalesce("gain", F.col("n") * F.col("value")))
+                out.append(self.scratch.stored(found.groupBy("key").agg(gain.alias("gain")), f"gains-{r}"))
+                for x in (hot, *held):
+                    x.destroy()
+        return functools.reduce(DataFrame.unionByName, out).groupBy("key").agg(F.sum("gain").alias("gain"))
 
 
 def _local(batches, spelling, first):
@@ -292,8 +395,9 @@ def _local(batches, spelling, first):
                                              names=["key", "doc_id", "lang", "n_bytes", "bits", "class_bits"])
 
 
-def _document_grams(batches, held):
-    """Distinct word n-grams of each text that may be in the model (key, gram, n)."""
+def _document_grams(batches, r, ranges, hot, held):
+    """Of the word n-grams of range ``r``: the gain of each text from the hot ones (key, gain), and the distinct others of
+    each text that may be in the model (key, gram, n)."""
     for b in batches:
         for i, buf, off in C.doc_slices(b.column("text")):
             key = b.column("key").slice(i, len(off) - 1).to_numpy(zero_copy_only=False)
@@ -302,27 +406,37 @@ def _document_grams(batches, held):
             last = np.zeros(len(doc), bool)  # the start before the first word is a context
             last[:-1] = real[1:] & ~real[:-1]
             filled = (np.diff(off) > 0)[doc]
-            for k, x in enumerate(g, start=1):
-                at = np.flatnonzero((real | last if k < WORDS else real) & filled)
-                at = at[held.value.has(x[at])]
-                order = at[np.argsort(x[at], kind="stable")]
-                h, d = x[order], doc[order]
+            one, at = np.flatnonzero((real | last) & filled), np.flatnonzero(real & filled)
+            one, at = one[_in_range(g[0][one], r, ranges)], at[_in_range(g[0][at - 1], r, ranges)]
+            gain, rest = np.zeros(len(off) - 1), []
+            for x, d in ((g[0][one], doc[one]), (g[1][at], doc[at]), (~g[1][at - 1], doc[at]), (g[2][at], doc[at])):
+                hit, value = hot.value.find(x)
+                gain += np.bincount(d[hit], value, len(gain))
+                x, d = x[~hit], d[~hit]
+                may = held.value.has(x)
+                x, d = x[may], d[may]
+                order = np.argsort(x, kind="stable")
+                h, d = x[order], d[order]
                 new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])])[:len(h)])
-                n = np.diff(np.append(new, len(h)))
-                yield pa.RecordBatch.from_arrays([pa.array(key[d[new]]), pa.array(h[new].view(np.int64)), pa.array(n.astype(np.int32))],
-                                                 names=["key", "gram", "n"])
-
-
-def _scored(rows: DataFrame, spelling, words: Words | None) -> DataFrame:
-    """key, doc_id, lang, n_bytes, bits and class_bits of the text of each of ``rows`` (key, doc_id, lang, text)."""
+                rest.append((key[d[new]], h[new].view(np.int64), np.diff(np.append(new, len(h)))))
+            k, h, n = (np.concatenate(x) for x in zip(*rest, strict=True))
+            some = np.flatnonzero(gain)
+            none = np.arange(len(k) + len(some)) < len(k)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(k, key[some])), pa.array(np.append(h, key[some])),
+                                              pa.array(np.append(n, np.zeros(len(some))).astype(np.int32)),
+                                              pa.array(np.append(np.zeros(len(k)), gain[some]), mask=none)],
+                                             names=["key", "gram", "n", "gain"])
+
+
+def _scored(rows: DataFrame, others: DataFrame, spelling, words: Words | None) -> DataFrame:
+    """key, doc_id, lang, n_bytes, bits and class_bits of the text of each of ``rows`` (key, doc_id, lang, text);
+    ``others`` are those that are not trusted."""
     first = words.first if words else 0.0
     local = rows.mapInArrow(lambda b: _local(b, spelling, first), "key long, doc_id long, lang string, n_bytes long, bits double, class_bits double")
     if words is None:
         return local
-    held = rows.sparkSession.sparkContext.broadcast(words.held)
-    found = rows.select("key", "text").mapInArrow(lambda b: _document_grams(b, held), "key long, gram long, n int")
-    gains = (found.join(words.values.hint("merge"), "gram").where("only <> key").groupBy("key").agg(F.sum(F.col("n") * F.col("value").cast("double")).alias("gain")))
-    local = C.stored(local, "spelling-bits")
+    gains = words.gains(others)
+    local = words.scratch.stored(local, "spelling-bits")
     copies = local.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))  # equal rows share a key
     gains = gains.join(copies.hint("merge"), "key").select("key", (F.col("gain") / F.col("copies")).alias("gain"))
     return local.join(gains.hint("merge"), "key", "left").withColumn("bits", F.col("bits") - F.coalesce("gain", F.lit(0.0))).drop("gain")
@@ -352,11 +466,13 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     key = F.xxhash64(C.column(docs, doc_id, "long"), C.column(docs, text))
     rows = docs.select(key.alias("key"), C.column(docs, doc_id, "long").alias("doc_id"),
                        C.column(docs, lang, "string").alias("lang"), C.column(docs, text).alias("text"))
-    trusted = rows.join(ids, "doc_id", "left_semi").where(F.octet_length("text") > 0).select("key", "text")
-    fitted = model(trusted.select("text"))
-    spelling = docs.sparkSession.sparkContext.broadcast(fitted)
-    words = word_model(trusted, spelling) if fitted else None
-    scored = C.stored(_scored(rows, spelling, words), "text-bits")
+    with C.Scratch(docs.sparkSession, "perplexity") as scratch:
+        trusted, others = (scratch.stored(rows.where(F.octet_length("text") > 0).join(ids, "doc_id", how).select("key", "text"), how)
+                           for how in ("left_semi", "left_anti"))
+        fitted = model(trusted.select("text"))
+        spelling = docs.sparkSession.sparkContext.broadcast(fitted)
+        words = Words(trusted, spelling, scratch) if fitted else None
+        scored = C.stored(_scored(rows, others, spelling, words), "text-bits")
     score, own, every = _limits(scored, ids, quantile, margin, prior, least_trusted)
     if keep_rest:
         whole = docs.select(key.alias("key"), F.struct(*[C.column(docs, c) for c in docs.columns]).alias("rest"))

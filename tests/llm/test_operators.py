@@ -564,3 +564,20 @@ SOURCES = "<ul><li><a href=1>First source</a></li><li><a href=2>Second source</a
 ])
 def test_html_lists_and_headings(page, want):
     assert html_text.main_text(page) == want
+
+
+def test_word_model_in_ranges_leaves_no_tables(spark, monkeypatch, tmp_path):
+    """Counts of one range of words at a time: scores as in one range, and no counts on disk afterwards."""
+    rows = [(i if i % 9 else None, " ".join(_words(30 + i)) if i % 7 else "", "en") for i in range(40)]
+    rows += [(500 + i, rows[i][1], "en") for i in range(0, 40, 3)] + [rows[5], rows[5]]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    lab = spark.createDataFrame([(i, 1, 0) for i in range(0, 40, 2)] + [(500, 1, 0), (503, 1, 0)], "doc_id long, quality int, toxic int")
+    folders = []
+    monkeypatch.setattr(common, "scratch_path", lambda spark, name: folders.append(tmp_path / f"{name}-{len(folders)}") or str(folders[-1]))
+    scores = lambda: sorted(((r.doc_id or -1, r.n_bytes, r.kept), r.perplexity or 0.0) for r in perplexity.classify(table, lab).collect())
+    one = scores()
+    monkeypatch.setattr(perplexity, "RANGES", 3)
+    monkeypatch.setattr(perplexity, "RANGE_BYTES", 1, raising=False)
+    several = scores()
+    assert [x[0] for x in one] == [x[0] for x in several] and np.allclose([x[1] for x in one], [x[1] for x in several], rtol=1e-9)
+    assert not [f for f in folders if f.exists() and f.name.startswith(("words", "word-values", "perplexity"))]
