@@ -11,6 +11,8 @@ from __future__ import annotations
 import json
 import os
 import string
+from itertools import repeat
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -26,17 +28,54 @@ SIGNS, LAST_LETTER = string.punctuation, "\u0370"
 HEAD = "\x01"
 
 
-def _gathered(ids: list[bytes], part: np.ndarray, first: np.ndarray) -> list[bytes]:
-    """The ids of each text: ``part`` numbers the parts of all texts, ``first`` are the texts' places in it."""
-    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-    at, pool = np.cumsum(size) - size, np.frombuffer(b"".join(ids), "<u4")
-    n = size[part]
+def _gathered(pool: np.ndarray, start: np.ndarray, n: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """The ids of each text: those of each part of all texts are ``n`` ids of ``pool`` from ``start`` on, ``first`` are the
+    texts' places among the parts."""
     end = np.append(0, np.cumsum(n))
-    out = pool[np.repeat(at[part] - end[:-1], n) + np.arange(end[-1])]
+    out = pool[np.repeat(start - end[:-1], n) + np.arange(end[-1])]
     cut = end[first].tolist()
     return [out[a:z].tobytes() for a, z in zip(cut, cut[1:], strict=False)]
 
 
+def _joined(ids: list[bytes], part: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """The ids of each text: ``part`` numbers the parts of all texts, whose ids are ``ids``."""
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    start = np.cumsum(size) - size
+    return _gathered(np.frombuffer(b"".join(ids), "<u4"), start[part], size[part], first)
+
+
+class Pool:
+    """Ids of parts, one after another in one array, with each part's place: no object of its own for a part's ids."""
+
+    def __init__(self, first: dict[str, np.ndarray]):
+        self.first = first
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.ids, self.off = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+        self.add(list(self.first), list(self.first.values()), np.fromiter(map(len, self.first.values()), np.int64))
+
+    def keep(self, parts: list[str]) -> None:
+        """Keep these parts alone, of all that are here."""
+        at = self.find([x for x in parts if x not in self.first])
+        start, size = self.off[at], self.off[at + 1] - self.off[at]
+        ids = self.ids[np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())]
+        self.clear()
+        self.add([x for x in parts if x not in self.first], [ids], size)
+
+    def add(self, parts: list[str], ids: list[np.ndarray], size: np.ndarray) -> None:
+        """New parts, with runs of ids that hold theirs in order, and how many each has."""
+        at = len(self.off) - 1
+        self.place.update(zip(parts, range(at, at + len(parts)), strict=True))
+        self.ids = np.concatenate([self.ids, *ids])
+        self.off = np.concatenate([self.off, self.off[-1] + np.cumsum(size)])
+
+    def find(self, parts: list[str]) -> np.ndarray:
+        """The place of each part, -1 for those that are not here."""
+        return np.fromiter(map(self.place.get, parts, repeat(-1)), np.int64, len(parts))
+
+
 def _cut(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct parts between spaces, the number of each part of all texts, and each text's place in these."""
     lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
@@ -71,7 +110,7 @@ class Encoder:
         self.last = np.array([n.endswith(suffix) for n in names])
         self.parts: dict[str, bytes] = {}
         self.signs: dict[str, bytes] = {}
-        self.line = self._each(["\n"])[0]
+        self.pool = Pool({"": np.zeros(0, "<u4"), "\n": np.frombuffer(self._each(["\n"])[0], "<u4")})
 
     def _each(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -120,26 +159,45 @@ class Encoder:
             return [None] * len(parts), list(range(len(parts)))
         return ids, lacks
 
+    def _learn_spaced(self, new: list[str]) -> None:
+        """Ids of new parts, in groups whose ids are cut at tokens that begin with a space, or one by one if these do not
+        add up; parts at a line's head are encoded one by one. Parts that begin or end in white space are left out, as
+        a run of it could cross the cut."""
+        if any(x.isspace() for x in {*map(itemgetter(0), new), *map(itemgetter(-1), new), *[x[1] for x in new if x[0] == HEAD and x != HEAD]}):
+            new = [x for x in new if not (x[0].isspace() or x[-1].isspace() or x[1:2].isspace() and x[0] == HEAD)]
+        words, heads = [x for x in new if x[0] != HEAD], [x for x in new if x[0] == HEAD and x != HEAD]
+        groups = [words[i:i + GROUP] for i in range(0, len(words), GROUP)]
+        ids, size = [], []
+        for g, e in zip(groups, self.tok.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            x = np.array(e.ids, dtype="<u4")
+            at = np.flatnonzero(self.first[x])
+            if len(at) != len(g) or at[0] != 0:
+                each = [np.frombuffer(y, "<u4") for y in self._each([" " + y for y in g])]
+                x, at = np.concatenate(each), np.cumsum([0, *map(len, each[:-1])])
+            ids.append(x)
+            size.append(np.diff(np.append(at, len(x))))
+        each = [np.frombuffer(y, "<u4") for y in self._each([x[1:] for x in heads])]
+        size.append(np.fromiter(map(len, each), np.int64, len(each)))
+        self.pool.add(words + heads, ids + each, np.concatenate(size))
+
     def _spaced(self, texts):
         # a part that is empty, or begins or ends in white space, would let a run of white space cross a cut
         parts, part, first = _cut([HEAD + t.replace("\n", f" \n {HEAD}") for t in texts])
-        ids, lacks = self._known(parts)
-        fit = lambda x: x and not (x[-1].isspace() or x[0].isspace())
-        new = [parts[i] for i in lacks]
-        heads = sorted(x[1:] for x in new if x[0:1] == HEAD and fit(x[1:]))
-        self.parts["\n"] = self.line
-        self._learn(self.parts, {x for x in new if x[0:1] != HEAD and fit(x)}, " ", self.first, False)
-        self.parts.update(zip([HEAD + x for x in heads], self._each(heads), strict=True))
-        for i in lacks:
-            ids[i] = self.parts.get(parts[i])
-        odd = [i for i in lacks if ids[i] is None]
-        for i in odd:
-            ids[i] = b""
-        out, whole = _gathered(ids, part, first), {i for i, t in enumerate(texts) if HEAD in t}
-        if odd:
-            mark = np.zeros(len(parts), bool)
-            mark[odd] = True
-            whole |= set(np.flatnonzero(np.add.reduceat(mark[part], first[:-1], dtype=np.int64)).tolist())
+        at = self.pool.find(parts)
+        if len(self.pool.place) + np.count_nonzero(at < 0) > CACHE_PARTS:
+            self.pool.keep([x for x, k in zip(parts, at.tolist(), strict=True) if k >= 0])
+            at = self.pool.find(parts)
+        lacks = np.flatnonzero(at < 0)
+        new = [parts[i] for i in lacks.tolist()]
+        self._learn_spaced(new)
+        at[lacks] = self.pool.find(new)
+        odd = (at < 0) | (at == self.pool.place[""])
+        at[odd] = self.pool.place[""]
+        start = self.pool.off[at]
+        out = _gathered(self.pool.ids, start[part], (self.pool.off[at + 1] - start)[part], first)
+        whole = {i for i, t in enumerate(texts) if HEAD in t}
+        if odd.any():
+            whole |= set(np.flatnonzero(np.add.reduceat(odd[part], first[:-1], dtype=np.int64)).tolist())
         for i, x in zip(sorted(whole), self._each([texts[i] for i in sorted(whole)]), strict=True):
             out[i] = x
         return out
@@ -152,7 +210,7 @@ class Encoder:
         self._learn(self.parts, {parts[i] for i in lacks}.difference([""]), "", self.last, True)
         for i in lacks:
             ids[i] = self.parts[parts[i]]
-        return _gathered(ids, part, first)
+        return _joined(ids, part, first)
 
 
 def encoder(path: str) -> Encoder:

@@ -581,3 +581,28 @@ def test_word_model_in_ranges_leaves_no_tables(spark, monkeypatch, tmp_path):
     several = scores()
     assert [x[0] for x in one] == [x[0] for x in several] and np.allclose([x[1] for x in one], [x[1] for x in several], rtol=1e-9)
     assert not [f for f in folders if f.exists() and f.name.startswith(("words", "word-values", "perplexity"))]
+
+
+def test_full_cache_of_parts_keeps_what_the_run_has(monkeypatch):
+    """A cache that gets too large is not emptied: parts of the current run are not encoded again."""
+    import public_tokenizers
+
+    from lakemart.llm import tokens
+
+    class Counting:
+        def __init__(self, tok):
+            self.tok, self.words = tok, 0
+
+        def encode_batch_fast(self, texts, **kw):
+            self.words += sum(len(t.split()) for t in texts)
+            return self.tok.encode_batch_fast(texts, **kw)
+
+    enc = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    words = [f"{a}{b}" for a in "abcdefghij" for b in "uvwxyz"]
+    monkeypatch.setattr(tokens, "CACHE_PARTS", 50)
+    enc.tok = Counting(enc.tok)
+    enc.encode(["x " + " ".join(words[:40])])
+    before, texts = enc.tok.words, ["x " + " ".join(words), "x \t y", None, "x a,\nb. "]
+    got = enc.encode(texts)
+    assert enc.tok.words - before < 40
+    assert got == [np.array(e.ids, "<u4").tobytes() for e in enc.tok.tok.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
