@@ -6,17 +6,18 @@ probability of a word without history falls back on its spelling, so no word is
 1. Spelling: trusted texts (labelled good and not toxic) are counted whole as 4-grams of 64 byte classes;
    modified Kneser-Ney from order 4 down to 1. A word is spelled from a space to a space; line ends and
    further white space cost what this model says in their place.
-2. Words: all n-grams of ``WORDS`` words of the trusted texts (start and end of a text are words) are counted by
-   64-bit hash, summed per task and then by hash. For each order from the top down to 1 the counts (below the top: of
-   distinct histories) are joined with their contexts' totals and the order below, sharded by hash; three
-   discounts an order. These tables grow with the trusted text and stay in the tasks. They are made for one
-   range of middle words after the other, first for what is needed of all of them, then for the values;
-   a range's tables and shuffle files go before the next begins, and the texts are read again.
+2. Words: all n-grams of ``WORDS`` words of the trusted texts (start and end of a text are words) are dealt, packed,
+   into shards by the hash of their middle word, or for a very frequent word by that and the word before; so a 3-gram's
+   context and end are counted in its shard by 64-bit hash, and three discounts an order follow from all shards' counts of
+   counts. Counts of the words as ends of pairs, and of the frequent words' pairs, are summed over the shards and
+   joined back. Shards hold about ``SHARD_WORDS`` words, however many there are; the tables grow with the
+   trusted text and stay in the tasks. One range of shards is counted after the other, then each is valued: its
+   shuffle files go before the next begins, and the texts are read again.
 3. For a seen n-gram, log P is that of its end plus the weight left to it plus a gain; for others there is no gain.
    So a text's bits are those of its spelling less, over its n-grams, their gains and their weights as
-   contexts: the documents' distinct n-grams with their counts are joined with these values and summed by
-   document. A bit table of the model's hashes leaves out before the join what is certainly not in it, and
-   a table of frequent n-grams' values, of fixed size, what is found in it.
+   contexts: the documents' distinct n-grams with their counts are sent to the shards and come back as sums by
+   document; those of trusted texts are there already. A bit table of a range's hashes leaves out beforehand what is
+   certainly not in it.
 4. A trusted document is judged as if it had not been counted: n-grams that only it has give it nothing.
 5. A document's score is its bits a byte, drawn towards the trusted mean as by ``PRIOR`` more bytes, so a
    few odd words do not reject a short text; a second score is that of its byte classes in their places
@@ -35,24 +36,27 @@ import functools
 import uuid
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from lakemart.llm import common as C
 
 ORDER, BITS, WORDS = 4, 6, 3
-RANGES, HOT_BITS = 4, 19  # of words, for at most so many parts of the counts on disk at a time; places for frequent n-grams
+RANGES = 4  # of shards, for at most so many parts of the counts on disk at a time
 RANGE_BYTES = 1 << 21  # of trusted text, at least, for each range
-FILTER_BITS = 27  # of the table that spares the join n-grams which are not in the model
+SHARD_WORDS = 1 << 19  # trusted words of a shard, about
+SLOT_BITS, FILTER_BITS = 23, 27  # of the tables, of a shard and of a range, that spare n-grams which are not in the model
 START, END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # the words before and after a text
 MANY = -(1 << 63)  # in place of a document's key: more than one has the n-gram
 QUANTILE, MARGIN, PRIOR = 0.999, 0.25, 200
 
 
+FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # the first k of eight bytes
+
+
 def _classes() -> np.ndarray:
     """Class of each byte; 0 stands before a text's start."""
     t = np.full(256, 63, np.uint8)  # other control bytes
@@ -91,6 +95,12 @@ def _count(batches):
     yield pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int64)), pa.array(n)], names=["gram", "n"])
 
 
+def _with_bit(batches, held):
+    """The rows whose id's bit is set: all trusted ones and a few more."""
+    for b in batches:
+        yield b.filter(pa.array(held.value.has(b.column("hid").to_numpy().view(np.uint64)))).drop_columns(["hid"])
+
+
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """Distinct ids that are labelled good and not toxic."""
     return (labels.where((C.column(labels, "quality") == 1) & (C.column(labels, "toxic") == 0))
@@ -178,9 +188,26 @@ def model(texts: DataFrame) -> Model | None:
         p = _raise(p, weight, gram, share)
 
 
-def word_grams(h: np.ndarray, first: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Hashes of the 1- to ``WORDS``-grams that end at each word of the texts (word range ``first``), with starts and an
-    end; the text of each place; and which places are words or ends rather than starts."""
+class TextWords(C.Words):
+    """Words of a run of texts; the hash takes eight bytes at a time."""
+
+    @staticmethod
+    def _hash(b, starts, lens, fold):
+        at = np.cumsum(lens) - lens
+        eight = np.ndarray(len(b) + 1, "<u8", np.append(b, np.zeros(8, np.uint8)), strides=(1,))  # from each byte on
+        h = C.mix((eight[at] & FIRST[np.minimum(lens, 8)]) * np.uint64(0x9E3779B97F4A7C15) + lens.astype(np.uint64))
+        more, done = np.flatnonzero(lens > 8), 8
+        while len(more):
+            x = eight[at[more] + done] & FIRST[np.minimum(lens[more] - done, 8)]
+            h[more] = C.mix(h[more] * np.uint64(0xD6E8FEB86659FD93) + C.mix(x + np.uint64(done)))
+            done += 8
+            more = more[lens[more] > done]
+        return h
+
+
+def _padded(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of the texts (word range ``first``) with two starts before and an end after each, the text of each place, and
+    the places of words and ends."""
     n, pad = np.diff(first), WORDS - 1
     size = n + pad + 1
     at = np.cumsum(size) - size
@@ -188,10 +215,17 @@ def word_grams(h: np.ndarray, first: np.ndarray) -> tuple[list[np.ndarray], np.n
     w = np.full(len(doc), START)
     w[np.arange(len(h)) + np.repeat(at + pad - first[:-1], n)] = h
     w[at + size - 1] = END
-    out = [w]
-    for _ in range(pad):
-        out.append(_extended(np.append(np.uint64(0), out[-1][:-1])[:len(w)], w))
-    return out, doc, np.arange(len(doc)) - np.repeat(at, size) >= pad
+    return w, doc, np.flatnonzero(np.arange(len(doc)) - np.repeat(at, size) >= pad)
+
+
+def _extended(below: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Hashes of the n-grams ``below``, each with one more word ``w``."""
+    g = C.mix(w * np.uint64(0x9FB21C651E98DF25) + np.uint64(1))
+    g += below * np.uint64(0xD6E8FEB86659FD93)
+    return C.mix(g)
+
+
+BEGIN = _extended(np.array([START]), np.array([START]))[0]  # the context of a text's first word
 
 
 def spelled(buf: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -221,158 +255,415 @@ def _white(buf: np.ndarray, off: np.ndarray, in_place: np.ndarray) -> np.ndarray
     return np.bincount(np.searchsorted(off, at, side="right") - 1, in_place[at], len(off) - 1)
 
 
-def _extended(below: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """Hashes of the n-grams ``below``, each with one more word ``w``."""
-    g = C.mix(w * np.uint64(0x9FB21C651E98DF25) + np.uint64(1))
-    g += below * np.uint64(0xD6E8FEB86659FD93)
-    return C.mix(g)
+def _pack(wide: list[np.ndarray], small: list[np.ndarray]) -> tuple[int, bytes]:
+    """Columns of 64-bit hashes, and of small numbers by their bytes' places, compressed; and their size before."""
+    head = np.array([len(wide), len(small), *map(len, wide), *map(len, small)], np.int64)
+    planes = [x.astype("<u4").view(np.uint8).reshape(-1, 4).T for x in small]
+    raw = b"".join(x.tobytes() for x in (head, *wide, *planes))
+    return len(raw), pa.Codec("zstd", 1).compress(raw, asbytes=True)
+
+
+def _unpack(size: int, payload: bytes) -> list[np.ndarray]:
+    """The columns of ``_pack``; hashes as unsigned numbers."""
+    raw = pa.Codec("zstd").decompress(payload, size, asbytes=True)
+    n_wide, n_small = np.frombuffer(raw, np.int64, 2)
+    lens, at, out = np.frombuffer(raw, np.int64, n_wide + n_small, 16), 16 + 8 * int(n_wide + n_small), []
+    for k, n in enumerate(lens.tolist()):
+        if k < n_wide:
+            out.append(np.frombuffer(raw, np.uint64, n, at))
+        else:
+            out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n).T).view("<u4")[:, 0].astype(np.int64))
+        at += (8 if k < n_wide else 4) * n
+    return out
 
 
-def _in_range(w: np.ndarray, r: int, ranges: int) -> np.ndarray:
-    """Which words belong to range ``r``."""
-    return (w >> np.uint64(33)) % np.uint64(ranges) == r
+def _find(table: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each of ``x`` in the sorted ``table``, and whether it is there."""
+    if not len(table):
+        return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
+    at = np.searchsorted(table, x)
+    at[at == len(table)] = 0
+    return at, table[at] == x
 
 
-def _word_count(batches, r, ranges):
-    """Distinct word 3-grams of each run of texts whose middle word is in range ``r``: hash of the words before the last,
-    middle and last word, count, the only document's key or MANY."""
-    for batch in batches:
-        for i, buf, off in C.doc_slices(batch.column("text"), 4 << 20):
-            key = batch.column("key").slice(i, len(off) - 1).to_numpy(zero_copy_only=False)
-            words = C.Words(buf, off, C.ASCII_SPACE, C.SAME)
-            g, doc, real = word_grams(words.hash, words.first)
-            at = np.flatnonzero(real)
-            at = at[_in_range(g[0][at - 1], r, ranges)]
-            _, one, where, n = np.unique(g[-1][at], return_index=True, return_inverse=True, return_counts=True)
-            k = key[doc[at]]
-            lo, hi = np.full(len(one), np.iinfo(np.int64).max), np.full(len(one), MANY)
-            np.minimum.at(lo, where, k)
-            np.maximum.at(hi, where, k)
-            order = np.argsort(one)  # in the texts' order equal keys follow one another
-            at = at[one[order]]
-            columns = [x.view(np.int64) for x in (g[1][at - 1], g[0][at - 1], g[0][at])]
-            only = np.where(lo == hi, lo, MANY)[order]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*columns, n[order], only)], names=["p", "v", "w", "n", "only"])
+class Deal(C.Shipped):
+    """The shard of each context: that of its last word, and for words that are too frequent for one shard one of several,
+    by the word before. Ranges take every ``ranges``-th shard."""
+
+    def __init__(self, shards: int, ranges: int, hot: dict[int, int], most: int):
+        self.shards, self.ranges = shards, ranges
+        self.hot = np.sort(np.array(list(hot), np.int64).view(np.uint64))
+        self.parts = np.array([min(shards, hot[int(w)] // most + 1) for w in self.hot.view(np.int64)], np.uint64)
+        self.slot_bits = (shards // ranges - 1).bit_length()
+
+    def shard(self, v: np.ndarray, by: np.ndarray | None = None) -> np.ndarray:
+        """Shards of contexts that end with ``v``; without ``by``, of the words ``v`` alone."""
+        out = (v >> np.uint64(16)) % np.uint64(self.shards)
+        if by is not None and len(self.hot):
+            at, hot = _find(self.hot, v)
+            out[hot] = (out[hot] + (by[hot] >> np.uint64(20)) % self.parts[at[hot]]) % np.uint64(self.shards)
+        return out.astype(np.int64)
+
+    def slot(self, gram: np.ndarray, shard: np.ndarray) -> np.ndarray:
+        """Key of n-grams of a shard in its range's bit table: the shard's place in the range, then the hash's top bits."""
+        if not self.slot_bits:
+            return gram
+        return ((shard // self.ranges).astype(np.uint64) << np.uint64(64 - self.slot_bits)) | (gram >> np.uint64(self.slot_bits))
+
+
+def _runs(batches, skip=None):
+    """Of each run of texts: keys, words with starts and ends, the text of each place, and the places of words and ends;
+    without rows whose id's bit (of ``hid``) is in ``skip``."""
+    for b in batches:
+        if skip is not None:
+            b = b.filter(pa.array(~skip.value.has(b.column("hid").to_numpy().view(np.uint64))))
+        for i, buf, off in C.doc_slices(b.column("text"), 4 << 20):
+            key = b.column("key").slice(i, len(off) - 1).to_numpy(zero_copy_only=False)
+            words = TextWords(buf, off, C.ASCII_SPACE, C.SAME)
+            yield key, *_padded(words.hash, words.first)
+
+
+def _firsts(x: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.append(True, x[1:] != x[:-1])[:len(x)])
+
+
+def _by_shard(shard: np.ndarray):
+    """Each shard with the places of its rows, in their order."""
+    order = np.argsort(shard.astype(np.uint16 if len(shard) and shard.max() < 1 << 16 else np.int64), kind="stable")
+    start = _firsts(shard[order])
+    for lo, hi in zip(start, np.append(start[1:], len(order)), strict=True):
+        yield int(shard[order[lo]]), order[lo:hi]
+
+
+_BLOBS = "shard int, trusted boolean, size long, payload binary"
+
+
+def _blobs(rows: list[tuple]) -> pa.RecordBatch:
+    shard, trusted, size, payload = zip(*rows, strict=True) if rows else ((), (), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array(trusted, pa.bool_()), pa.array(size, pa.int64()), pa.array(payload, pa.binary())],
+                                      names=["shard", "trusted", "size", "payload"])
+
+
+def _trusted_words(batches, deal, r):
+    """The words and ends of range ``r`` of each run of texts with the two words before, by shard."""
+    for key, w, doc, at in _runs(batches):
+        shard = deal.shard(w[at - 1], w[at - 2])
+        mine = np.flatnonzero(shard % deal.ranges == r)
+        rows = []
+        for s, x in _by_shard(shard[mine]):
+            x = at[mine[x]]
+            start = _firsts(doc[x])
+            rows.append((s, True, *_pack([w[x - 1], w[x - 2], w[x], key[doc[x[start]]]], [np.diff(np.append(start, len(x)))])))
+        yield _blobs(rows)
+
+
+def _asked(batches, deal, r, held, hot_pairs, skip=None):
+    """The distinct word n-grams of range ``r`` of each text that may be in the model, with their counts, by shard."""
+    for key, w, doc, at in _runs(batches, skip):
+        v, p, d = w[at - 1], w[at - 2], doc[at]
+        own, alone = deal.shard(v, p), deal.shard(v)
+        hot = _find(deal.hot, v)[1]
+        pair_at = deal.shard(v, w[at]) if hot.any() else alone
+        grams, docs, shards = [], [], []
+
+        def ask(x, where, shard, known=None):
+            may = held.value.has(deal.slot(x, shard))
+            if known is not None:
+                may = np.where(hot[where], known(x) if hot.any() else False, may)
+            may = np.flatnonzero(may)
+            grams.append(x[may])
+            docs.append(d[where[may]])
+            shards.append(shard[may])
+
+        x = np.flatnonzero(alone % deal.ranges == r)
+        ask(v[x], x, alone[x], lambda g: np.ones(len(g), bool))
+        x = np.flatnonzero(pair_at % deal.ranges == r)
+        ask(_extended(v[x], w[at[x]]), x, pair_at[x], lambda g: hot_pairs.value.has(g))
+        x = np.flatnonzero(own % deal.ranges == r)
+        context = _extended(p[x], v[x])
+        ask(~context, x, own[x])
+        ask(_extended(context, w[at[x]]), x, own[x])
+        grams, docs, shards = (np.concatenate(x) for x in (grams, docs, shards))
+        order = np.argsort(grams, kind="stable")  # texts stay in order
+        grams, docs, shards = grams[order], docs[order], shards[order]
+        rows = []
+        for s, x in _by_shard(shards):
+            g, t = grams[x], docs[x]
+            new = np.flatnonzero(np.append(True, (g[1:] != g[:-1]) | (t[1:] != t[:-1])))
+            n, g, t = np.diff(np.append(new, len(g))), g[new], t[new]
+            start, (one, t) = _firsts(g), np.unique(t, return_inverse=True)
+            rows.append((s, False, *_pack([g[start], key[one]], [np.diff(np.append(start, len(g))), t, n])))
+        yield _blobs(rows)
+
+
+def _groups(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order by value, where each value begins in it, the values, and how often each occurs."""
+    order = np.argsort(x, kind="stable")
+    start = _firsts(x[order])
+    return order, start, x[order[start]], np.diff(np.append(start, len(x)))
+
+
+def _group_of(order: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Number of each row's group."""
+    out = np.empty(len(order), np.int64)
+    out[order] = np.repeat(np.arange(len(n)), n)
+    return out
+
+
+def _sole(only: np.ndarray, order: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The only document's key of each group, or MANY."""
+    if not len(start):
+        return np.zeros(0, np.int64)
+    lo = np.minimum.reduceat(only[order], start)
+    return np.where(lo == np.maximum.reduceat(only[order], start), lo, MANY)
+
+
+class Counted:
+    """The trusted n-grams of one shard: 3-grams, their contexts and their ends, with counts and only documents."""
+
+    def __init__(self, blobs: pa.Table, deal: Deal):
+        parts = [_unpack(n, x) for n, x in zip(blobs.column("size").to_pylist(), blobs.column("payload").to_pylist(), strict=True)]
+        v, p, w, self.keys, self.words = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (
+            *(np.zeros(0, np.uint64) for _ in range(4)), np.zeros(0, np.int64))
+        self.keys = self.keys.view(np.int64)
+        self.key = np.repeat(self.keys, self.words)
+        context = _extended(p, v)
+        order, start, self.gram, self.n = _groups(_extended(context, w))
+        self.gram_of, self.only = _group_of(order, self.n), _sole(self.key, order, start)
+        one = order[start]
+        context, v, w = context[one], v[one], w[one]
+        order, start, self.context, n = _groups(context)
+        # contexts that begin a text are never ends: only their own document may have them, but all texts begin alike
+        self.context_of, self.context_only = _group_of(order, n), np.where(self.context == BEGIN, MANY, _sole(self.only, order, start))
+        order, start, self.pair, self.pair_n = _groups(_extended(v, w))
+        self.pair_of, self.pair_only = _group_of(order, self.pair_n), _sole(self.only, order, start)
+        one = order[start]
+        self.v, self.w = v[one], w[one]
+        self.hot_at, self.hot = _find(deal.hot, self.v)
+
+
+_COUNTS = "kind int, shard int, v long, w long, n long, only long, gram long, home int, bits binary"
+WORD, HOT, COUNTS, TABLE = range(4)
+
+
+def _shard_counts(blobs: pa.Table, deal: Deal, bits: int) -> pa.Table:
+    """Of one shard: its words as ends of pairs with counts (WORD), the pairs of hot words, which other shards have
+    too (HOT), how many 3-grams and other pairs occur once to four times (COUNTS), and its n-grams' bits (TABLE)."""
+    m, shard = Counted(blobs, deal), blobs.column("shard")[0].as_py()
+    cold, hot = np.flatnonzero(~m.hot), np.flatnonzero(m.hot)
+    order, start, w, n = _groups(m.w[cold])
+    table = np.zeros(1 << bits, bool)
+    for x in (m.v[cold], m.pair[cold], ~m.context, m.gram):
+        table[(x >> np.uint64(64 - bits)).astype(np.int64)] = True
+    counts = [np.bincount(np.minimum(x, 5), minlength=6)[1:5] for x in (m.n, m.pair_n[cold])]
+    sizes = {WORD: len(w), HOT: len(hot), COUNTS: 8, TABLE: 1}
+    kind = np.repeat(np.fromiter(sizes, np.int64), list(sizes.values()))
+    none = lambda n, t=pa.int64(): pa.nulls(n, t)
+    column = lambda *x: pa.chunked_array([y if isinstance(y, pa.Array) else pa.array(y) for y in x]).combine_chunks()
+    signed = lambda x: x.view(np.int64)
+    return pa.table({
+        "kind": pa.array(kind, pa.int32()), "shard": pa.array(np.full(len(kind), shard), pa.int32()),
+        "v": column(none(len(w)), signed(m.v[hot]), none(9)),
+        "w": column(signed(w), signed(m.w[hot]), np.arange(8), none(1)),
+        "n": column(n, m.pair_n[hot], np.concatenate(counts), none(1)),
+        "only": column(_sole(m.pair_only[cold], order, start), m.pair_only[hot], none(9)),
+        "gram": column(none(len(w)), signed(m.pair[hot]), none(9)),
+        "home": column(none(len(w), pa.int32()), pa.array(deal.shard(m.v[hot], m.w[hot]), pa.int32()), none(9, pa.int32())),
+        "bits": column(none(len(kind) - 1, pa.binary()), pa.array([np.packbits(table, bitorder="little").tobytes()], pa.binary()))})
+
+
+class Facts(C.Shipped):
+    """What every shard needs of all: discounts, and of the hot words the pairs that begin with them, the weight left to
+    the order below, and value and only document."""
+
+    def __init__(self, d2, d3, deal: Deal, rows):
+        self.d2, self.d3 = (np.array([0, *d]) for d in (d2, d3))
+        self.total, self.rest, self.value = np.ones(len(deal.hot)), np.zeros(len(deal.hot)), np.zeros(len(deal.hot))
+        self.only = np.full(len(deal.hot), MANY)
+        for x in rows:
+            at = int(np.searchsorted(deal.hot, np.array([x["v"]], np.int64).view(np.uint64))[0])
+            self.total[at], self.rest[at], self.value[at], self.only[at] = x["total"], x["rest"], x["value"], x["only"]
+
+
+_TABLES = "shard int, kind int, v long, w long, n long, only long, x double"
+LOG_P, VALUE, PAIR, HOME = range(4)
+
+
+def _shard_gains(blobs: pa.Table, tables: pa.Table, deal: Deal, facts: Facts) -> pa.Table:
+    """key and gain from the n-grams of one shard of its trusted texts and of those that ask."""
+    m = Counted(blobs.filter(blobs.column("trusted")), deal)
+    kind = tables.column("kind").to_numpy()
+
+    def table(k, *columns):
+        t = tables.filter(pa.array(kind == k))
+        return [t.column(c).to_numpy() if c in ("n", "only", "x") else t.column(c).to_numpy().view(np.uint64) for c in columns]
+
+    w, log_p = table(LOG_P, "w", "x")
+    order = np.argsort(w)
+    at, _ = _find(w[order], m.w)
+    log_1 = log_p[order][at] if len(w) else np.zeros(len(m.w))
+    n, only = m.pair_n.copy(), m.pair_only.copy()
+    hot, cold = np.flatnonzero(m.hot), np.flatnonzero(~m.hot)
+
+    def hot_pairs(k):
+        v, w, n, only, x = table(k, "v", "w", "n", "only", "x")
+        g = _extended(v, w)
+        order = np.argsort(g)
+        return g[order], _find(deal.hot, v[order])[0], n[order], only[order], x[order]
+
+    if len(hot):  # their counts are those of all shards
+        g, _, hot_n, hot_only, x = hot_pairs(PAIR)
+        at, _ = _find(g, m.pair[hot])
+        n[hot], only[hot], log_1[hot] = hot_n[at], hot_only[at], x[at]
+
+    def of_pairs(n, total, rest, log_1):
+        below = log_1 + rest
+        log_p = np.log2((n - facts.d2[np.minimum(n, 3)]) / total + np.exp2(below))
+        return log_p, log_p - below
+
+    order, start, v, size = _groups(m.v[cold])
+    v_of = _group_of(order, size)
+    total_v, taken = np.bincount(v_of, n[cold], len(v)), np.bincount(v_of, facts.d2[np.minimum(n[cold], 3)], len(v))
+    rest_v = np.log2(taken / total_v)
+    total, rest, one = (np.zeros(len(m.v)) for _ in range(3))
+    one_only = np.full(len(m.v), MANY)
+    w, value, word_only = table(VALUE, "w", "x", "only")
+    order = np.argsort(w)
+    at, has = _find(w[order], v)  # the start is no word
+    word = np.where(has, value[order][at] if len(w) else 0.0, 0.0) + rest_v
+    word_only = np.where(has, word_only[order][at] if len(w) else MANY, MANY)
+    for where, x in ((cold, (total_v[v_of], rest_v[v_of], word[v_of], word_only[v_of])),
+                     (hot, (facts.total[m.hot_at[hot]], facts.rest[m.hot_at[hot]], facts.value[m.hot_at[hot]], facts.only[m.hot_at[hot]]) if len(hot) else ((),) * 4)):
+        total[where], rest[where], one[where], one_only[where] = x
+    log_2, two = of_pairs(n, total, rest, log_1)
+    d = facts.d3[np.minimum(m.n, 3)]
+    in_context = np.bincount(m.context_of, m.n, len(m.context))
+    before = np.log2(np.bincount(m.context_of, d, len(m.context)) / in_context)
+    below = log_2[m.pair_of] + before[m.context_of]
+    three = np.log2((m.n - d) / in_context[m.context_of] + np.exp2(below)) - below
+
+    gain = np.zeros(len(m.key))  # of the trusted texts' own words
+    for value, alone, of in ((three, m.only, None), (before, m.context_only, m.context_of), (two, only, m.pair_of), (one, one_only, m.pair_of)):
+        at = m.gram_of if of is None else of[m.gram_of]
+        gain += np.where(alone[at] != m.key, value[at], 0.0)
+    start = np.cumsum(m.words) - m.words
+    keys, gains = [m.keys], [np.add.reduceat(gain, start) if len(start) else np.zeros(0)]
+
+    g, at, hot_n, _, x = hot_pairs(HOME)
+    _, home = of_pairs(hot_n.astype(np.int64), facts.total[at], facts.rest[at], x) if len(g) else (None, np.zeros(0))
+    grams = np.concatenate([v, deal.hot, m.pair[cold], g, ~m.context, m.gram])
+    values = np.concatenate([word, facts.value, two[cold], home, before, three])
+    order = np.argsort(grams)
+    grams, values = grams[order], values[order]
+    asked = blobs.filter(pc.invert(blobs.column("trusted")))
+    for size, payload in zip(asked.column("size").to_pylist(), asked.column("payload"), strict=True):
+        g, key, n_docs, doc, n = _unpack(size, payload.as_py())
+        at, has = _find(grams, g)
+        value = np.where(has, values[at] if len(grams) else 0.0, 0.0)
+        keys.append(key.view(np.int64))
+        gains.append(np.bincount(doc, np.repeat(value, n_docs) * n, len(key)))
+    key, gain = np.concatenate(keys), np.concatenate(gains)
+    some = np.flatnonzero(gain)
+    return pa.table({"key": key[some], "gain": gain[some]})
 
 
 def _word_spelling(batches, spelling):
-    """Distinct words of each run of texts, the end among them, and the bits of their spelling."""
+    """Distinct words of each run of texts, the end among them, how often each occurs and the bits of its spelling."""
     for batch in batches:
         for _, buf, off in C.doc_slices(batch.column("text"), 4 << 20):
             table = spelling.value.table()
-            words = C.Words(buf, off, C.ASCII_SPACE, C.SAME)
-            h, one = np.unique(words.hash, return_index=True)
+            words = TextWords(buf, off, C.ASCII_SPACE, C.SAME)
+            h, one, n = np.unique(words.hash, return_index=True, return_counts=True)
             cost = spelled(buf, words.start[one], words.end[one], table)  # the end is an empty word
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(h, END).view(np.int64)), pa.array(np.append(cost, np.float64(table[1 << BITS | 1])))],
-                                             names=["w", "spell"])
-
-
-class Hot(C.Shipped):
-    """Values of frequent n-grams, at most one for each of 2**``HOT_BITS`` places that the top bits of a hash name."""
-
-    def __init__(self, rows):
-        place = np.arange(1 << HOT_BITS, dtype=np.uint64)
-        self.gram, self.value = (place ^ np.uint64(1)) << np.uint64(64 - HOT_BITS), np.zeros(1 << HOT_BITS)  # none fits its place
-        gram = rows.column("gram").to_numpy().view(np.uint64)
-        at = (gram >> np.uint64(64 - HOT_BITS)).astype(np.int64)
-        self.gram[at], self.value[at] = gram, rows.column("value").to_numpy()
-
-    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of the hashes ``h`` are here, and the values of those."""
-        at = (h >> np.uint64(64 - HOT_BITS)).astype(np.int64)
-        hit = self.gram[at] == h
-        return hit, self.value[at[hit]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(h, END).view(np.int64)), pa.array(np.append(n, len(off) - 1)),
+                                              pa.array(np.append(cost, np.float64(table[1 << BITS | 1])))], names=["w", "n", "spell"])
 
 
 class Words:
-    """The word model in ranges of words, built while its ``scratch`` is open: n-grams are counted by the range of their
-    middle word, which all n-grams with one context and all with one end share, so a range's values need no other's counts."""
+    """The word model in shards of contexts, built while its ``scratch`` is open: the 3-grams with one middle word share a
+    shard (those of a very frequent one several), so their contexts and ends are counted and valued in it."""
 
-    def __init__(self, texts: DataFrame, spelling, scratch: C.Scratch):
+    def __init__(self, texts: DataFrame, all_bytes: int, spelling, scratch: C.Scratch):
         self.texts, self.scratch = texts, scratch
         size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        self.ranges = max(1, min(RANGES, size // RANGE_BYTES))
-        contexts, ends = [], []
-        for r in range(self.ranges):
-            with scratch.part(f"count-{r}") as own:
-                pairs = own.stored(self._grams(r, "v", "w").groupBy("v", "w").agg(
-                    F.count(F.lit(1)).alias("n"), _only(), *[F.count_if(F.col("n") == k).alias(f"c{k}") for k in (1, 2, 3, 4)]), "pairs")
-                y = [F.count_if(F.col("n") == k).alias(f"y{k}") for k in (1, 2, 3, 4)]
-                contexts.append(scratch.stored(pairs.groupBy("v").agg(
-                    F.sum("n").alias("total"), F.count(F.lit(1)).alias("y"), *y, *[F.sum(f"c{k}").alias(f"c{k}") for k in (1, 2, 3, 4)]), f"contexts-{r}"))
-                ends.append(scratch.stored(pairs.groupBy("w").agg(F.count(F.lit(1)).alias("n"), _only()), f"ends-{r}"))
-        contexts, ends = (functools.reduce(DataFrame.unionByName, x) for x in (contexts, ends))
-        found = contexts.agg(*[F.sum(f"{x}{k}").alias(f"{x}{k}") for x in "cy" for k in (1, 2, 3, 4)]).first()
-        self.d3, d2 = (_three(*[found[f"{x}{k}"] for k in (1, 2, 3, 4)]) for x in "cy")
-        taken = d2[0] * F.col("y1") + d2[1] * F.col("y2") + d2[2] * (F.col("y") - F.col("y1") - F.col("y2"))
-        self.contexts = contexts.select("v", F.log2(taken / F.col("total")).alias("rest"), "total", F.array(*map(F.lit, d2)).alias("d2"))
-        spell = texts.mapInArrow(lambda b: _word_spelling(b, spelling), "w long, spell double").groupBy("w").agg(F.min("spell").alias("spell"))
-        words = scratch.stored(ends.groupBy("w").agg(F.sum("n").alias("n"), _only()).join(spell.hint("merge"), "w"), "words")
+        ranges = max(1, min(RANGES, size // RANGE_BYTES))
+        with scratch.part("spelled") as own:
+            spell = texts.mapInArrow(lambda b: _word_spelling(b, spelling), "w long, n long, spell double")
+            spell = own.stored(spell.groupBy("w").agg(F.min("spell").alias("spell"), F.sum("n").alias("n")), "words")
+            total = spell.agg(F.sum("n")).first()[0]
+            shards = -(-int(max(total, total * all_bytes / size / 8)) // SHARD_WORDS)
+            shards = -(-shards // ranges) * ranges
+            end, most = int(END.view(np.int64)), max(1, SHARD_WORDS // 2)
+            hot = {x["w"]: x["n"] for x in spell.where((F.col("n") > most) & (F.col("w") != end)).select("w", "n").collect()}  # at most 2 a shard
+            deal = self.deal = Deal(shards, ranges, hot, most)
+            bits = self.bits = max(3, min(SLOT_BITS, FILTER_BITS - deal.slot_bits))
+            counts = []
+            for r in range(ranges):
+                blobs = texts.mapInArrow(lambda b, r=r: _trusted_words(b, deal, r), _BLOBS)
+                counts.append(scratch.stored(blobs.groupBy("shard").applyInArrow(lambda t: _shard_counts(t, deal, bits), _COUNTS), f"counts-{r}"))
+            self.counts = functools.reduce(DataFrame.unionByName, counts)
+            pairs = self.counts.where(F.col("kind") == HOT)
+            self.hot = scratch.stored(pairs.groupBy("v", "w").agg(F.sum("n").alias("n"), _only(), F.min("gram").alias("gram"), F.min("home").alias("home")), "hot-pairs")
+            found = self.counts.where(F.col("kind") == COUNTS).groupBy("w").agg(F.sum("n").alias("n")).collect()
+            found = {x["w"]: x["n"] for x in found}
+            more = self.hot.agg(*[F.count_if(F.col("n") == k).alias(f"y{k}") for k in (1, 2, 3, 4)]).first()
+            self.d3, self.d2 = _three(*[found[k] for k in range(4)]), _three(*[found[4 + k] + more[k] for k in range(4)])
+            ends = self.counts.where(F.col("kind") == WORD).select("w", "n", "only")
+            ends = ends.unionByName(self.hot.select("w", F.lit(1).cast("long").alias("n"), "only"))
+            words = ends.groupBy("w").agg(F.sum("n").alias("n"), _only()).join(spell.select("w", "spell").hint("merge"), "w")
+            words = scratch.stored(words, "words")
         d1 = _discounts(words)
         words = words.withColumn("d", _discount(d1))
         y = words.agg(F.sum("n").alias("total"), F.sum("d").alias("taken")).first()
         self.first = -float(np.log2(y["taken"] / y["total"]))
         below = -F.col("spell") - F.lit(self.first)
         log_p = F.log2((F.col("n") - F.col("d")) / F.lit(y["total"]) + F.pow(F.lit(2.0), below))
-        self.words = scratch.stored(words.select("w", "n", "only", log_p.alias("log_p"), (log_p - below).alias("value")), "word-values")
-
-    def _grams(self, r: int, *by: str) -> DataFrame:
-        """Counts of the 3-grams of range ``r``, dealt out by some of their columns."""
-        ranges = self.ranges
-        rows = self.texts.mapInArrow(lambda b: _word_count(b, r, ranges), "p long, v long, w long, n long, only long")
-        return rows.repartition(*by).groupBy("p", "v", "w").agg(F.sum("n").alias("n"), _only())
-
-    def values(self, r: int, own: C.Scratch) -> DataFrame:
-        """gram, value, only and heat (about how often it occurs) of the n-grams of range ``r``. A word stands also for
-        the context that it is; other contexts have ids of their own, the complement of their hash."""
-        same = Window.partitionBy("p")
-        at = lambda c: F.pmod(F.shiftrightunsigned(c, 33), F.lit(self.ranges)) == r
-        start = int(_extended(np.array([START]), np.array([START])).view(np.int64)[0])
-        # contexts that begin a text are never ends: only their own document may have them, but all texts begin alike
-        whole = F.when(F.col("p") == start, F.lit(MANY)).when(F.min("only").over(same) == F.max("only").over(same), F.col("only")).otherwise(F.lit(MANY))
-        grams = self._grams(r, "p").withColumn("d", _discount(self.d3))
-        grams = own.stored(grams.select("p", "v", "w", "n", "only", "d", F.sum("n").over(same).alias("total"), F.log2(F.sum("d").over(same) / F.sum("n").over(same)).alias("rest"),
-                                        whole.alias("whole"), (F.col("w") == F.min("w").over(same)).alias("lead")), "grams")
-        pairs = grams.groupBy("v", "w").agg(F.count(F.lit(1)).alias("n"), _only(), F.sum("n").alias("heat"))
-        pairs = pairs.join(self.contexts.where(at("v")).hint("merge"), "v").join(self.words.select("w", "log_p").hint("merge"), "w")
-        below = F.col("log_p") + F.col("rest")
-        log_p = F.log2((F.col("n") - F.element_at("d2", F.least("n", F.lit(3)).cast("int"))) / F.col("total") + F.pow(F.lit(2.0), below))
-        pairs = own.stored(pairs.select("v", "w", "only", "heat", log_p.alias("log_p"), (log_p - below).alias("value")), "pairs")
-
-        def longer(a: pd.Series, b: pd.Series) -> pd.Series:
-            return pd.Series(_extended(*(x.to_numpy().view(np.uint64) for x in (a, b))).view(np.int64))
-
-        extended = F.pandas_udf(longer, LongType())
-        below = F.col("log_p") + F.col("rest")
-        value = F.log2((F.col("n") - F.col("d")) / F.col("total") + F.pow(F.lit(2.0), below)) - below
-        columns = lambda gram, value, only, heat: [gram.alias("gram"), value.alias("value"), only.alias("only"), heat.alias("heat")]
-        three = grams.join(pairs.select("v", "w", "log_p").hint("merge"), ["v", "w"]).select(*columns(extended("p", "w"), value, F.col("only"), F.col("n")))
-        two = pairs.select(*columns(extended("v", "w"), F.col("value"), F.col("only"), F.col("heat")))
-        before = grams.where("lead").select(*columns(F.bitwise_not("p"), F.col("rest"), F.col("whole"), F.col("total")))
-        one = self.words.where(at("w")).join(self.contexts.where(at("v")).hint("merge"), F.col("w") == F.col("v"), "full")
-        one = one.select(*columns(F.coalesce("w", "v"), F.coalesce("value", F.lit(0.0)) + F.coalesce("rest", F.lit(0.0)),
-                                  F.coalesce("only", F.lit(MANY)), F.coalesce("n", "total")))
-        return own.stored(three.unionByName(two).unionByName(before).unionByName(one), "values")
-
-    def gains(self, others: DataFrame) -> DataFrame:
-        """key and gain of the trusted texts and of ``others`` (key, text): values of their n-grams, range by range. What
-        only one trusted text has concerns the others alone."""
-        sc, ranges, out = others.sparkSession.sparkContext, self.ranges, []
-        for r in range(ranges):
-            with self.scratch.part(f"values-{r}") as own:
-                values = self.values(r, own)
-                place = C.bit_position(F.col("gram"), HOT_BITS)
-                hot = values.where(F.col("only") == MANY).groupBy(place.alias("place")).agg(F.max(F.struct("heat", "gram", "value")).alias("x"))
-                hot = sc.broadcast(Hot(hot.select("x.gram", "x.value").toArrow()))
-                held = [sc.broadcast(C.set_bits(x, "gram", FILTER_BITS)) for x in (values.where(F.col("only") == MANY), values)]
-                found, rest = (x.mapInArrow(lambda b, r=r, hot=hot, h=h: _document_grams(b, r, ranges, hot, h), "key long, gram long, n int, gain double")
-                               for x, h in zip((self.texts, others), held, strict=True))
-                found = found.unionByName(rest)
-                found = found.join(values.hint("merge"), (found["gram"] == values["gram"]) & F.col("gain").isNull(), "left").where("gain IS NOT NULL OR only <> key")
-                gain = F.sum(F.coalesce("gain", F.col("n") * F.col("value")))
-                out.append(self.scratch.stored(found.groupBy("key").agg(gain.alias("gain")), f"gains-{r}"))
-                for x in (hot, *held):
-                    x.destroy()
+        self.words = words.select("w", "only", log_p.alias("log_p"), (log_p - below).alias("value"))
+        self.end = self.words.where(F.col("w") == end).first()
+        d2 = F.element_at(F.array(*map(F.lit, self.d2)), F.least("n", F.lit(3)).cast("int"))
+        totals = self.hot.groupBy("v").agg(F.sum("n").alias("total"), F.log2(F.sum(d2) / F.sum("n")).alias("rest"))  # as many as hot words
+        totals = totals.join(self.words.hint("merge"), F.col("v") == F.col("w")).select("v", "total", "rest", "only", (F.col("value") + F.col("rest")).alias("value"))
+        self.facts = Facts(self.d2, self.d3, deal, totals.collect())
+
+    def _tables(self, r: int) -> DataFrame:
+        """What the shards of range ``r`` need of the words: log P of the ends, values of the shard's own words, and counts of
+        the hot words' pairs, for those shards that have them and for the one that is asked for them."""
+        mine = lambda c: F.pmod(F.col(c), F.lit(self.deal.ranges)) == r
+        none = F.lit(None).cast("long")
+        words = self.words.hint("merge")
+        row = lambda kind, shard, v, n, only, x: [F.col(shard).alias("shard"), F.lit(kind).alias("kind"), v.alias("v"), F.col("w"), n.alias("n"), only.alias("only"), F.col(x).alias("x")]  # noqa: E731, E501
+        ends = self.counts.where((F.col("kind") == WORD) & mine("shard")).select("shard", "w").join(words.select("w", "log_p"), "w")
+        out = ends.select(*row(LOG_P, "shard", none, none, none, "log_p"))
+        own = self.words.withColumn("shard", F.pmod(F.shiftrightunsigned("w", 16), F.lit(self.deal.shards)).cast("int"))
+        out = out.unionByName(own.where(mine("shard")).select(*row(VALUE, "shard", none, none, F.col("only"), "value")))
+        if len(self.deal.hot):
+            pairs = self.hot.join(words.select("w", "log_p"), "w")
+            has = self.counts.where((F.col("kind") == HOT) & mine("shard")).select("shard", "v", "w")
+            has = has.join(pairs.select("v", "w", "n", "only", "log_p").hint("merge"), ["v", "w"])
+            for kind, x, shard in ((PAIR, has, "shard"), (HOME, pairs.where(mine("home")), "home")):
+                out = out.unionByName(x.select(*row(kind, shard, F.col("v"), F.col("n"), F.col("only"), "log_p")))
+        return out
+
+    def gains(self, others: DataFrame, missed: DataFrame, skip) -> DataFrame:
+        """key and gain of the trusted texts, of ``others`` (key, hid, text) without those whose id's bit is in ``skip``, and
+        of ``missed`` (key, text), range by range. What only one trusted text has concerns the others alone."""
+        sc, deal, facts, out = others.sparkSession.sparkContext, self.deal, self.facts, []
+        for r in range(deal.ranges):
+            held = np.zeros((1 << deal.slot_bits, (1 << self.bits) >> 3), np.uint8)
+            found = self.counts.where((F.col("kind") == TABLE) & (F.pmod(F.col("shard"), F.lit(deal.ranges)) == r))
+            for x in found.select("shard", "bits").collect():  # 2**FILTER_BITS bits at most
+                held[x["shard"] // deal.ranges] = np.frombuffer(bytes(x["bits"]), np.uint8)
+            held = sc.broadcast(C.BitSet(held.reshape(-1), deal.slot_bits + self.bits))
+            own = self.hot.where(F.pmod(F.col("home"), F.lit(deal.ranges)) == r)
+            pairs = sc.broadcast(C.set_bits(own, "gram", FILTER_BITS) if len(deal.hot) else None)
+            blobs = self.texts.mapInArrow(lambda b, r=r: _trusted_words(b, deal, r), _BLOBS)
+            blobs = blobs.unionByName(others.mapInArrow(lambda b, r=r, h=held, p=pairs: _asked(b, deal, r, h, p, skip), _BLOBS))
+            blobs = blobs.unionByName(missed.mapInArrow(lambda b, r=r, h=held, p=pairs: _asked(b, deal, r, h, p), _BLOBS))
+            found = blobs.groupBy("shard").cogroup(self._tables(r).groupBy("shard")).applyInArrow(lambda b, t: _shard_gains(b, t, deal, facts), "key long, gain double")
+            out.append(self.scratch.stored(found.groupBy("key").agg(F.sum("gain").alias("gain")), f"gains-{r}"))
+            for x in (held, pairs):
+                x.destroy()
         return functools.reduce(DataFrame.unionByName, out).groupBy("key").agg(F.sum("gain").alias("gain"))
 
 
@@ -386,60 +677,29 @@ def _local(batches, spelling, first):
                 in_place, at = table[grams(buf, off)].astype(np.float64), np.flatnonzero(n)
                 if len(at):
                     classes[at] = np.add.reduceat(in_place, off[:-1][at])
-                words = C.Words(buf, off, C.ASCII_SPACE, C.SAME)
+                words = TextWords(buf, off, C.ASCII_SPACE, C.SAME)
                 doc = np.repeat(np.arange(len(n)), np.diff(words.first))
-                total += np.bincount(doc, spelled(buf, words.start, words.end, table) + first, len(n))
+                _, one, word = np.unique(words.hash, return_index=True, return_inverse=True)
+                total += np.bincount(doc, (spelled(buf, words.start[one], words.end[one], table) + first)[word], len(n))
                 total += np.where(n > 0, _white(buf, off, in_place) + table[1 << BITS | 1] + first, 0)
             keep = [b.column(c).slice(i, len(n)) for c in ("key", "doc_id", "lang")]
             yield pa.RecordBatch.from_arrays([*keep, pa.array(n), pa.array(total), pa.array(classes)],
                                              names=["key", "doc_id", "lang", "n_bytes", "bits", "class_bits"])
 
 
-def _document_grams(batches, r, ranges, hot, held):
-    """Of the word n-grams of range ``r``: the gain of each text from the hot ones (key, gain), and the distinct others of
-    each text that may be in the model (key, gram, n)."""
-    for b in batches:
-        for i, buf, off in C.doc_slices(b.column("text")):
-            key = b.column("key").slice(i, len(off) - 1).to_numpy(zero_copy_only=False)
-            words = C.Words(buf, off, C.ASCII_SPACE, C.SAME)
-            g, doc, real = word_grams(words.hash, words.first)
-            last = np.zeros(len(doc), bool)  # the start before the first word is a context
-            last[:-1] = real[1:] & ~real[:-1]
-            filled = (np.diff(off) > 0)[doc]
-            one, at = np.flatnonzero((real | last) & filled), np.flatnonzero(real & filled)
-            one, at = one[_in_range(g[0][one], r, ranges)], at[_in_range(g[0][at - 1], r, ranges)]
-            gain, rest = np.zeros(len(off) - 1), []
-            for x, d in ((g[0][one], doc[one]), (g[1][at], doc[at]), (~g[1][at - 1], doc[at]), (g[2][at], doc[at])):
-                hit, value = hot.value.find(x)
-                gain += np.bincount(d[hit], value, len(gain))
-                x, d = x[~hit], d[~hit]
-                may = held.value.has(x)
-                x, d = x[may], d[may]
-                order = np.argsort(x, kind="stable")
-                h, d = x[order], d[order]
-                new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])])[:len(h)])
-                rest.append((key[d[new]], h[new].view(np.int64), np.diff(np.append(new, len(h)))))
-            k, h, n = (np.concatenate(x) for x in zip(*rest, strict=True))
-            some = np.flatnonzero(gain)
-            none = np.arange(len(k) + len(some)) < len(k)
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(k, key[some])), pa.array(np.append(h, key[some])),
-                                              pa.array(np.append(n, np.zeros(len(some))).astype(np.int32)),
-                                              pa.array(np.append(np.zeros(len(k)), gain[some]), mask=none)],
-                                             names=["key", "gram", "n", "gain"])
-
-
-def _scored(rows: DataFrame, others: DataFrame, spelling, words: Words | None) -> DataFrame:
+def _scored(rows: DataFrame, others: DataFrame, missed: DataFrame, held, spelling, words: Words | None) -> DataFrame:
     """key, doc_id, lang, n_bytes, bits and class_bits of the text of each of ``rows`` (key, doc_id, lang, text);
-    ``others`` are those that are not trusted."""
+    ``others`` but for those whose id's bit is in ``held``, and ``missed``, are not trusted."""
     first = words.first if words else 0.0
     local = rows.mapInArrow(lambda b: _local(b, spelling, first), "key long, doc_id long, lang string, n_bytes long, bits double, class_bits double")
     if words is None:
         return local
-    gains = words.gains(others)
+    gains = words.gains(others, missed, held)
     local = words.scratch.stored(local, "spelling-bits")
     copies = local.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))  # equal rows share a key
     gains = gains.join(copies.hint("merge"), "key").select("key", (F.col("gain") / F.col("copies")).alias("gain"))
-    return local.join(gains.hint("merge"), "key", "left").withColumn("bits", F.col("bits") - F.coalesce("gain", F.lit(0.0))).drop("gain")
+    end = F.when((F.col("n_bytes") > 0) & (F.col("key") != words.end["only"]), F.lit(words.end["value"])).otherwise(F.lit(0.0))
+    return local.join(gains.hint("merge"), "key", "left").withColumn("bits", F.col("bits") - F.coalesce("gain", F.lit(0.0)) - end).drop("gain")
 
 
 def _limits(scored: DataFrame, ids: DataFrame, quantile: float, margin: float, prior: float, least: int):
@@ -466,13 +726,17 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     key = F.xxhash64(C.column(docs, doc_id, "long"), C.column(docs, text))
     rows = docs.select(key.alias("key"), C.column(docs, doc_id, "long").alias("doc_id"),
                        C.column(docs, lang, "string").alias("lang"), C.column(docs, text).alias("text"))
+    sc = docs.sparkSession.sparkContext
     with C.Scratch(docs.sparkSession, "perplexity") as scratch:
-        trusted, others = (scratch.stored(rows.where(F.octet_length("text") > 0).join(ids, "doc_id", how).select("key", "text"), how)
-                           for how in ("left_semi", "left_anti"))
+        held = sc.broadcast(C.set_bits(ids.select(F.xxhash64("doc_id").alias("hid")), "hid", FILTER_BITS))
+        filled = rows.where(F.octet_length("text") > 0).select("key", "doc_id", "text", F.xxhash64("doc_id").alias("hid"))
+        maybe = filled.mapInArrow(lambda b: _with_bit(b, held), "key long, doc_id long, text string")
+        trusted, missed = (scratch.stored(maybe.join(ids, "doc_id", how).select("key", "text"), how) for how in ("left_semi", "left_anti"))
         fitted = model(trusted.select("text"))
-        spelling = docs.sparkSession.sparkContext.broadcast(fitted)
-        words = Words(trusted, spelling, scratch) if fitted else None
-        scored = C.stored(_scored(rows, others, spelling, words), "text-bits")
+        spelling = sc.broadcast(fitted)
+        size = filled.agg(F.sum(F.octet_length("text"))).first()[0]
+        words = Words(trusted, size, spelling, scratch) if fitted else None
+        scored = C.stored(_scored(rows, filled.select("key", "hid", "text"), missed, held, spelling, words), "text-bits")
     score, own, every = _limits(scored, ids, quantile, margin, prior, least_trusted)
     if keep_rest:
         whole = docs.select(key.alias("key"), F.struct(*[C.column(docs, c) for c in docs.columns]).alias("rest"))
