@@ -174,14 +174,14 @@ class Words:
         return len(self.hash)
 
 
-def doc_slices(col: pa.ChunkedArray | pa.Array, max_bytes: int = 1 << 20):
-    """Cut a string column into runs of rows of about ``max_bytes``: (first row, buffer, offsets), null as empty.
+def doc_slices(col: pa.ChunkedArray | pa.Array, max_bytes: int = 1 << 20, rows: int = 1024):
+    """Cut a string column into runs of at most ``rows`` rows of about ``max_bytes``: (first row, buffer, offsets), null as empty.
 
     Only such a run, not the column, is copied, and scratch memory follows ``max_bytes`` or the longest text."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks() if col.num_chunks != 1 else col.chunk(0)
-    for lo in range(0, len(col), 1024):
-        part = col.slice(lo, 1024)
+    for lo in range(0, len(col), rows):
+        part = col.slice(lo, rows)
         part = (part.fill_null("") if part.null_count else part).cast(pa.large_binary())
         n = len(part)
         off = np.frombuffer(part.buffers()[1], dtype=np.int64)[part.offset:part.offset + n + 1]

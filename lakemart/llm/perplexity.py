@@ -45,10 +45,10 @@ from pyspark.sql import functions as F
 from lakemart.llm import common as C
 
 ORDER, BITS, WORDS = 4, 6, 3
-RANGES = 4  # of shards, for at most so many parts of the counts on disk at a time
+RANGES = 6  # of shards, for at most so many parts of the counts on disk at a time
 RANGE_BYTES = 1 << 21  # of trusted text, at least, for each range
 SHARD_WORDS = 1 << 19  # trusted words of a shard, about
-SLOT_BITS, FILTER_BITS = 23, 27  # of the tables, of a shard and of a range, that spare n-grams which are not in the model
+SLOT_BITS, FILTER_BITS = 23, 28  # of the tables, of a shard and of a range, that spare n-grams which are not in the model
 START, END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # the words before and after a text
 MANY = -(1 << 63)  # in place of a document's key: more than one has the n-gram
 QUANTILE, MARGIN, PRIOR = 0.999, 0.25, 200
@@ -189,16 +189,31 @@ def model(texts: DataFrame) -> Model | None:
 
 
 class TextWords(C.Words):
-    """Words of a run of texts; the hash takes eight bytes at a time."""
+    """Words between white space of a run of texts, as written; the hash takes eight bytes at a time."""
+
+    def __init__(self, buf: np.ndarray, off: np.ndarray):
+        super().__init__(buf, off, C.ASCII_SPACE, C.SAME)
+
+    def _block(self, b, cuts, sep, fold):
+        gap = (b == 0x20) | (b - np.uint8(9) < 5)
+        edge = np.empty(len(b) + 1, bool)
+        edge[0], edge[-1] = not gap[0], not gap[-1]
+        np.not_equal(gap[1:], gap[:-1], out=edge[1:-1])
+        at = np.flatnonzero(edge)
+        s, e = at[::2], at[1::2]
+        cuts = cuts[(cuts > 0) & (cuts < len(b))]
+        cuts = np.unique(cuts[~gap[cuts] & ~gap[cuts - 1]])
+        if len(cuts):  # a text may end without a separator before the next one begins
+            s, e = np.sort(np.concatenate([s, cuts])), np.sort(np.concatenate([e, cuts]))
+        return self._of(b, s, e - s), s, e
 
     @staticmethod
-    def _hash(b, starts, lens, fold):
-        at = np.cumsum(lens) - lens
+    def _of(b, start, lens):
         eight = np.ndarray(len(b) + 1, "<u8", np.append(b, np.zeros(8, np.uint8)), strides=(1,))  # from each byte on
-        h = C.mix((eight[at] & FIRST[np.minimum(lens, 8)]) * np.uint64(0x9E3779B97F4A7C15) + lens.astype(np.uint64))
+        h = C.mix((eight[start] & FIRST[np.minimum(lens, 8)]) * np.uint64(0x9E3779B97F4A7C15) + lens.astype(np.uint64))
         more, done = np.flatnonzero(lens > 8), 8
         while len(more):
-            x = eight[at[more] + done] & FIRST[np.minimum(lens[more] - done, 8)]
+            x = eight[start[more] + done] & FIRST[np.minimum(lens[more] - done, 8)]
             h[more] = C.mix(h[more] * np.uint64(0xD6E8FEB86659FD93) + C.mix(x + np.uint64(done)))
             done += 8
             more = more[lens[more] > done]
@@ -290,10 +305,10 @@ class Deal(C.Shipped):
     """The shard of each context: that of its last word, and for words that are too frequent for one shard one of several,
     by the word before. Ranges take every ``ranges``-th shard."""
 
-    def __init__(self, shards: int, ranges: int, hot: dict[int, int], most: int):
+    def __init__(self, shards: int, ranges: int, hot: dict[int, int]):
         self.shards, self.ranges = shards, ranges
         self.hot = np.sort(np.array(list(hot), np.int64).view(np.uint64))
-        self.parts = np.array([min(shards, hot[int(w)] // most + 1) for w in self.hot.view(np.int64)], np.uint64)
+        self.parts = np.array([min(shards, hot[int(w)] // SHARD_WORDS + 1) for w in self.hot.view(np.int64)], np.uint64)
         self.slot_bits = (shards // ranges - 1).bit_length()
 
     def shard(self, v: np.ndarray, by: np.ndarray | None = None) -> np.ndarray:
@@ -317,9 +332,9 @@ def _runs(batches, skip=None):
     for b in batches:
         if skip is not None:
             b = b.filter(pa.array(~skip.value.has(b.column("hid").to_numpy().view(np.uint64))))
-        for i, buf, off in C.doc_slices(b.column("text"), 4 << 20):
+        for i, buf, off in C.doc_slices(b.column("text"), 8 << 20, 4096):
             key = b.column("key").slice(i, len(off) - 1).to_numpy(zero_copy_only=False)
-            words = TextWords(buf, off, C.ASCII_SPACE, C.SAME)
+            words = TextWords(buf, off)
             yield key, *_padded(words.hash, words.first)
 
 
@@ -364,27 +379,34 @@ def _asked(batches, deal, r, held, hot_pairs, skip=None):
         v, p, d = w[at - 1], w[at - 2], doc[at]
         own, alone = deal.shard(v, p), deal.shard(v)
         hot = _find(deal.hot, v)[1]
-        pair_at = deal.shard(v, w[at]) if hot.any() else alone
-        grams, docs, shards = [], [], []
+        asked = []
 
-        def ask(x, where, shard, known=None):
-            may = held.value.has(deal.slot(x, shard))
-            if known is not None:
-                may = np.where(hot[where], known(x) if hot.any() else False, may)
+        def ask(x, where, shard, may):
             may = np.flatnonzero(may)
-            grams.append(x[may])
-            docs.append(d[where[may]])
-            shards.append(shard[may])
+            asked.append((x[may], d[where[may]], shard[may]))
+
+        def has(x, shard):
+            return held.value.has(deal.slot(x, shard))
 
         x = np.flatnonzero(alone % deal.ranges == r)
-        ask(v[x], x, alone[x], lambda g: np.ones(len(g), bool))
-        x = np.flatnonzero(pair_at % deal.ranges == r)
-        ask(_extended(v[x], w[at[x]]), x, pair_at[x], lambda g: hot_pairs.value.has(g))
+        ask(v[x], x, alone[x], hot[x] | has(v[x], alone[x]))
+        if hot.any():  # their pairs are in a shard of their own, by the second word
+            x = np.flatnonzero(hot)
+            pair_at = deal.shard(v[x], w[at[x]])
+            mine = pair_at % deal.ranges == r
+            x, pair_at = x[mine], pair_at[mine]
+            pair = _extended(v[x], w[at[x]])
+            ask(pair, x, pair_at, hot_pairs.value.has(pair))
         x = np.flatnonzero(own % deal.ranges == r)
-        context = _extended(p[x], v[x])
-        ask(~context, x, own[x])
-        ask(_extended(context, w[at[x]]), x, own[x])
-        grams, docs, shards = (np.concatenate(x) for x in (grams, docs, shards))
+        x = x[hot[x] | has(v[x], own[x])]  # without its middle word, or its context or end, no n-gram is in the model
+        pair, context = _extended(v[x], w[at[x]]), _extended(p[x], v[x])
+        cold, known = ~hot[x] & has(pair, own[x]), has(~context, own[x])
+        ask(pair, x, own[x], cold)
+        ask(~context, x, own[x], known)
+        known &= hot[x] | cold
+        x, gram = x[known], _extended(context[known], w[at[x[known]]])
+        ask(gram, x, own[x], has(gram, own[x]))
+        grams, docs, shards = (np.concatenate(x) for x in zip(*asked, strict=True))
         order = np.argsort(grams, kind="stable")  # texts stay in order
         grams, docs, shards = grams[order], docs[order], shards[order]
         rows = []
@@ -443,7 +465,7 @@ class Counted:
         self.hot_at, self.hot = _find(deal.hot, self.v)
 
 
-_COUNTS = "kind int, shard int, v long, w long, n long, only long, gram long, home int, bits binary"
+_COUNTS = "kind int, shard int, v long, w long, n long, only long, bits binary"
 WORD, HOT, COUNTS, TABLE = range(4)
 
 
@@ -468,8 +490,6 @@ def _shard_counts(blobs: pa.Table, deal: Deal, bits: int) -> pa.Table:
         "w": column(signed(w), signed(m.w[hot]), np.arange(8), none(1)),
         "n": column(n, m.pair_n[hot], np.concatenate(counts), none(1)),
         "only": column(_sole(m.pair_only[cold], order, start), m.pair_only[hot], none(9)),
-        "gram": column(none(len(w)), signed(m.pair[hot]), none(9)),
-        "home": column(none(len(w), pa.int32()), pa.array(deal.shard(m.v[hot], m.w[hot]), pa.int32()), none(9, pa.int32())),
         "bits": column(none(len(kind) - 1, pa.binary()), pa.array([np.packbits(table, bitorder="little").tobytes()], pa.binary()))})
 
 
@@ -568,12 +588,20 @@ def _shard_gains(blobs: pa.Table, tables: pa.Table, deal: Deal, facts: Facts) ->
     return pa.table({"key": key[some], "gain": gain[some]})
 
 
+def _at_home(batches, deal):
+    """Pairs of hot words with their hash and the shard that is asked for them."""
+    for b in batches:
+        v, w = (b.column(c).to_numpy().view(np.uint64) for c in "vw")
+        b = b.append_column("gram", pa.array(_extended(v, w).view(np.int64)))
+        yield b.append_column("home", pa.array(deal.shard(v, w), pa.int32()))
+
+
 def _word_spelling(batches, spelling):
     """Distinct words of each run of texts, the end among them, how often each occurs and the bits of its spelling."""
     for batch in batches:
         for _, buf, off in C.doc_slices(batch.column("text"), 4 << 20):
             table = spelling.value.table()
-            words = TextWords(buf, off, C.ASCII_SPACE, C.SAME)
+            words = TextWords(buf, off)
             h, one, n = np.unique(words.hash, return_index=True, return_counts=True)
             cost = spelled(buf, words.start[one], words.end[one], table)  # the end is an empty word
             yield pa.RecordBatch.from_arrays([pa.array(np.append(h, END).view(np.int64)), pa.array(np.append(n, len(off) - 1)),
@@ -594,9 +622,9 @@ class Words:
             total = spell.agg(F.sum("n")).first()[0]
             shards = -(-int(max(total, total * all_bytes / size / 8)) // SHARD_WORDS)
             shards = -(-shards // ranges) * ranges
-            end, most = int(END.view(np.int64)), max(1, SHARD_WORDS // 2)
-            hot = {x["w"]: x["n"] for x in spell.where((F.col("n") > most) & (F.col("w") != end)).select("w", "n").collect()}  # at most 2 a shard
-            deal = self.deal = Deal(shards, ranges, hot, most)
+            end = int(END.view(np.int64))
+            hot = {x["w"]: x["n"] for x in spell.where((F.col("n") > SHARD_WORDS) & (F.col("w") != end)).select("w", "n").collect()}  # fewer than shards
+            deal = self.deal = Deal(shards, ranges, hot)
             bits = self.bits = max(3, min(SLOT_BITS, FILTER_BITS - deal.slot_bits))
             counts = []
             for r in range(ranges):
@@ -604,7 +632,7 @@ class Words:
                 counts.append(scratch.stored(blobs.groupBy("shard").applyInArrow(lambda t: _shard_counts(t, deal, bits), _COUNTS), f"counts-{r}"))
             self.counts = functools.reduce(DataFrame.unionByName, counts)
             pairs = self.counts.where(F.col("kind") == HOT)
-            self.hot = scratch.stored(pairs.groupBy("v", "w").agg(F.sum("n").alias("n"), _only(), F.min("gram").alias("gram"), F.min("home").alias("home")), "hot-pairs")
+            self.hot = scratch.stored(pairs.groupBy("v", "w").agg(F.sum("n").alias("n"), _only()), "hot-pairs")
             found = self.counts.where(F.col("kind") == COUNTS).groupBy("w").agg(F.sum("n").alias("n")).collect()
             found = {x["w"]: x["n"] for x in found}
             more = self.hot.agg(*[F.count_if(F.col("n") == k).alias(f"y{k}") for k in (1, 2, 3, 4)]).first()
@@ -626,6 +654,12 @@ class Words:
         totals = totals.join(self.words.hint("merge"), F.col("v") == F.col("w")).select("v", "total", "rest", "only", (F.col("value") + F.col("rest")).alias("value"))
         self.facts = Facts(self.d2, self.d3, deal, totals.collect())
 
+    def _home(self, r: int) -> DataFrame:
+        """The hot words' pairs that a shard of range ``r`` is asked for."""
+        deal = self.deal
+        pairs = self.hot.mapInArrow(lambda b: _at_home(b, deal), "v long, w long, n long, only long, gram long, home int")
+        return pairs.where(F.pmod(F.col("home"), F.lit(deal.ranges)) == r)
+
     def _tables(self, r: int) -> DataFrame:
         """What the shards of range ``r`` need of the words: log P of the ends, values of the shard's own words, and counts of
         the hot words' pairs, for those shards that have them and for the one that is asked for them."""
@@ -638,10 +672,11 @@ class Words:
         own = self.words.withColumn("shard", F.pmod(F.shiftrightunsigned("w", 16), F.lit(self.deal.shards)).cast("int"))
         out = out.unionByName(own.where(mine("shard")).select(*row(VALUE, "shard", none, none, F.col("only"), "value")))
         if len(self.deal.hot):
-            pairs = self.hot.join(words.select("w", "log_p"), "w")
+            log_p = words.select("w", "log_p")
+            pairs = self.hot.join(log_p, "w")
             has = self.counts.where((F.col("kind") == HOT) & mine("shard")).select("shard", "v", "w")
             has = has.join(pairs.select("v", "w", "n", "only", "log_p").hint("merge"), ["v", "w"])
-            for kind, x, shard in ((PAIR, has, "shard"), (HOME, pairs.where(mine("home")), "home")):
+            for kind, x, shard in ((PAIR, has, "shard"), (HOME, self._home(r).join(log_p, "w"), "home")):
                 out = out.unionByName(x.select(*row(kind, shard, F.col("v"), F.col("n"), F.col("only"), "log_p")))
         return out
 
@@ -655,13 +690,14 @@ class Words:
             for x in found.select("shard", "bits").collect():  # 2**FILTER_BITS bits at most
                 held[x["shard"] // deal.ranges] = np.frombuffer(bytes(x["bits"]), np.uint8)
             held = sc.broadcast(C.BitSet(held.reshape(-1), deal.slot_bits + self.bits))
-            own = self.hot.where(F.pmod(F.col("home"), F.lit(deal.ranges)) == r)
-            pairs = sc.broadcast(C.set_bits(own, "gram", FILTER_BITS) if len(deal.hot) else None)
+            pairs = sc.broadcast(C.set_bits(self._home(r), "gram", FILTER_BITS) if len(deal.hot) else None)
             blobs = self.texts.mapInArrow(lambda b, r=r: _trusted_words(b, deal, r), _BLOBS)
             blobs = blobs.unionByName(others.mapInArrow(lambda b, r=r, h=held, p=pairs: _asked(b, deal, r, h, p, skip), _BLOBS))
             blobs = blobs.unionByName(missed.mapInArrow(lambda b, r=r, h=held, p=pairs: _asked(b, deal, r, h, p), _BLOBS))
-            found = blobs.groupBy("shard").cogroup(self._tables(r).groupBy("shard")).applyInArrow(lambda b, t: _shard_gains(b, t, deal, facts), "key long, gain double")
-            out.append(self.scratch.stored(found.groupBy("key").agg(F.sum("gain").alias("gain")), f"gains-{r}"))
+            with self.scratch.part(f"tables-{r}") as own:
+                tables = own.stored(self._tables(r), "tables")
+                found = blobs.groupBy("shard").cogroup(tables.groupBy("shard")).applyInArrow(lambda b, t: _shard_gains(b, t, deal, facts), "key long, gain double")
+                out.append(self.scratch.stored(found.groupBy("key").agg(F.sum("gain").alias("gain")), f"gains-{r}"))
             for x in (held, pairs):
                 x.destroy()
         return functools.reduce(DataFrame.unionByName, out).groupBy("key").agg(F.sum("gain").alias("gain"))
@@ -677,7 +713,7 @@ def _local(batches, spelling, first):
                 in_place, at = table[grams(buf, off)].astype(np.float64), np.flatnonzero(n)
                 if len(at):
                     classes[at] = np.add.reduceat(in_place, off[:-1][at])
-                words = TextWords(buf, off, C.ASCII_SPACE, C.SAME)
+                words = TextWords(buf, off)
                 doc = np.repeat(np.arange(len(n)), np.diff(words.first))
                 _, one, word = np.unique(words.hash, return_index=True, return_inverse=True)
                 total += np.bincount(doc, (spelled(buf, words.start[one], words.end[one], table) + first)[word], len(n))

@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -606,3 +607,32 @@ def test_full_cache_of_parts_keeps_what_the_run_has(monkeypatch):
     got = enc.encode(texts)
     assert enc.tok.words - before < 40
     assert got == [np.array(e.ids, "<u4").tobytes() for e in enc.tok.tok.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+
+
+def test_words_too_frequent_for_a_shard(spark, monkeypatch):
+    """A word with more places than a shard takes is dealt to several: scores stay, and no shard has all of its places."""
+    rows = [(i, " ".join(f"the {x}" if k % 3 else x for k, x in enumerate(_words(20 + i))), "en") for i in range(40)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    lab = spark.createDataFrame([(i, 1, 0) for i in range(0, 40, 2)], "doc_id long, quality int, toxic int")
+    scores = lambda: sorted((r.doc_id, r.n_bytes, r.kept, r.perplexity) for r in perplexity.classify(table, lab).collect())
+    one, deals, made = scores(), [], perplexity.Deal.__init__
+    monkeypatch.setattr(perplexity, "SHARD_WORDS", 64)
+    monkeypatch.setattr(perplexity, "RANGE_BYTES", 1)
+    monkeypatch.setattr(perplexity.Deal, "__init__", lambda self, *a: (made(self, *a), deals.append(self))[0])
+    several = scores()
+    assert len(deals[0].hot) and deals[0].parts.max() > 1 and deals[0].ranges > 1
+    assert [x[:3] for x in one] == [x[:3] for x in several] and np.allclose([x[3] for x in one], [x[3] for x in several], rtol=1e-9)
+
+
+def test_trusted_words_are_dealt_packed():
+    """Every 3-gram of the texts reaches one shard of one range, in under 24 bytes, what three hashes take."""
+    texts = [" ".join(_words(4000 + i)) for i in range(8)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8), pa.int64()), pa.array(texts)], names=["key", "text"])
+    deal, places, size = perplexity.Deal(6, 2, {}), 0, 0
+    for r in range(2):
+        for b in perplexity._trusted_words([batch], deal, r):
+            for shard, trusted, n, payload in zip(*(b.column(c).to_pylist() for c in b.schema.names), strict=True):
+                v, p, w, keys, counts = perplexity._unpack(n, payload)
+                assert trusted and shard % 2 == r and (deal.shard(v, p) == shard).all() and len(v) == len(p) == len(w) == counts.sum() and set(keys) <= set(range(8))
+                places, size = places + len(w), size + len(payload)
+    assert places == sum(len(t.split()) + 1 for t in texts) and size < 24 * places
