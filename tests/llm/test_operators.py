@@ -615,10 +615,10 @@ def test_words_too_frequent_for_a_shard(spark, monkeypatch):
     table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     lab = spark.createDataFrame([(i, 1, 0) for i in range(0, 40, 2)], "doc_id long, quality int, toxic int")
     scores = lambda: sorted((r.doc_id, r.n_bytes, r.kept, r.perplexity) for r in perplexity.classify(table, lab).collect())
-    one, deals, made = scores(), [], perplexity.Deal.__init__
+    one, deals, gains = scores(), [], perplexity.Words.gains
     monkeypatch.setattr(perplexity, "SHARD_WORDS", 64)
     monkeypatch.setattr(perplexity, "RANGE_BYTES", 1)
-    monkeypatch.setattr(perplexity.Deal, "__init__", lambda self, *a: (made(self, *a), deals.append(self))[0])
+    monkeypatch.setattr(perplexity.Words, "gains", lambda self, *a: deals.append(self.deal) or gains(self, *a))
     several = scores()
     assert len(deals[0].hot) and deals[0].parts.max() > 1 and deals[0].ranges > 1
     assert [x[:3] for x in one] == [x[:3] for x in several] and np.allclose([x[3] for x in one], [x[3] for x in several], rtol=1e-9)
