@@ -14,7 +14,9 @@ out of the way). Members are compared as 64-bit hashes.
    sets in members. No linked pair is lost by any of these.
 4. Pairs form clusters; each class ships its whole set to its cluster once. There a prefix tree holds the
    sets, ordered by hash: a set traverses it, overlap found so far is shared by all sets below a node, and a subtree
-   is left when what remains cannot bring the overlap to the least needed. Similarities are exact.
+   is left when what remains cannot bring the overlap to the least needed. The tree lies in arrays and is gone
+   through a level at a time, so a set that is near many and linked with none costs a pass over them, not a walk.
+   Similarities are exact.
 5. Links are turned into components by rounds of hooking on stored tables.
 
 A key's group and a cluster of more than ``LIMIT`` classes are cut into blocks and each pair of blocks
@@ -28,9 +30,6 @@ named columns are read.
 
 from __future__ import annotations
 
-import bisect
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 
@@ -176,92 +175,136 @@ class Parts:
 
 
 class Trie:
-    """Prefix tree of sorted hash sequences; a node is [children, members that end here, longest way down]."""
-
-    def __init__(self):
-        self.top = [{}, [], 0]
-
-    def add(self, seq, member):
-        node, left = self.top, len(seq)
-        for t in seq:
-            node[2] = max(node[2], left)
-            left -= 1
-            nxt = node[0].get(t)
-            if nxt is None:
-                nxt = node[0][t] = [{}, [], 0]
-            node = nxt
-        node[1].append(member)
-
-    def near(self, seq, least, most):
-        """(member, overlap) of sequences that share at least ``least`` tokens with ``seq`` and have at most ``most``
-        others; the branch that goes on alike comes first, the others are opened only when asked for."""
-        todo, n = [(self.top, 0, 0, 0, False)], len(seq)
-        while todo:
-            node, at, got, other, rest = todo.pop()
-            if not rest:
-                if other > most or got + min(node[2], n - at) < least:
-                    continue
-                if got >= least:
-                    for member in node[1]:
-                        yield member, got
-                if node[0]:
-                    todo.append((node, at, got, other, True))
-                    alike = node[0].get(seq[at]) if at < n else None
-                    if alike:
-                        todo.append((alike, at + 1, got + 1, other, False))
-                continue
-            for t, child in node[0].items():
-                if at < n and t == seq[at]:
-                    continue
-                p = bisect.bisect_left(seq, t, at)
-                if got + n - p < least:
-                    continue
-                if p < n and seq[p] == t:
-                    todo.append((child, p + 1, got + 1, other, False))
-                else:
-                    todo.append((child, p, got, other + 1, False))
+    """Prefix tree of sorted token sequences, as arrays; an edge holds the tokens up to the next branch or end.
+
+    Edges lie by level, and with them their tokens, so a level of the tree is a slice. Of a node are kept the number
+    of tokens on the way to it (``depth``), the longest way down and the sequences that end there; sequences that are
+    equal end at one node. Its size is that of the sequences at most."""
+
+    def __init__(self, seqs: list[np.ndarray]):
+        """Of the sequences (distinct tokens each) in their order."""
+        up, depth, rep, ends = [-1], [0], [0], [[]]   # node 0 is the top; rep is a sequence below the node
+        held = [0]
+
+        def node(d, i):
+            up.append(-1)
+            depth.append(d)
+            rep.append(i)
+            ends.append([])
+            return len(up) - 1
+
+        last = np.zeros(0, np.int64)
+        for i, seq in enumerate(seqs):
+            k = min(len(last), len(seq))
+            unlike = np.flatnonzero(last[:k] != seq[:k])
+            k = int(unlike[0]) if len(unlike) else k   # tokens in common with the one before
+            while depth[held[-1]] > k:
+                child = held.pop()
+                if depth[held[-1]] < k:
+                    held.append(node(k, rep[child]))
+                up[child] = held[-1]
+            if len(seq) > k:
+                held.append(node(len(seq), i))
+            ends[held[-1]].append(i)
+            last = seq
+        while len(held) > 1:
+            child = held.pop()
+            up[child] = held[-1]
+        up, depth = np.array(up), np.array(depth)
+        level, longest = np.zeros(len(up), np.int64), depth.copy()
+        for x in np.argsort(depth, kind="stable")[1:].tolist():
+            level[x] = level[up[x]] + 1
+        for x in np.argsort(-depth, kind="stable").tolist():
+            longest[up[x]] = max(longest[up[x]], longest[x])
+        order = np.argsort(level, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        up[0] = 0
+        self.up, self.depth, self.below = place[up[order]], depth[order], (longest - depth)[order]
+        self.levels = np.searchsorted(level[order], np.arange(1, level.max() + 2))   # the first is the top's only
+        cut = [seqs[rep[x]][depth[up[x]]:depth[x]] for x in order[1:].tolist()]
+        self.start = np.concatenate([[0, 0], np.cumsum([len(x) for x in cut], dtype=np.int64)])   # the top has no tokens
+        self.tokens = np.concatenate([*cut, np.zeros(0, np.int64)])
+        self.ends = [np.array(ends[x], np.int64) for x in order.tolist()]
+        self.ending = np.array([len(x) > 0 for x in self.ends])
+
+    def near(self, seq: np.ndarray, has: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """Members (sequences by their order) that share at least ``least`` tokens with ``seq`` and have at most
+        ``most`` others, and how many they share; ``has`` tells of each token whether ``seq`` has it.
+
+        The tree is gone through level by level. The overlap so far is that of all sequences below a node, which is
+        left when it has too many others or too few tokens remain."""
+        got = np.zeros(len(self.up), np.int64)
+        live = np.zeros(len(self.up), bool)
+        live[0] = min(self.below[0], len(seq)) >= least
+        for lo, hi in zip(self.levels, self.levels[1:], strict=False):
+            at = np.flatnonzero(live[self.up[lo:hi]]) + lo
+            if not len(at):
+                break
+            first, size = self.start[at], self.start[at + 1] - self.start[at]
+            if 8 * len(at) > hi - lo:
+                alike = np.add.reduceat(has.take(self.tokens[self.start[lo]:self.start[hi]]), self.start[lo:hi] - self.start[lo], dtype=np.int64)[at - lo]
+            else:
+                end = np.cumsum(size)
+                alike = np.add.reduceat(has.take(self.tokens[np.repeat(first - end + size, size) + np.arange(end[-1])]), end - size, dtype=np.int64)
+            both = got[self.up[at]] + alike
+            left = len(seq) - np.searchsorted(seq, self.tokens[first + size - 1], side="right")
+            got[at] = both
+            live[at] = (self.depth[at] - both <= most) & (both + np.minimum(self.below[at], left) >= least)
+        found = np.flatnonzero(live & self.ending & (got >= least))
+        members = [self.ends[x] for x in found]
+        return (np.concatenate(members) if members else np.zeros(0, np.int64)), np.repeat(got[found], [len(x) for x in members])
 
 
 def _connect(parts: Parts, seqs, able, linked, near) -> list[tuple[int, int]]:
     """Links that connect the able members that ``linked`` connects.
 
     Neighbours in the order of their sequences are tried first; then all members but those of the largest
-    part ask the tree, since a link that is still missing has one of them at an end."""
-    able = np.flatnonzero(able).tolist()
-    seqs = {j: seqs[j].tolist() for j in able}
-    left = len(able)
+    part ask the tree, since a link that is still missing has one of them at an end. Sequences are of local tokens,
+    numbered in their order; ``linked`` takes members and, if known, how many tokens they share."""
+    row = np.array(sorted(np.flatnonzero(able).tolist(), key=lambda j: seqs[j].tolist()), np.int64)
+    root = np.arange(len(seqs))
+    left = len(row)
 
-    def join(i, j, both=None):
+    def join(i, j):
         nonlocal left
-        if parts.root(i) != parts.root(j) and linked(i, j, both):
-            parts.join(i, j)
+        a, b = sorted((int(root[i]), int(root[j])))
+        if a != b:
+            parts.join(int(i), int(j))
+            root[root == b] = a
             left -= 1
 
-    row = sorted(able, key=seqs.get)
     for i, j in zip(row, row[1:], strict=False):
-        join(i, j)
+        if linked(i, j):
+            join(i, j)
     if left > 1:
-        largest = Counter(parts.root(j) for j in able).most_common(1)[0][0]
-        tree = Trie()
-        for j in able:
-            tree.add(seqs[j], j)
-        for j in able:
-            if parts.root(j) == parts.root(largest):
+        largest = np.bincount(root[row]).argmax()
+        tree = Trie([seqs[j] for j in row])
+        has = np.zeros(max(int(seqs[j].max(initial=-1)) for j in row) + 1, bool)
+        for j in np.sort(row):
+            if root[j] == root[largest]:
                 continue
-            for i, both in near(tree, seqs[j], j):
-                join(i, j, both)
-                if left == 1:
-                    return parts.links()
+            has[seqs[j]] = True
+            at, both = near(tree, seqs[j], has, j)
+            has[seqs[j]] = False
+            other = root[row[at]] != root[j]
+            i = row[at[other]]
+            for i in i[linked(i, j, both[other])]:
+                join(i, j)
+            if left == 1:
+                break
     return parts.links()
 
 
 def _shared(sets, sizes, least):
-    """For each set its members that more than one set has, and whether they are enough."""
+    """For each set its members that more than one set has, by their places among these members, and whether they are
+    enough."""
     m = len(sets)
     owner, tokens = np.repeat(np.arange(m), [len(x) for x in sets]), np.concatenate(sets)
     _, which, times = np.unique(tokens, return_inverse=True, return_counts=True)
     shared = times[which] > 1
-    return (np.split(tokens[shared], np.searchsorted(owner[shared], np.arange(1, m))),
+    which = (np.cumsum(times > 1) - 1)[which[shared]]
+    return (np.split(which, np.searchsorted(owner[shared], np.arange(1, m))),
             np.bincount(owner[shared], minlength=m) >= least)
 
 
@@ -293,7 +336,8 @@ def candidate_links(group, n, pos, raw) -> list[tuple[int, int]]:
 
     In the order of sizes, rows are first compared with the few before them. Then all rows but those of a group's
     largest part are compared with the rows of other parts that have a fitting size, since a link that is still
-    missing has one of them at an end. Of the links between two parts one is given."""
+    missing has one of them at an end; a row that has come to the largest part is done. Of the links between two
+    parts one is given."""
     if not len(group):
         return []
     order = np.lexsort((n, group))
@@ -317,14 +361,18 @@ def candidate_links(group, n, pos, raw) -> list[tuple[int, int]]:
                         out[some[k]] = alike(x[place[a[k]]], y[place[b[k]]], n[a[k]], n[b[k]])
         return out
 
-    rows, part = len(group), Parts(len(group))
-    root = np.arange(rows)
+    rows = len(group)
+    edge = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))
+    of = np.repeat(np.arange(len(edge) - 1), np.diff(edge))
+    root = np.arange(rows)   # the first row of each row's part
     links = []
 
     def join(i, j):
         for a, b in zip(i.tolist(), j.tolist(), strict=True):
-            if part.root(a) != part.root(b):
-                part.join(a, b)
+            x, y = sorted((int(root[a]), int(root[b])))
+            if x != y:
+                own = root[edge[of[a]]:edge[of[a] + 1]]
+                own[own == y] = x
                 links.append((a, b))
 
     for k in range(1, NEAR + 1):
@@ -333,24 +381,20 @@ def candidate_links(group, n, pos, raw) -> list[tuple[int, int]]:
             j = j[root[j] != root[j - k]]
         j = j[check(j - k, j)]
         join(j - k, j)
-        root = np.array([part.root(x) for x in range(rows)], np.int64) if len(j) else root
-    first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-    of = np.cumsum(np.append(True, group[1:] != group[:-1])) - 1
     size = np.bincount(root, minlength=rows)[root]   # of the row's part
-    largest = np.zeros(len(first), np.int64)
-    best = np.lexsort((size, of))   # the last of each group has its largest part
-    largest[of[best]] = root[best]
-    main = root == largest[of]
-    asks = np.flatnonzero(~main)
-    for step in (-1, 1):   # before a row all others, after it those of the largest part (the others ask themselves)
+    best = np.lexsort((size, of))[edge[1:] - 1]   # the last of each group is in its largest part
+    main = lambda i: root[i] == root[best[of[i]]]
+    asks = np.flatnonzero(~main(np.arange(rows)))
+    for step in (-1, 1):   # before a row all others, after it those of the largest part (the others have asked themselves)
         j, d = asks, 1
         while len(j):
+            j = j[~main(j)]   # what has come to the largest part since then is asked by the others
             i = j + step * d
             ok = (i >= 0) & (i < rows)
             ok[ok] = group[i[ok]] == group[j[ok]]
             ok[ok] = OF * np.minimum(n[i[ok]], n[j[ok]]) >= NEED * np.maximum(n[i[ok]], n[j[ok]])   # sizes only part from here on
             j, i = j[ok], i[ok]
-            new = np.flatnonzero((root[i] != root[j]) & (main[i] | (step < 0)))
+            new = np.flatnonzero((root[i] != root[j]) & (main(i) | (step < 0)))
             hit = new[check(i[new], j[new])]
             join(i[hit], j[hit])
             d += 1
@@ -366,11 +410,12 @@ def exact_links(sets) -> list[tuple[int, int]]:
     parts = Parts(m)
 
     def linked(i, j, both=None):
-        if OF * min(sizes[i], sizes[j]) < NEED * max(sizes[i], sizes[j]):
-            return False
+        """Whether the set j is linked with i; i and both may be arrays."""
         if both is None:
+            if OF * min(sizes[i], sizes[j]) < NEED * max(sizes[i], sizes[j]):
+                return False
             both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-        return OF * both >= NEED * (int(sizes[i] + sizes[j]) - both)
+        return OF * both >= NEED * (sizes[i] + sizes[j] - both)
 
     if m <= SMALL:
         for j in range(1, m):
@@ -381,7 +426,7 @@ def exact_links(sets) -> list[tuple[int, int]]:
     least = -(-NEED * sizes // OF)
     seqs, able = _shared(sets, sizes, least)
     return _connect(parts, seqs, able, linked,
-                    lambda tree, seq, j: tree.near(seq, int(least[j]), (OF - NEED) * int(sizes[j]) // NEED))
+                    lambda tree, seq, has, j: tree.near(seq, has, int(least[j]), (OF - NEED) * int(sizes[j]) // NEED))
 
 
 def _blocks(df: DataFrame, group: str, member: str, limit: int) -> DataFrame:

@@ -100,6 +100,26 @@ def test_trie_finds_what_all_pairs_find():
         assert _roots(14, jaccard_join.exact_links(sets)) == _roots(14, full)
 
 
+def test_copies_that_miss_the_limit_cost_a_pass_each():
+    """A cluster of copies of which many are linked with none: each asks the tree about all others."""
+    rng = np.random.default_rng(12)
+    base = rng.permutation(np.unique(rng.integers(0, 2**63, 396, dtype=np.uint64)))
+    sets = []
+    for i in range(400):
+        lost = (rng.choice(390, 4 if i % 5 else 11, replace=False)[:, None] + np.arange(5)).ravel()
+        sets.append(np.union1d(np.delete(base, lost), rng.integers(0, 2**63, 20 if i % 5 else 55, dtype=np.uint64)))
+    began = time.process_time()
+    got = _roots(400, jaccard_join.exact_links(sets))
+    assert time.process_time() - began < 4
+    size = np.array([len(s) for s in sets])
+    held = np.searchsorted(base_in_order := np.sort(base), np.concatenate(sets)).clip(max=len(base) - 1)
+    m = np.zeros((400, len(base)), np.int64)
+    m[np.repeat(np.arange(400), size), held] = base_in_order[held] == np.concatenate(sets)
+    both = m @ m.T   # what is not of the base stands in one set
+    full = np.argwhere(np.tril(100 * both >= 80 * (size[:, None] + size - both), -1))
+    assert got == _roots(400, full.tolist()) and len(set(got)) > 50
+
+
 def _linked(x, y):
     return 100 * len(np.intersect1d(x, y)) >= 80 * len(np.union1d(x, y))
 
