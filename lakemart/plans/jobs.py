@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from lakemart import schemas
 from lakemart.plans import incremental, star
-from lakemart.session import build_session, ensure_checkpoint_dir, scratch_path
+from lakemart.session import build_session, ensure_checkpoint_dir, scratch_path, step_scratch
 from lakemart.operators.project import filter_nonempty
 from lakemart.sources import readers, sinks
 
@@ -167,12 +167,19 @@ def star_merge(spark: SparkSession, song_dir: str, log_dir: str, out_dir: str, b
                resolve_late: bool = False, one_song_per_file: bool = True) -> dict[str, DataFrame]:
     """Load the files of two growing folders into the star schema stored in ``out_dir``, each file once.
 
-    Files are known by path, size and time. New ones are the next batch. If a loaded file has changed, its
+    Files are JSON lines, plain or compressed by gzip, and known by path, size and time. New ones are the next batch. If a loaded file has changed, its
     batch is loaded again from the files as they are now; a loaded file that is gone is an error, as its rows
     could not be told from others. With ``batch`` both folders, whole, are that batch. Without new or changed
-    files nothing is loaded. ``resolve_late`` looks up earlier listens without a match in what a batch adds."""
-    listed = (readers.list_files(spark, song_dir).withColumn("kind", F.lit("song"))
-              .unionByName(readers.list_files(spark, log_dir).withColumn("kind", F.lit("log"))))
+    files nothing is loaded. ``resolve_late`` looks up earlier listens without a match in what a batch adds.
+    What a load writes besides the store is deleted when it ends."""
+    with step_scratch(spark):
+        return _star_merge(spark, song_dir, log_dir, out_dir, batch, resolve_late, one_song_per_file)
+
+
+def _star_merge(spark: SparkSession, song_dir: str, log_dir: str, out_dir: str, batch: int | None,
+                resolve_late: bool, one_song_per_file: bool) -> dict[str, DataFrame]:
+    listed = (readers.list_files(spark, song_dir, readers.JSON_FILES).withColumn("kind", F.lit("song"))
+              .unionByName(readers.list_files(spark, log_dir, readers.JSON_FILES).withColumn("kind", F.lit("log"))))
     listed = _staged(spark, listed.select("kind", "path", "size", "modified"), "listed-files")
 
     def load(files: DataFrame, number: int | None) -> dict[str, DataFrame]:
@@ -181,15 +188,16 @@ def star_merge(spark: SparkSession, song_dir: str, log_dir: str, out_dir: str, b
             paths[r["kind"]].append(r["path"])
 
         def tree(kind, schema):
-            return readers.read_json_tree(spark, paths[kind], schema) if paths[kind] else spark.createDataFrame([], schema)
+            return readers.read_json_tree(spark, paths[kind], schema, readers.JSON_FILES) if paths[kind] else spark.createDataFrame([], schema)
 
         docs = _with_arrival_order(tree("song", schemas.SONG_JSON)) if paths["song"] else (
             tree("song", schemas.SONG_JSON).withColumns({"_file": F.lit(""), "_line": F.struct(F.lit(0).cast("long"), F.lit(0).cast("long"))}))
         if one_song_per_file and paths["song"]:
             docs = readers.first_record_per_file(docs, ["_line"])
-        return incremental.load_batch(spark, out_dir, _staged(spark, tree("log", schemas.LOG_JSON), "raw-log"),
-                                      _staged(spark, docs, "song-documents"), number, star.LOG_ORDER, _FILE_ORDER,
-                                      resolve_late=resolve_late, files=files)
+        with step_scratch(spark):   # the tables returned read the store
+            return incremental.load_batch(spark, out_dir, _staged(spark, tree("log", schemas.LOG_JSON), "raw-log"),
+                                          _staged(spark, docs, "song-documents"), number, star.LOG_ORDER, _FILE_ORDER,
+                                          resolve_late=resolve_late, files=files)
 
     if batch is not None:
         return load(listed, batch)

@@ -11,6 +11,8 @@ import os
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
@@ -78,16 +80,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for tables a job writes and reads back.
 
-    Returned DataFrames read these folders lazily, so they are never removed by the library.
+    Returned DataFrames read these folders lazily, so they are not removed by the library, but for those of a
+    ``step_scratch``.
     """
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/lakemart-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    base = _STEP.get() or f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakemart-scratch"
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_STEP: ContextVar[str | None] = ContextVar("step", default=None)   # the folder of the step that runs
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def step_scratch(spark: SparkSession):
+    """Scratch folders that are made inside are deleted at the end, so nothing that reads them may leave the step;
+    meanwhile Spark deletes the shuffle files of each query when the query ends, not when the driver has collected
+    its garbage."""
+    path, before = scratch_path(spark, "step"), spark.conf.get(_CLEANUP, "false")
+    outer = _STEP.set(path)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        _STEP.reset(outer)
+        spark.conf.set(_CLEANUP, before)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def together(*steps):
     """Run independent steps at the same time, each submitting its Spark jobs from its own thread; their results."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        return [f.result() for f in [pool.submit(s) for s in steps]]
+        return [f.result() for f in [pool.submit(copy_context().run, s) for s in steps]]
 
 
 def table_path(sf_dir: str, name: str) -> str:

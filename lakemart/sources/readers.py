@@ -47,6 +47,10 @@ def read_csv_typed(spark: SparkSession, path: str, text_schema: T.StructType, ty
     return cast_to(read_csv_tree(spark, path, text_schema, header, multi_line=multi_line), typed_schema)
 
 
+#: JSON files, plain or compressed.
+JSON_FILES = "*.{json,json.gz}"
+
+
 def read_json_tree(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, glob: str = "*.json") -> DataFrame:
     """All JSON-lines files matching ``glob`` under ``path`` (or several paths) at any depth."""
     return (spark.read.schema(schema)

@@ -26,10 +26,15 @@ def write_csv_quoted(df: DataFrame, path: str, mode: str = "overwrite") -> None:
      .csv(path))
 
 
-def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
+def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (),
+                     compression: str | None = None, rows_per_file: int = 0) -> None:
     w = df.write.mode(mode).option("ignoreNullFields", False)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if compression:
+        w = w.option("compression", compression)
+    if rows_per_file:   # a compressed file is read by one task
+        w = w.option("maxRecordsPerFile", rows_per_file)
     w.json(path)
 
 

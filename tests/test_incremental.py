@@ -1,14 +1,18 @@
 """Batches and growing folders loaded into a stored star schema."""
 
 import glob
+import gzip
+import json
 import os
 
 import pytest
 
 from lakemart import schemas
-from lakemart.plans import incremental, jobs
+from lakemart.plans import incremental, jobs, queries
 from lakemart.plans.star import LOG_ORDER
+from lakemart.session import ensure_checkpoint_dir, read_table
 from pyspark.sql import functions as F
+from tests.conftest import SMALL_SF
 from tests.fixtures import LOG_ROWS, SONG_DOCS, write_json_lines
 
 
@@ -132,6 +136,36 @@ def test_a_growing_folder_is_loaded_once(spark, tmp_dir):
         jobs.star_merge(spark, songs, logs, store)
 
 
+def test_a_load_leaves_no_scratch_and_reads_compressed_files(spark, tmp_dir):
+    songs, logs, store = (os.path.join(tmp_dir, n) for n in ("songs", "logs", "store"))
+    for i, d in enumerate(SONG_DOCS):
+        _put(songs, f"TR{i}.json", [d])
+    _put(logs, "2018-11-28.json", LOG_ROWS[:3])
+    scratch = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "lakemart-scratch")
+    held = set(glob.glob(f"{scratch}/*"))
+    jobs.star_merge(spark, songs, logs, store)
+    with gzip.open(os.path.join(logs, "2018-11-29.json.gz"), "wt") as f:
+        f.writelines(json.dumps(r) + "\n" for r in LOG_ROWS[3:])
+    t = jobs.star_merge(spark, songs, logs, store)
+    assert set(glob.glob(f"{scratch}/*")) == held
+    assert [p[0] for p in _plays(t)] == list(range(1, 7)) and t["load_stats"].count() > 0
+    whole = jobs.star_merge(spark, songs, logs, os.path.join(tmp_dir, "whole"))
+    assert _plays(t) == _plays(whole)
+
+
+def test_a_growing_folder_holds_each_log_once(spark):
+    """Beside the store only the folder's files stay, in the size of the rows, not of their JSON text."""
+    scratch = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "lakemart-scratch")
+    held = set(glob.glob(f"{scratch}/*"))
+    assert queries.QUERIES["star_growing_folder"](spark, SMALL_SF).count() > 0
+    new = set(glob.glob(f"{scratch}/*")) - held
+    assert [os.path.basename(x).split("-")[0] for x in new] == ["growing"]
+    files = [f for f in glob.glob(f"{new.pop()}/logs/**/part-*", recursive=True) if not f.endswith(".crc")]
+    lines = spark.read.text(files)
+    size, text = sum(os.path.getsize(f) for f in files), lines.agg(F.sum(F.length("value") + 1)).first()[0]
+    assert lines.count() == read_table(spark, SMALL_SF, "lineitem").count() and size < text / 4
+
+
 def test_orders_of_batches_decide_users(spark, tmp_dir):
     store = os.path.join(tmp_dir, "store")
     later = dict(LOG_ROWS[4], ts=1, level="free", firstName="Other")
