@@ -133,6 +133,14 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
     A span is start * 32 + length; spans are neither united nor in order, see ``unite``. Texts that are
     equal to a smaller document's are left out: their bit is not set, and all their windows are repeats.
     """
+    with C.Scratch(docs.sparkSession, "repeats") as scratch:
+        spans, firsts = _repeats(docs, doc_id, text, window, anchor, bits, scratch)
+        return C.stored(spans, "repeat-spans"), firsts
+
+
+def _repeats(docs, doc_id, text, window, anchor, bits, scratch: C.Scratch):
+    """Spans that read tables of ``scratch``. Words are hashed in three passes over the texts: for seeds, for the seeds'
+    places (kept for both aggregate and join) and for windows (also kept)."""
     sc = docs.sparkSession.sparkContext
     src = _texts(docs, doc_id, text)
     side = window - anchor
@@ -150,31 +158,24 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
              .groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi"))
     table = sc.broadcast(C.set_bits(found, "h", bits))
 
-    def placed(b):
-        for w, ids, t32 in _slices(b, firsts.value):
-            at, h, d = _anchors(w, window, anchor)
-            ok = table.value.has(h)
-            at, h, d = at[ok], h[ok], d[ok]
-            yield w, at, h, d, _reach(w, at, d, window, anchor), ids[d], t32[d]
-
-    def more(w, at, d):
-        """The second hash of each reach."""
-        return _more(_reach(_Other(w), at, d, window, anchor))
-
-    def reaches(batches):
-        for b in batches:
-            for w, at, h, d, r, ids, _ in placed(b):
-                yield _batch(["doc", "reach", "more", "h"], ids, r.view(np.int64), more(w, at, d), h.view(np.int64))
+    def anchors(w):
+        """Anchors of texts that stand in the table of seeds."""
+        at, h, d = _anchors(w, window, anchor)
+        ok = table.value.has(h)
+        return at[ok], h[ok], d[ok]
 
-    def spots(batches):
+    def places(batches):
         for b in batches:
-            for w, at, _, d, r, ids, t32 in placed(b):
+            for w, ids, t32 in _slices(b, firsts.value):
+                at, h, d = anchors(w)
+                r, more = _reach(w, at, d, window, anchor), _more(_reach(_Other(w), at, d, window, anchor))
                 s, e = np.maximum(at - side, w.first[d]), np.minimum(at + window, w.first[d + 1])
-                yield _batch(["doc", "reach", "more", "spot"], ids, r.view(np.int64), more(w, at, d), _spot(t32, s - w.first[d], e - s))
+                yield _batch(["doc", "reach", "more", "h", "spot"], ids[d], r.view(np.int64), more, h.view(np.int64),
+                             _spot(t32[d], s - w.first[d], e - s))
 
-    least = C.stored(src.mapInArrow(reaches, "doc long, reach long, more int, h long")
-                     .groupBy("reach", "more").agg(F.min("doc").alias("lo"), F.min("h").alias("h")), "least-of-reach")
-    whole = (src.mapInArrow(spots, "doc long, reach long, more int, spot long").join(least.select("reach", "more", "lo"), ["reach", "more"])
+    placed = scratch.stored(src.mapInArrow(places, "doc long, reach long, more int, h long, spot long"), "places")
+    least = scratch.stored(placed.groupBy("reach", "more").agg(F.min("doc").alias("lo"), F.min("h").alias("h")), "least-of-reach")
+    whole = (placed.select("doc", "reach", "more", "spot").join(least.select("reach", "more", "lo"), ["reach", "more"])
              .where("lo < doc").select("doc", "spot"))
 
     mixed = least.groupBy("h").agg(F.min("lo").alias("a"), F.max("lo").alias("b")).where("a < b").select("h")
@@ -190,8 +191,10 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
 
     def windows(batches):
         for b in batches:
-            for w, at, _, d, r, ids, t32 in placed(b):
-                ok = parts.value.has(_key(r, ids))
+            for w, ids, t32 in _slices(b, firsts.value):
+                at, _, d = anchors(w)
+                ids, t32 = ids[d], t32[d]
+                ok = parts.value.has(_key(_reach(w, at, d, window, anchor), ids))
                 at, d, ids, t32 = at[ok], d[ok], ids[ok], t32[ok]
                 s = (at[:, None] - np.arange(side + 1)[None, :]).ravel()
                 k = np.repeat(np.arange(len(at)), side + 1)
@@ -202,13 +205,13 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
                 size = np.full(len(s), window)
                 yield _batch(["doc", "x", "y", "spot"], ids[k], x.view(np.int64), _more(y), _spot(t32[k], s - w.first[d[k]], size))
 
-    cut = src.mapInArrow(windows, "doc long, x long, y int, spot long")
+    cut = scratch.stored(src.mapInArrow(windows, "doc long, x long, y int, spot long"), "windows")
     shared = (cut.select("doc", "x", "y").groupBy("x", "y").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
               .where("lo < hi").select("x", "y", "lo"))
     partly = cut.join(shared, ["x", "y"]).where("lo < doc").select("doc", "spot")
     spans = (whole.unionAll(partly).groupBy("doc", F.shiftright("spot", 32).cast("int").alias("t32"))
              .agg(F.collect_list(F.col("spot").bitwiseAND(F.lit(0xFFFFFFFF))).alias("spans")))  # one document's own
-    return C.stored(spans, "repeat-spans"), firsts
+    return spans, firsts
 
 
 def unite(spans) -> np.ndarray:

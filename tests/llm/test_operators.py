@@ -201,6 +201,23 @@ def test_components_of_chains_and_stars(spark):
     assert got == {x: root(x) for u, v in links for x in (u, v) if u != v}
 
 
+def test_substring_dedup_reads_the_texts_six_times(spark):
+    """Equal texts, seeds, places, windows, and the texts that stay and those that lose words; nothing is hashed anew."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [(i, t) for i, t in CORPUS if i is not None and t]
+    read = spark.createDataFrame(rows, "doc_id long, text string").mapInArrow(count, "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in substring_dedup.dedup(read, bits=16).collect()}
+    times = seen.value / len(rows)
+    assert got == {r.doc_id: r.n_removed for r in substring_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"), bits=16).collect()}
+    assert any(got.values()) and times <= 6
+
+
 def test_substring_dedup(spark, docs, empty):
     want = {i: (n, k, brute.sha(w), " ".join(w)) for i, (n, k, w) in brute.removed(CORPUS).items()}
     for bits in (substring_dedup.BITS, 15):   # 15: the bit tables let nearly all pass
